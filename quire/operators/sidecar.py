@@ -72,7 +72,7 @@ def item_entries(task_items: DataFrame, anonymize: bool = False, key_mode: str =
     )
     n = likert_levels(F.col("likert_scale"))
     entries = likert_level_entries(F.col("levels"), n)
-    first_desc = F.col("levels")[0]["description"]
+    first_desc = F.get(F.col("levels"), 0)["description"]
     return (
         task_items.filter(valid_sidecar_item("itemname"))
         .select(

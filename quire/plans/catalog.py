@@ -487,3 +487,407 @@ def q_extra_columns(spark, d):
     tc = _task_cols(spark, d)
     items = sidecar.task_item_names(roles.event_task_items(spark, d)).select("study", "task", "item_norm").distinct()
     return quality.extra_columns(tc, items).select("study", "file_seq", "task", "item")
+
+
+# ---------------------------------------------------------------- A1, A3
+@register("null_counts", """
+WITH j AS (SELECT d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+c AS (SELECT source, 'quality' AS item, CAST(quality AS VARCHAR) AS value FROM j
+      UNION ALL SELECT source, 'toxic', CAST(toxic AS VARCHAR) FROM j)
+SELECT source, item, count(*) FILTER (WHERE value IS NULL) AS nan_count FROM c GROUP BY source, item
+HAVING count(*) FILTER (WHERE value IS NULL) > 0""")
+def q_null_counts(spark, d):
+    docs = T(spark, d, "documents").select("doc_id", "source")
+    lab = T(spark, d, "labels").select("doc_id", "quality", "toxic")
+    j = docs.join(lab, "doc_id", "left")
+    cells = j.select(
+        F.col("source").alias("file_seq"),
+        F.inline(F.array(
+            F.struct(F.lit("quality").alias("item"), F.col("quality").cast("string").alias("value")),
+            F.struct(F.lit("toxic").alias("item"), F.col("toxic").cast("string").alias("value")),
+        )),
+    ).withColumn("study", F.lit(roles.STUDY))
+    cols = cells.select("study", "file_seq", "item").distinct().withColumn("task", F.lit("LABELS"))
+    out = quality.null_counts(cells, cols)
+    return out.select(F.col("file_seq").alias("source"), "item", "nan_count")
+
+
+@register("duplicate_subjects", f"""
+SELECT {S.subject_id('o_custkey')} AS subject_id, count(*) AS n FROM orders
+GROUP BY {S.subject_id('o_custkey')} HAVING count(*) > 1""")
+def q_duplicate_subjects(spark, d):
+    o = T(spark, d, "orders").select(ids.subject_id(F.col("o_custkey")).alias("subject_id"))
+    return quality.duplicate_keys(o, ["subject_id"])
+
+
+# ---------------------------------------------------------------- P7-P9, K3, K4
+def customer_demographics(spark, d) -> DataFrame:
+    c = T(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("ID "),
+        F.col("c_mktsegment").alias("Segment"),
+        F.col("c_nationkey").cast("string").alias("nation"),
+        text.integral_text(F.col("c_acctbal")).alias("acctbal"),
+        F.col("c_name").alias("name"),
+        F.col("c_name").alias("undeclared"),
+    )
+
+
+# Fixed declarations of the participants variables sheet (Levels derived from data).
+PARTICIPANT_VARIABLES = (
+    (0, "id", "string", "Participant ID"),
+    (1, "segment", "cat_string", "Market segment"),
+    (2, "nation", "cat_num", "Nation of the participant"),
+    (3, "acctbal", "float", "Account balance"),
+    (4, "balance_int", "integer", "Balance as integer"),
+    (5, "Name ", "string", "Participant name"),
+)
+
+
+def customer_variables(spark, d) -> DataFrame:
+    """Variables sheet; the Levels of ``nation`` and ``segment`` are built by
+    Spark from the distinct values present in ``customer``."""
+    c = T(spark, d, "customer").select("c_nationkey", "c_mktsegment")
+    n = F.broadcast(T(spark, d, "nation").select("n_nationkey", "n_name"))
+    nat = c.select("c_nationkey").distinct().join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    nat_lv = nat.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", F.concat(F.col("n_nationkey").cast("string"), F.lit(": "), "n_name").alias("t")))).alias("a")) \
+        .select(F.lit("nation").alias("VariableName"), F.concat_ws("; ", F.transform("a", lambda x: x["t"])).alias("Levels"))
+    seg = c.select("c_mktsegment").distinct()
+    seg_lv = seg.agg(F.array_sort(F.collect_list(F.concat("c_mktsegment", F.lit(":"), F.lower("c_mktsegment")))).alias("a")) \
+        .select(F.lit("segment").alias("VariableName"), F.concat_ws(";", "a").alias("Levels"))
+    base = spark.createDataFrame(list(PARTICIPANT_VARIABLES), "seq int, VariableName string, DataType string, Description string")
+    base = participants.normalize_variables(base)
+    return base.join(nat_lv.unionByName(seg_lv), "VariableName", "left")
+
+
+PARTICIPANTS_BASE_SQL = f"""
+demo AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS nation,
+         {S.integral_text('c_acctbal')} AS acctbal, c_name AS name FROM customer)"""
+
+
+@register("participants_table", f"""
+WITH {PARTICIPANTS_BASE_SQL},
+t AS (SELECT {S.subject_id('id')} AS participant_id, segment, CAST(TRY_CAST(nation AS DOUBLE) AS BIGINT) AS nation,
+             TRY_CAST(acctbal AS DOUBLE) AS acctbal, NULL::BIGINT AS balance_int, name FROM demo)
+SELECT {S.sanitize_tsv('participant_id')} AS participant_id, {S.sanitize_tsv('segment')} AS segment,
+       {S.sanitize_tsv('CAST(CASE WHEN nation <> -999 THEN nation END AS VARCHAR)')} AS nation,
+       {S.sanitize_tsv('CAST(CASE WHEN acctbal <> -999 THEN acctbal END AS VARCHAR)')} AS acctbal,
+       {S.sanitize_tsv('CAST(balance_int AS VARCHAR)')} AS balance_int, {S.sanitize_tsv('name')} AS name
+FROM t""")
+def q_participants_table(spark, d):
+    typed, resolved = participants.participants_table(customer_demographics(spark, d), customer_variables(spark, d))
+    return participants.participants_tsv_rows(typed, resolved)
+
+
+@register("participants_metadata", f"""
+WITH nat AS (SELECT string_agg(CAST(n_nationkey AS VARCHAR) || ': ' || n_name, '; ' ORDER BY n_nationkey) AS lv
+             FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)),
+seg AS (SELECT string_agg(s || ':' || lower(s), ';' ORDER BY s) AS lv FROM (SELECT DISTINCT c_mktsegment AS s FROM customer)),
+v AS (SELECT * FROM (VALUES {", ".join(f"({q}, '{n.strip().lower()}', '{t}', '{de}')" for q, n, t, de in PARTICIPANT_VARIABLES)})
+      x(seq, variable, data_type, description)),
+vl AS (SELECT v.*, CASE WHEN variable = 'nation' THEN (SELECT lv FROM nat) WHEN variable = 'segment' THEN (SELECT lv FROM seg) END AS levels
+       FROM v WHERE variable <> 'id'),
+p AS (SELECT variable, description, unnest(string_split(levels, ';')) AS piece FROM vl
+      WHERE data_type IN ('cat_num', 'cat_string') AND levels IS NOT NULL),
+kv AS (SELECT variable, string_split({S.strip('piece')}, ':') AS kv FROM p),
+e AS (SELECT DISTINCT variable, {S.strip('kv[1]')} AS level_key, {S.strip('kv[2]')} AS level_value FROM kv WHERE len(kv) = 2)
+SELECT vl.variable, vl.description, e.level_key, e.level_value FROM vl LEFT JOIN e USING (variable)
+UNION ALL SELECT 'participant_id', 'Unique participant identifier', NULL, NULL""")
+def q_participants_metadata(spark, d):
+    rows = participants.participants_metadata(customer_variables(spark, d))
+    e = rows.select("variable", "description", F.explode_outer("levels").alias("lv"))
+    return e.select("variable", "description", F.col("lv.key").alias("level_key"), F.col("lv.value").alias("level_value"))
+
+
+# ---------------------------------------------------------------- K1: sidecars
+PART_ITEMS_SQL = f"""
+pi AS (
+  SELECT 'tpch' AS study, p_type AS task, p_partkey AS row_seq, lower(p_type) || '-' || CAST(p_size AS VARCHAR) AS itemname,
+         p_name AS itemdescription, coalesce(TRY_CAST(regexp_extract(p_brand, '#(\\d+)$', 1) AS INTEGER), 0) AS n,
+         CAST(p_size AS VARCHAR) AS v0, p_name AS d0, p_type AS v1, p_brand AS d1, CAST(p_partkey AS VARCHAR) AS v2, p_name AS d2
+  FROM part
+  WHERE itemname IS NOT NULL AND NOT starts_with(lower({S.strip('itemname')}), 'itemname')
+        AND {S.strip('itemname')} <> 'Unknown Item'),
+keyed AS (
+  SELECT *, {S.sidecar_key(S.strip('itemname'))} AS key,
+         min(row_seq) OVER (PARTITION BY study, task, {S.sidecar_key(S.strip('itemname'))}) AS position
+  FROM pi
+  QUALIFY row_number() OVER (PARTITION BY study, task, {S.sidecar_key(S.strip('itemname'))} ORDER BY row_seq DESC) = 1),
+pairs AS (
+  SELECT study, task, key, 0 AS i, v0 AS v, d0 AS dsc, n FROM keyed
+  UNION ALL SELECT study, task, key, 1, v1, d1, n FROM keyed
+  UNION ALL SELECT study, task, key, 2, v2, d2, n FROM keyed),
+lv AS (
+  SELECT study, task, key, CAST(TRY_CAST({S.strip('v')} AS BIGINT) AS VARCHAR) AS level_key, dsc AS level_value FROM pairs
+  WHERE i < n AND v IS NOT NULL AND dsc IS NOT NULL AND TRY_CAST({S.strip('v')} AS BIGINT) IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY study, task, key, CAST(TRY_CAST({S.strip('v')} AS BIGINT) AS VARCHAR)
+                             ORDER BY i DESC) = 1)"""
+
+
+def _part_sidecar(spark, d):
+    return sidecar.sidecar_entries(roles.part_items(spark, d))
+
+
+@register("sidecar_items", f"""
+WITH {PART_ITEMS_SQL},
+cnt AS (SELECT study, task, key, count(*) AS n_levels FROM lv GROUP BY study, task, key)
+SELECT k.study, k.task, k.key, CAST(k.position AS BIGINT) AS position,
+       coalesce(k.itemdescription, 'No description available') AS description,
+       CASE WHEN coalesce(c.n_levels, 0) = 0 AND k.d0 IS NOT NULL THEN {S.strip('k.d0')} END AS units,
+       CAST(coalesce(c.n_levels, 0) AS INTEGER) AS n_levels
+FROM keyed k LEFT JOIN cnt c USING (study, task, key)""")
+def q_sidecar_items(spark, d):
+    e = _part_sidecar(spark, d)
+    return e.select("study", "task", "key", F.col("position.a").alias("position"), "description", "units",
+                    F.size("level_entries").alias("n_levels"))
+
+
+@register("level_maps", f"""
+WITH {PART_ITEMS_SQL}
+SELECT study, task, key, level_key, level_value FROM lv""")
+def q_level_maps(spark, d):
+    e = _part_sidecar(spark, d).select("study", "task", "key", F.explode("level_entries").alias("l"))
+    return e.select("study", "task", "key", F.col("l.key").alias("level_key"), F.col("l.value").alias("level_value"))
+
+
+@register("anonymized_items", f"""
+WITH {BENCH_ITEMS_SQL},
+k AS (SELECT study, task, row_seq, {S.sidecar_key(S.strip('itemname'))} AS key FROM bi
+      WHERE itemname IS NOT NULL AND NOT starts_with(lower({S.strip('itemname')}), 'itemname')
+            AND {S.strip('itemname')} <> 'Unknown Item')
+SELECT study, task, key, min(row_seq) AS position, 'Question ' || CAST(max(row_seq) + 1 AS VARCHAR) AS description
+FROM k GROUP BY study, task, key""")
+def q_anonymized_items(spark, d):
+    items = roles.event_task_items(spark, d).withColumn("likert_scale", F.lit(None).cast("string")).withColumn(
+        "levels", F.array().cast("array<struct<i:int,value:string,description:string>>"))
+    e = sidecar.sidecar_entries(items, anonymize=True)
+    return e.select("study", "task", "key", F.col("position.a").alias("position"), "description")
+
+
+# ---------------------------------------------------------------- J8, J6/F5, J11, A5/A10/A11
+DEFINED_TASKS_SQL = """
+defined AS (SELECT DISTINCT study, task FROM bi UNION SELECT DISTINCT 'tpch', p_type FROM part)"""
+
+
+def _defined_tasks(spark, d):
+    a = roles.event_task_items(spark, d).select("study", "task")
+    b = roles.part_items(spark, d).select("study", "task")
+    return a.unionByName(b).distinct()
+
+
+@register("unused_tasks", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}, {DEFINED_TASKS_SQL}
+SELECT study, task FROM defined d
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.study = d.study AND lower(l.task) = lower(d.task))""")
+def q_unused_tasks(spark, d):
+    return quality.unused_tasks(_defined_tasks(spark, d), _latest(spark, d)).select("study", "task")
+
+
+@register("file_task_coverage", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}, {DEFINED_TASKS_SQL},
+files AS (SELECT DISTINCT study, file_seq FROM cells),
+used AS (SELECT DISTINCT study, file_seq, task FROM matched)
+SELECT f.study, f.file_seq, t.task FROM files f JOIN defined t ON f.study = t.study
+WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.study = f.study AND u.file_seq = f.file_seq AND u.task = t.task)""")
+def q_file_task_coverage(spark, d):
+    cells = responses.with_keys(roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item"))))
+    items = sidecar.task_item_names(roles.event_task_items(spark, d))
+    used = responses.match_task_items(cells, items).select("study", "file_seq", "task").distinct()
+    files = cells.select("study", "file_seq").distinct()
+    return quality.file_task_coverage(used, files, _defined_tasks(spark, d)).select("study", "file_seq", "task")
+
+
+@register("required_files", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL},
+rec AS (SELECT DISTINCT subject_id, session, lower(task) AS task FROM latest),
+spine AS (SELECT DISTINCT subject_id, session FROM rec),
+subj_tasks AS (SELECT DISTINCT subject_id, task FROM rec),
+req AS (SELECT s.subject_id, s.session, t.task FROM spine s JOIN subj_tasks t USING (subject_id))
+SELECT subject_id, session, task,
+       subject_id || '/ses-' || session || '/beh/' || subject_id || '_ses-' || session || '_task-' || task || '_beh.tsv' AS file_name
+FROM req WHERE NOT EXISTS (SELECT 1 FROM rec r WHERE r.subject_id = req.subject_id AND r.session = req.session AND r.task = req.task)""")
+def q_required_files(spark, d):
+    rec = _latest(spark, d).select("subject_id", "session", F.col("task_lc").alias("task")).distinct()
+    spine = rec.select("subject_id", "session").distinct()
+    subj_tasks = rec.select("subject_id", "task").distinct()
+    req = spine.join(subj_tasks, "subject_id").withColumn("study", F.lit(roles.STUDY))
+    req = req.withColumn("file_name", paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")))
+    present = rec.withColumn("study", F.lit(roles.STUDY)).withColumn(
+        "file_name", paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")))
+    return quality.missing_files(req, present.select("study", "file_name")).select("subject_id", "session", "task", "file_name")
+
+
+@register("run_summary", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}
+SELECT lower(task) AS task, count(DISTINCT subject_id || '|' || session) AS n_records,
+       count(DISTINCT subject_id) AS n_subjects, count(DISTINCT file_seq) AS n_files
+FROM latest GROUP BY lower(task)""")
+def q_run_summary(spark, d):
+    lt = _latest(spark, d)
+    return lt.groupBy(F.col("task_lc").alias("task")).agg(
+        F.count_distinct("subject_id", "session").alias("n_records"),
+        F.count_distinct("subject_id").alias("n_subjects"),
+        F.count_distinct("file_seq").alias("n_files"),
+    )
+
+
+@register("path_keys", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL},
+p AS (SELECT DISTINCT 'rawdata/' || subject_id || '/ses-' || session || '/beh/' || subject_id || '_ses-' || session
+                      || '_task-' || lower(task) || '_beh.tsv' AS path FROM latest)
+SELECT path, regexp_extract(path, {S.q(paths.SUBJECT_DIR)}, 1) AS subject_dir,
+       CASE WHEN regexp_extract(path, {S.q(paths.SESSION_DIR)}, 1) <> ''
+            THEN regexp_replace(regexp_extract(path, {S.q(paths.SESSION_DIR)}, 1), '^ses-', '') ELSE '1' END AS session,
+       regexp_extract(path, {S.q(paths.TASK_IN_NAME)}, 1) AS task
+FROM p""")
+def q_path_keys(spark, d):
+    lt = _latest(spark, d)
+    p = lt.select(F.concat(F.lit("rawdata/"), paths.record_path(F.col("subject_id"), F.col("session"), F.col("task"))).alias("path")).distinct()
+    return p.select("path", paths.path_subject("path").alias("subject_dir"), paths.path_session("path").alias("session"),
+                    paths.path_task("path").alias("task"))
+
+
+# ---------------------------------------------------------------- B: trials
+def conversation_answers(spark, d) -> DataFrame:
+    c = T(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    a = c.select(
+        F.lit(roles.STUDY).alias("study"), F.col("role").alias("file_seq"), F.col("role").alias("task"),
+        F.col("turn").alias("row_seq"), F.col("conv_id").cast("string").alias("id"),
+        (F.floor(F.col("turn") / 2) + 1).cast("string").alias("ses"), F.col("text").alias("text"),
+    )
+    return trials.fill_missing(a)
+
+
+@register("trial_onsets", """
+WITH a AS (SELECT role AS task, turn AS row_seq, CAST(conv_id AS VARCHAR) AS id,
+                  CAST(CAST(floor(turn / 2) + 1 AS BIGINT) AS VARCHAR) AS ses, coalesce(text, 'n/a') AS text FROM conversations)
+SELECT task, 'sub-' || id || '_ses-' || first_value(ses) OVER (PARTITION BY task, id ORDER BY row_seq) || '_task-' || task
+       || '_beh.tsv' AS file_name, row_seq,
+       row_number() OVER (PARTITION BY task, id ORDER BY row_seq) - 1 AS onset, CAST(1.0 AS DOUBLE) AS duration,
+       'response' AS trial_type, id, ses, text
+FROM a""")
+def q_trial_onsets(spark, d):
+    t = trials.trial_rows(conversation_answers(spark, d))
+    return t.select("task", "file_name", "row_seq", "onset", "duration", "trial_type", "id", "ses", "text")
+
+
+def order_answers(spark, d) -> DataFrame:
+    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return o.select(
+        F.lit(roles.STUDY).alias("study"), F.col("o_orderpriority").alias("file_seq"), F.col("o_orderpriority").alias("task"),
+        F.col("o_orderkey").alias("row_seq"), F.col("o_custkey").cast("string").alias("id"),
+        F.year("o_orderdate").cast("string").alias("ses"),
+    )
+
+
+@register("trial_first_session", """
+SELECT o_orderpriority AS task, CAST(o_custkey AS VARCHAR) AS id,
+       CAST(arg_min(year(o_orderdate), o_orderkey) AS VARCHAR) AS session, min(o_orderkey) AS first_row
+FROM orders GROUP BY o_orderpriority, o_custkey""")
+def q_trial_first_session(spark, d):
+    return trials.first_sessions(order_answers(spark, d)).select("task", "id", "session", "first_row")
+
+
+@register("trial_participants", """
+WITH p AS (SELECT o_orderpriority AS task, CAST(o_custkey AS VARCHAR) AS id,
+                  CAST(arg_min(year(o_orderdate), o_orderkey) AS VARCHAR) AS ses, min(o_orderkey) AS first_row
+           FROM orders GROUP BY o_orderpriority, o_custkey),
+d AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer
+      QUALIFY row_number() OVER (PARTITION BY CAST(c_custkey AS VARCHAR) ORDER BY c_custkey) = 1)
+SELECT p.task, p.id, 'sub-' || p.id AS participant_id, 'ses-' || p.ses AS session, p.first_row, d.name, d.segment
+FROM p LEFT JOIN d ON p.id = d.id""")
+def q_trial_participants(spark, d):
+    c = T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    demo = c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_custkey").alias("row_seq"),
+                    F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    p = trials.trial_participants(order_answers(spark, d), demo)
+    return p.select("task", "id", "participant_id", "session", "first_row", "name", "segment")
+
+
+# ---------------------------------------------------------------- C: gather
+GATHER_TASKS = tuple(t.lower() for t in roles.EVENT_TASKS)
+
+
+def _gather_inputs(spark, d, participant_rows: DataFrame):
+    lt = _latest(spark, d)
+    cells = lt.select(
+        "subject_id", F.col("session").alias("session_id"), F.col("task_lc").alias("task"),
+        paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")).alias("file_path"),
+        F.lit(0).alias("row_index"), F.col("item_seq").alias("col_seq"), F.col("item").alias("column"),
+        text.na_token_to_null(F.col("value")).alias("value"),
+    )
+    spine = cells.select("subject_id", "session_id").distinct()
+    return spine, cells, participant_rows
+
+
+def customer_participant_rows(spark, d) -> DataFrame:
+    c = T(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    return c.select(
+        F.col("c_custkey").alias("row_seq"), ids.subject_id(F.col("c_custkey").cast("string")).alias("subject_id"),
+        F.inline(F.array(
+            F.struct(F.lit(1).alias("col_seq"), F.lit("segment").alias("column"), text.na_token_to_null(F.col("c_mktsegment")).alias("value")),
+            F.struct(F.lit(2).alias("col_seq"), F.lit("nation").alias("column"), F.col("c_nationkey").cast("string").alias("value")),
+        )),
+    )
+
+
+def order_participant_rows(spark, d) -> DataFrame:
+    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    return o.select(
+        F.col("o_orderkey").alias("row_seq"), ids.subject_id(F.col("o_custkey").cast("string")).alias("subject_id"),
+        F.inline(F.array(
+            F.struct(F.lit(1).alias("col_seq"), F.lit("priority").alias("column"), F.col("o_orderpriority").alias("value")),
+            F.struct(F.lit(2).alias("col_seq"), F.lit("status").alias("column"), F.col("o_orderstatus").alias("value")),
+        )),
+    )
+
+
+GATHER_ITEMS = [i for i in EVENT_ITEMS if i != "ERROR02"]
+GATHER_BASE_SQL = f"""
+rec AS (SELECT subject_id, session AS session_id, lower(task) AS task, item, {S.na_token('value')} AS value FROM latest),
+spine AS (SELECT DISTINCT subject_id, session_id FROM rec),
+pl AS (SELECT {S.subject_id('CAST(c_custkey AS VARCHAR)')} AS subject_id, c_mktsegment AS segment,
+              CAST(c_nationkey AS VARCHAR) AS nation FROM customer
+       QUALIFY row_number() OVER (PARTITION BY {S.subject_id('CAST(c_custkey AS VARCHAR)')} ORDER BY c_custkey DESC) = 1)"""
+
+
+@register("gather_wide", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}, {GATHER_BASE_SQL}
+SELECT s.subject_id, s.session_id, pl.segment, pl.nation,
+       {", ".join(f"max(r.value) FILTER (WHERE r.item = '{i}') AS {i}" for i in GATHER_ITEMS)}
+FROM spine s LEFT JOIN pl USING (subject_id) LEFT JOIN rec r ON r.subject_id = s.subject_id AND r.session_id = s.session_id
+GROUP BY s.subject_id, s.session_id, pl.segment, pl.nation""")
+def q_gather_wide(spark, d):
+    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
+    return gather.gather_wide(spine, cells, prow, GATHER_TASKS, ["subject_id", "segment", "nation"])
+
+
+@register("gather_override", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}, {GATHER_BASE_SQL},
+allc AS (
+  SELECT s.subject_id, s.session_id, 'segment' AS "column", pl.segment AS value, 0 AS prec FROM spine s JOIN pl USING (subject_id)
+  UNION ALL SELECT s.subject_id, s.session_id, 'nation', pl.nation, 0 FROM spine s JOIN pl USING (subject_id)
+  UNION ALL SELECT subject_id, session_id, 'session_id', session_id, 1 FROM spine
+  UNION ALL SELECT subject_id, session_id, item, value,
+                   2 + list_position(['click', 'error', 'purchase', 'signup', 'view'], task) - 1 FROM rec)
+SELECT subject_id, session_id, "column", value FROM allc
+QUALIFY row_number() OVER (PARTITION BY subject_id, session_id, "column" ORDER BY prec DESC) = 1""")
+def q_gather_override(spark, d):
+    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
+    m = gather.merged_cells(spine, cells, prow, GATHER_TASKS)
+    return m.select("subject_id", "session_id", "column", "value")
+
+
+@register("gather_participants", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL},
+spine AS (SELECT DISTINCT subject_id, session AS session_id FROM latest),
+lastp AS (SELECT {S.subject_id('CAST(o_custkey AS VARCHAR)')} AS subject_id, o_orderpriority, o_orderstatus FROM orders
+          QUALIFY row_number() OVER (PARTITION BY {S.subject_id('CAST(o_custkey AS VARCHAR)')} ORDER BY o_orderkey DESC) = 1)
+SELECT s.subject_id, s.session_id, 'priority' AS "column", p.o_orderpriority AS value FROM spine s JOIN lastp p USING (subject_id)
+UNION ALL
+SELECT s.subject_id, s.session_id, 'status', p.o_orderstatus FROM spine s JOIN lastp p USING (subject_id)""")
+def q_gather_participants(spark, d):
+    spine, _, _ = _gather_inputs(spark, d, None)
+    p = gather.last_participants(order_participant_rows(spark, d)).join(spine, "subject_id")
+    return p.select("subject_id", "session_id", "column", "value")
