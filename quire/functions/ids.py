@@ -29,15 +29,16 @@ def subject_id(c) -> Column:
 
     null -> ``sub-unknown``; strip; ``^sub-+`` -> ``sub-``; without the
     ``sub-`` prefix: all digits -> ``sub-`` + zero-fill to 3, else prefix only.
+
+    Written as a chain of replacements, each consuming the previous one once:
+    the generated code stays linear in size (a CASE over a shared
+    subexpression would repeat it in every branch).
     """
-    raw = _col(c)
-    s = F.regexp_replace(py_strip(raw.cast("string")), r"^sub-+", "sub-")
-    return (
-        F.when(raw.isNull(), F.lit("sub-unknown"))
-        .when(s.startswith("sub-"), s)
-        .when(s.rlike(r"^[0-9]+$"), F.concat(F.lit("sub-"), zfill(s, 3)))
-        .otherwise(F.concat(F.lit("sub-"), s))
-    )
+    s = F.regexp_replace(py_strip(_col(c).cast("string")), r"^sub-+", "sub-")
+    s = F.regexp_replace(s, r"^([0-9])$", "00$1")
+    s = F.regexp_replace(s, r"^([0-9]{2})$", "0$1")
+    s = F.regexp_replace(s, r"^(?!sub-)", "sub-")
+    return F.coalesce(s, F.lit("sub-unknown"))
 
 
 def subject_compliant(c) -> Column:
@@ -48,13 +49,8 @@ def subject_compliant(c) -> Column:
 def session_id(c) -> Column:
     """C2 ``validate_session_id``: null -> ``01``; strip; digits -> zero-fill
     to 2; anything else unchanged."""
-    raw = _col(c)
-    s = py_strip(raw.cast("string"))
-    return (
-        F.when(raw.isNull(), F.lit("01"))
-        .when(s.rlike(r"^[0-9]+$"), zfill(s, 2))
-        .otherwise(s)
-    )
+    s = F.regexp_replace(py_strip(_col(c).cast("string")), r"^([0-9])$", "0$1")
+    return F.coalesce(s, F.lit("01"))
 
 
 def task_name(c) -> Column:
@@ -86,10 +82,11 @@ def item_name(c) -> Column:
     """C4 ``normalize_item_name``: ``<letters>[sep]<digits>`` from the start to
     the end -> upper(letters) + digits; anything else unchanged."""
     s = _col(c).cast("string")
-    return F.when(
-        s.rlike(ITEM_PATTERN),
-        F.concat(F.upper(F.regexp_extract(s, ITEM_PATTERN, 1)), F.regexp_extract(s, ITEM_PATTERN, 2)),
-    ).otherwise(s)
+    # One regex pass: a match is rewritten to a marker + letters + digits (the
+    # separator dropped); upper() of letters+digits only changes the letters.
+    marked = F.regexp_replace(s, ITEM_PATTERN, "\u0001$1$2")
+    hit = (marked != s) & marked.startswith("\u0001")
+    return F.when(hit, F.upper(F.substring(marked, 2, 1 << 30))).otherwise(s)
 
 
 def sidecar_key(c) -> Column:

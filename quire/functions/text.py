@@ -23,6 +23,11 @@ WS_CLASS_BODY = (
 )
 WS = "[" + WS_CLASS_BODY + "]"
 STRIP_PATTERN = r"\A" + WS + "+|" + WS + r"+\z"
+# The same 29 characters as a literal set, for btrim (no regex on the hot path).
+WS_CHARS = "".join(
+    chr(c) for c in [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680]
+    + list(range(0x2000, 0x200B)) + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
 
 # Tokens sanitize_for_tsv turns into the missing marker.
 SANITIZE_NULL_TOKENS = ("", "nan", "none", "null")
@@ -42,8 +47,11 @@ def _col(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), STRIP_PATTERN, "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace.
+
+    ``btrim`` with the explicit character set: a scan of both ends, no regex.
+    """
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def clean_text(c) -> Column:

@@ -59,9 +59,8 @@ def sheet_to_long(
 
     ``item_seq`` keeps the sheet's column order (P6 uses it for TSV headers).
     With ``normalize`` the item names go through C4 (P2); names that collide
-    after normalisation keep the rightmost column (D10, reported by
-    ``quality.header_collisions``).  One ``inline`` over an array of structs:
-    a narrow projection, no shuffle.
+    after normalisation keep the rightmost column (D10).  ``unpivot`` plans as
+    an Expand inside whole-stage codegen: a narrow step, no shuffle.
     """
     cols = sheet.columns
     id_col, ses_col = key_column_names(cols)
@@ -71,19 +70,8 @@ def sheet_to_long(
     items = [c for c in (item_columns or cols) if c not in reserved]
     norm = normalized_header_map(sheet.sparkSession, items) if normalize else {c: c for c in items}
     rightmost = {norm[c]: i for i, c in enumerate(items)}
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("item_seq"),
-                F.lit(norm[c]).alias("item"),
-                F.lit(c).alias("item_raw"),
-                F.col(f"`{c}`").cast("string").alias("value"),
-            )
-            for i, c in enumerate(items)
-            if rightmost[norm[c]] == i
-        ]
-    )
-    base = [
+    kept = [(i, c) for i, c in enumerate(items) if rightmost[norm[c]] == i]
+    keys = [
         _c(study).alias("study"),
         _c(file_seq).alias("file_seq"),
         (_c(file_name) if file_name is not None else F.lit(None).cast("string")).alias("file_name"),
@@ -91,7 +79,21 @@ def sheet_to_long(
         F.col(f"`{id_col}`").cast("string").alias("subject_raw"),
         F.col(f"`{ses_col}`").cast("string").alias("session_raw"),
     ]
-    return sheet.select(*base, F.inline(cells))
+    slots = [f"_c{i}" for i, _ in kept]
+    wide = sheet.select(*keys, *[F.col(f"`{c}`").cast("string").alias(f"_c{i}") for i, c in kept])
+    key_names = ["study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw"]
+    if not slots:
+        return wide.select(*key_names, F.lit(None).cast("int").alias("item_seq"), F.lit(None).cast("string").alias("item"),
+                           F.lit(None).cast("string").alias("item_raw"), F.lit(None).cast("string").alias("value")).limit(0)
+    long = wide.unpivot(key_names, slots, "_slot", "value")
+    lookup = lambda pick: F.create_map(*[x for i, c in kept for x in (F.lit(f"_c{i}"), F.lit(pick(i, c)))])
+    return long.select(
+        *key_names,
+        lookup(lambda i, c: i)[F.col("_slot")].alias("item_seq"),
+        lookup(lambda i, c: norm[c])[F.col("_slot")].alias("item"),
+        lookup(lambda i, c: c)[F.col("_slot")].alias("item_raw"),
+        "value",
+    )
 
 
 def normalize_items(responses: DataFrame, broadcast_limit_rows: int = 2_000_000) -> DataFrame:

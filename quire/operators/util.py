@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 from quire.session import ensure_checkpoint_dir
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a definitions-side table only when its row count is proven
-    below ``max_rows``; otherwise return it unchanged so the planner shuffles.
-
-    The count runs on the small side only (definitions, headers, level labels),
-    never on the data side.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (an upper bound for scans, filters,
+    projections and aggregates; what Spark itself uses for broadcasts)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast a definitions-side table only with a proven size bound;
+    otherwise return it unchanged so the planner shuffles (or AQE decides).
+
+    First the optimizer's estimate (no job); when that is not below
+    ``max_bytes``, a row count capped at ``max_rows + 1`` on the small side
+    decides.  Never used on the data side of a join.
     """
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quire.functions import ids, levels, paths, text
 from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
 from quire.plans import roles
+from quire.operators.util import cut_lineage
 from quire.plans import sqlfrag as S
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -79,7 +80,6 @@ latest AS (
 
 def _latest(spark, d) -> DataFrame:
     cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
-    cells = responses.with_keys(cells)
     items = sidecar.task_item_names(roles.event_task_items(spark, d))
     matched = responses.match_task_items(cells, items)
     matched = matched.withColumn("task_lc", F.lower("task"))
@@ -691,7 +691,7 @@ used AS (SELECT DISTINCT study, file_seq, task FROM matched)
 SELECT f.study, f.file_seq, t.task FROM files f JOIN defined t ON f.study = t.study
 WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.study = f.study AND u.file_seq = f.file_seq AND u.task = t.task)""")
 def q_file_task_coverage(spark, d):
-    cells = responses.with_keys(roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item"))))
+    cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
     items = sidecar.task_item_names(roles.event_task_items(spark, d))
     used = responses.match_task_items(cells, items).select("study", "file_seq", "task").distinct()
     files = cells.select("study", "file_seq").distinct()
@@ -810,7 +810,10 @@ GATHER_TASKS = tuple(t.lower() for t in roles.EVENT_TASKS)
 
 
 def _gather_inputs(spark, d, participant_rows: DataFrame):
-    lt = _latest(spark, d)
+    # The gather reads what the conversion wrote; the latest records are cut
+    # into the shared checkpoint folder once instead of being recomputed for
+    # the spine, the column order and the pivot.
+    lt = cut_lineage(_latest(spark, d).select("subject_id", "session", "task", "task_lc", "item_seq", "item", "value"))
     cells = lt.select(
         "subject_id", F.col("session").alias("session_id"), F.col("task_lc").alias("task"),
         paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")).alias("file_path"),

@@ -26,6 +26,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.ids import session_id, subject_id
 from quire.functions.text import integral_text
 
 STUDY = "tpch"
@@ -40,24 +41,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long response cells from ``events`` (one row per record x item)."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    task = F.upper("event_type")
-    cells = F.array(
-        F.struct(F.lit(0).alias("item_seq"), F.concat(task, F.lit("01")).alias("item"), integral_text(F.col("value")).alias("value")),
-        F.struct(F.lit(1).alias("item_seq"), F.concat(task, F.lit("02")).alias("item"),
-                 F.get_json_object("props", "$.k").alias("value")),
-        F.struct(F.lit(2).alias("item_seq"), F.concat(task, F.lit("_TS")).alias("item"),
-                 F.date_format("ts", "HH:mm:ss").alias("value")),
-    )
-    return e.select(
+    # Record keys (C1/C2) are computed once per event, before the unpivot; the
+    # unpivot plans as an Expand inside whole-stage codegen.
+    subject_raw = F.col("user_id").cast("string")
+    session_raw = (F.lit(1) + F.floor((F.dayofmonth("ts") - 1) / 10)).cast("string")
+    keys = ["study", "file_seq", "ts", "row_seq", "subject_id", "session", "t"]
+    wide = e.select(
         F.lit(STUDY).alias("study"),
         F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"),
-        F.concat(F.lit("session_"), F.date_format("ts", "yyyyMMdd"), F.lit(".xlsx")).alias("file_name"),
         "ts",
         F.col("event_id").alias("row_seq"),
-        F.col("user_id").cast("string").alias("subject_raw"),
-        (F.lit(1) + F.floor((F.dayofmonth("ts") - 1) / 10)).cast("string").alias("session_raw"),
-        F.inline(cells),
+        subject_id(subject_raw).alias("subject_id"),
+        session_id(session_raw).alias("session"),
+        F.upper("event_type").alias("t"),
+        integral_text(F.col("value")).alias("01"),
+        F.get_json_object("props", "$.k").alias("02"),
+        F.date_format("ts", "HH:mm:ss").alias("_TS"),
     )
+    long = wide.unpivot(keys, ["01", "02", "_TS"], "sfx", "value")
+    seq = F.create_map(F.lit("01"), F.lit(0), F.lit("02"), F.lit(1), F.lit("_TS"), F.lit(2))
+    return long.select(*keys[:-1], seq[F.col("sfx")].alias("item_seq"), F.concat("t", "sfx").alias("item"), "value")
 
 
 def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ needs the ``'g'`` flag to replace every match, Spark always does.
 from __future__ import annotations
 
 from quire.functions.ids import ITEM_PATTERN, SUBJECT_COMPLIANT, TASK_EXTENSION
-from quire.functions.text import READ_NA_TOKENS, SANITIZE_NULL_TOKENS, STRIP_PATTERN, WS, WS_CLASS_BODY
+from quire.functions.text import READ_NA_TOKENS, SANITIZE_NULL_TOKENS, WS, WS_CHARS, WS_CLASS_BODY
 
 
 def q(s: str) -> str:
@@ -16,8 +16,11 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+WS_CHARS_SQL = "(" + " || ".join(f"chr({ord(ch)})" for ch in WS_CHARS) + ")"
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+    return f"trim({x}, {WS_CHARS_SQL})"
 
 
 def zfill(x: str, n: int) -> str:
