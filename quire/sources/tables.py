@@ -29,14 +29,31 @@ RESERVED_FILES = ("participants_dataset.xlsx", "demographics.xlsx")
 
 
 def read_lines(spark: SparkSession, paths, study_from_parent: bool = True) -> DataFrame:
-    df = spark.read.text(paths)
-    path = F.col("_metadata.file_path")
+    return tag_lines(spark.read.text(paths), study_from_parent)
+
+
+def file_columns(df: DataFrame) -> DataFrame:
+    """Line text with its file path, name and split offset (streaming-safe)."""
+    return df.select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_name").alias("_name"),
+        F.col("_metadata.file_block_start").alias("_blk"),
+    )
+
+
+def tag_lines(df: DataFrame, study_from_parent: bool = True) -> DataFrame:
+    """Lines with study, file path/name and an in-file order key.  Accepts a
+    plain text read or the output of ``file_columns`` (a micro-batch)."""
+    if "_path" not in df.columns:
+        df = file_columns(df)
+    path = F.col("_path")
     study = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1) if study_from_parent else F.lit(None).cast("string")
     return df.select(
         study.alias("study"),
         path.alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.struct(F.col("_metadata.file_block_start").alias("blk"), F.monotonically_increasing_id().alias("mono")).alias("row_key"),
+        F.col("_name").alias("file_name"),
+        F.struct(F.col("_blk").alias("blk"), F.monotonically_increasing_id().alias("mono")).alias("row_key"),
         F.col("value").alias("line"),
     ).filter(~F.col("file_name").startswith(TEMP_PREFIX))
 
@@ -51,7 +68,13 @@ def read_sheet_cells(spark: SparkSession, paths, sep: str = ",", study_from_pare
                      lowercase_names: bool = False) -> DataFrame:
     """Long cells of every sheet file under ``paths`` (one job, no per-file
     driver loop).  Column names are stripped (and lower-cased on request, P1)."""
-    lines = read_lines(spark, paths, study_from_parent)
+    return cells_from_lines(read_lines(spark, paths, study_from_parent), sep, lowercase_names)
+
+
+def cells_from_lines(lines: DataFrame, sep: str = ",", lowercase_names: bool = False) -> DataFrame:
+    """Header detection + field split for lines of many files (batch input;
+    also used per micro-batch by ``quire.streaming``)."""
+    spark = lines.sparkSession
     first = lines.groupBy("file_path").agg(F.min("row_key").alias("hdr_key"))
     first = broadcast_if_small(first, 1_000_000)
     tagged = lines.join(first, "file_path")

@@ -1,0 +1 @@
+"""Streaming: incremental ingest of arriving session sheets (``latest``)."""
