@@ -111,3 +111,22 @@ def issue_rows(df: DataFrame, check: str, severity: str, obj, detail) -> DataFra
     study = F.col("study") if "study" in df.columns else F.lit(None).cast("string")
     return df.select(study.alias("study"), F.lit(check).alias("check"), F.lit(severity).alias("severity"),
                      o.cast("string").alias("object"), d.cast("string").alias("detail"))
+
+
+def empty_tables(counts: DataFrame) -> DataFrame:
+    """V5: tables (``study, object, n_rows``) without rows."""
+    return counts.filter(F.col("n_rows") == 0)
+
+
+def sidecar_structure(entries: DataFrame) -> DataFrame:
+    """V7: sidecar documents without entries, and item entries without a
+    ``Description`` (warning only, as in the source)."""
+    per_task = entries.groupBy("study", "task").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("kind") == "item") & F.col("description").isNull()).alias("no_desc"))
+    return per_task.filter((F.col("n") == 0) | (F.col("no_desc") > 0))
+
+
+def participant_key_columns(columns: Sequence[str]) -> list[str]:
+    """V9 (single-file converter): ``id`` and ``ses`` must both be present in
+    the demographics; returns the missing ones (then demographics are unused)."""
+    return [c for c in ("id", "ses") if c not in columns]

@@ -99,3 +99,38 @@ def task_json_items(items: DataFrame) -> DataFrame:
     return named.groupBy("study", "task", "itemname").agg(
         F.min("row_seq").alias("position"), F.max_by("itemdescription", "row_seq").alias("description")
     )
+
+
+def task_json(items: DataFrame, bids_version: str = "1.8.0") -> DataFrame:
+    """K9 document per (study, task): ``TaskName``, ``TaskDescription``,
+    ``BIDSVersion``, ``Items`` (each ``{Description, Levels: {}}``)."""
+    it = task_json_items(items)
+    entry = F.struct(
+        "position",
+        F.concat(F.regexp_extract(F.to_json(F.array("itemname")), r"^\[(.*)\]$", 1), F.lit(": "),
+                 F.to_json(F.struct(F.col("description").alias("Description"),
+                                    F.create_map().cast("map<string,string>").alias("Levels")))).alias("t"),
+    )
+    docs = it.groupBy("study", "task").agg(F.array_sort(F.collect_list(entry)).alias("a"))
+    head = F.to_json(F.struct(F.col("task").alias("TaskName"),
+                              F.concat(F.lit("Behavioral task: "), F.col("task")).alias("TaskDescription"),
+                              F.lit(bids_version).alias("BIDSVersion")))
+    body = F.concat(F.lit('"Items": {'), F.concat_ws(", ", F.transform("a", lambda x: x["t"])), F.lit("}"))
+    return docs.select("study", "task", F.concat(F.regexp_replace(head, r"\}$", ", "), body, F.lit("}")).alias("json"))
+
+
+def participants_json_b(participant_rows: DataFrame) -> DataFrame:
+    """K8 sidecar: every participants column as ``{"Description": "Participant
+    <col>", "DataType": "string"}`` (column list is schema metadata)."""
+    cols = [c for c in participant_rows.columns if c not in ("study", "file_seq", "task", "first_row", "id")]
+    obj = ", ".join('"%s": {"Description": "Participant %s", "DataType": "string"}' % (c, c) for c in cols)
+    return participant_rows.sparkSession.createDataFrame([("{" + obj + "}",)], "json string")
+
+
+def dataset_description_b(studies: DataFrame, bids_version: str = "1.8.0") -> DataFrame:
+    """Name from the study, constants otherwise (deviation: no authors or
+    generator names of the source are copied; ``GeneratedBy`` names this
+    library)."""
+    return studies.select("study", F.to_json(F.struct(
+        F.col("study").alias("Name"), F.lit(bids_version).alias("BIDSVersion"), F.lit("raw").alias("DatasetType"),
+        F.array(F.struct(F.lit("quire").alias("Name"))).alias("GeneratedBy"))).alias("json"))
