@@ -98,12 +98,19 @@ def long_form_casts(cells: DataFrame, variables: DataFrame) -> DataFrame:
         ..., variable, data_type, resolved, value_long, value_double, value_string
     """
     v = numeric(F.col("value"))
-    decl = cells.join(F.broadcast(variables.select("variable", F.lower("data_type").alias("data_type"))), "variable", "inner")
+    declared = variables.select("variable", F.lower("data_type").alias("data_type"))
+    n_vars = declared.count()  # a declaration sheet: the bound for both broadcasts below
+    if n_vars > 1_000_000:
+        raise ValueError("variable declarations exceed the broadcast bound")
+    decl = cells.join(F.broadcast(declared), "variable", "inner")
     stats = decl.groupBy("variable").agg(
         F.count_if(v.isNotNull() & (v != F.floor(v))).alias("n_frac"),
         F.count_if(v.isNull() | (v != F.floor(v))).alias("n_bad"),
     )
-    j = decl.join(stats, "variable", "inner")
+    # At most one row per declared variable (grouped on the inner-joined
+    # declaration key): broadcast, never a shuffle of the cells on a handful of
+    # variable keys.
+    j = decl.join(F.broadcast(stats), "variable", "inner")
     resolved = (
         F.when(F.col("data_type") == INTEGER, F.when(F.col("n_frac") == 0, F.lit("long")).otherwise(F.lit("keep")))
         .when(F.col("data_type") == FLOAT, F.lit("double"))

@@ -13,8 +13,8 @@ group split across range partitions:
    sums over partitions (at most one row per partition per group);
 4. position = prefix offset + (id - first id), joined back on ``(g, partition)``.
 
-The per-group table is bounded by partitions x groups-per-partition and is
-broadcast only after a size check.
+The per-group table is bounded by partitions x groups-per-partition; AQE
+broadcasts it when its materialized size is small.
 """
 
 from __future__ import annotations
@@ -24,11 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.util import broadcast_if_small
-
 
 def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
-                    num_partitions: int | None = None, broadcast_limit_rows: int = 2_000_000) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
@@ -40,6 +38,7 @@ def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
     stats = ranged.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    stats = broadcast_if_small(stats, broadcast_limit_rows)
+    # The join key includes the partition id, so a hot group is spread; the
+    # broadcast decision is left to AQE's runtime size of ``stats``.
     joined = ranged.join(stats, on=[*keys, "_pid"], how="inner")
     return joined.withColumn(out, F.col("_offset") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_first", "_offset")

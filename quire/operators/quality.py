@@ -65,8 +65,8 @@ def extra_columns(task_cols: DataFrame, items: DataFrame) -> DataFrame:
 
 def null_counts(responses: DataFrame, task_cols: DataFrame) -> DataFrame:
     """A1: nulls per (file, task, column), only counts > 0."""
-    tc = broadcast_if_small(task_cols, 2_000_000)
-    j = responses.join(tc, on=["study", "file_seq", "item"], how="inner")
+    # header-sized and data-derived: AQE broadcasts it from its runtime size
+    j = responses.join(task_cols, on=["study", "file_seq", "item"], how="inner")
     return (
         j.groupBy("study", "file_seq", "task", "item")
         .agg(F.count_if(F.col("value").isNull()).alias("nan_count"))

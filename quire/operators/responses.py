@@ -107,7 +107,6 @@ def normalize_items(responses: DataFrame, broadcast_limit_rows: int = 2_000_000)
     norm = responses.withColumn("item_raw", F.col("item")).withColumn("item", item_name(F.col("item")))
     keys = ["study", "file_seq", "item"]
     winners = norm.groupBy(*keys).agg(F.max("item_seq").alias("item_seq"))
-    winners = broadcast_if_small(winners, broadcast_limit_rows)
     return norm.join(winners, on=keys + ["item_seq"], how="left_semi")
 
 

@@ -37,3 +37,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     local checkpoint: executors may be lost)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+    """Spread rows over the cluster when a scan yields fewer partitions than
+    the default parallelism (one small file, an unsplittable file).  Large
+    inputs already arrive in many splits and are returned unchanged, so no
+    shuffle is added at scale.  Tiny tables (below ``min_bytes`` by the
+    optimizer's estimate) are left alone."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    est = estimated_bytes(df)
+    if n >= target or (est is not None and est < min_bytes):
+        return df
+    return df.repartition(target)

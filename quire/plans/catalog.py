@@ -100,7 +100,7 @@ SELECT c_custkey, raw_id, {S.subject_id('raw_id')} AS subject_id,
        {S.subject_compliant(S.subject_id('raw_id'))} AS is_compliant
 FROM r""")
 def q_subject_ids(spark, d):
-    c = T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = T(spark, d, "customer", ["c_custkey", "c_name", "c_mktsegment"])
     k = F.col("c_custkey").cast("string")
     seg = F.col("c_mktsegment")
     raw = (
@@ -124,7 +124,7 @@ WITH r AS (
   FROM orders)
 SELECT o_orderkey, raw_session, {S.session_id('raw_session')} AS session_id FROM r""")
 def q_session_ids(spark, d):
-    o = T(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    o = T(spark, d, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
     st = F.col("o_orderstatus")
     raw = (
         F.when(st == "F", F.month("o_orderdate").cast("string"))
@@ -149,7 +149,7 @@ SELECT p_partkey, raw_task, {S.task_name('raw_task')} AS task_name,
             WHEN {S.task_name('raw_task')} IS NULL THEN 'Task name is empty after normalization' END AS issue
 FROM r""")
 def q_task_names(spark, d):
-    p = T(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    p = T(spark, d, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
     ty = F.col("p_type")
     raw = (
         F.when(ty == "ECONOMY", F.concat("p_brand", F.lit("_"), "p_name", F.lit(".XLSX")))
@@ -171,7 +171,7 @@ WITH r AS (
   FROM part)
 SELECT p_partkey, raw_item, {S.item_name('raw_item')} AS item_norm, {S.sidecar_key('raw_item')} AS item_key FROM r""")
 def q_item_names(spark, d):
-    p = T(spark, d, "part").select("p_partkey", "p_type", "p_size")
+    p = T(spark, d, "part", ["p_partkey", "p_type", "p_size"])
     ty = F.col("p_type")
     sep = (
         F.when(ty == "ECONOMY", "-").when(ty == "SMALL", " ").when(ty == "LARGE", "_").when(ty == "PROMO", "--")
@@ -186,14 +186,14 @@ def q_item_names(spark, d):
 @register("clean_text", f"""
 SELECT conv_id, turn, {S.clean_text('text')} AS text_clean FROM conversations""")
 def q_clean_text(spark, d):
-    c = T(spark, d, "conversations").select("conv_id", "turn", "text")
+    c = T(spark, d, "conversations", ["conv_id", "turn", "text"])
     return c.select("conv_id", "turn", text.clean_text(F.col("text")).alias("text_clean"))
 
 
 @register("sanitize_tsv", f"""
 SELECT doc_id, {S.sanitize_tsv('text')} AS text_tsv, {S.sanitize_tsv('lang')} AS lang_tsv FROM documents""")
 def q_sanitize_tsv(spark, d):
-    c = T(spark, d, "documents").select("doc_id", "text", "lang")
+    c = T(spark, d, "documents", ["doc_id", "text", "lang"])
     return c.select("doc_id", text.sanitize_tsv(F.col("text")).alias("text_tsv"),
                     text.sanitize_tsv(F.col("lang")).alias("lang_tsv"))
 
@@ -203,7 +203,7 @@ SELECT l_orderkey, l_linenumber, {S.integral_text('l_quantity')} AS quantity_tex
        {S.integral_text('l_extendedprice')} AS price_text, {S.integral_text('l_discount')} AS discount_text
 FROM lineitem""")
 def q_integral_text(spark, d):
-    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
+    li = T(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"])
     return li.select("l_orderkey", "l_linenumber", text.integral_text(F.col("l_quantity")).alias("quantity_text"),
                      text.integral_text(F.col("l_extendedprice")).alias("price_text"),
                      text.integral_text(F.col("l_discount")).alias("discount_text"))
@@ -242,7 +242,7 @@ SELECT c_custkey, variable, data_type, resolved,
        CASE WHEN resolved IN ('string', 'keep') THEN value END AS value_string
 FROM r""")
 def q_declared_casts(spark, d):
-    c = T(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name")
+    c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name"])
     bal = text.integral_text(F.col("c_acctbal"))
     cells = c.select(
         "c_custkey",
@@ -265,7 +265,7 @@ WITH r AS (SELECT l_orderkey, l_linenumber,
 SELECT l_orderkey, l_linenumber, CASE WHEN q <> -999 THEN q END AS quantity,
        {S.integral_text('q')} AS quantity_text FROM r""")
 def q_missing_code(spark, d):
-    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    li = T(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
     q = F.when(F.col("l_linenumber") == 7, F.lit(-999.0)).otherwise(F.col("l_quantity"))
     r = li.select("l_orderkey", "l_linenumber", text.integral_text(q).alias("raw"))
     return r.select("l_orderkey", "l_linenumber", casting.cast_column(F.col("raw"), "double").alias("quantity"),
@@ -277,7 +277,7 @@ WITH l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
                   generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM conversations)
 SELECT conv_id, turn, line_no, {S.na_token('line')} AS value FROM l""")
 def q_na_tokens(spark, d):
-    c = T(spark, d, "conversations").select("conv_id", "turn", "text")
+    c = T(spark, d, "conversations", ["conv_id", "turn", "text"])
     lines = c.select("conv_id", "turn", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return lines.select("conv_id", "turn", F.col("line_no").cast("long").alias("line_no"),
                         text.na_token_to_null(F.col("line")).alias("value"))
@@ -298,9 +298,9 @@ e AS (SELECT c_custkey, pos, {S.strip('kv[1]')} AS level_key, {S.strip('kv[2]')}
 SELECT c_custkey, CAST(pos AS INTEGER) AS pos, level_key, level_value FROM e
 QUALIFY row_number() OVER (PARTITION BY c_custkey, level_key ORDER BY pos DESC) = 1""")
 def q_levels_parse(spark, d):
-    c = T(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_name")
-    n = F.broadcast(T(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    r = F.broadcast(T(spark, d, "region").select("r_regionkey", "r_name"))
+    c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_name"])
+    n = F.broadcast(T(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"]))
+    r = F.broadcast(T(spark, d, "region", ["r_regionkey", "r_name"]))
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     lv = F.concat(
         F.col("c_nationkey").cast("string"), F.lit(": "), "n_name", F.lit("; "), F.col("n_regionkey").cast("string"),
@@ -316,15 +316,15 @@ def q_levels_parse(spark, d):
 WITH l AS (SELECT conv_id, turn, {S.split_list('text')} AS items FROM conversations)
 SELECT conv_id, turn, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS pos, unnest(items) AS element FROM l""")
 def q_list_split(spark, d):
-    c = T(spark, d, "conversations").select("conv_id", "turn", "text")
+    c = T(spark, d, "conversations", ["conv_id", "turn", "text"])
     e = c.select("conv_id", "turn", F.posexplode(levels.split_list(F.col("text"))).alias("pos", "element"))
     return e
 
 
 # ---------------------------------------------------------------- C13-C15, A8
 def supplier_dataset_meta(spark, d) -> DataFrame:
-    s = T(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    n = F.broadcast(T(spark, d, "nation").select("n_nationkey", "n_name"))
+    s = T(spark, d, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
+    n = F.broadcast(T(spark, d, "nation", ["n_nationkey", "n_name"]))
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     nk = F.col("s_nationkey").cast("string")
     def row(seq, key, value):
@@ -423,7 +423,7 @@ SELECT l_orderkey, l_linenumber, item, value FROM (
   UNION ALL SELECT l_orderkey, l_linenumber, 'l_discount', l_discount FROM lineitem
   UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax FROM lineitem)""")
 def q_wide_to_long(spark, d):
-    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    li = T(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return li.unpivot(["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "item", "value")
 
 
@@ -497,8 +497,8 @@ c AS (SELECT source, 'quality' AS item, CAST(quality AS VARCHAR) AS value FROM j
 SELECT source, item, count(*) FILTER (WHERE value IS NULL) AS nan_count FROM c GROUP BY source, item
 HAVING count(*) FILTER (WHERE value IS NULL) > 0""")
 def q_null_counts(spark, d):
-    docs = T(spark, d, "documents").select("doc_id", "source")
-    lab = T(spark, d, "labels").select("doc_id", "quality", "toxic")
+    docs = T(spark, d, "documents", ["doc_id", "source"])
+    lab = T(spark, d, "labels", ["doc_id", "quality", "toxic"])
     j = docs.join(lab, "doc_id", "left")
     cells = j.select(
         F.col("source").alias("file_seq"),
@@ -516,13 +516,13 @@ def q_null_counts(spark, d):
 SELECT {S.subject_id('o_custkey')} AS subject_id, count(*) AS n FROM orders
 GROUP BY {S.subject_id('o_custkey')} HAVING count(*) > 1""")
 def q_duplicate_subjects(spark, d):
-    o = T(spark, d, "orders").select(ids.subject_id(F.col("o_custkey")).alias("subject_id"))
+    o = T(spark, d, "orders", ["o_custkey"]).select(ids.subject_id(F.col("o_custkey")).alias("subject_id"))
     return quality.duplicate_keys(o, ["subject_id"])
 
 
 # ---------------------------------------------------------------- P7-P9, K3, K4
 def customer_demographics(spark, d) -> DataFrame:
-    c = T(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name")
+    c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name"])
     return c.select(
         F.col("c_custkey").cast("string").alias("ID "),
         F.col("c_mktsegment").alias("Segment"),
@@ -547,8 +547,8 @@ PARTICIPANT_VARIABLES = (
 def customer_variables(spark, d) -> DataFrame:
     """Variables sheet; the Levels of ``nation`` and ``segment`` are built by
     Spark from the distinct values present in ``customer``."""
-    c = T(spark, d, "customer").select("c_nationkey", "c_mktsegment")
-    n = F.broadcast(T(spark, d, "nation").select("n_nationkey", "n_name"))
+    c = T(spark, d, "customer", ["c_nationkey", "c_mktsegment"])
+    n = F.broadcast(T(spark, d, "nation", ["n_nationkey", "n_name"]))
     nat = c.select("c_nationkey").distinct().join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     nat_lv = nat.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", F.concat(F.col("n_nationkey").cast("string"), F.lit(": "), "n_name").alias("t")))).alias("a")) \
         .select(F.lit("nation").alias("VariableName"), F.concat_ws("; ", F.transform("a", lambda x: x["t"])).alias("Levels"))
@@ -750,7 +750,7 @@ def q_path_keys(spark, d):
 
 # ---------------------------------------------------------------- B: trials
 def conversation_answers(spark, d) -> DataFrame:
-    c = T(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    c = T(spark, d, "conversations", ["conv_id", "turn", "role", "text"])
     a = c.select(
         F.lit(roles.STUDY).alias("study"), F.col("role").alias("file_seq"), F.col("role").alias("task"),
         F.col("turn").alias("row_seq"), F.col("conv_id").cast("string").alias("id"),
@@ -773,7 +773,7 @@ def q_trial_onsets(spark, d):
 
 
 def order_answers(spark, d) -> DataFrame:
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    o = T(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     return o.select(
         F.lit(roles.STUDY).alias("study"), F.col("o_orderpriority").alias("file_seq"), F.col("o_orderpriority").alias("task"),
         F.col("o_orderkey").alias("row_seq"), F.col("o_custkey").cast("string").alias("id"),
@@ -798,7 +798,7 @@ d AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS s
 SELECT p.task, p.id, 'sub-' || p.id AS participant_id, 'ses-' || p.ses AS session, p.first_row, d.name, d.segment
 FROM p LEFT JOIN d ON p.id = d.id""")
 def q_trial_participants(spark, d):
-    c = T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = T(spark, d, "customer", ["c_custkey", "c_name", "c_mktsegment"])
     demo = c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_custkey").alias("row_seq"),
                     F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     p = trials.trial_participants(order_answers(spark, d), demo)
@@ -825,7 +825,7 @@ def _gather_inputs(spark, d, participant_rows: DataFrame):
 
 
 def customer_participant_rows(spark, d) -> DataFrame:
-    c = T(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    c = T(spark, d, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
     return c.select(
         F.col("c_custkey").alias("row_seq"), ids.subject_id(F.col("c_custkey").cast("string")).alias("subject_id"),
         F.inline(F.array(
@@ -836,7 +836,7 @@ def customer_participant_rows(spark, d) -> DataFrame:
 
 
 def order_participant_rows(spark, d) -> DataFrame:
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    o = T(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"])
     return o.select(
         F.col("o_orderkey").alias("row_seq"), ids.subject_id(F.col("o_custkey").cast("string")).alias("subject_id"),
         F.inline(F.array(

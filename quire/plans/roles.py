@@ -28,19 +28,31 @@ from pyspark.sql import functions as F
 
 from quire.functions.ids import session_id, subject_id
 from quire.functions.text import integral_text
+from quire.operators.util import spread
 
 STUDY = "tpch"
 # The event types of the test data, in task order.
 EVENT_TASKS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Tables whose rows carry heavy per-row work (regex, JSON, long text): worth
+# spreading when they arrive as fewer splits than the parallelism.
+HEAVY_ROWS = ("events", "documents", "part")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table, pruned to ``columns``; heavy-row tables are spread over
+    the cluster when the file arrives as fewer splits than the parallelism
+    (``util.spread``; a no-op for inputs that are already split)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if columns:
+        df = df.select(*columns)
+    return spread(df) if name in HEAVY_ROWS else df
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long response cells from ``events`` (one row per record x item)."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     # Record keys (C1/C2) are computed once per event, before the unpivot; the
     # unpivot plans as an Expand inside whole-stage codegen.
     subject_raw = F.col("user_id").cast("string")
@@ -68,7 +80,7 @@ def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``lower(p_type)-<p_size>``; description ``p_name``; likert count from the
     brand number; level pairs (p_size, p_name), (p_type, p_brand),
     (p_partkey, p_name)."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    p = table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
     return p.select(
         F.lit(STUDY).alias("study"),
         F.col("p_type").alias("task"),
@@ -89,7 +101,7 @@ def event_task_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``item_id`` belongs to task number ``item_id mod 5`` (tasks in
     ``EVENT_TASKS`` order) as ``<task>-<nn>`` with ``nn = item_id div 5 + 1``;
     every seventh item is an ``example`` row (F2)."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    b = table(spark, sf_dir, "benchmark", ["item_id", "text"])
     tasks = F.array(*[F.lit(t) for t in EVENT_TASKS])
     task = F.element_at(tasks, (F.col("item_id") % 5 + 1).cast("int"))
     nn = F.format_string("%02d", (F.floor(F.col("item_id") / 5) + 1).cast("long"))

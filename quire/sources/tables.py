@@ -6,7 +6,7 @@ offset and a monotonically increasing id, which together order the lines of a
 file (within one split the reader emits lines in file order; a later split of
 the same file has a larger offset).  The first line of each file is its
 header: found with one aggregate per file, a table bounded by the number of
-files that is broadcast back after a size check.  Fields are parsed with
+files that AQE broadcasts back from its materialized size.  Fields are parsed with
 ``from_csv`` (quotes handled) against a schema of as many string columns as
 the widest header.  Quoted fields spanning lines are not supported (one line =
 one row).
@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.operators.util import broadcast_if_small
 
 # Names that are never session sheets.
 TEMP_PREFIX = "~$"
@@ -75,8 +74,9 @@ def cells_from_lines(lines: DataFrame, sep: str = ",", lowercase_names: bool = F
     """Header detection + field split for lines of many files (batch input;
     also used per micro-batch by ``quire.streaming``)."""
     spark = lines.sparkSession
+    # Per-file tables (first line, header) are data-derived: AQE broadcasts
+    # them from their materialized size; no planning-time job over the data.
     first = lines.groupBy("file_path").agg(F.min("row_key").alias("hdr_key"))
-    first = broadcast_if_small(first, 1_000_000)
     tagged = lines.join(first, "file_path")
     headers = tagged.filter(F.col("row_key") == F.col("hdr_key"))
     width_row = headers.select(F.max(F.size(F.split("line", sep, -1))).alias("w")).first()
@@ -90,7 +90,7 @@ def cells_from_lines(lines: DataFrame, sep: str = ",", lowercase_names: bool = F
     hdr = headers.select("file_path", names.alias("names"))
     files = lines.select("study", "file_path", "file_name").distinct()
     files = files.withColumn("file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
-    hdr = broadcast_if_small(hdr.join(files, "file_path"), 1_000_000)
+    hdr = hdr.join(files, "file_path")
     data = tagged.filter(F.col("row_key") > F.col("hdr_key")).drop("hdr_key", "study", "file_name")
     data = data.join(hdr, "file_path")
     cells = data.select(
@@ -123,7 +123,7 @@ def cells_to_responses(cells: DataFrame) -> DataFrame:
     # Colliding normalised names keep the rightmost column (header-level).
     rightmost = items.select("study", "file_seq", "item", "col_seq").groupBy("study", "file_seq", "item").agg(
         F.max("col_seq").alias("col_seq"))
-    items = items.join(broadcast_if_small(rightmost, 2_000_000), ["study", "file_seq", "item", "col_seq"], "left_semi")
+    items = items.join(rightmost, ["study", "file_seq", "item", "col_seq"], "left_semi")
     out = items.join(keys.filter((F.col("_has_id") > 0) & (F.col("_has_ses") > 0)), ["study", "file_seq", "row_key"])
     return out.select(
         "study", "file_seq", "file_name", F.col("row_key").alias("row_seq"), "subject_raw", "session_raw",
