@@ -88,10 +88,17 @@ def unused_tasks(task_names: DataFrame, records: DataFrame) -> DataFrame:
 
 def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame) -> DataFrame:
     """(file, task) pairs of the same study without relevant columns.
-    The pairs are formed per study by an equi-join on ``study`` over the two
-    small listings (files, task definitions); the data path never does this."""
-    pairs = files.join(tasks, on="study", how="inner")
-    return pairs.join(file_tasks_with_data, on=["study", "file_seq", "task"], how="left_anti")
+
+    No pair product is formed: each file carries the set of its tasks with
+    data (bounded by the number of defined tasks), each study the set of
+    defined tasks (a definitions list, size-checked broadcast), and
+    ``array_except`` leaves only the missing pairs, which are exploded."""
+    defined = tasks.groupBy("study").agg(F.array_sort(F.collect_set("task")).alias("_all"))
+    defined = broadcast_if_small(defined, 100_000)
+    seen = file_tasks_with_data.groupBy("study", "file_seq").agg(F.collect_set("task").alias("_seen"))
+    f = files.join(seen, ["study", "file_seq"], "left").join(defined, "study", "inner")
+    missing = F.array_except("_all", F.coalesce("_seen", F.array().cast("array<string>")))
+    return f.select("study", "file_seq", F.explode(missing).alias("task"))
 
 
 def missing_files(required: DataFrame, present: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quire.functions import ids, levels, paths, text
 from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
 from quire.plans import roles
-from quire.operators.util import cut_lineage
+from quire.operators.util import broadcast_if_small, cut_lineage
 from quire.plans import sqlfrag as S
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -299,8 +299,8 @@ SELECT c_custkey, CAST(pos AS INTEGER) AS pos, level_key, level_value FROM e
 QUALIFY row_number() OVER (PARTITION BY c_custkey, level_key ORDER BY pos DESC) = 1""")
 def q_levels_parse(spark, d):
     c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_name"])
-    n = F.broadcast(T(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"]))
-    r = F.broadcast(T(spark, d, "region", ["r_regionkey", "r_name"]))
+    n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"]), 100_000)
+    r = broadcast_if_small(T(spark, d, "region", ["r_regionkey", "r_name"]), 100_000)
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     lv = F.concat(
         F.col("c_nationkey").cast("string"), F.lit(": "), "n_name", F.lit("; "), F.col("n_regionkey").cast("string"),
@@ -324,7 +324,7 @@ def q_list_split(spark, d):
 # ---------------------------------------------------------------- C13-C15, A8
 def supplier_dataset_meta(spark, d) -> DataFrame:
     s = T(spark, d, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
-    n = F.broadcast(T(spark, d, "nation", ["n_nationkey", "n_name"]))
+    n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name"]), 100_000)
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     nk = F.col("s_nationkey").cast("string")
     def row(seq, key, value):
@@ -548,7 +548,7 @@ def customer_variables(spark, d) -> DataFrame:
     """Variables sheet; the Levels of ``nation`` and ``segment`` are built by
     Spark from the distinct values present in ``customer``."""
     c = T(spark, d, "customer", ["c_nationkey", "c_mktsegment"])
-    n = F.broadcast(T(spark, d, "nation", ["n_nationkey", "n_name"]))
+    n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name"]), 100_000)
     nat = c.select("c_nationkey").distinct().join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     nat_lv = nat.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", F.concat(F.col("n_nationkey").cast("string"), F.lit(": "), "n_name").alias("t")))).alias("a")) \
         .select(F.lit("nation").alias("VariableName"), F.concat_ws("; ", F.transform("a", lambda x: x["t"])).alias("Levels"))
@@ -708,14 +708,17 @@ SELECT subject_id, session, task,
        subject_id || '/ses-' || session || '/beh/' || subject_id || '_ses-' || session || '_task-' || task || '_beh.tsv' AS file_name
 FROM req WHERE NOT EXISTS (SELECT 1 FROM rec r WHERE r.subject_id = req.subject_id AND r.session = req.session AND r.task = req.task)""")
 def q_required_files(spark, d):
+    # Required: every session directory of a subject holds a file for every
+    # task the subject has anywhere.  Per (subject, session) the task set is
+    # compared with the subject's task set (both bounded by the task count);
+    # only missing files are emitted, no sessions x tasks product is formed.
     rec = _latest(spark, d).select("subject_id", "session", F.col("task_lc").alias("task")).distinct()
-    spine = rec.select("subject_id", "session").distinct()
-    subj_tasks = rec.select("subject_id", "task").distinct()
-    req = spine.join(subj_tasks, "subject_id").withColumn("study", F.lit(roles.STUDY))
-    req = req.withColumn("file_name", paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")))
-    present = rec.withColumn("study", F.lit(roles.STUDY)).withColumn(
-        "file_name", paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")))
-    return quality.missing_files(req, present.select("study", "file_name")).select("subject_id", "session", "task", "file_name")
+    per_session = rec.groupBy("subject_id", "session").agg(F.collect_set("task").alias("have"))
+    per_subject = rec.groupBy("subject_id").agg(F.collect_set("task").alias("need"))
+    j = per_session.join(per_subject, "subject_id")
+    miss = j.select("subject_id", "session", F.explode(F.array_except("need", "have")).alias("task"))
+    return miss.select("subject_id", "session", "task",
+                       paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")).alias("file_name"))
 
 
 @register("run_summary", f"""
@@ -809,11 +812,13 @@ def q_trial_participants(spark, d):
 GATHER_TASKS = tuple(t.lower() for t in roles.EVENT_TASKS)
 
 
-def _gather_inputs(spark, d, participant_rows: DataFrame):
-    # The gather reads what the conversion wrote; the latest records are cut
-    # into the shared checkpoint folder once instead of being recomputed for
-    # the spine, the column order and the pivot.
-    lt = cut_lineage(_latest(spark, d).select("subject_id", "session", "task", "task_lc", "item_seq", "item", "value"))
+def _gather_inputs(spark, d, participant_rows: DataFrame, reuse: bool = False):
+    # The gather reads what the conversion wrote.  When the plan runs several
+    # jobs over it (column order, pivot, spine), the latest records are cut
+    # into the shared checkpoint folder once instead of being recomputed.
+    lt = _latest(spark, d).select("subject_id", "session", "task", "task_lc", "item_seq", "item", "value")
+    if reuse:
+        lt = cut_lineage(lt)
     cells = lt.select(
         "subject_id", F.col("session").alias("session_id"), F.col("task_lc").alias("task"),
         paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")).alias("file_path"),
@@ -862,7 +867,7 @@ SELECT s.subject_id, s.session_id, pl.segment, pl.nation,
 FROM spine s LEFT JOIN pl USING (subject_id) LEFT JOIN rec r ON r.subject_id = s.subject_id AND r.session_id = s.session_id
 GROUP BY s.subject_id, s.session_id, pl.segment, pl.nation""")
 def q_gather_wide(spark, d):
-    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
+    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d), reuse=True)
     return gather.gather_wide(spine, cells, prow, GATHER_TASKS, ["subject_id", "segment", "nation"])
 
 

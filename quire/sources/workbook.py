@@ -112,7 +112,8 @@ def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = Fals
     out = cells.select(study.alias("study"), name.alias("file_name"), "sheet_idx", "sheet_name", "row", "col", "value")
     seq = out.select("study", "file_name").distinct().withColumn(
         "file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
-    return out.join(F.broadcast(seq), ["study", "file_name"])
+    # one row per workbook: AQE broadcasts it from its runtime size
+    return out.join(seq, ["study", "file_name"])
 
 
 def sheet_counts(cells: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def sheet_cells(cells: DataFrame, sheet_idx: int | None = None, sheet_name: str
         hdr = hdr.withColumn("name", F.lower("name"))
     k = F.row_number().over(Window.partitionBy("study", "file_name", "name").orderBy("col")) - 1
     hdr = hdr.withColumn("column", F.when(k == 0, F.col("name")).otherwise(F.concat("name", F.lit("."), k.cast("string"))))
-    data = s.filter(F.col("row") > 0).join(F.broadcast(hdr.select("study", "file_name", "col", "column")),
+    data = s.filter(F.col("row") > 0).join(hdr.select("study", "file_name", "col", "column"),
                                           ["study", "file_name", "col"])
     return data.select(
         "study", "file_name", "file_seq",
