@@ -102,18 +102,20 @@ def _parse_batches(batches):
 def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = False) -> DataFrame:
     """Cells of every ``*.xlsx`` under ``root`` (temp files ``~$*`` skipped;
     with ``exclude_reserved`` also the demographics/variables workbooks)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(root)
-    files = files.select("path", "content").filter(~F.regexp_extract("path", r"([^/]+)$", 1).startswith(TEMP_PREFIX))
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(root)
+    name_of = F.regexp_extract("path", r"([^/]+)$", 1)
+    keep = ~name_of.startswith(TEMP_PREFIX)
     if exclude_reserved:
-        files = files.filter(~F.regexp_extract("path", r"([^/]+)$", 1).isin(*RESERVED_FILES))
-    cells = files.mapInPandas(_parse_batches, CELL_SCHEMA)
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    study = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    out = cells.select(study.alias("study"), name.alias("file_name"), "sheet_idx", "sheet_name", "row", "col", "value")
-    seq = out.select("study", "file_name").distinct().withColumn(
+        keep = keep & ~name_of.isin(*RESERVED_FILES)
+    listing = listing.filter(keep)
+    study_of = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    # File order from the listing alone (the content column is pruned), so the
+    # workbooks are parsed once.
+    seq = listing.select("path", study_of.alias("study"), name_of.alias("file_name")).withColumn(
         "file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
-    # one row per workbook: AQE broadcasts it from its runtime size
-    return out.join(seq, ["study", "file_name"])
+    cells = listing.select("path", "content").mapInPandas(_parse_batches, CELL_SCHEMA)
+    out = cells.join(seq, "path")  # one row per workbook on the right: AQE broadcasts it
+    return out.select("study", "file_name", "file_seq", "sheet_idx", "sheet_name", "row", "col", "value")
 
 
 def sheet_counts(cells: DataFrame) -> DataFrame:
