@@ -16,7 +16,9 @@ from quire.functions.text import WS, WS_CLASS_BODY, _col, py_strip
 # files, and the item-name pattern (letters, optional separator, digits).
 SUBJECT_COMPLIANT = r"^sub-[a-zA-Z0-9]+$"
 TASK_EXTENSION = r"(?i)\.(xlsx?|csv)$"
-ITEM_PATTERN = r"^([A-Za-z]+)[" + WS_CLASS_BODY + r"\-_]?([0-9]+)$"
+# ``\n?\z`` is Python's ``$`` (end, or before one final newline); Java's ``$``
+# would also accept ``\r\n`` and Unicode line separators.
+ITEM_PATTERN = r"^([A-Za-z]+)[" + WS_CLASS_BODY + r"\-_]?([0-9]+)\n?\z"
 
 
 def zfill(s: Column, width: int) -> Column:

@@ -47,6 +47,8 @@ def test_c4_item(spark):
     vals = ["testquest01", "ads-01", "ads 1", "Q_1", "ads--01", "a1b2", "mood", "QUESTIONNAIRE1_item1"]
     assert col_values(spark, ids.item_name, vals) == ["TESTQUEST01", "ADS01", "ADS1", "Q1", "ads--01", "a1b2",
                                                       "mood", "QUESTIONNAIRE1_item1"]
+    edge = ["ab1\n", "ab1\r\n", "ab1\u2028", "ab 1\n", "ab1\n\n"]
+    assert col_values(spark, ids.item_name, edge) == ["AB1", "ab1\r\n", "ab1\u2028", "AB1", "ab1\n\n"]
 
 
 def test_c5_key(spark):
