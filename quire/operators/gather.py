@@ -22,20 +22,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.util import broadcast_if_small
-
 SKIP_COLUMNS = ("participant_id", "session_id")
 KEY = ("subject_id", "session_id")
 
 
 def first_rows(cells: DataFrame) -> DataFrame:
-    """First file by name per (subject, session, task), row 0 only."""
+    """First file by name per (subject, session, task), row 0 only.
+
+    A group is the row-0 cells of one subject/session/task (bounded by the
+    task's columns), so ``rank() == 1`` over file names is one shuffle with a
+    partial group limit and no second pass over the cells."""
     row0 = cells.filter(F.col("row_index") == 0)
-    first = row0.groupBy(*KEY, "task").agg(F.min("file_path").alias("file_path"))
-    return row0.join(first, on=[*KEY, "task", "file_path"], how="left_semi")
+    w = Window.partitionBy(*KEY, "task").orderBy("file_path")
+    return row0.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1).drop("_rk")
 
 
 def last_participants(participants: DataFrame) -> DataFrame:
@@ -44,8 +46,7 @@ def last_participants(participants: DataFrame) -> DataFrame:
     return participants.join(last, on=["subject_id", "row_seq"], how="left_semi")
 
 
-def merged_cells(spine: DataFrame, cells: DataFrame, participants: DataFrame, tasks: Sequence[str],
-                 broadcast_limit_rows: int = 2_000_000) -> DataFrame:
+def merged_cells(spine: DataFrame, cells: DataFrame, participants: DataFrame, tasks: Sequence[str]) -> DataFrame:
     """J4 + J5 + W7 as long cells ``(subject_id, session_id, column, value,
     prec, order)``; ``order`` is the first-appearance key for P13."""
     task_rank = F.create_map(*[x for i, t in enumerate(tasks) for x in (F.lit(t), F.lit(i + 2))])
