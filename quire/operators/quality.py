@@ -86,18 +86,28 @@ def unused_tasks(task_names: DataFrame, records: DataFrame) -> DataFrame:
     return task_names.withColumn("task_lc", F.lower("task")).join(used, on=["study", "task_lc"], how="left_anti").drop("task_lc")
 
 
-def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame) -> DataFrame:
+def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame,
+                       max_tasks: int = 100_000) -> DataFrame:
     """(file, task) pairs of the same study without relevant columns.
 
-    No pair product is formed: each file carries the set of its tasks with
-    data (bounded by the number of defined tasks), each study the set of
-    defined tasks (a definitions list, size-checked broadcast), and
-    ``array_except`` leaves only the missing pairs, which are exploded."""
-    defined = tasks.groupBy("study").agg(F.array_sort(F.collect_set("task")).alias("_all"))
-    defined = broadcast_if_small(defined, 100_000)
+    No pair product and no join on the study key: the defined tasks are
+    definition metadata (checked to be at most ``max_tasks``), collected once
+    into a literal ``study -> tasks`` map; each file carries the set of its
+    tasks with data, and ``array_except`` leaves only the missing pairs."""
+    rows = tasks.select("study", "task").distinct().limit(max_tasks + 1).collect()
+    if len(rows) > max_tasks:
+        raise ValueError("task definitions exceed the metadata bound")
+    by_study: dict = {}
+    for r in rows:
+        by_study.setdefault(r["study"], []).append(r["task"])
+    if not by_study:
+        return files.select("study", "file_seq", F.lit(None).cast("string").alias("task")).limit(0)
+    defined = F.create_map(*[x for st, ts in sorted(by_study.items())
+                             for x in (F.lit(st), F.array(*[F.lit(t) for t in sorted(ts)]))])
     seen = file_tasks_with_data.groupBy("study", "file_seq").agg(F.collect_set("task").alias("_seen"))
-    f = files.join(seen, ["study", "file_seq"], "left").join(defined, "study", "inner")
-    missing = F.array_except("_all", F.coalesce("_seen", F.array().cast("array<string>")))
+    f = files.join(seen, ["study", "file_seq"], "left")
+    missing = F.array_except(F.coalesce(defined[F.col("study")], F.array().cast("array<string>")),
+                             F.coalesce("_seen", F.array().cast("array<string>")))
     return f.select("study", "file_seq", F.explode(missing).alias("task"))
 
 
