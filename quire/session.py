@@ -35,7 +35,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set one only when the cluster names none."""
+    """Return the checkpoint folder.
+
+    Order: a folder already set on the context; the cluster's
+    ``spark.checkpoint.dir``; in local mode only (tests, local runs), a fresh
+    temporary folder.  On a cluster without the setting this raises instead of
+    using a machine-local folder that executors on other hosts cannot read.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -44,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for reliable checkpoints")
     local = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
