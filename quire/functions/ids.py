@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.text import WS, WS_CLASS_BODY, _col, py_strip
+from quire.functions.text import WS_CLASS_BODY, _col, py_strip
 
 # BIDS subject compliance pattern, extension pattern of task
 # files, and the item-name pattern (letters, optional separator, digits).
@@ -98,7 +98,6 @@ def sidecar_key(c) -> Column:
 
 
 __all__ = [
-    "WS",
     "subject_id",
     "subject_compliant",
     "session_id",

@@ -14,7 +14,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import integral_text
 
 # Declared type names and the numeric missing-value code.
 INTEGER, FLOAT, CAT_NUM, CAT_STRING, STRING = "integer", "float", "cat_num", "cat_string", "string"
@@ -131,4 +130,4 @@ def long_form_casts(cells: DataFrame, variables: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["resolve_types", "apply_types", "cast_column", "cell_text", "long_form_casts", "integral_text"]
+__all__ = ["resolve_types", "apply_types", "cast_column", "cell_text", "long_form_casts"]

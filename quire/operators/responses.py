@@ -96,7 +96,7 @@ def sheet_to_long(
     )
 
 
-def normalize_items(responses: DataFrame, broadcast_limit_rows: int = 2_000_000) -> DataFrame:
+def normalize_items(responses: DataFrame) -> DataFrame:
     """P2 + D10 for long rows that did not come through ``sheet_to_long``.
 
     Collisions are a header property, so they are resolved on the header table
