@@ -101,9 +101,12 @@ def convert_sheets(spark: SparkSession, session_glob: str, items_glob: str, out_
     # Participants (K3/K4) and dataset description (K5).
     if demographics is not None and variables is not None:
         typed, resolved = participants.participants_table(demographics, variables)
-        tsv = participants.participants_tsv_rows(typed, resolved).withColumn("_o", F.monotonically_increasing_id())
-        bids.write_files(bids.table_file(tsv, f"{study}/rawdata/participants.tsv", [c for c in tsv.columns if c != "_o"], ["_o"]),
-                         out_root)
+        tsv = participants.participants_tsv_rows(typed, resolved)
+        cols = tsv.columns
+        ppath = f"{study}/rawdata/participants.tsv"
+        lines = tsv.select(F.lit(ppath).alias("path"), F.monotonically_increasing_id().alias("order"),
+                           F.concat_ws("\t", *[F.coalesce(bids.tsv_field(F.col(f"`{c}`")), F.lit("")) for c in cols]).alias("line"))
+        bids.write_lines(lines, out_root, {ppath: "\t".join(cols)})
         pj = participants.participants_json(participants.participants_metadata(variables))
         bids.write_files(pj.select(F.lit(f"{study}/rawdata/participants.json").alias("path"), F.col("json").alias("content")),
                          out_root)
@@ -144,14 +147,12 @@ def gather_tree(spark: SparkSession, root: str, tasks: list[str] | None = None)
 def write_gather_csv(wide: DataFrame, root: str, tasks: list[str]) -> str:
     """K6: ``derivatives/phenotype_task-<t1_t2...>_beh.csv`` (null -> empty)."""
     name = f"phenotype_task-{'_'.join(tasks)}_beh.csv"
+    rel = os.path.join("derivatives", name)
     cols = wide.columns
     line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
-    doc = wide.select(F.struct("subject_id", "session_id").alias("o"), line.alias("l")).agg(
-        F.array_sort(F.collect_list(F.struct("o", "l"))).alias("a"))
-    files = doc.select(F.lit(os.path.join("derivatives", name)).alias("path"),
-                       F.concat(F.lit(",".join(cols) + "\n"), F.concat_ws("\n", F.transform("a", lambda x: x["l"])), F.lit("\n")).alias("content"))
-    bids.write_files(files, root)
-    return os.path.join(root, "derivatives", name)
+    lines = wide.select(F.lit(rel).alias("path"), F.struct("subject_id", "session_id").alias("order"), line.alias("line"))
+    bids.write_lines(lines, root, {rel: ",".join(cols)})
+    return os.path.join(root, rel)
 
 
 def convert_trials(spark: SparkSession, answers: DataFrame, out_root: str, demographics: DataFrame | None = None) -> DataFrame:
@@ -160,10 +161,11 @@ def convert_trials(spark: SparkSession, answers: DataFrame, out_root: str, demog
     rows = trials.trial_rows(answers)
     data_cols = [c for c in rows.columns if c not in ("study", "file_seq", "task", "file_name", "row_seq")]
     line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in data_cols])
-    per_file = rows.groupBy("study", "file_name").agg(F.array_sort(F.collect_list(F.struct("row_seq", line.alias("l")))).alias("a"))
-    files = per_file.select(
-        F.concat(F.col("study"), F.lit("/"), F.col("file_name")).alias("path"),
-        F.concat(F.lit("\t".join(data_cols) + "\n"), F.concat_ws("\n", F.transform("a", lambda x: x["l"])), F.lit("\n")).alias("content"),
-    )
-    bids.write_files(files, out_root)
+    path = F.concat(F.col("study"), F.lit("/"), F.col("file_name"))
+    lines = rows.select(path.alias("path"), F.col("row_seq").alias("order"), line.alias("line"))
+    # header lines: one per trial file (file names are known only from data)
+    heads = rows.select(path.alias("path")).distinct().select(
+        "path", F.lit(None).cast(lines.schema["order"].dataType).alias("order"), F.lit("\t".join(data_cols)).alias("line"))
+    bids.write_lines(lines.withColumn("_first", F.lit(1)).unionByName(heads.withColumn("_first", F.lit(0)))
+                     .select("path", F.struct("_first", "order").alias("order"), "line"), out_root)
     return trials.trial_participants(answers, demographics)

@@ -10,9 +10,11 @@ system the workers mount (a shared folder).
 
 The per-record TSVs are many small files by design of the layout; the main
 store for large runs is ``write_records_table`` (partitioned Parquet), and the
-BIDS tree is an export of it.  ``participants.tsv`` and the JSON documents are
-one file each by the standard: each is written by one task, and each holds at
-most one row per participant / declared variable / item, never response rows.
+BIDS tree is an export of it.  Files that are one file by the standard
+(``participants.tsv``, trial tables, the gather CSV) go through
+``write_lines``: the task that must write such a file streams its sorted lines
+instead of holding them as one array.  JSON documents hold at most one entry
+per declared variable / item.
 """
 
 from __future__ import annotations
@@ -70,8 +72,80 @@ class NamedFilesDataSource(DataSource):
         return NamedFilesWriter(self.options["path"])
 
 
+LINES_FORMAT = "quire_lines"
+
+
+class LinesWriter(DataSourceWriter):
+    """Streams ``(path, line)`` rows that arrive grouped by path and in line
+    order into one file per path; memory use is one line, not one file."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def write(self, iterator):
+        import os
+        import uuid
+
+        cur, fh, tmp, full, n = None, None, None, None, 0
+
+        def finish():
+            if fh is not None:
+                fh.close()
+                os.replace(tmp, full)
+
+        for row in iterator:
+            if row["path"] != cur:
+                finish()
+                cur = row["path"]
+                full = os.path.join(self.root, cur)
+                os.makedirs(os.path.dirname(full) or ".", exist_ok=True)
+                tmp = f"{full}.{uuid.uuid4().hex}.tmp"
+                fh = open(tmp, "w", encoding="utf-8", newline="")
+                n += 1
+            fh.write(row["line"] if row["line"] is not None else "")
+            fh.write("\n")
+        finish()
+        return _Written(n)
+
+    def commit(self, messages):
+        return None
+
+    def abort(self, messages):
+        return None
+
+
+class LinesDataSource(DataSource):
+    @classmethod
+    def name(cls):
+        return LINES_FORMAT
+
+    def schema(self):
+        return "path string, line string"
+
+    def writer(self, schema, overwrite):
+        return LinesWriter(self.options["path"])
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(NamedFilesDataSource)
+    spark.dataSource.register(LinesDataSource)
+
+
+def write_lines(lines: DataFrame, root: str, header: dict[str, str] | None = None) -> None:
+    """Write ``(path, order, line)`` rows as text files, one per path, lines
+    in ``order``.  Rows are hash-partitioned by path and sorted within
+    partitions (an external sort that spills), so a large file is streamed by
+    the one task that must write it and is never held as one array.
+    ``header`` maps a path to its first line."""
+    spark = lines.sparkSession
+    register(spark)
+    body = lines.select("path", F.lit(1).alias("_h"), F.col("order").alias("_o"), "line")
+    if header:
+        heads = spark.createDataFrame(sorted(header.items()), "path string, line string")
+        body = body.unionByName(heads.select("path", F.lit(0).alias("_h"),
+                                             F.lit(None).cast(body.schema["_o"].dataType).alias("_o"), "line"))
+    (body.repartition("path").sortWithinPartitions("path", "_h", "_o").select("path", "line")
+     .write.format(LINES_FORMAT).mode("append").option("path", root).save())
 
 
 def write_files(files: DataFrame, root: str) -> None:
@@ -104,17 +178,6 @@ def record_files(records: DataFrame, task_col: str = "task") -> DataFrame:
     return rec.select(path.alias("path"), content.alias("content"))
 
 
-def table_file(rows: DataFrame, path: str, columns: list[str], order: list[str]) -> DataFrame:
-    """One TSV document (header + rows in ``order``) as a single (path,
-    content) row: for participants.tsv and similar one-file outputs."""
-    line = F.concat_ws("\t", *[F.coalesce(tsv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in columns])
-    keyed = rows.select(F.struct(*[F.col(o) for o in order]).alias("o"), line.alias("l"))
-    doc = keyed.agg(F.array_sort(F.collect_list(F.struct("o", "l"))).alias("a"))
-    header = "\t".join(columns)
-    return doc.select(F.lit(path).alias("path"),
-                      F.concat(F.lit(header + "\n"), F.concat_ws("\n", F.transform("a", lambda x: x["l"])), F.lit("\n")).alias("content"))
-
-
 def write_records_table(records: DataFrame, out: str) -> None:
     """Main store of the record cells: Parquet partitioned by study and task
     (partition pruning serves a gather of a few tasks)."""
