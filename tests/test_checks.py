@@ -36,6 +36,9 @@ def test_small_checks(spark):
     assert [(r.k, r.n) for r in dup] == [("a", 2)]
     cells = spark.createDataFrame([("f1", 0), ("f1", 1), ("f2", 0)], "file_path string, row_index int")
     assert [r.file_path for r in quality.rows_per_file(cells).collect()] == ["f1"]
+    req = spark.createDataFrame([("s", "participants.tsv"), ("s", "dataset_description.json")], "study string, file_name string")
+    present = spark.createDataFrame([("s", "participants.tsv")], "study string, file_name string")
+    assert [r.file_name for r in quality.missing_files(req, present).collect()] == ["dataset_description.json"]
     entries = spark.createDataFrame([("s", "T", "item", None)], "study string, task string, kind string, description string")
     assert quality.sidecar_structure(entries).count() == 1
 
