@@ -26,12 +26,16 @@ BIDS_VERSION_PATTERN = r"^\d+\.\d+\.\d+$"
 
 
 def dedupe_entries_last_wins(entries: Column, key_field: str = "key") -> Column:
-    """Keep, for each key, only the last entry of an array of structs."""
-    return F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))),
-            lambda z: z[key_field] == e[key_field],
+    """Dict assignment over an array of ``struct<pos, key, value>``: one entry
+    per key, at the position of its **first** occurrence, holding the value of
+    its **last** occurrence (key order matters for the JSON documents)."""
+    firsts = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i), lambda z: z[key_field] == e[key_field]))
+    return F.transform(
+        firsts,
+        lambda e: F.struct(
+            e["pos"].alias("pos"),
+            e[key_field].alias(key_field),
+            F.element_at(F.filter(entries, lambda z: z[key_field] == e[key_field]), -1)["value"].alias("value"),
         ),
     )
 
@@ -40,8 +44,9 @@ def level_entries(c) -> Column:
     """C11 ``_parse_levels_string`` as ``array<struct<pos, key, value>>``.
 
     Split on ``;``; each piece is stripped and split on ``:``; pieces with
-    exactly two parts survive, key and value stripped; the last duplicate key
-    wins.  ``pos`` is the 0-based position of the piece in the input.
+    exactly two parts survive, key and value stripped; a duplicate key keeps
+    its first position and takes the last value.  ``pos`` is the 0-based
+    position of the piece in the input.
     """
     pieces = F.split(_col(c).cast("string"), ";", -1)
     parsed = F.transform(

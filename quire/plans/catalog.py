@@ -295,8 +295,8 @@ p AS (SELECT c_custkey, unnest(string_split(lv, ';')) AS piece,
              generate_subscripts(string_split(lv, ';'), 1) - 1 AS pos FROM s),
 kv AS (SELECT c_custkey, pos, string_split({S.strip('piece')}, ':') AS kv FROM p),
 e AS (SELECT c_custkey, pos, {S.strip('kv[1]')} AS level_key, {S.strip('kv[2]')} AS level_value FROM kv WHERE len(kv) = 2)
-SELECT c_custkey, CAST(pos AS INTEGER) AS pos, level_key, level_value FROM e
-QUALIFY row_number() OVER (PARTITION BY c_custkey, level_key ORDER BY pos DESC) = 1""")
+SELECT c_custkey, CAST(min(pos) AS INTEGER) AS pos, level_key, arg_max(level_value, pos) AS level_value FROM e
+GROUP BY c_custkey, level_key""")
 def q_levels_parse(spark, d):
     c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_name"])
     n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"]), 100_000)
@@ -346,7 +346,7 @@ def supplier_dataset_meta(spark, d) -> DataFrame:
     return j.select(F.concat(F.lit("supplier-"), F.col("s_suppkey").cast("string")).alias("study"), F.inline(rows))
 
 
-@register("dataset_description", f"""
+DATASET_CTES = f"""
 WITH m AS (
   SELECT 'supplier-' || CAST(s_suppkey AS VARCHAR) AS study, s_name, n_name, s_nationkey, s_suppkey, s_acctbal
   FROM supplier JOIN nation ON s_nationkey = n_nationkey),
@@ -402,7 +402,11 @@ h AS (
               WHEN key = 'DatasetType' AND NOT coalesce(value IN ('raw', 'derivative'), false) THEN 'raw'
               ELSE value END AS value,
          CASE WHEN key IN ('BIDSVersion', 'DatasetType') THEN NULL ELSE items END AS items
-  FROM g)
+  FROM g)"""
+
+
+@register("dataset_description", f"""
+{DATASET_CTES}
 SELECT study, key, pos_part, CAST(pos_seq AS BIGINT) AS pos_seq, is_list,
        CASE WHEN is_list THEN NULL ELSE value END AS value,
        CAST(u.idx AS INTEGER) AS item_index, u.item
@@ -619,10 +623,10 @@ pairs AS (
   UNION ALL SELECT study, task, key, 1, v1, d1, n FROM keyed
   UNION ALL SELECT study, task, key, 2, v2, d2, n FROM keyed),
 lv AS (
-  SELECT study, task, key, CAST(TRY_CAST({S.strip('v')} AS BIGINT) AS VARCHAR) AS level_key, dsc AS level_value FROM pairs
-  WHERE i < n AND v IS NOT NULL AND dsc IS NOT NULL AND TRY_CAST({S.strip('v')} AS BIGINT) IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY study, task, key, CAST(TRY_CAST({S.strip('v')} AS BIGINT) AS VARCHAR)
-                             ORDER BY i DESC) = 1)"""
+  SELECT study, task, key, level_key, min(i) AS pos, arg_max(dsc, i) AS level_value FROM (
+    SELECT study, task, key, i, dsc, CAST(TRY_CAST({S.strip('v')} AS BIGINT) AS VARCHAR) AS level_key FROM pairs
+    WHERE i < n AND v IS NOT NULL AND dsc IS NOT NULL AND TRY_CAST({S.strip('v')} AS BIGINT) IS NOT NULL)
+  GROUP BY study, task, key, level_key)"""
 
 
 def _part_sidecar(spark, d):
@@ -899,3 +903,59 @@ def q_gather_participants(spark, d):
     spine, _, _ = _gather_inputs(spark, d, None)
     p = gather.last_participants(order_participant_rows(spark, d)).join(spine, "subject_id")
     return p.select("subject_id", "session_id", "column", "value")
+
+
+# ---------------------------------------------------------------- K1, K5 documents
+@register("sidecar_json", f"""
+WITH {PART_ITEMS_SQL},
+lvj AS (SELECT study, task, key, count(*) AS n,
+               string_agg(CAST(to_json(level_key) AS VARCHAR) || ':' || CAST(to_json(level_value) AS VARCHAR), ',' ORDER BY pos)
+                 AS levels_json
+        FROM lv GROUP BY study, task, key),
+ent AS (
+  SELECT k.study, k.task, k.key, k.position,
+         '{{"Description":' || CAST(to_json(coalesce(k.itemdescription, 'No description available')) AS VARCHAR)
+         || CASE WHEN coalesce(l.n, 0) > 0 THEN ',"Levels":{{' || l.levels_json || '}}' ELSE '' END
+         || CASE WHEN coalesce(l.n, 0) = 0 AND k.d0 IS NOT NULL THEN ',"Units":' || CAST(to_json({S.strip('k.d0')}) AS VARCHAR)
+                 ELSE '' END || '}}' AS j
+  FROM keyed k LEFT JOIN lvj l USING (study, task, key))
+SELECT study, task, '{{' || string_agg(CAST(to_json(key) AS VARCHAR) || ': ' || j, ', ' ORDER BY position) || '}}' AS json
+FROM ent GROUP BY study, task""")
+def q_sidecar_json(spark, d):
+    return sidecar.sidecar_documents(_part_sidecar(spark, d)).select("study", "task", "json")
+
+
+@register("dataset_json", f"""
+{DATASET_CTES}
+SELECT study, '{{' || string_agg(CAST(to_json(key) AS VARCHAR) || ': ' ||
+       CASE WHEN is_list THEN CAST(to_json(coalesce(items, []::VARCHAR[])) AS VARCHAR) ELSE CAST(to_json(value) AS VARCHAR) END,
+       ', ' ORDER BY pos_part, pos_seq) || '}}' AS json
+FROM h GROUP BY study""")
+def q_dataset_json(spark, d):
+    return dataset.dataset_json(dataset.dataset_rows(supplier_dataset_meta(spark, d))).select("study", "json")
+
+
+@register("participants_json", f"""
+WITH nat AS (SELECT string_agg(CAST(n_nationkey AS VARCHAR) || ': ' || n_name, '; ' ORDER BY n_nationkey) AS lv
+             FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)),
+seg AS (SELECT string_agg(s || ':' || lower(s), ';' ORDER BY s) AS lv FROM (SELECT DISTINCT c_mktsegment AS s FROM customer)),
+v AS (SELECT * FROM (VALUES {", ".join(f"({q}, '{n.strip().lower()}', '{t}', '{de}')" for q, n, t, de in PARTICIPANT_VARIABLES)})
+      x(seq, variable, data_type, description)),
+vl AS (SELECT v.*, CASE WHEN variable = 'nation' THEN (SELECT lv FROM nat) WHEN variable = 'segment' THEN (SELECT lv FROM seg) END AS levels
+       FROM v WHERE variable <> 'id'),
+p AS (SELECT variable, unnest(string_split(levels, ';')) AS piece, generate_subscripts(string_split(levels, ';'), 1) AS pos
+      FROM vl WHERE data_type IN ('cat_num', 'cat_string') AND levels IS NOT NULL),
+kv AS (SELECT variable, pos, string_split({S.strip('piece')}, ':') AS kv FROM p),
+e AS (SELECT variable, {S.strip('kv[1]')} AS level_key, min(pos) AS pos, arg_max({S.strip('kv[2]')}, pos) AS level_value
+      FROM kv WHERE len(kv) = 2 GROUP BY variable, {S.strip('kv[1]')}),
+lj AS (SELECT variable, string_agg(CAST(to_json(level_key) AS VARCHAR) || ':' || CAST(to_json(level_value) AS VARCHAR), ','
+                                   ORDER BY pos) AS levels_json FROM e GROUP BY variable),
+ent AS (
+  SELECT CAST(vl.seq AS BIGINT) AS o, CAST(to_json(vl.variable) AS VARCHAR) || ': {{"Description":' || CAST(to_json(vl.description) AS VARCHAR)
+         || CASE WHEN lj.levels_json IS NOT NULL THEN ',"Levels":{{' || lj.levels_json || '}}' ELSE '' END || '}}' AS t
+  FROM vl LEFT JOIN lj USING (variable)
+  UNION ALL
+  SELECT 4611686018427387904, '"participant_id": {{"Description":"Unique participant identifier","LongName":"Participant ID"}}')
+SELECT '{{' || string_agg(t, ', ' ORDER BY o) || '}}' AS json FROM ent""")
+def q_participants_json(spark, d):
+    return participants.participants_json(participants.participants_metadata(customer_variables(spark, d)))

@@ -85,6 +85,9 @@ def test_c11_levels(spark):
     assert rows[0].m == {"1": "Male", "2": "Female"}
     assert rows[1].m == {"1": "b"}
     assert rows[2].m == {}
+    # dict assignment: a duplicate key keeps its first position, last value
+    order = spark.createDataFrame([("1:a;2:b;1:c",)], "s string").select(levels.level_entries("s").alias("e")).first().e
+    assert [(e.key, e.value, e.pos) for e in order] == [("1", "c", 0), ("2", "b", 1)]
 
 
 def test_c12_list(spark):
