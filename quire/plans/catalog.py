@@ -18,6 +18,7 @@ from quire.operators import casting, dataset, gather, participants, quality, res
 from quire.plans import roles
 from quire.operators.util import broadcast_if_small, cut_lineage
 from quire.plans import sqlfrag as S
+from quire.sinks import bids
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -959,3 +960,19 @@ ent AS (
 SELECT '{{' || string_agg(t, ', ' ORDER BY o) || '}}' AS json FROM ent""")
 def q_participants_json(spark, d):
     return participants.participants_json(participants.participants_metadata(customer_variables(spark, d)))
+
+
+# ---------------------------------------------------------------- K2 record files
+@register("record_tsv", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL},
+g AS (
+  SELECT study, subject_id, session, lower(task) AS task, count(*) AS n,
+         string_agg(item, chr(9) ORDER BY item_seq) AS header,
+         string_agg(coalesce({S.clean_text('value')}, ''), chr(9) ORDER BY item_seq) AS vals
+  FROM latest GROUP BY study, subject_id, session, lower(task))
+SELECT study || '/rawdata/' || subject_id || '/ses-' || session || '/beh/' || subject_id || '_ses-' || session
+       || '_task-' || task || '_beh.tsv' AS path,
+       header || chr(10) || CASE WHEN n = 1 AND vals = '' THEN '""' ELSE vals END || chr(10) AS content
+FROM g""")
+def q_record_tsv(spark, d):
+    return bids.record_files(_latest(spark, d).withColumn("task", F.col("task_lc")), "task")
