@@ -131,3 +131,29 @@ def long_form_casts(cells: DataFrame, variables: DataFrame) -> DataFrame:
 
 
 __all__ = ["resolve_types", "apply_types", "cast_column", "cell_text", "long_form_casts"]
+
+
+def inferred_dtypes(cells: DataFrame, variables: DataFrame) -> DataFrame:
+    """V4 on long cells: the dtype a sheet reader infers for each declared
+    variable (``int64`` when every value is a non-null integral number,
+    ``float64`` when every value is a number or empty, ``object`` otherwise),
+    against the declared type: ``integer`` wants an int dtype, ``float`` a
+    float dtype.  One aggregate per variable (map-side combine); the
+    declaration side is bounded by the declaration sheet."""
+    v = numeric(F.col("value"))
+    declared = variables.select("variable", F.lower("data_type").alias("data_type"))
+    stats = cells.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("value").isNull()).alias("n_null"),
+        F.count_if(v.isNotNull()).alias("n_num"),
+        F.count_if(v.isNotNull() & (v == F.floor(v))).alias("n_int"),
+    )
+    inferred = (
+        F.when(F.col("n_num") + F.col("n_null") < F.col("n"), F.lit("object"))
+        .when((F.col("n_null") == 0) & (F.col("n_int") == F.col("n")), F.lit("int64"))
+        .otherwise(F.lit("float64"))
+    )
+    j = stats.join(declared, "variable").withColumn("inferred", inferred)
+    mismatch = ((F.col("data_type") == INTEGER) & ~F.col("inferred").contains("int")) | (
+        (F.col("data_type") == FLOAT) & ~F.col("inferred").contains("float"))
+    return j.select("variable", "data_type", "inferred", mismatch.alias("mismatch"))

@@ -25,6 +25,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 def register(name: str, sql: str | None):
     def deco(fn):
+        if not fn.__name__.startswith("q_") or name in QUERIES:
+            raise ValueError(f"bad registration of {name!r} -> {fn.__name__}")
         QUERIES[name] = (fn, sql)
         return fn
 
@@ -217,6 +219,23 @@ CUSTOMER_DECLARED = (
 )
 
 
+def customer_cells(spark, d) -> DataFrame:
+    c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name"])
+    bal = text.integral_text(F.col("c_acctbal"))
+    cells = c.select(
+        "c_custkey",
+        F.inline(F.array(
+            F.struct(F.lit("custkey").alias("variable"), F.col("c_custkey").cast("string").alias("value")),
+            F.struct(F.lit("nation").alias("variable"), F.col("c_nationkey").cast("string").alias("value")),
+            F.struct(F.lit("acctbal").alias("variable"), bal.alias("value")),
+            F.struct(F.lit("acctbal_int").alias("variable"), bal.alias("value")),
+            F.struct(F.lit("segment").alias("variable"), F.col("c_mktsegment").alias("value")),
+            F.struct(F.lit("name").alias("variable"), F.col("c_name").alias("value")),
+        )),
+    )
+    return cells
+
+
 @register("declared_casts", f"""
 WITH cells AS (
   SELECT c_custkey, 'custkey' AS variable, CAST(c_custkey AS VARCHAR) AS value FROM customer
@@ -243,21 +262,8 @@ SELECT c_custkey, variable, data_type, resolved,
        CASE WHEN resolved IN ('string', 'keep') THEN value END AS value_string
 FROM r""")
 def q_declared_casts(spark, d):
-    c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "c_name"])
-    bal = text.integral_text(F.col("c_acctbal"))
-    cells = c.select(
-        "c_custkey",
-        F.inline(F.array(
-            F.struct(F.lit("custkey").alias("variable"), F.col("c_custkey").cast("string").alias("value")),
-            F.struct(F.lit("nation").alias("variable"), F.col("c_nationkey").cast("string").alias("value")),
-            F.struct(F.lit("acctbal").alias("variable"), bal.alias("value")),
-            F.struct(F.lit("acctbal_int").alias("variable"), bal.alias("value")),
-            F.struct(F.lit("segment").alias("variable"), F.col("c_mktsegment").alias("value")),
-            F.struct(F.lit("name").alias("variable"), F.col("c_name").alias("value")),
-        )),
-    )
     variables = spark.createDataFrame(list(CUSTOMER_DECLARED), "variable string, data_type string")
-    return casting.long_form_casts(cells, variables)
+    return casting.long_form_casts(customer_cells(spark, d), variables)
 
 
 @register("missing_code", f"""
@@ -976,3 +982,28 @@ SELECT study || '/rawdata/' || subject_id || '/ses-' || session || '/beh/' || su
 FROM g""")
 def q_record_tsv(spark, d):
     return bids.record_files(_latest(spark, d).withColumn("task", F.col("task_lc")), "task")
+
+
+@register("type_mismatch", f"""
+WITH cells AS (
+  SELECT c_custkey, 'custkey' AS variable, CAST(c_custkey AS VARCHAR) AS value FROM customer
+  UNION ALL SELECT c_custkey, 'nation', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT c_custkey, 'acctbal', {S.integral_text('c_acctbal')} FROM customer
+  UNION ALL SELECT c_custkey, 'acctbal_int', {S.integral_text('c_acctbal')} FROM customer
+  UNION ALL SELECT c_custkey, 'segment', c_mktsegment FROM customer
+  UNION ALL SELECT c_custkey, 'name', c_name FROM customer),
+vars AS (SELECT * FROM (VALUES {", ".join(f"('{n}', '{t}')" for n, t in CUSTOMER_DECLARED)}) v(variable, data_type)),
+st AS (SELECT variable, count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS n_null,
+              count(*) FILTER (WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL) AS n_num,
+              count(*) FILTER (WHERE TRY_CAST(value AS DOUBLE) = floor(TRY_CAST(value AS DOUBLE))) AS n_int
+       FROM cells GROUP BY variable),
+r AS (SELECT st.variable, vars.data_type,
+             CASE WHEN n_num + n_null < n THEN 'object' WHEN n_null = 0 AND n_int = n THEN 'int64' ELSE 'float64' END AS inferred
+      FROM st JOIN vars USING (variable))
+SELECT variable, data_type, inferred,
+       (data_type = 'integer' AND NOT contains(inferred, 'int')) OR (data_type = 'float' AND NOT contains(inferred, 'float'))
+         AS mismatch
+FROM r""")
+def q_type_mismatch(spark, d):
+    variables = spark.createDataFrame(list(CUSTOMER_DECLARED), "variable string, data_type string")
+    return casting.inferred_dtypes(customer_cells(spark, d), variables)
