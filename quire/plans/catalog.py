@@ -1007,3 +1007,34 @@ FROM r""")
 def q_type_mismatch(spark, d):
     variables = spark.createDataFrame(list(CUSTOMER_DECLARED), "variable string, data_type string")
     return casting.inferred_dtypes(customer_cells(spark, d), variables)
+
+
+# ---------------------------------------------------------------- V3 report
+@register("consistency_report", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {HEADERS_SQL},
+ft AS (SELECT DISTINCT study, file_seq, task FROM tcols),
+miss AS (SELECT ft.study, ft.file_seq, ft.task, ti.item_norm AS item FROM ft JOIN ti ON ft.study = ti.study AND ft.task = ti.task
+         WHERE NOT EXISTS (SELECT 1 FROM tcols c WHERE c.study = ft.study AND c.file_seq = ft.file_seq AND c.task = ft.task
+                           AND c.item = ti.item_norm)),
+extra AS (SELECT study, file_seq, task, item FROM tcols c
+          WHERE NOT EXISTS (SELECT 1 FROM ti WHERE ti.study = c.study AND ti.task = c.task AND ti.item_norm = c.item)),
+nans AS (SELECT t.study, t.file_seq, t.task, t.item, count(*) FILTER (WHERE c.value IS NULL) AS n
+         FROM cells c JOIN tcols t ON c.study = t.study AND c.file_seq = t.file_seq AND c.item = t.item
+         GROUP BY t.study, t.file_seq, t.task, t.item HAVING count(*) FILTER (WHERE c.value IS NULL) > 0)
+SELECT study, 'V3.missing_items' AS "check", 'warning' AS severity, task || '@' || CAST(file_seq AS VARCHAR) AS object,
+       item AS detail FROM miss
+UNION ALL SELECT study, 'V3.extra_columns', 'info', task || '@' || CAST(file_seq AS VARCHAR), item FROM extra
+UNION ALL SELECT study, 'V3.nan_values', 'info', task || '@' || CAST(file_seq AS VARCHAR), item || '=' || CAST(n AS VARCHAR) FROM nans""")
+def q_consistency_report(spark, d):
+    cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
+    tcols = quality.task_columns(quality.header_table(cells), roles.event_task_items(spark, d).select("study", "task").distinct())
+    items = sidecar.task_item_names(roles.event_task_items(spark, d)).select("study", "task", "item_norm").distinct()
+    ft = tcols.select("study", "file_seq", "task").distinct()
+    where = F.concat(F.col("task"), F.lit("@"), F.col("file_seq").cast("string"))
+    parts = [
+        quality.issue_rows(quality.missing_items(tcols, items, ft), "V3.missing_items", "warning", where, "item"),
+        quality.issue_rows(quality.extra_columns(tcols, items), "V3.extra_columns", "info", where, "item"),
+        quality.issue_rows(quality.null_counts(cells, tcols), "V3.nan_values", "info", where,
+                           F.concat(F.col("item"), F.lit("="), F.col("nan_count").cast("string"))),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

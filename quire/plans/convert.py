@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from quire.functions.ids import task_from_file
 from quire.operators import dataset, gather, participants, quality, responses, sidecar, trials
 from quire.operators.ordering import group_positions
+from quire.operators.util import cut_lineage
 from quire.sinks import bids
 from quire.sources import bids_tree, tables
 
@@ -77,7 +78,10 @@ def convert_sheets(spark: SparkSession, session_glob: str, items_glob: str, out_
                    anonymize: bool = False, key_mode: str = "raw") -> DataFrame:
     """Program A.  Returns the issue rows (V2, V3 = J2 + J3 + A1, J8)."""
     sess_cells = tables.read_sheet_cells(spark, session_glob)
-    resp = tables.cells_to_responses(sess_cells)
+    # Responses and latest records feed several outputs (records, sidecars,
+    # issues): each is cut once into the shared checkpoint folder instead of
+    # re-parsing the sheet fleet per output.
+    resp = cut_lineage(tables.cells_to_responses(sess_cells))
     item_cells = tables.read_sheet_cells(spark, items_glob)
     task_items = task_items_from_cells(item_cells)
     metas = [task_meta_from_cells(tables.read_sheet_cells(spark, g), i + 1) for i, g in enumerate(meta_globs)]
@@ -87,7 +91,7 @@ def convert_sheets(spark: SparkSession, session_glob: str, items_glob: str, out_
 
     # Records: J1 -> W1 -> K2
     names = sidecar.task_item_names(task_items)
-    recs = responses.task_records(resp, names)
+    recs = cut_lineage(responses.task_records(resp, names))
     bids.write_files(bids.record_files(recs.withColumn("task", F.col("task_lc")), "task"), out_root)
 
     # Sidecars only for tasks with records (J8 decides before writing; K11).
