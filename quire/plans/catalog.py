@@ -464,10 +464,8 @@ tcols AS (SELECT DISTINCT h.study, h.file_seq, t.task, h.item FROM headers h JOI
 
 
 def _task_cols(spark, d):
-    cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
-    heads = quality.header_table(cells)
     tasks = roles.event_task_items(spark, d).select("study", "task").distinct()
-    return quality.task_columns(heads, tasks)
+    return quality.task_columns(roles.event_headers(spark, d), tasks)
 
 
 @register("task_columns", f"""
@@ -1027,7 +1025,7 @@ UNION ALL SELECT study, 'V3.extra_columns', 'info', task || '@' || CAST(file_seq
 UNION ALL SELECT study, 'V3.nan_values', 'info', task || '@' || CAST(file_seq AS VARCHAR), item || '=' || CAST(n AS VARCHAR) FROM nans""")
 def q_consistency_report(spark, d):
     cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
-    tcols = quality.task_columns(quality.header_table(cells), roles.event_task_items(spark, d).select("study", "task").distinct())
+    tcols = _task_cols(spark, d)
     items = sidecar.task_item_names(roles.event_task_items(spark, d)).select("study", "task", "item_norm").distinct()
     ft = tcols.select("study", "file_seq", "task").distinct()
     where = F.concat(F.col("task"), F.lit("@"), F.col("file_seq").cast("string"))

@@ -26,7 +26,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.ids import session_id, subject_id
+from quire.functions.ids import item_name, session_id, subject_id
 from quire.functions.text import integral_text
 from quire.operators.util import spread
 
@@ -75,6 +75,17 @@ def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select(*keys[:-1], seq[F.col("sfx")].alias("item_seq"), F.concat("t", "sfx").alias("item"), "value")
 
 
+def event_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header table ``(study, file_seq, item)`` of the daily session sheets:
+    the distinct (day, event type) pairs first (map-side combine), then the
+    three column names of each; C4 applied to the names."""
+    e = table(spark, sf_dir, "events", ["ts", "event_type"])
+    days = e.select(F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"), F.upper("event_type").alias("t")).distinct()
+    names = days.select(F.lit(STUDY).alias("study"), "file_seq",
+                        F.explode(F.array(*[F.concat("t", F.lit(x)) for x in ("01", "02", "_TS")])).alias("item"))
+    return names.select("study", "file_seq", item_name(F.col("item")).alias("item"))
+
+
 def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task item definitions from ``part``: task ``p_type``; item name
     ``lower(p_type)-<p_size>``; description ``p_name``; likert count from the
