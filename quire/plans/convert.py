@@ -77,11 +77,12 @@ def convert_sheets(spark: SparkSession, session_glob: str, items_glob: str, out_
                    dataset_meta: DataFrame | None = None, meta_globs: tuple[str, ...] = (),
                    anonymize: bool = False, key_mode: str = "raw") -> DataFrame:
     """Program A.  Returns the issue rows (V2, V3 = J2 + J3 + A1, J8)."""
-    sess_cells = tables.read_sheet_cells(spark, session_glob)
+    sess_lines = tables.read_lines(spark, session_glob)
     # Responses and latest records feed several outputs (records, sidecars,
     # issues): each is cut once into the shared checkpoint folder instead of
     # re-parsing the sheet fleet per output.
-    resp = cut_lineage(tables.cells_to_responses(sess_cells))
+    resp = cut_lineage(tables.lines_to_responses(sess_lines))
+    sess_cells = tables.cells_from_lines(sess_lines)
     item_cells = tables.read_sheet_cells(spark, items_glob)
     task_items = task_items_from_cells(item_cells)
     metas = [task_meta_from_cells(tables.read_sheet_cells(spark, g), i + 1) for i, g in enumerate(meta_globs)]

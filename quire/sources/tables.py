@@ -103,6 +103,60 @@ def cells_from_lines(lines: DataFrame, sep: str = ",", lowercase_names: bool = F
     ).filter(F.col("column").isNotNull() & (F.col("column") != ""))
 
 
+def lines_to_responses(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """S3 + P2 + P3 + P5 + D10 straight from sheet lines, without a data
+    shuffle: each line is parsed whole, so its ``id``/``ses`` values are read
+    from the field array at positions taken from the file's header, before
+    the cells are exploded.  Header work (C4 on names, the rightmost-wins
+    mask for colliding names, key positions) happens on the per-file header
+    table, one row per file.  Files without ``id`` or ``ses`` give no rows
+    (``sheet_key_issues`` reports them)."""
+    from quire.functions.ids import item_name
+
+    spark = lines.sparkSession
+    first = lines.groupBy("file_path").agg(F.min("row_key").alias("hdr_key"))  # partial agg: one row per file per task
+    tagged = lines.join(first, "file_path")
+    headers = tagged.filter(F.col("row_key") == F.col("hdr_key"))
+    width_row = headers.select(F.max(F.size(F.split("line", sep, -1))).alias("w")).first()
+    width = int(width_row["w"] or 0) if width_row else 0
+    if width == 0:
+        return spark.createDataFrame([], "study string, file_seq int, file_name string, row_seq struct<blk:bigint,mono:bigint>, "
+                                         "subject_raw string, session_raw string, item_seq int, item string, item_raw string, "
+                                         "value string")
+    raw_names = F.transform(split_fields(F.col("line"), width, sep), lambda x: F.btrim(x))
+    hdr = headers.select("file_path", raw_names.alias("raw"))
+    lower = F.transform("raw", lambda x: F.lower(x))
+    norm = F.transform("raw", lambda x: item_name(x))
+    hdr = hdr.select(
+        "file_path", "raw", norm.alias("norm"),
+        F.array_position(lower, "id").cast("int").alias("id_pos"),
+        F.array_position(lower, "ses").cast("int").alias("ses_pos"),
+    )
+    # A name is kept only if no later column normalises to the same name
+    # (null-safe: a shorter file's header is padded with nulls up to ``width``)
+    keep = F.transform("norm", lambda x, i: ~F.exists(F.slice("norm", i + 2, width), lambda z: z.eqNullSafe(x)))
+    hdr = hdr.withColumn("keep", keep).filter((F.col("id_pos") > 0) & (F.col("ses_pos") > 0))
+    files = lines.select("study", "file_path", "file_name").distinct()
+    files = files.withColumn("file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
+    hdr = hdr.join(files, "file_path")
+    data = tagged.filter(F.col("row_key") > F.col("hdr_key")).drop("hdr_key", "study", "file_name").join(hdr, "file_path")
+    fields = split_fields(F.col("line"), width, sep)
+    rows = data.select(
+        "study", "file_seq", "file_name", F.col("row_key").alias("row_seq"), "raw", "norm", "keep", "id_pos", "ses_pos",
+        F.element_at(fields, F.col("id_pos")).alias("subject_raw"),
+        F.element_at(fields, F.col("ses_pos")).alias("session_raw"),
+        F.posexplode(fields).alias("item_seq", "value"),
+    )
+    one = F.col("item_seq") + 1
+    rows = rows.filter((one != F.col("id_pos")) & (one != F.col("ses_pos")) & F.coalesce(F.element_at("keep", one), F.lit(False)))
+    rows = rows.filter(F.coalesce(F.element_at("raw", one), F.lit("")) != "")
+    return rows.select(
+        "study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw",
+        F.col("item_seq").cast("int").alias("item_seq"), F.element_at("norm", one).alias("item"),
+        F.element_at("raw", one).alias("item_raw"), "value",
+    )
+
+
 def cells_to_responses(cells: DataFrame) -> DataFrame:
     """S3 + P3 + P2 + U1: sheet cells -> canonical responses.
 

@@ -36,8 +36,7 @@ def _bucket(c) -> F.Column:
 
 
 def batch_latest(lines: DataFrame, task_items: DataFrame, sep: str = ",") -> DataFrame:
-    cells = tables.cells_from_lines(lines, sep)
-    resp = tables.cells_to_responses(cells)
+    resp = tables.lines_to_responses(lines, sep)
     names = sidecar.task_item_names(task_items)
     matched = responses.match_task_items(responses.with_keys(resp), names).withColumn("task_lc", F.lower("task"))
     latest = responses.latest_records(matched, KEYS, order=ORDER)
