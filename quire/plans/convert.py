@@ -53,8 +53,8 @@ def task_items_from_cells(cells: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), n - 1),
         lambda i: F.struct(
             i.alias("i"),
-            F.element_at(F.filter("lv", lambda x: x["i"] == i), 1)["v"].alias("value"),
-            F.element_at(F.filter("ld", lambda x: x["i"] == i), 1)["d"].alias("description"),
+            F.try_element_at(F.filter("lv", lambda x: x["i"] == i), F.lit(1))["v"].alias("value"),
+            F.try_element_at(F.filter("ld", lambda x: x["i"] == i), F.lit(1))["d"].alias("description"),
         ),
     )
     items = per_row.select("study", "task", "file_seq", "row_key", "itemname", "itemdescription", "likert_scale",

@@ -37,7 +37,7 @@ def record_cells(spark: SparkSession, root: str) -> DataFrame:
         path_session(F.col("file_path")).alias("session_id"),
         path_task(F.col("file_path")).alias("task"),
         "file_path", "row_index", "col_seq",
-        F.element_at("names", F.col("col_seq") + 1).alias("column"),
+        F.try_element_at("names", F.col("col_seq") + 1).alias("column"),
         na_token_to_null(unq).alias("value"),
     )
 
