@@ -61,7 +61,7 @@ def cast_column(c: Column, resolved: str) -> Column:
     """C9 + C10 for one column: cast by the resolved type; the missing code
     -999 becomes null on numeric columns only (text ``-999`` stays)."""
     if resolved == "long":
-        v = numeric(c).cast("long")
+        v = numeric(c).try_cast("long")
         return F.when(v != MISSING_CODE, v)
     if resolved == "double":
         v = numeric(c)
@@ -118,7 +118,7 @@ def long_form_casts(cells: DataFrame, variables: DataFrame) -> DataFrame:
         .otherwise(F.lit("keep"))
     )
     j = j.withColumn("resolved", resolved)
-    as_long = numeric(F.col("value")).cast("long")
+    as_long = numeric(F.col("value")).try_cast("long")
     as_double = numeric(F.col("value"))
     return j.select(
         *[c for c in cells.columns if c != "value"],

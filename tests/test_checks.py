@@ -56,3 +56,13 @@ def test_program_b_documents(spark):
     assert pj["age"] == {"Description": "Participant age", "DataType": "string"}
     dd = json.loads(trials.dataset_description_b(spark.createDataFrame([("studyA",)], "study string")).first()["json"])
     assert dd["Name"] == "studyA" and dd["DatasetType"] == "raw"
+
+
+def test_casts_do_not_overflow(spark):
+    # beyond the long range the column is left as it was (the source's
+    # integer cast overflows and keeps the column); nothing raises
+    df = spark.createDataFrame([("1e30",), ("2",)], "i string")
+    resolved = casting.resolve_types(df, {"i": "integer"})
+    assert resolved == {"i": "keep"}
+    assert [r.i for r in casting.apply_types(df, resolved).collect()] == ["1e30", "2"]
+    assert [r.i for r in casting.apply_types(df, {"i": "long"}).collect()] == [None, 2]
