@@ -12,7 +12,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (an upper bound for scans, filters,
     projections and aggregates; what Spark itself uses for broadcasts)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
     except Exception:  # noqa: BLE001
         return None
 

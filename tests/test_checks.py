@@ -66,3 +66,12 @@ def test_casts_do_not_overflow(spark):
     assert resolved == {"i": "keep"}
     assert [r.i for r in casting.apply_types(df, resolved).collect()] == ["1e30", "2"]
     assert [r.i for r in casting.apply_types(df, {"i": "long"}).collect()] == [None, 2]
+
+
+def test_size_estimate_and_broadcast(spark):
+    from quire.operators.util import broadcast_if_small, estimated_bytes, spread
+
+    small = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert isinstance(estimated_bytes(small), int)
+    assert "ResolvedHint" in broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString()
+    assert spread(small) is small
