@@ -40,7 +40,7 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+def spread(df: DataFrame, min_bytes: int = 64 << 10) -> DataFrame:
     """Spread rows over the cluster when a scan yields fewer partitions than
     the default parallelism (one small file, an unsplittable file).  Large
     inputs already arrive in many splits and are returned unchanged, so no
