@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.ids import item_name, session_id, subject_id
+from quire.functions.text import as_text
 from quire.operators.util import broadcast_if_small
 
 KEY_COLUMNS = ("id", "ses")
@@ -80,7 +81,9 @@ def sheet_to_long(
         F.col(f"`{ses_col}`").cast("string").alias("session_raw"),
     ]
     slots = [f"_c{i}" for i, _ in kept]
-    wide = sheet.select(*keys, *[F.col(f"`{c}`").cast("string").alias(f"_c{i}") for i, c in kept])
+    types = dict((f.name, f.dataType) for f in sheet.schema.fields)
+    # typed landing columns are rendered as the sheet shows them (C8: 3.0 -> 3)
+    wide = sheet.select(*keys, *[as_text(F.col(f"`{c}`"), types[c]).alias(f"_c{i}") for i, c in kept])
     key_names = ["study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw"]
     if not slots:
         return wide.select(*key_names, F.lit(None).cast("int").alias("item_seq"), F.lit(None).cast("string").alias("item"),

@@ -31,3 +31,19 @@ def test_lines_to_responses(spark):
     cells = tables.cells_to_responses(tables.cells_from_lines(lines))
     assert sorted((r.file_name, r.item, r.value) for r in cells.collect()) == [
         ("a.csv", "ADS01", "y"), ("a.csv", "note", "p, q"), ("b.csv", "mood", "ok")]
+
+
+def test_sheet_to_long_and_normalize_items(spark):
+    from quire.operators import responses
+
+    sheet = spark.createDataFrame([("s", 1, "f.csv", 0, "1", "1", "a", "b", 3.0)],
+                                  "study string, file_seq int, file_name string, row_seq long, ID string, Ses string, "
+                                  "`ads-01` string, `ADS01` string, `mood` double")
+    long = responses.sheet_to_long(sheet)
+    got = sorted((r.item_seq, r.item, r.item_raw, r.value) for r in long.collect())
+    assert got == [(1, "ADS01", "ADS01", "b"), (2, "mood", "mood", "3")]
+    assert {(r.subject_raw, r.session_raw) for r in long.collect()} == {("1", "1")}
+    raw = spark.createDataFrame([("s", 1, 0, 0, "ads-01", "a"), ("s", 1, 0, 1, "ADS01", "b"), ("s", 1, 0, 2, "x 2", "c")],
+                                "study string, file_seq int, row_seq long, item_seq int, item string, value string")
+    norm = sorted((r.item, r.value) for r in responses.normalize_items(raw).collect())
+    assert norm == [("ADS01", "b"), ("X2", "c")]
