@@ -66,28 +66,80 @@ def task_meta_from_cells(cells: DataFrame, sheet_seq: int) -> DataFrame:
     """Metadata sheets (``key name``, ``description``; names lower-cased)."""
     c = cells.withColumn("task", task_from_file(F.col("file_name")))
     lc = F.lower(F.col("column"))
-    return c.groupBy("study", "task", "row_key").agg(
+    rows = c.groupBy("study", "task", "file_seq", "row_key").agg(
         F.max(F.when(lc == "key name", F.col("value"))).alias("key"),
         F.max(F.when(lc == "description", F.col("value"))).alias("value"),
-    ).select("study", "task", F.lit(sheet_seq).alias("sheet_seq"), F.col("row_key").alias("row_seq"), "key", "value")
+    )
+    rows = group_positions(rows, ["study", "task", "file_seq"], ["row_key"], out="row_seq")
+    return rows.select("study", "task", F.lit(sheet_seq).alias("sheet_seq"), "row_seq", "key", "value")
 
 
 def convert_sheets(spark: SparkSession, session_glob: str, items_glob: str, out_root: str,
                    study: str, demographics: DataFrame | None = None, variables: DataFrame | None = None,
                    dataset_meta: DataFrame | None = None, meta_globs: tuple[str, ...] = (),
                    anonymize: bool = False, key_mode: str = "raw") -> DataFrame:
-    """Program A.  Returns the issue rows (V2, V3 = J2 + J3 + A1, J8)."""
+    """Program A over delimited sheets.  Returns the issue rows (V2, V3 = J2 +
+    J3 + A1, J8)."""
     sess_lines = tables.read_lines(spark, session_glob)
+    resp = tables.lines_to_responses(sess_lines)
+    sess_cells = tables.cells_from_lines(sess_lines)
+    item_cells = tables.read_sheet_cells(spark, items_glob)
+    meta_cells = [tables.read_sheet_cells(spark, g, lowercase_names=True) for g in meta_globs]
+    return convert_core(spark, resp, sess_cells, item_cells, meta_cells, out_root, study, demographics, variables,
+                        dataset_meta, anonymize, key_mode)
+
+
+def convert_workbooks(spark: SparkSession, data_dir: str, resources_dir: str, out_root: str, study: str,
+                      anonymize: bool = False, key_mode: str = "raw") -> DataFrame:
+    """Program A on the source's own layout: ``data_dir`` holds the session
+    workbooks plus ``demographics.xlsx`` and ``participants_dataset.xlsx``
+    (variables on sheet 1, dataset description on sheet 2);
+    ``resources_dir`` holds one task workbook per task (items, task
+    description, non-likert sheets).  All workbooks of a folder are parsed in
+    one job (S1); the study name is given, as for the source's command line."""
+    from quire.sources import workbook
+
+    data = workbook.workbook_cells(spark, data_dir).withColumn("study", F.lit(study))
+    reserved = F.col("file_name").isin(*tables.RESERVED_FILES)
+    sess_cells = workbook.sheet_cells(data.filter(~reserved), sheet_idx=0)
+    resp = tables.cells_to_responses(sess_cells)
+    defs = workbook.workbook_cells(spark, resources_dir).withColumn("study", F.lit(study))
+    item_cells = workbook.sheet_cells(defs, sheet_idx=0)
+    meta_cells = [workbook.sheet_cells(defs, sheet_idx=i, lowercase_names=True) for i in (1, 2)]
+
+    demo_cells = workbook.sheet_cells(data.filter(F.col("file_name") == "demographics.xlsx"), sheet_idx=0,
+                                      lowercase_names=True)
+    var_cells = workbook.sheet_cells(data.filter(F.col("file_name") == "participants_dataset.xlsx"), sheet_idx=0)
+    demographics = variables = None
+    if not demo_cells.isEmpty() and not var_cells.isEmpty():
+        demo_cols = [r[0] for r in demo_cells.select("column").distinct().collect()]  # header names only
+        demographics = tables.pivot_sheet(demo_cells, demo_cols).drop("study", "file_name", "file_seq", "row_key")
+        var_cols = ["VariableName", "DataType", "Description", "Levels"]
+        variables = participants.normalize_variables(
+            tables.pivot_sheet(var_cells, var_cols).select(F.col("row_key.mono").alias("seq"), *var_cols))
+    desc = data.filter((F.col("file_name") == "participants_dataset.xlsx") & (F.col("sheet_idx") == 1)
+                       & (F.col("row") > 0) & (F.col("col") < 2))
+    dataset_meta = desc.groupBy("study", "row").agg(
+        F.max(F.when(F.col("col") == 0, F.col("value"))).alias("key"),
+        F.max(F.when(F.col("col") == 1, F.col("value"))).alias("value"),
+    ).select("study", F.col("row").cast("long").alias("seq"), "key", "value")
+    return convert_core(spark, resp, sess_cells, item_cells, meta_cells, out_root, study, demographics, variables,
+                        dataset_meta, anonymize, key_mode)
+
+
+def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, item_cells: DataFrame,
+                 meta_cells: list[DataFrame], out_root: str, study: str, demographics: DataFrame | None,
+                 variables: DataFrame | None, dataset_meta: DataFrame | None, anonymize: bool,
+                 key_mode: str) -> DataFrame:
+    """Shared program A steps over canonical responses and definition cells."""
     # Responses and latest records feed several outputs (records, sidecars,
     # issues): each is cut once into the shared checkpoint folder instead of
     # re-parsing the sheet fleet per output.
-    resp = cut_lineage(tables.lines_to_responses(sess_lines))
-    sess_cells = tables.cells_from_lines(sess_lines)
-    item_cells = tables.read_sheet_cells(spark, items_glob)
+    resp = cut_lineage(resp)
     task_items = task_items_from_cells(item_cells)
-    metas = [task_meta_from_cells(tables.read_sheet_cells(spark, g), i + 1) for i, g in enumerate(meta_globs)]
     task_meta = None
-    for m in metas:
+    for i, cells in enumerate(meta_cells):
+        m = task_meta_from_cells(cells, i + 1)
         task_meta = m if task_meta is None else task_meta.unionByName(m)
 
     # Records: J1 -> W1 -> K2

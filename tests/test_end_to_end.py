@@ -31,6 +31,8 @@ def study_tree(spark):
            "example_item,Example,0,,,,\n"
            "testquest05,Only defined,x,,kg,,\n")
     _write(f"{root}/res/studyA/emptytask.csv", "itemname,itemdescription\nemptytask01,Never answered\n")
+    _write(f"{root}/meta1/studyA/testquest.csv", "Key Name,Description\nTaskName,Test questionnaire\ntestquest02,Replaced\n")
+    _write(f"{root}/meta2/studyA/testquest.csv", "key name,description\nTaskName,Later wins\n")
     _write(f"{root}/meta/demographics.csv",
            "id,ses,age,sex,size,weight,group\nsub-001,1,34,2,190,100,2\nsub-002,1,20,2,184,80,3\n")
     _write(f"{root}/meta/variables.csv",
@@ -42,7 +44,8 @@ def study_tree(spark):
     meta = spark.createDataFrame([("studyA", 0, "Name", "Mini study"), ("studyA", 1, "Licence", "CC0"),
                                   ("studyA", 2, "Authors", "A. One; B. Two")], "study string, seq long, key string, value string")
     issues = convert.convert_sheets(spark, f"{root}/data/*/*.csv", f"{root}/res/*/*.csv", out, "studyA",
-                                    demographics=demo, variables=var, dataset_meta=meta)
+                                    demographics=demo, variables=var, dataset_meta=meta,
+                                    meta_globs=(f"{root}/meta1/*/*.csv", f"{root}/meta2/*/*.csv"))
     return out, issues.collect()
 
 
@@ -65,6 +68,8 @@ def test_sidecar_and_unused(study_tree):
     base = f"{out}/studyA/rawdata"
     side = json.loads(_read(f"{base}/task-testquest_beh.json"))
     assert list(side)[:3] == ["testquest01", "testquest02", "testquest03"]
+    assert side["testquest02"] == "Replaced"          # metadata replaces an item, keeps its position
+    assert side["TaskName"] == "Later wins" and list(side)[-1] == "TaskName"
     assert side["testquest01"] == {"Description": "I feel confident", "Levels": {"0": "Rarely", "1": "Sometimes"}}
     assert side["exampleitem"]["Description"] == "Example"
     assert side["testquest05"] == {"Description": "Only defined", "Units": "kg"}
