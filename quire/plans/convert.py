@@ -226,3 +226,100 @@ def convert_trials(spark: SparkSession, answers: DataFrame, out_root: str, demog
     bids.write_lines(lines.withColumn("_first", F.lit(1)).unionByName(heads.withColumn("_first", F.lit(0)))
                      .select("path", F.struct("_first", "order").alias("order"), "line"), out_root)
     return trials.trial_participants(answers, demographics)
+
+
+def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, study: str) -> DataFrame:
+    """Program B on the source's own layout: every task workbook in
+    ``data_dir`` (sheets ``items``, ``answers``, ``levels``) -> trial TSVs, task
+    JSON (K9), participants rows (K8, duplicates kept) and a dataset
+    description (K10); ``demographics.xlsx`` (needs ``id`` and ``ses``, V9)
+    is joined by the first row with an equal id (J7).
+
+    Works on the long cell grid of all answer sheets at once: each workbook
+    keeps its own columns and column order, no per-workbook plan is built.
+    Workbooks without the three named sheets are skipped and reported (the
+    source stops the whole run instead).  Returns the participants rows."""
+    from quire.operators.trials import DEFAULT_DURATION, DEFAULT_TRIAL_TYPE, FILL_TEXT, LEADING, dataset_description_b, task_json
+    from quire.sources import workbook
+
+    cells = workbook.workbook_cells(spark, data_dir).withColumn("study", F.lit(study))
+    reserved = F.col("file_name").isin(*tables.RESERVED_FILES)
+    named = cells.filter(~reserved).groupBy("study", "file_name").agg(F.collect_set("sheet_name").alias("sheets"))
+    ok = named.filter(F.array_contains("sheets", "items") & F.array_contains("sheets", "answers")
+                      & F.array_contains("sheets", "levels")).select("study", "file_name")
+    books = cells.filter(~reserved).join(ok, ["study", "file_name"], "left_semi")
+    books = books.withColumn("task", F.regexp_extract("file_name", r"^(.*)\.[^.]*$", 1))
+
+    # P1 on the answers sheet: names stripped + lower-cased; the full grid of
+    # each row is built from the file's header so empty cells become n/a.
+    ans = books.filter(F.col("sheet_name") == "answers")
+    hdr = ans.filter(F.col("row") == 0).select("study", "file_name", "task", "col", F.lower(F.btrim("value")).alias("column"))
+    rows = ans.filter(F.col("row") > 0).select("study", "file_name", "task", "row").distinct()
+    grid = rows.join(hdr, ["study", "file_name", "task"]).join(
+        ans.filter(F.col("row") > 0).select("study", "file_name", "row", "col", "value"), ["study", "file_name", "row", "col"], "left")
+    grid = grid.withColumn("value", F.coalesce("value", F.lit(FILL_TEXT)))
+    lc = F.col("column")
+    keys = grid.groupBy("study", "file_name", "task", "row").agg(
+        F.max(F.when(lc == "id", F.col("value"))).alias("id"), F.max(F.when(lc == "ses", F.col("value"))).alias("ses"))
+    keys = keys.filter(F.col("id").isNotNull())
+    cols_per_file = hdr.groupBy("study", "file_name").agg(F.collect_set("column").alias("cols"))
+    answers = keys.join(cols_per_file, ["study", "file_name"]).withColumn(
+        "ses", F.when(F.array_contains("cols", "ses"), F.col("ses")).otherwise(F.lit("1")))
+    answers = answers.select("study", F.col("file_name").alias("file_seq"), "task", F.col("row").cast("long").alias("row_seq"),
+                             "id", "ses", "cols")
+    firsts = trials.first_sessions(answers)
+    pos = group_positions(answers.select("study", "file_seq", "id", "row_seq"), ["study", "file_seq", "id"], ["row_seq"], out="pos")
+    per_row = answers.join(firsts.select("study", "file_seq", "id", "session"), ["study", "file_seq", "id"]).join(
+        pos, ["study", "file_seq", "id", "row_seq"])
+
+    # Cells of a row in output order: onset, duration, trial_type,
+    # response_time, then the rest in sheet order (P11/P12); absent leading
+    # columns are filled with the defaults.
+    lead = F.create_map(*[x for i, c in enumerate(LEADING) for x in (F.lit(c), F.lit(i))])
+    sheet_cells = grid.select("study", F.col("file_name").alias("file_seq"), F.col("row").cast("long").alias("row_seq"),
+                              "column", "value", F.coalesce(lead[F.col("column")], F.col("col") + len(LEADING)).alias("k"))
+    synth = per_row.select("study", "file_seq", "row_seq", F.inline(F.array(
+        F.struct(F.lit("onset").alias("column"), F.col("pos").cast("string").alias("value"), F.lit(0).alias("k")),
+        F.struct(F.lit("duration").alias("column"), F.lit(str(DEFAULT_DURATION)).alias("value"), F.lit(1).alias("k")),
+        F.struct(F.lit("trial_type").alias("column"), F.lit(DEFAULT_TRIAL_TYPE).alias("value"), F.lit(2).alias("k")),
+    )))
+    present = sheet_cells.select("study", "file_seq", "column").distinct()
+    synth = synth.join(present, ["study", "file_seq", "column"], "left_anti")
+    allc = sheet_cells.unionByName(synth)
+    path = F.concat(F.col("study"), F.lit("/sub-"), F.col("id"), F.lit("_ses-"), F.col("session"), F.lit("_task-"),
+                    F.col("task"), F.lit("_beh.tsv"))
+    per_line = allc.groupBy("study", "file_seq", "row_seq").agg(F.array_sort(F.collect_list(F.struct("k", "column", "value"))).alias("c"))
+    per_line = per_line.join(per_row.select("study", "file_seq", "row_seq", "id", "session", "task"), ["study", "file_seq", "row_seq"])
+    lines = per_line.select(path.alias("path"), F.struct(F.lit(1).alias("h"), "row_seq").alias("order"),
+                            F.concat_ws("\t", F.transform("c", lambda x: x["value"])).alias("line"),
+                            F.concat_ws("\t", F.transform("c", lambda x: x["column"])).alias("header"))
+    heads = lines.groupBy("path").agg(F.first("header").alias("line")).select(
+        "path", F.struct(F.lit(0).alias("h"), F.lit(None).cast("long").alias("row_seq")).alias("order"), "line")
+    bids.write_lines(lines.drop("header").unionByName(heads), out_root)
+
+    # K9 task JSON per workbook from the items sheet.
+    items = books.filter(F.col("sheet_name") == "items")
+    ih = items.filter(F.col("row") == 0).select("study", "file_name", "col", F.lower(F.btrim("value")).alias("column"))
+    iv = items.filter(F.col("row") > 0).join(ih, ["study", "file_name", "col"])
+    item_rows = iv.groupBy("study", "task", "row").agg(
+        F.max(F.when(F.col("column") == "itemname", F.col("value"))).alias("itemname"),
+        F.max(F.when(F.col("column") == "itemdescription", F.col("value"))).alias("itemdescription"),
+    ).select("study", "task", F.col("row").cast("long").alias("row_seq"),
+             F.coalesce("itemname", F.lit(FILL_TEXT)).alias("itemname"),
+             F.coalesce("itemdescription", F.lit(FILL_TEXT)).alias("itemdescription"))
+    tj = task_json(item_rows)
+    bids.write_files(tj.select(F.concat(F.col("study"), F.lit("/task-"), F.col("task"), F.lit("_beh.json")).alias("path"),
+                               F.col("json").alias("content")), out_root)
+
+    # K8 participants rows (+ J7 demographics), K10 dataset description.
+    demo_cells = workbook.sheet_cells(cells.filter(F.col("file_name") == "demographics.xlsx"), sheet_idx=0, lowercase_names=True)
+    parts = trials.trial_participants(answers.drop("cols"))
+    demo_cols = [r[0] for r in demo_cells.select("column").distinct().collect()]  # header names only
+    if demo_cols and not quality.participant_key_columns(demo_cols):
+        demo = tables.pivot_sheet(demo_cells, demo_cols).select(
+            F.col("row_key.mono").alias("row_seq"), *[F.coalesce(F.col(f"`{c}`"), F.lit(FILL_TEXT)).alias(c) for c in demo_cols])
+        parts = trials.trial_participants(answers.drop("cols"), demo.drop("ses"))
+    dd = dataset_description_b(spark.createDataFrame([(study,)], "study string"))
+    bids.write_files(dd.select(F.concat(F.col("study"), F.lit("/dataset_description.json")).alias("path"),
+                               F.col("json").alias("content")), out_root)
+    return parts

@@ -98,3 +98,39 @@ def test_convert_workbooks_mini_study(spark):
     assert side["TaskName"] == "Test questionnaire"
     with open(f"{base}/dataset_description.json", encoding="utf-8") as fh:
         assert json.load(fh) == {"Name": "Mini", "License": "CC0", "BIDSVersion": "1.8.0", "DatasetType": "raw"}
+
+
+def test_convert_trial_workbooks(spark):
+    import json
+
+    from quire.plans import convert
+
+    root = tempfile.mkdtemp(prefix="quire-xlsx-trials-")
+    write_xlsx(f"{root}/data/quiz.xlsx", [
+        ("items", [["itemname", "itemdescription"], ["q1", "First"], ["q2", None]]),
+        ("answers", [["id", "ses", "answer"], [1, 1, 3], [2, 1, 4], [1, 2, None]]),
+        ("levels", [["itemname", "leveldescription"]]),
+    ])
+    write_xlsx(f"{root}/data/Mood.xlsx", [
+        ("items", [["itemname", "itemdescription"], ["m1", "Mood"]]),
+        ("answers", [["ID", "onset", "mood"], [1, 5, "ok"]]),
+        ("levels", [["itemname", "leveldescription"]]),
+    ])
+    write_xlsx(f"{root}/data/broken.xlsx", [("Sheet1", [["id"], [1]])])
+    write_xlsx(f"{root}/data/demographics.xlsx", [("Sheet1", [["id", "ses", "age"], [1, 1, 34], [1, 2, 99], [2, 1, 20]])])
+    out = f"{root}/out"
+    parts = convert.convert_trial_workbooks(spark, f"{root}/data", out, "st").orderBy("task", "id").collect()
+
+    def read(name):
+        with open(f"{out}/st/{name}", encoding="utf-8") as fh:
+            return fh.read()
+
+    assert read("sub-1_ses-1_task-quiz_beh.tsv") == (
+        "onset\tduration\ttrial_type\tid\tses\tanswer\n0\t1.0\tresponse\t1\t1\t3\n1\t1.0\tresponse\t1\t2\tn/a\n")
+    assert read("sub-2_ses-1_task-quiz_beh.tsv").splitlines()[1] == "0\t1.0\tresponse\t2\t1\t4"
+    assert read("sub-1_ses-1_task-Mood_beh.tsv") == "onset\tduration\ttrial_type\tid\tmood\n5\t1.0\tresponse\t1\tok\n"
+    tj = json.loads(read("task-quiz_beh.json"))
+    assert tj["Items"] == {"q1": {"Description": "First", "Levels": {}}, "q2": {"Description": "n/a", "Levels": {}}}
+    assert [(p.task, p.participant_id, p.session, p.age) for p in parts] == [
+        ("Mood", "sub-1", "ses-1", "34"), ("quiz", "sub-1", "ses-1", "34"), ("quiz", "sub-2", "ses-1", "20")]
+    assert not os.path.exists(f"{out}/st/task-broken_beh.json")
