@@ -206,9 +206,10 @@ def write_gather_csv(wide: DataFrame, root: str, tasks: list[str]) -> str:
     name = f"phenotype_task-{'_'.join(tasks)}_beh.csv"
     rel = os.path.join("derivatives", name)
     cols = wide.columns
-    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
+    line = F.concat_ws(",", *[F.coalesce(bids.csv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in cols])
     lines = wide.select(F.lit(rel).alias("path"), F.struct("subject_id", "session_id").alias("order"), line.alias("line"))
-    bids.write_lines(lines, root, {rel: ",".join(cols)})
+    header = ",".join(c if not any(x in c for x in ',"\r\n') else '"' + c.replace('"', '""') + '"' for c in cols)
+    bids.write_lines(lines, root, {rel: header})
     return os.path.join(root, rel)
 
 

@@ -160,6 +160,14 @@ def tsv_field(c) -> F.Column:
     return F.when(col.contains('"'), F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(col)
 
 
+def csv_field(c) -> F.Column:
+    """Minimal CSV quoting: fields with a comma, quote or line break are
+    quoted, quotes doubled (what a standard CSV writer does)."""
+    col = F.col(c) if isinstance(c, str) else c
+    needs = col.rlike('[,"\r\n]')
+    return F.when(needs, F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(col)
+
+
 def record_files(records: DataFrame, task_col: str = "task") -> DataFrame:
     """K2 contents: one file per (study, subject, session, task) with a header
     of the record's columns in sheet order and one line of values.

@@ -75,3 +75,11 @@ def test_size_estimate_and_broadcast(spark):
     assert isinstance(estimated_bytes(small), int)
     assert "ResolvedHint" in broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString()
     assert spread(small) is small
+
+
+def test_csv_and_tsv_quoting(spark):
+    from quire.sinks import bids
+
+    df = spark.createDataFrame([("a, b",), ('say "hi"',), ("plain",), ("x\ny",)], "v string")
+    assert [r[0] for r in df.select(bids.csv_field("v")).collect()] == ['"a, b"', '"say ""hi"""', "plain", '"x\ny"']
+    assert [r[0] for r in df.select(bids.tsv_field("v")).collect()] == ["a, b", '"say ""hi"""', "plain", "x\ny"]
