@@ -240,7 +240,9 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
     keeps its own columns and column order, no per-workbook plan is built.
     Workbooks without the three named sheets are skipped and reported (the
     source stops the whole run instead).  Returns the participants rows."""
-    from quire.operators.trials import DEFAULT_DURATION, DEFAULT_TRIAL_TYPE, FILL_TEXT, LEADING, dataset_description_b, task_json
+    from quire.operators.trials import (
+        DEFAULT_DURATION, DEFAULT_TRIAL_TYPE, FILL_TEXT, LEADING, dataset_description_b, participants_json_b, task_json,
+    )
     from quire.sources import workbook
 
     cells = workbook.workbook_cells(spark, data_dir).withColumn("study", F.lit(study))
@@ -323,4 +325,14 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
     dd = dataset_description_b(spark.createDataFrame([(study,)], "study string"))
     bids.write_files(dd.select(F.concat(F.col("study"), F.lit("/dataset_description.json")).alias("path"),
                                F.col("json").alias("content")), out_root)
+    # K8: participants.tsv (workbooks in name order, participants by first
+    # row, duplicates across workbooks kept) and participants.json.
+    pcols = [c for c in parts.columns if c not in ("study", "file_seq", "task", "first_row", "id")]
+    ppath = f"{study}/participants.tsv"
+    plines = parts.select(F.lit(ppath).alias("path"), F.struct("file_seq", "first_row").alias("order"),
+                          F.concat_ws("\t", *[F.coalesce(bids.tsv_field(F.col(f"`{c}`").cast("string")), F.lit(""))
+                                             for c in pcols]).alias("line"))
+    bids.write_lines(plines, out_root, {ppath: "\t".join(pcols)})
+    pj = participants_json_b(parts)
+    bids.write_files(pj.select(F.lit(f"{study}/participants.json").alias("path"), F.col("json").alias("content")), out_root)
     return parts

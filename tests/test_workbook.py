@@ -134,3 +134,8 @@ def test_convert_trial_workbooks(spark):
     assert [(p.task, p.participant_id, p.session, p.age) for p in parts] == [
         ("Mood", "sub-1", "ses-1", "34"), ("quiz", "sub-1", "ses-1", "34"), ("quiz", "sub-2", "ses-1", "20")]
     assert not os.path.exists(f"{out}/st/task-broken_beh.json")
+    assert read("participants.tsv") == ("participant_id\tsession\tage\nsub-1\tses-1\t34\n"
+                                        "sub-1\tses-1\t34\nsub-2\tses-1\t20\n")
+    pj = json.loads(read("participants.json"))
+    assert list(pj) == ["participant_id", "session", "age"]
+    assert pj["age"] == {"Description": "Participant age", "DataType": "string"}
