@@ -153,7 +153,7 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
     docs = sidecar.sidecar_documents(entries.join(used, ["study", "task"], "left_semi"))
     bids.write_files(docs.select(
         F.concat(F.col("study"), F.lit("/rawdata/task-"), F.lower("task"), F.lit("_beh.json")).alias("path"),
-        F.col("json").alias("content")), out_root)
+        F.col("json").alias("content")), out_root, json_indent=4)
 
     # Participants (K3/K4) and dataset description (K5).
     if demographics is not None and variables is not None:
@@ -166,12 +166,12 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
         bids.write_lines(lines, out_root, {ppath: "\t".join(cols)})
         pj = participants.participants_json(participants.participants_metadata(variables))
         bids.write_files(pj.select(F.lit(f"{study}/rawdata/participants.json").alias("path"), F.col("json").alias("content")),
-                         out_root)
+                         out_root, json_indent=4)
     meta = dataset_meta if dataset_meta is not None else spark.createDataFrame([], "study string, seq long, key string, value string")
     studies = spark.createDataFrame([(study,)], "study string")
     dj = dataset.dataset_json(dataset.dataset_rows(meta, studies))
     bids.write_files(dj.select(F.concat(F.col("study"), F.lit("/rawdata/dataset_description.json")).alias("path"),
-                               F.col("json").alias("content")), out_root)
+                               F.col("json").alias("content")), out_root, json_indent=4)
 
     # Issues: V2, V3 (J2, J3, A1), J8.
     heads = quality.header_table(resp)
@@ -312,7 +312,7 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
              F.coalesce("itemdescription", F.lit(FILL_TEXT)).alias("itemdescription"))
     tj = task_json(item_rows)
     bids.write_files(tj.select(F.concat(F.col("study"), F.lit("/task-"), F.col("task"), F.lit("_beh.json")).alias("path"),
-                               F.col("json").alias("content")), out_root)
+                               F.col("json").alias("content")), out_root, json_indent=2)
 
     # K8 participants rows (+ J7 demographics), K10 dataset description.
     demo_cells = workbook.sheet_cells(cells.filter(F.col("file_name") == "demographics.xlsx"), sheet_idx=0, lowercase_names=True)
@@ -324,7 +324,7 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
         parts = trials.trial_participants(answers.drop("cols"), demo.drop("ses"))
     dd = dataset_description_b(spark.createDataFrame([(study,)], "study string"))
     bids.write_files(dd.select(F.concat(F.col("study"), F.lit("/dataset_description.json")).alias("path"),
-                               F.col("json").alias("content")), out_root)
+                               F.col("json").alias("content")), out_root, json_indent=2)
     # K8: participants.tsv (workbooks in name order, participants by first
     # row, duplicates across workbooks kept) and participants.json.
     pcols = [c for c in parts.columns if c not in ("study", "file_seq", "task", "first_row", "id")]
@@ -334,5 +334,6 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
                                              for c in pcols]).alias("line"))
     bids.write_lines(plines, out_root, {ppath: "\t".join(pcols)})
     pj = participants_json_b(parts)
-    bids.write_files(pj.select(F.lit(f"{study}/participants.json").alias("path"), F.col("json").alias("content")), out_root)
+    bids.write_files(pj.select(F.lit(f"{study}/participants.json").alias("path"), F.col("json").alias("content")), out_root,
+                     json_indent=2)
     return parts

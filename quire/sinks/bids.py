@@ -35,10 +35,12 @@ class _Written(WriterCommitMessage):
 
 
 class NamedFilesWriter(DataSourceWriter):
-    def __init__(self, root: str):
+    def __init__(self, root: str, json_indent: int | None = None):
         self.root = root
+        self.json_indent = json_indent
 
     def write(self, iterator):
+        import json
         import os
         import uuid
 
@@ -47,8 +49,12 @@ class NamedFilesWriter(DataSourceWriter):
             full = os.path.join(self.root, row["path"])
             os.makedirs(os.path.dirname(full) or ".", exist_ok=True)
             tmp = f"{full}.{uuid.uuid4().hex}.tmp"
+            content = row["content"] or ""
+            if self.json_indent is not None and full.endswith(".json"):
+                # one small document: re-serialised with the source's layout
+                content = json.dumps(json.loads(content), indent=self.json_indent, ensure_ascii=False)
             with open(tmp, "w", encoding="utf-8", newline="") as fh:
-                fh.write(row["content"] or "")
+                fh.write(content)
             os.replace(tmp, full)
             n += 1
         return _Written(n)
@@ -69,7 +75,8 @@ class NamedFilesDataSource(DataSource):
         return "path string, content string"
 
     def writer(self, schema, overwrite):
-        return NamedFilesWriter(self.options["path"])
+        indent = self.options.get("json_indent")
+        return NamedFilesWriter(self.options["path"], int(indent) if indent else None)
 
 
 LINES_FORMAT = "quire_lines"
@@ -148,10 +155,15 @@ def write_lines(lines: DataFrame, root: str, header: dict[str, str] | None = Non
      .write.format(LINES_FORMAT).mode("append").option("path", root).save())
 
 
-def write_files(files: DataFrame, root: str) -> None:
-    """Write ``(path, content)`` rows as files under ``root``."""
+def write_files(files: DataFrame, root: str, json_indent: int | None = None) -> None:
+    """Write ``(path, content)`` rows as files under ``root``; ``.json``
+    documents are pretty-printed with ``json_indent`` when given (the source
+    writes indent 4 in the modular converter, 2 in the single-file one)."""
     register(files.sparkSession)
-    files.select("path", "content").write.format(FORMAT).mode("append").option("path", root).save()
+    w = files.select("path", "content").write.format(FORMAT).mode("append").option("path", root)
+    if json_indent is not None:
+        w = w.option("json_indent", str(json_indent))
+    w.save()
 
 
 def tsv_field(c) -> F.Column:

@@ -66,7 +66,9 @@ def test_record_files(study_tree):
 def test_sidecar_and_unused(study_tree):
     out, _ = study_tree
     base = f"{out}/studyA/rawdata"
-    side = json.loads(_read(f"{base}/task-testquest_beh.json"))
+    text = _read(f"{base}/task-testquest_beh.json")
+    assert text.startswith('{\n    "testquest01": {\n        "Description": "I feel confident",')  # indent 4
+    side = json.loads(text)
     assert list(side)[:3] == ["testquest01", "testquest02", "testquest03"]
     assert side["testquest02"] == "Replaced"          # metadata replaces an item, keeps its position
     assert side["TaskName"] == "Later wins" and list(side)[-1] == "TaskName"
