@@ -109,3 +109,20 @@ def test_levels_and_lists_match_spec(spark, vals):
 def test_subject_idempotent(spark, vals):
     once = col_values(spark, ids.subject_id, vals)
     assert col_values(spark, ids.subject_id, once) == once
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=300),
+       st.integers(min_value=1, max_value=12))
+def test_group_positions_equals_row_number(spark, keys, parts):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from quire.operators.ordering import group_positions
+
+    # key 0 is made hot: it takes every other row
+    rows = [(0 if i % 2 == 0 else k, (i * 37) % 101, i) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "g int, o int, v int")
+    got = sorted((r.g, r.o, r.v, r.position) for r in group_positions(df, ["g"], ["o", "v"], num_partitions=parts).collect())
+    ref = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy("o", "v")) - 1)
+    assert got == sorted((r.g, r.o, r.v, r.p) for r in ref.collect())
