@@ -1036,3 +1036,26 @@ def q_consistency_report(spark, d):
                            F.concat(F.col("item"), F.lit("="), F.col("nan_count").cast("string"))),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---------------------------------------------------------------- K7 trial files
+def _tsv_q(x: str) -> str:
+    return (f"(CASE WHEN regexp_matches({x}, '[' || chr(9) || '\"' || chr(13) || chr(10) || ']') "
+            f"THEN '\"' || replace({x}, '\"', '\"\"') || '\"' ELSE {x} END)")
+
+
+@register("trial_tsv", f"""
+WITH a AS (SELECT role AS task, turn AS row_seq, CAST(conv_id AS VARCHAR) AS id,
+                  CAST(CAST(floor(turn / 2) + 1 AS BIGINT) AS VARCHAR) AS ses, coalesce(text, 'n/a') AS text FROM conversations),
+r AS (SELECT task, row_seq, id, ses, text,
+             first_value(ses) OVER (PARTITION BY task, id ORDER BY row_seq) AS first_ses,
+             row_number() OVER (PARTITION BY task, id ORDER BY row_seq) - 1 AS onset FROM a)
+SELECT 'tpch/sub-' || id || '_ses-' || first_ses || '_task-' || task || '_beh.tsv' AS path, row_seq,
+       CAST(onset AS VARCHAR) || chr(9) || '1.0' || chr(9) || 'response' || chr(9) || {_tsv_q('id')} || chr(9)
+       || {_tsv_q('ses')} || chr(9) || {_tsv_q('text')} AS line
+FROM r""")
+def q_trial_tsv(spark, d):
+    rows = trials.trial_rows(conversation_answers(spark, d))
+    data_cols = [c for c in rows.columns if c not in ("study", "file_seq", "task", "file_name", "row_seq")]
+    line = F.concat_ws("\t", *[F.coalesce(bids.tsv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in data_cols])
+    return rows.select(F.concat(F.col("study"), F.lit("/"), F.col("file_name")).alias("path"), "row_seq", line.alias("line"))

@@ -218,7 +218,7 @@ def convert_trials(spark: SparkSession, answers: DataFrame, out_root: str, demog
     rows (duplicates across workbooks kept)."""
     rows = trials.trial_rows(answers)
     data_cols = [c for c in rows.columns if c not in ("study", "file_seq", "task", "file_name", "row_seq")]
-    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in data_cols])
+    line = F.concat_ws("\t", *[F.coalesce(bids.tsv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in data_cols])
     path = F.concat(F.col("study"), F.lit("/"), F.col("file_name"))
     lines = rows.select(path.alias("path"), F.col("row_seq").alias("order"), line.alias("line"))
     # header lines: one per trial file (file names are known only from data)
@@ -294,8 +294,8 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
     per_line = allc.groupBy("study", "file_seq", "row_seq").agg(F.array_sort(F.collect_list(F.struct("k", "column", "value"))).alias("c"))
     per_line = per_line.join(per_row.select("study", "file_seq", "row_seq", "id", "session", "task"), ["study", "file_seq", "row_seq"])
     lines = per_line.select(path.alias("path"), F.struct(F.lit(1).alias("h"), "row_seq").alias("order"),
-                            F.concat_ws("\t", F.transform("c", lambda x: x["value"])).alias("line"),
-                            F.concat_ws("\t", F.transform("c", lambda x: x["column"])).alias("header"))
+                            F.concat_ws("\t", F.transform("c", lambda x: bids.tsv_field(x["value"]))).alias("line"),
+                            F.concat_ws("\t", F.transform("c", lambda x: bids.tsv_field(x["column"]))).alias("header"))
     heads = lines.groupBy("path").agg(F.first("header").alias("line")).select(
         "path", F.struct(F.lit(0).alias("h"), F.lit(None).cast("long").alias("row_seq")).alias("order"), "line")
     bids.write_lines(lines.drop("header").unionByName(heads), out_root)

@@ -167,9 +167,11 @@ def write_files(files: DataFrame, root: str, json_indent: int | None = None) ->
 
 
 def tsv_field(c) -> F.Column:
-    """Minimal quoting of a TSV field (quote char doubled when present)."""
+    """Minimal quoting of a TSV field: a field holding a tab, quote or line
+    break is quoted, quotes doubled (what a standard delimited writer does)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.when(col.contains('"'), F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(col)
+    needs = col.rlike('[\t"\r\n]')
+    return F.when(needs, F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(col)
 
 
 def csv_field(c) -> F.Column:

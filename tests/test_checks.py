@@ -82,4 +82,4 @@ def test_csv_and_tsv_quoting(spark):
 
     df = spark.createDataFrame([("a, b",), ('say "hi"',), ("plain",), ("x\ny",)], "v string")
     assert [r[0] for r in df.select(bids.csv_field("v")).collect()] == ['"a, b"', '"say ""hi"""', "plain", '"x\ny"']
-    assert [r[0] for r in df.select(bids.tsv_field("v")).collect()] == ["a, b", '"say ""hi"""', "plain", "x\ny"]
+    assert [r[0] for r in df.select(bids.tsv_field("v")).collect()] == ["a, b", '"say ""hi"""', "plain", '"x\ny"']
