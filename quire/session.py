@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +62,27 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for an intermediate table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "tables", name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per application.
+
+    Workers import ``quire`` by name (``mapInArrow``, ``mapInPandas``, data sources); they
+    need it wherever the driver was started from and whatever is installed on their hosts.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quire-src-"), "quire.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("quire", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
