@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quire.llm import decontaminate, quality, sentencepiece_bpe, sharding
+from quire.llm import decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, token_files
 from quire.llm.chat import ChatTemplate, format_chats, loss_text, read_turns
-from quire.llm.common import stored, table
+from quire.llm.common import shared_path, stored, table
 from quire.llm.url_filter import UrlRule, apply_url_rules
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -39,6 +39,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.where(~test).select("lang", "text"))
+    return language_id.predict(docs, model, [F.col("doc_id"), test.alias("held_out")])
+
+
 OP3_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -72,6 +80,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@register("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op5_sentencepiece")
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -92,6 +105,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-shards")
+    vocabulary = str(public_tokenizers.path("byte_bpe_50k.json"))
+    token_files.write_token_shards(table(spark, sf_dir, "documents"), path, vocabulary, end_id=2)
+    return token_files.read_token_shards(spark, path, digest=True).withColumnRenamed("id", "doc_id")
+
+
 URL_RULES = [
     UrlRule("allow", "org", "/"),
     UrlRule("block", "example.org", "/es/"),
