@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quire.llm import decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, token_files
+from quire.llm import decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, suffix_dedup, token_files
 from quire.llm.chat import ChatTemplate, format_chats, loss_text, read_turns
 from quire.llm.common import shared_path, stored, table
 from quire.llm.url_filter import UrlRule, apply_url_rules
@@ -105,6 +105,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op7_suffix_array_dedup")
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = suffix_dedup.remove_repeats(docs, keep=["doc_id"], digest=True)
+    c = F.col(cut.columns[-1])
+    return cut.select("doc_id", *(c[x].alias(x) for x in ("n_bytes", "n_removed", "n_spans", "kept_sha256")))
+
+
 @register("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-shards")
