@@ -601,8 +601,9 @@ def remove_repeats(
     digest: bool = False,
     hot_above: int = HOT,
 ) -> DataFrame:
-    """``docs`` (all columns, or ``keep``) with n_bytes, n_removed, n_spans and the remaining bytes
-    (or their SHA-256, with ``digest``) in a struct column, whose name is the last column's."""
+    """``docs`` (all columns, or ``keep``) with n_bytes, n_removed, n_spans and the remaining text
+    (or the SHA-256 of the remaining bytes, with ``digest``) in a struct column, whose name is
+    the last column's.  Cuts are made on bytes; what a cut leaves of a character goes from the text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kept = list(docs.columns) if keep is None else list(keep)
@@ -620,7 +621,7 @@ def remove_repeats(
     right = gone.select(F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("ranges").alias(ranges))
     rows = left.join(right, [doc, tag], "left").select(*kept, text, ranges)
     width = len(kept)
-    last = T.StructField("kept_sha256", T.StringType()) if digest else T.StructField("kept", T.BinaryType())
+    last = T.StructField("kept_sha256", T.StringType()) if digest else T.StructField("kept", T.StringType())
     result = T.StructType([*(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")), last])
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, result)])
     arrow = to_arrow_schema(schema)
@@ -631,7 +632,8 @@ def remove_repeats(
             for data, r in zip(b.column(width).to_pylist(), b.column(width + 1).to_pylist()):
                 data = data or b""
                 rest, spans = cut_out(data, [(x["start"], x["end"]) for x in r]) if r else (data, 0)
-                found.append((len(data), len(data) - len(rest), spans, hashlib.sha256(rest).hexdigest() if digest else rest))
+                last_value = hashlib.sha256(rest).hexdigest() if digest else rest.decode("utf-8", "ignore")
+                found.append((len(data), len(data) - len(rest), spans, last_value))
             cols = [list(x) for x in zip(*found)] or [[]] * 4
             struct = pa.StructArray.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(cols, arrow.field(width).type)], names=result.names
