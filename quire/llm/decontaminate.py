@@ -116,11 +116,13 @@ def find_items(
     out: str = "hits",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` (all columns, or ``keep`` and the text) with a struct column of RESULT."""
+    """``docs`` (all columns, or ``keep`` and the text) and as last column, named ``out`` or longer
+    where that is taken, a struct of RESULT."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kept = list(docs.columns) if keep is None else list(dict.fromkeys([*keep, text_col]))
     df = docs.select(*kept)
+    out = fresh(df, out)
     at, width = kept.index(text_col), len(kept)
     schema = T.StructType([*df.schema.fields, T.StructField(out, RESULT)])
     arrow = to_arrow_schema(schema)
@@ -165,5 +167,5 @@ def find_items(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text") -> DataFrame:
     """The documents that hold no window of any item, with the columns of ``docs``."""
-    out = fresh(docs, "hits")
-    return find_items(docs, items, window, text_col=text_col, out=out).where(F.col(out)["n_hit"] == 0).select(*docs.columns)
+    found = find_items(docs, items, window, text_col=text_col)
+    return found.where(F.col(found.columns[-1])["n_hit"] == 0).select(*docs.columns)

@@ -7,8 +7,9 @@ open bins in a balanced tree by remaining capacity:
 1. Groups above a grain (``1/grains`` of a shard's bytes, or of its rows) are few,
    at most ``2 * shards * grains``.  All smaller groups are packed where Spark's
    hash partitioning has put them, largest first, into cartons of one grain's
-   capacity; a partition leaves at most one carton less than half full, so there
-   are at most ``2 * shards * grains`` cartons and one per partition.
+   capacity, or, for one small group in FINE, of 1/FINE of that, which evens out the
+   shards later.  A partition leaves at most one carton of a kind less than half full,
+   so there are at most ``4 * shards * grains`` cartons and two per partition.
 2. The large groups and the cartons, a bounded list whatever the input's size, are
    packed into ``shards`` bins of the smallest capacity that best-fit-decreasing
    can do with.  A group larger than an even share gets a shard of its own and the
@@ -33,6 +34,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import map_batches, stored
 
 
+FINE = 16
+
+
 class CapacityTree:
     """Balanced search tree (AA tree) of (remaining capacity, bin)."""
 
@@ -194,17 +198,24 @@ def pack_documents(
     )
     total, rows = base.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     grain = max(1, -(-total // (shards * grains)))
+    fine_grain = max(1, grain // FINE)
     row_grain = max(1, -(-rows // (shards * grains)))
     groups = base.groupBy("g1", "g2").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     large = (F.col("bytes") > grain) | (F.col("n") > row_grain)
 
     def cartons(batches):
         # the rows of a partition arrive largest first: one best fit over all its batches
-        fit, part = BestFit(grain), TaskContext.get().partitionId()
+        coarse, fine, part = BestFit(grain), BestFit(fine_grain), TaskContext.get().partitionId() << 32
         for b in batches:
-            sizes = b.column("bytes").to_pylist()
-            wide = b.column("large").to_pylist()
-            at = [None if w else part << 32 | fit.place(s) for s, w in zip(sizes, wide)]
+            rows = zip(b.column("bytes").to_pylist(), b.column("large").to_pylist(), b.column("g2").to_pylist())
+            at = [
+                None
+                if large
+                else part | fine.place(size) << 1
+                if size <= fine_grain and not key % FINE
+                else part | coarse.place(size) << 1 | 1
+                for size, large, key in rows
+            ]
             yield pa.RecordBatch.from_arrays(
                 [b.column("g1"), b.column("g2"), b.column("bytes"), b.column("large"), pa.array(at, pa.int64())],
                 names=["g1", "g2", "bytes", "large", "carton"],

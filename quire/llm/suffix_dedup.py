@@ -534,7 +534,11 @@ def _sort_suffixes(batches):
         rest = np.flatnonzero(~done & ~alone)
         if len(rest):
             order = rest[np.lexsort((at[rest], doc[rest], key[rest]))]
-            k = key[order]
+            k, d, p = key[order], doc[order], at[order]
+            # identical rows have fetched the same place more than once
+            once = np.ones(len(order), bool)
+            once[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1])
+            order, k = order[once], k[once]
             edge = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             for first, after in zip(edge, np.append(edge[1:], len(k))):
                 rows = order[first:after]
@@ -567,7 +571,6 @@ def removals(docs: DataFrame, id_col: str, text_col: str, hot_above: int = HOT)
     wanted = rivals.groupBy("doc", "tag").agg(
         F.collect_list(F.struct("start", "end", "anchor", "left", "hot")).alias("wanted")
     )
-    # identical rows would fetch their contexts twice; the places then are equal and count once
     fetched = rows.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "wanted")
     suffixes = (
         fetched.mapInArrow(_fetch, "key long, doc long, at long, data binary")
