@@ -69,8 +69,8 @@ def task_name_issue(c) -> Column:
     """Issue text for C3 failures, null when the name is valid."""
     raw = _col(c)
     return (
-        F.when(raw.isNull(), F.lit("Task name cannot be empty"))
-        .when(task_name(raw).isNull(), F.lit("Task name is empty after normalization"))
+        F.when(raw.isNull(), F.lit("no task name"))
+        .when(task_name(raw).isNull(), F.lit("no letter or digit in the task name"))
     )
 
 

@@ -7,6 +7,8 @@ from a driver-side directory walk.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from quire.functions.text import _col
 # BIDS name patterns.
 SUBJECT_DIR = r"(?:^|/)(sub-[^/]+)/"
 SESSION_DIR = r"(?:^|/)sub-[^/]+/(ses-[^/]+)/"
-TASK_IN_NAME = r"_task-([^_/]+)_[^/]*beh\.tsv$"
+TASK_IN_NAME = r"_task-([^/]+)_[^_/]*beh\.tsv$"
 SIDECAR_TASK = r"^task-(.+?)_beh\.json$"
 
 
@@ -45,6 +47,21 @@ def trial_file_name(pid: Column, ses: Column, task: Column) -> Column:
                     F.lit("_task-"), _col(task), F.lit("_beh.tsv"))
 
 
+def decoded_path(path) -> Column:
+    """A ``_metadata.file_path`` as the file system has it: Spark gives it as a
+    URI, with spaces and other characters percent-encoded."""
+    return F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))
+
+
+def file_tasks(path, tasks: Sequence[str]) -> Column:
+    """The requested tasks whose name a file bears: ``..._task-<t>_...beh.tsv``.
+    Task names may hold ``_``, so they are looked up, not cut out."""
+    name = F.regexp_extract(_col(path), r"([^/]+)$", 1)
+    wanted = F.array(*[F.lit(t) for t in tasks]).cast("array<string>")
+    bears = lambda t: name.contains(F.concat(F.lit("_task-"), t, F.lit("_")))
+    return F.when(name.endswith("beh.tsv"), F.filter(wanted, bears)).otherwise(F.array().cast("array<string>"))
+
+
 def path_subject(path) -> Column:
     """C20: ``sub-*`` directory of a path (null when absent)."""
     v = F.regexp_extract(_col(path), SUBJECT_DIR, 1)
@@ -58,7 +75,7 @@ def path_session(path) -> Column:
 
 
 def path_task(path) -> Column:
-    """C20: task label inside a ``*_task-<t>_*beh.tsv`` file name."""
+    """C20: task label inside a ``*_task-<t>_*beh.tsv`` file name; a label may hold ``_``."""
     v = F.regexp_extract(_col(path), TASK_IN_NAME, 1)
     return F.when(v != "", v)
 

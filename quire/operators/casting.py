@@ -20,9 +20,15 @@ INTEGER, FLOAT, CAT_NUM, CAT_STRING, STRING = "integer", "float", "cat_num", "ca
 MISSING_CODE = -999
 
 
+# What counts as a number in a sheet's text.
+NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def numeric(c: Column) -> Column:
-    """``pd.to_numeric(errors='coerce')`` on text: non-numbers become null."""
-    return c.cast("string").try_cast("double")
+    """Number of a text cell; anything else, ``NaN`` and Java's ``1d``/``2f``
+    included, is null."""
+    s = c.cast("string")
+    return F.when(s.rlike(NUMBER), F.trim(s).try_cast("double"))
 
 
 def resolve_types(df: DataFrame, declared: Mapping[str, str]) -> dict[str, str]:
@@ -98,18 +104,14 @@ def long_form_casts(cells: DataFrame, variables: DataFrame) -> DataFrame:
     """
     v = numeric(F.col("value"))
     declared = variables.select("variable", F.lower("data_type").alias("data_type"))
-    n_vars = declared.count()  # a declaration sheet: the bound for both broadcasts below
-    if n_vars > 1_000_000:
-        raise ValueError("variable declarations exceed the broadcast bound")
-    decl = cells.join(F.broadcast(declared), "variable", "inner")
+    decl = cells.join(declared, "variable", "inner")
     stats = decl.groupBy("variable").agg(
         F.count_if(v.isNotNull() & (v != F.floor(v))).alias("n_frac"),
         F.count_if(v.isNull() | (v != F.floor(v))).alias("n_bad"),
     )
-    # At most one row per declared variable (grouped on the inner-joined
-    # declaration key): broadcast, never a shuffle of the cells on a handful of
-    # variable keys.
-    j = decl.join(F.broadcast(stats), "variable", "inner")
+    # Both right sides have one row per declared variable; Spark broadcasts them
+    # by their size and otherwise splits the few large keys of the shuffle join.
+    j = decl.join(stats, "variable", "inner")
     resolved = (
         F.when(F.col("data_type") == INTEGER, F.when(F.col("n_frac") == 0, F.lit("long")).otherwise(F.lit("keep")))
         .when(F.col("data_type") == FLOAT, F.lit("double"))

@@ -3,42 +3,64 @@
 ``row_number() over (partition by g order by o)`` sends a whole group to one
 task.  When one participant or file holds a third of all rows that task is the
 whole job.  ``group_positions`` computes the same 0-based position with the
-group split across range partitions:
-
-1. range-partition on ``(g, o)`` and sort within partitions: a hot group spans
-   many partitions;
-2. ``monotonically_increasing_id`` numbers rows inside each partition in sort
-   order (deterministic: the ordering key is unique);
-3. a small table of ``(g, partition) -> first id, count`` gets per-group prefix
-   sums over partitions (at most one row per partition per group);
-4. position = prefix offset + (id - first id), joined back on ``(g, partition)``.
-
-The per-group table is bounded by partitions x groups-per-partition; AQE
-broadcasts it when its materialized size is small.
+group split by a **function of the row alone**, the same in every plan, task
+and retry:
+
+1. a row's block is ``floor(order value / width)``; a struct order (split
+   offset, line id) is cut by its last number within the ones before;
+2. a window numbers the rows of one (group, block), at most ``width`` order
+   values;
+3. a table of ``(group, block) -> rows`` gets prefix sums over a group's blocks
+   (and the group's first values on request);
+4. position = rows in earlier blocks + position in the block, joined on
+   ``(group, block)``, whose keys are as small as a block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BLOCK_WIDTH = 1 << 16
+
+
+def order_block(df: DataFrame, column: str, width: int) -> Column:
+    """Block of an order value; blocks sort as the values do."""
+    kind = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(kind, T.StructType):
+        *lead, last = kind.names
+        return F.struct(*[c[x].alias(x) for x in lead], F.floor(c[last] / width).alias(last))
+    if isinstance(kind, T.NumericType):
+        return F.floor(c / width)
+    raise TypeError(f"{column} is {kind.simpleString()}: the first order column must be a number or a struct ending in one")
 
 
 def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
-                    num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
+                    first: Mapping[str, Column] | None = None, width: int = BLOCK_WIDTH) -> DataFrame:
+    """``df`` with the 0-based position ``out`` of each row within its group
+    and, per entry of ``first``, that expression's value on the group's first
+    row.  Null keys form groups like any other value."""
+    first = dict(first or {})
+    rows = df.withColumn("_block", order_block(df, order[0], width))
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    rows = rows.withColumn("_inside", F.row_number().over(inside) - 1)
+    names = {f"_f{i}": name for i, name in enumerate(first)}
+    lead = F.struct(*[F.col(o) for o in order])
+    blocks = df.withColumn("_block", order_block(df, order[0], width)).groupBy(*keys, "_block").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.min_by(F.struct(first[n].alias("v")), lead).alias(k) for k, n in names.items()])
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = blocks.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_block").alias("_kb"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        *[F.first(k).over(whole)["v"].alias(n) for k, n in names.items()],
     )
-    stats = ranged.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    # The join key includes the partition id, so a hot group is spread; the
-    # broadcast decision is left to AQE's runtime size of ``stats``.
-    joined = ranged.join(stats, on=[*keys, "_pid"], how="inner")
-    return joined.withColumn(out, F.col("_offset") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_first", "_offset")
+    same = F.col("_block").eqNullSafe(F.col("_kb"))
+    for i, k in enumerate(keys):
+        same = same & rows[k].eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(blocks, same).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_inside")).alias(out), *list(first))

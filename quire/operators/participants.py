@@ -41,14 +41,15 @@ def declared(variables: DataFrame) -> list[tuple[str, str]]:
     return [(r[0], r[1]) for r in rows]
 
 
-def participants_table(demographics: DataFrame, variables: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+def participants_table(demographics: DataFrame, variables: DataFrame, order: str | None = None) -> tuple[DataFrame, dict[str, str]]:
     """P7 -> P8 -> P9 -> C9 -> C10.
 
     Declared columns missing from the demographics are added as ``n/a`` (P7,
     before casting), undeclared ones dropped (P8), ``id`` becomes
     ``participant_id`` = C1(id), first column (P9; deviation D7: always, and a
     declared ``id`` absent from the sheet raises).  Returns the typed table and
-    the resolved type per column.
+    the resolved type per column.  ``order`` names a column of the demographics
+    that holds the sheet's row order; it comes along as the last column.
     """
     demo = normalize_column_names(demographics)
     decl = declared(variables)
@@ -59,19 +60,21 @@ def participants_table(demographics: DataFrame, variables: DataFrame) -> tuple[D
         if n not in demo.columns:
             demo = demo.withColumn(n, F.lit(MISSING_TEXT))
     cols = ["id"] + [n for n in names if n != "id"]
-    demo = demo.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    kept = [F.col(order)] if order else []
+    demo = demo.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols], *kept)
     types = {n: t for n, t in decl if n != "id"}
     resolved = resolve_types(demo, types)
     typed = apply_types(demo, resolved)
-    typed = typed.select(subject_id(F.col("id")).alias("participant_id"), *[F.col(f"`{c}`") for c in cols if c != "id"])
+    typed = typed.select(subject_id(F.col("id")).alias("participant_id"), *[F.col(f"`{c}`") for c in cols if c != "id"], *kept)
     return typed, resolved
 
 
-def participants_tsv_rows(typed: DataFrame, resolved: dict[str, str]) -> DataFrame:
-    """K3 cells: every value to text, through C7 (null and ``nan`` -> ``n/a``)."""
+def participants_tsv_rows(typed: DataFrame, resolved: dict[str, str], order: str | None = None) -> DataFrame:
+    """K3 cells: every value to text, through C7 (null and ``nan`` -> ``n/a``);
+    the ``order`` column stays as it is."""
     return typed.select(
         *[
-            sanitize_tsv(cell_text(F.col(f"`{c}`"), resolved.get(c, "string"))).alias(c)
+            F.col(c) if c == order else sanitize_tsv(cell_text(F.col(f"`{c}`"), resolved.get(c, "string"))).alias(c)
             for c in typed.columns
         ]
     )
@@ -128,24 +131,7 @@ def missing_variables(demographics: DataFrame, variables: DataFrame) -> list[str
     return [n for n, _ in declared(variables) if n not in cols]
 
 
-def type_mismatches(typed_before: DataFrame, variables: DataFrame) -> list[tuple[str, str, str]]:
-    """V4: declared ``integer``/``float`` against the actual column type of the
-    demographics as read."""
-    dtypes = dict(normalize_column_names(typed_before).dtypes)
-    out = []
-    for n, t in declared(variables):
-        t = (t or "").lower()
-        if n not in dtypes:
-            continue
-        actual = dtypes[n]
-        if t == "integer" and "int" not in actual:
-            out.append((n, t, actual))
-        elif t == "float" and actual not in ("double", "float"):
-            out.append((n, t, actual))
-    return out
-
-
 __all__: Sequence[str] = [
     "participants_table", "participants_tsv_rows", "participants_metadata", "participants_json",
-    "missing_variables", "type_mismatches", "normalize_column_names", "normalize_variables",
+    "missing_variables", "normalize_column_names", "normalize_variables",
 ]

@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.util import broadcast_if_small
-
 ISSUE_SCHEMA = "study string, check string, severity string, object string, detail string"
 
 
@@ -24,7 +22,7 @@ def header_table(responses: DataFrame) -> DataFrame:
     return responses.select("study", "file_seq", "item").distinct()
 
 
-def task_columns(headers: DataFrame, tasks: DataFrame, broadcast_limit_rows: int = 2_000_000) -> DataFrame:
+def task_columns(headers: DataFrame, tasks: DataFrame) -> DataFrame:
     """Columns whose name contains the task name (any case), per file and
     task.  The substring test is turned into an **equi-join**: every header
     name is cut into its substrings of the lengths task names actually have
@@ -46,7 +44,6 @@ def task_columns(headers: DataFrame, tasks: DataFrame, broadcast_limit_rows: int
         "study", "file_seq", "item",
         F.explode(F.array_distinct(F.flatten(F.array(*[cuts(n) for n in lengths])))).alias("_t"),
     )
-    t = broadcast_if_small(t, broadcast_limit_rows)
     return subs.join(t, on=["study", "_t"], how="inner").select("study", "file_seq", "task", "item").distinct()
 
 
@@ -64,14 +61,11 @@ def extra_columns(task_cols: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def null_counts(responses: DataFrame, task_cols: DataFrame) -> DataFrame:
-    """A1: nulls per (file, task, column), only counts > 0."""
-    # header-sized and data-derived: AQE broadcasts it from its runtime size
-    j = responses.join(task_cols, on=["study", "file_seq", "item"], how="inner")
-    return (
-        j.groupBy("study", "file_seq", "task", "item")
-        .agg(F.count_if(F.col("value").isNull()).alias("nan_count"))
-        .filter(F.col("nan_count") > 0)
-    )
+    """A1: nulls per (file, task, column), only counts > 0.  Counted per
+    (file, column) first (map-side), so the join is between header-sized tables."""
+    per_column = responses.groupBy("study", "file_seq", "item").agg(
+        F.count_if(F.col("value").isNull()).alias("nan_count")).filter(F.col("nan_count") > 0)
+    return per_column.join(task_cols, on=["study", "file_seq", "item"]).select("study", "file_seq", "task", "item", "nan_count")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -86,29 +80,17 @@ def unused_tasks(task_names: DataFrame, records: DataFrame) -> DataFrame:
     return task_names.withColumn("task_lc", F.lower("task")).join(used, on=["study", "task_lc"], how="left_anti").drop("task_lc")
 
 
-def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame,
-                       max_tasks: int = 100_000) -> DataFrame:
-    """(file, task) pairs of the same study without relevant columns.
-
-    No pair product and no join on the study key: the defined tasks are
-    definition metadata (checked to be at most ``max_tasks``), collected once
-    into a literal ``study -> tasks`` map; each file carries the set of its
-    tasks with data, and ``array_except`` leaves only the missing pairs."""
-    rows = tasks.select("study", "task").distinct().limit(max_tasks + 1).collect()
-    if len(rows) > max_tasks:
-        raise ValueError("task definitions exceed the metadata bound")
-    by_study: dict = {}
-    for r in rows:
-        by_study.setdefault(r["study"], []).append(r["task"])
-    if not by_study:
-        return files.select("study", "file_seq", F.lit(None).cast("string").alias("task")).limit(0)
-    defined = F.create_map(*[x for st, ts in sorted(by_study.items())
-                             for x in (F.lit(st), F.array(*[F.lit(t) for t in sorted(ts)]))])
+def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Per file, the defined tasks of its study without relevant
+    columns: ``(study, file_seq, n_without, without)``, one row per file that
+    lacks any, ``without`` sorted.  A file's row carries the tasks it lacks, so
+    neither files x tasks rows nor a pair product is formed."""
+    defined = tasks.groupBy("study").agg(F.collect_set("task").alias("_defined"))
     seen = file_tasks_with_data.groupBy("study", "file_seq").agg(F.collect_set("task").alias("_seen"))
-    f = files.join(seen, ["study", "file_seq"], "left")
-    missing = F.array_except(F.coalesce(defined[F.col("study")], F.array().cast("array<string>")),
-                             F.coalesce("_seen", F.array().cast("array<string>")))
-    return f.select("study", "file_seq", F.explode(missing).alias("task"))
+    f = files.join(seen, ["study", "file_seq"], "left").join(defined, "study")
+    lacking = F.array_sort(F.array_except("_defined", F.coalesce("_seen", F.array().cast("array<string>"))))
+    f = f.select("study", "file_seq", lacking.alias("without"))
+    return f.select("study", "file_seq", F.size("without").alias("n_without"), "without").filter(F.col("n_without") > 0)
 
 
 def missing_files(required: DataFrame, present: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from quire.functions.ids import item_name, session_id, subject_id
 from quire.functions.text import as_text
-from quire.operators.util import broadcast_if_small
 
 KEY_COLUMNS = ("id", "ses")
 
@@ -34,7 +33,7 @@ def key_column_names(columns: Sequence[str]) -> tuple[str, str]:
             found[lc] = c
     missing = [k for k in KEY_COLUMNS if k not in found]
     if missing:
-        raise ValueError(f"Missing required columns in session file: {missing}")
+        raise ValueError(f"session sheet without key column(s) {missing}")
     return found["id"], found["ses"]
 
 
@@ -121,18 +120,17 @@ def with_keys(responses: DataFrame) -> DataFrame:
     )
 
 
-def match_task_items(responses: DataFrame, task_items: DataFrame, broadcast_limit_rows: int = 2_000_000) -> DataFrame:
+def match_task_items(responses: DataFrame, task_items: DataFrame) -> DataFrame:
     """Keep a response cell for task T when its normalised name is one of
     T's items **and** contains upper(T).  A column that belongs to several
     tasks goes to each of them.
 
     ``task_items`` needs ``study, task, item_norm`` (F2 already applied).  The
     join is an equi-join on ``(study, item)`` with the substring test as a
-    residual predicate.  Definitions are small; they are broadcast only after
-    their size is checked, otherwise the join shuffles on ``(study, item)``.
+    residual predicate.  Spark broadcasts the definitions by their size, and
+    otherwise splits the large keys of the shuffle join.
     """
     items = task_items.select("study", "task", F.col("item_norm").alias("item")).distinct()
-    items = broadcast_if_small(items, broadcast_limit_rows)
     joined = responses.join(items, on=["study", "item"], how="inner")
     return joined.filter(F.upper(F.col("item")).contains(F.upper(F.col("task"))))
 

@@ -52,15 +52,16 @@ def trial_rows(answers: DataFrame) -> DataFrame:
     ``file_name`` = ``sub-<id>_ses-<first ses>_task-<task>_beh.tsv``."""
     cols = answers.columns
     df = answers
+    # one pass gives the positions and the first session (W2) of each participant
+    ses = F.col("ses") if "ses" in cols else F.lit("1")
+    df = group_positions(df, ["study", "file_seq", "id"], ["row_seq"], out="_position", first={"_session": ses})
     if ONSET not in cols:
-        df = group_positions(df, ["study", "file_seq", "id"], ["row_seq"], out=ONSET)
+        df = df.withColumn(ONSET, F.col("_position"))
     if DURATION not in cols:
         df = df.withColumn(DURATION, F.lit(DEFAULT_DURATION))
     if TRIAL_TYPE not in cols:
         df = df.withColumn(TRIAL_TYPE, F.lit(DEFAULT_TRIAL_TYPE))
-    firsts = first_sessions(answers).select("study", "file_seq", "id", "session")
-    df = df.join(firsts, on=["study", "file_seq", "id"], how="inner")
-    df = df.withColumn("file_name", trial_file_name(F.col("id"), F.col("session"), F.col("task")))
+    df = df.withColumn("file_name", trial_file_name(F.col("id"), F.col("_session"), F.col("task")))
     rest = [c for c in cols if c not in LEADING and c not in ("study", "file_seq", "task", "row_seq")]
     lead = [c for c in LEADING if c in df.columns]
     return df.select("study", "file_seq", "task", "file_name", "row_seq", *lead, *rest)
@@ -101,9 +102,10 @@ def task_json_items(items: DataFrame) -> DataFrame:
     )
 
 
-def task_json(items: DataFrame, bids_version: str = "1.8.0") -> DataFrame:
+def task_json(items: DataFrame, bids_version: str = "1.8.0", tasks: DataFrame | None = None) -> DataFrame:
     """K9 document per (study, task): ``TaskName``, ``TaskDescription``,
-    ``BIDSVersion``, ``Items`` (each ``{Description, Levels: {}}``)."""
+    ``BIDSVersion``, ``Items`` (each ``{Description, Levels: {}}``).  A task of
+    ``tasks`` without items gets empty ``Items``."""
     it = task_json_items(items)
     entry = F.struct(
         "position",
@@ -112,6 +114,9 @@ def task_json(items: DataFrame, bids_version: str = "1.8.0") -> DataFrame:
                                     F.create_map().cast("map<string,string>").alias("Levels")))).alias("t"),
     )
     docs = it.groupBy("study", "task").agg(F.array_sort(F.collect_list(entry)).alias("a"))
+    if tasks is not None:
+        docs = tasks.select("study", "task").join(docs, ["study", "task"], "left").withColumn(
+            "a", F.coalesce("a", F.array().cast(docs.schema["a"].dataType)))
     head = F.to_json(F.struct(F.col("task").alias("TaskName"),
                               F.concat(F.lit("Behavioral task: "), F.col("task")).alias("TaskDescription"),
                               F.lit(bids_version).alias("BIDSVersion")))

@@ -1,55 +1,14 @@
-"""Shared plan helpers: size-checked broadcast, lineage cuts."""
+"""Shared plan helpers: lineage cuts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quire.session import ensure_checkpoint_dir
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (an upper bound for scans, filters,
-    projections and aggregates; what Spark itself uses for broadcasts)."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(v) if isinstance(v, int) else int(v.toString())
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast a definitions-side table only with a proven size bound;
-    otherwise return it unchanged so the planner shuffles (or AQE decides).
-
-    First the optimizer's estimate (no job); when that is not below
-    ``max_bytes``, a row count capped at ``max_rows + 1`` on the small side
-    decides.  Never used on the data side of a join.
-    """
-    est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (never a
     local checkpoint: executors may be lost)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def spread(df: DataFrame, min_bytes: int = 64 << 10) -> DataFrame:
-    """Spread rows over the cluster when a scan yields fewer partitions than
-    the default parallelism (one small file, an unsplittable file).  Large
-    inputs already arrive in many splits and are returned unchanged, so no
-    shuffle is added at scale.  Tiny tables (below ``min_bytes`` by the
-    optimizer's estimate) are left alone."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    est = estimated_bytes(df)
-    if n >= target or (est is not None and est < min_bytes):
-        return df
-    return df.repartition(target)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from quire.functions import ids, levels, paths, text
 from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
 from quire.plans import roles
-from quire.operators.util import broadcast_if_small, cut_lineage
 from quire.plans import sqlfrag as S
 from quire.sinks import bids
 
@@ -148,8 +147,8 @@ WITH r AS (
       ELSE p_type || '-' || p_name END AS raw_task
   FROM part)
 SELECT p_partkey, raw_task, {S.task_name('raw_task')} AS task_name,
-       CASE WHEN raw_task IS NULL THEN 'Task name cannot be empty'
-            WHEN {S.task_name('raw_task')} IS NULL THEN 'Task name is empty after normalization' END AS issue
+       CASE WHEN raw_task IS NULL THEN 'no task name'
+            WHEN {S.task_name('raw_task')} IS NULL THEN 'no letter or digit in the task name' END AS issue
 FROM r""")
 def q_task_names(spark, d):
     p = T(spark, d, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
@@ -306,8 +305,8 @@ SELECT c_custkey, CAST(min(pos) AS INTEGER) AS pos, level_key, arg_max(level_val
 GROUP BY c_custkey, level_key""")
 def q_levels_parse(spark, d):
     c = T(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_name"])
-    n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"]), 100_000)
-    r = broadcast_if_small(T(spark, d, "region", ["r_regionkey", "r_name"]), 100_000)
+    n = T(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = T(spark, d, "region", ["r_regionkey", "r_name"])
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     lv = F.concat(
         F.col("c_nationkey").cast("string"), F.lit(": "), "n_name", F.lit("; "), F.col("n_regionkey").cast("string"),
@@ -331,7 +330,7 @@ def q_list_split(spark, d):
 # ---------------------------------------------------------------- C13-C15, A8
 def supplier_dataset_meta(spark, d) -> DataFrame:
     s = T(spark, d, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
-    n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name"]), 100_000)
+    n = T(spark, d, "nation", ["n_nationkey", "n_name"])
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     nk = F.col("s_nationkey").cast("string")
     def row(seq, key, value):
@@ -557,7 +556,7 @@ def customer_variables(spark, d) -> DataFrame:
     """Variables sheet; the Levels of ``nation`` and ``segment`` are built by
     Spark from the distinct values present in ``customer``."""
     c = T(spark, d, "customer", ["c_nationkey", "c_mktsegment"])
-    n = broadcast_if_small(T(spark, d, "nation", ["n_nationkey", "n_name"]), 100_000)
+    n = T(spark, d, "nation", ["n_nationkey", "n_name"])
     nat = c.select("c_nationkey").distinct().join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     nat_lv = nat.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", F.concat(F.col("n_nationkey").cast("string"), F.lit(": "), "n_name").alias("t")))).alias("a")) \
         .select(F.lit("nation").alias("VariableName"), F.concat_ws("; ", F.transform("a", lambda x: x["t"])).alias("Levels"))
@@ -697,14 +696,17 @@ def q_unused_tasks(spark, d):
 WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}, {DEFINED_TASKS_SQL},
 files AS (SELECT DISTINCT study, file_seq FROM cells),
 used AS (SELECT DISTINCT study, file_seq, task FROM matched)
-SELECT f.study, f.file_seq, t.task FROM files f JOIN defined t ON f.study = t.study
-WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.study = f.study AND u.file_seq = f.file_seq AND u.task = t.task)""")
+SELECT f.study, f.file_seq, count(*) AS n_without, string_agg(t.task, '|' ORDER BY t.task) AS without
+FROM files f JOIN defined t ON f.study = t.study
+WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.study = f.study AND u.file_seq = f.file_seq AND u.task = t.task)
+GROUP BY f.study, f.file_seq""")
 def q_file_task_coverage(spark, d):
     cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
     items = sidecar.task_item_names(roles.event_task_items(spark, d))
     used = responses.match_task_items(cells, items).select("study", "file_seq", "task").distinct()
     files = cells.select("study", "file_seq").distinct()
-    return quality.file_task_coverage(used, files, _defined_tasks(spark, d)).select("study", "file_seq", "task")
+    lacking = quality.file_task_coverage(used, files, _defined_tasks(spark, d))
+    return lacking.withColumn("without", F.concat_ws("|", "without"))
 
 
 @register("required_files", f"""
@@ -821,13 +823,8 @@ def q_trial_participants(spark, d):
 GATHER_TASKS = tuple(t.lower() for t in roles.EVENT_TASKS)
 
 
-def _gather_inputs(spark, d, participant_rows: DataFrame, reuse: bool = False):
-    # The gather reads what the conversion wrote.  When the plan runs several
-    # jobs over it (column order, pivot, spine), the latest records are cut
-    # into the shared checkpoint folder once instead of being recomputed.
+def _gather_inputs(spark, d, participant_rows: DataFrame):
     lt = _latest(spark, d).select("subject_id", "session", "task", "task_lc", "item_seq", "item", "value")
-    if reuse:
-        lt = cut_lineage(lt)
     cells = lt.select(
         "subject_id", F.col("session").alias("session_id"), F.col("task_lc").alias("task"),
         paths.record_path(F.col("subject_id"), F.col("session"), F.col("task")).alias("file_path"),
@@ -876,7 +873,7 @@ SELECT s.subject_id, s.session_id, pl.segment, pl.nation,
 FROM spine s LEFT JOIN pl USING (subject_id) LEFT JOIN rec r ON r.subject_id = s.subject_id AND r.session_id = s.session_id
 GROUP BY s.subject_id, s.session_id, pl.segment, pl.nation""")
 def q_gather_wide(spark, d):
-    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d), reuse=True)
+    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
     return gather.gather_wide(spine, cells, prow, GATHER_TASKS, ["subject_id", "segment", "nation"])
 
 
@@ -891,7 +888,7 @@ allc AS (
 SELECT subject_id, session_id, "column", value FROM allc
 QUALIFY row_number() OVER (PARTITION BY subject_id, session_id, "column" ORDER BY prec DESC) = 1""")
 def q_gather_override(spark, d):
-    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d), reuse=True)
+    spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
     m = gather.merged_cells(spine, cells, prow, GATHER_TASKS)
     return m.select("subject_id", "session_id", "column", "value")
 

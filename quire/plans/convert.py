@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.ids import task_from_file
-from quire.operators import dataset, gather, participants, quality, responses, sidecar, trials
+from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
 from quire.operators.ordering import group_positions
 from quire.operators.util import cut_lineage
 from quire.sinks import bids
@@ -99,32 +99,39 @@ def convert_workbooks(spark: SparkSession, data_dir: str, resources_dir: str, ou
     one job (S1); the study name is given, as for the source's command line."""
     from quire.sources import workbook
 
-    data = workbook.workbook_cells(spark, data_dir).withColumn("study", F.lit(study))
-    reserved = F.col("file_name").isin(*tables.RESERVED_FILES)
-    sess_cells = workbook.sheet_cells(data.filter(~reserved), sheet_idx=0)
+    # The listing is cut down by name before any workbook is parsed, and the
+    # cells that several outputs need are kept once.
+    def load(folder: str, **names) -> DataFrame:
+        return workbook.workbook_cells(spark, folder, **names).withColumn("study", F.lit(study))
+
+    sess = cut_lineage(load(data_dir, exclude_reserved=True))
+    sess_cells = workbook.sheet_cells(sess, sheet_idx=0)
     resp = tables.cells_to_responses(sess_cells)
-    defs = workbook.workbook_cells(spark, resources_dir).withColumn("study", F.lit(study))
+    defs = cut_lineage(load(resources_dir))
+    described = cut_lineage(load(data_dir, only=("participants_dataset.xlsx",)))
+    demo_book = cut_lineage(load(data_dir, only=("demographics.xlsx",)))
     item_cells = workbook.sheet_cells(defs, sheet_idx=0)
     meta_cells = [workbook.sheet_cells(defs, sheet_idx=i, lowercase_names=True) for i in (1, 2)]
 
-    demo_cells = workbook.sheet_cells(data.filter(F.col("file_name") == "demographics.xlsx"), sheet_idx=0,
-                                      lowercase_names=True)
-    var_cells = workbook.sheet_cells(data.filter(F.col("file_name") == "participants_dataset.xlsx"), sheet_idx=0)
+    demo_cells = workbook.sheet_cells(demo_book, sheet_idx=0, lowercase_names=True)
+    var_cells = workbook.sheet_cells(described, sheet_idx=0)
     demographics = variables = None
     if not demo_cells.isEmpty() and not var_cells.isEmpty():
         demo_cols = [r[0] for r in demo_cells.select("column").distinct().collect()]  # header names only
-        demographics = tables.pivot_sheet(demo_cells, demo_cols).drop("study", "file_name", "file_seq", "row_key")
+        demographics = tables.pivot_sheet(demo_cells, demo_cols).drop("study", "file_name", "file_seq")
         var_cols = ["VariableName", "DataType", "Description", "Levels"]
         variables = participants.normalize_variables(
             tables.pivot_sheet(var_cells, var_cols).select(F.col("row_key.mono").alias("seq"), *var_cols))
-    desc = data.filter((F.col("file_name") == "participants_dataset.xlsx") & (F.col("sheet_idx") == 1)
-                       & (F.col("row") > 0) & (F.col("col") < 2))
+    desc = described.filter((F.col("sheet_idx") == 1) & (F.col("row") > 0) & (F.col("col") < 2))
     dataset_meta = desc.groupBy("study", "row").agg(
         F.max(F.when(F.col("col") == 0, F.col("value"))).alias("key"),
         F.max(F.when(F.col("col") == 1, F.col("value"))).alias("value"),
-    ).select("study", F.col("row").cast("long").alias("seq"), "key", "value")
-    return convert_core(spark, resp, sess_cells, item_cells, meta_cells, out_root, study, demographics, variables,
-                        dataset_meta, anonymize, key_mode)
+    ).filter(F.col("key").isNotNull()).select("study", F.col("row").cast("long").alias("seq"), "key", "value")
+    issues = convert_core(spark, resp, sess_cells, item_cells, meta_cells, out_root, study, demographics, variables,
+                          dataset_meta, anonymize, key_mode)
+    books = workbook.workbook_issues(sess, 1).unionByName(workbook.workbook_issues(defs, 3))
+    books = books.unionByName(workbook.workbook_issues(described, 2)).unionByName(workbook.workbook_issues(demo_book, 1))
+    return issues.unionByName(books)
 
 
 def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, item_cells: DataFrame,
@@ -157,11 +164,15 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
 
     # Participants (K3/K4) and dataset description (K5).
     if demographics is not None and variables is not None:
-        typed, resolved = participants.participants_table(demographics, variables)
-        tsv = participants.participants_tsv_rows(typed, resolved)
-        cols = tsv.columns
+        # sheet order: the row key of the sheet readers, else the order of arrival
+        order = next((c for c in ("row_key", "row_seq") if c in demographics.columns), None)
+        if order is None:
+            order, demographics = "row_seq", demographics.withColumn("row_seq", F.monotonically_increasing_id())
+        typed, resolved = participants.participants_table(demographics, variables, order)
+        tsv = participants.participants_tsv_rows(typed, resolved, order)
+        cols = [c for c in tsv.columns if c != order]
         ppath = f"{study}/rawdata/participants.tsv"
-        lines = tsv.select(F.lit(ppath).alias("path"), F.monotonically_increasing_id().alias("order"),
+        lines = tsv.select(F.lit(ppath).alias("path"), F.col(order).alias("order"),
                            F.concat_ws("\t", *[F.coalesce(bids.tsv_field(F.col(f"`{c}`")), F.lit("")) for c in cols]).alias("line"))
         bids.write_lines(lines, out_root, {ppath: "\t".join(cols)})
         pj = participants.participants_json(participants.participants_metadata(variables))
@@ -173,7 +184,7 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
     bids.write_files(dj.select(F.concat(F.col("study"), F.lit("/rawdata/dataset_description.json")).alias("path"),
                                F.col("json").alias("content")), out_root, json_indent=4)
 
-    # Issues: V2, V3 (J2, J3, A1), J8.
+    # Issues: V2, V3 (J2, J3, A1), J8, and for the participants V4, V6, J9.
     heads = quality.header_table(resp)
     tasks = task_items.select("study", "task").distinct()
     tcols = quality.task_columns(heads, tasks)
@@ -186,16 +197,34 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
         quality.issue_rows(quality.null_counts(resp, tcols), "V3.nan_values", "info", "item", "nan_count"),
         quality.issue_rows(quality.unused_tasks(tasks, recs), "J8.unused_task", "info", "task", F.lit("no records")),
     ]
+    if demographics is None or variables is None:
+        issues.append(_one_issue(spark, study, "J11.missing_file", "error", "participants",
+                                 "demographics or variables missing: no participants files"))
+    else:
+        named = participants.normalize_column_names(demographics)
+        for name in participants.missing_variables(demographics, variables):
+            issues.append(_one_issue(spark, study, "J9.missing_variable", "warning", name, "declared, not in the demographics"))
+        long = named.unpivot(["id"], [F.col(f"`{c}`") for c in named.columns if c not in ("id", order)], "variable", "value")
+        types = casting.inferred_dtypes(long, variables.select(F.lower("VariableName").alias("variable"),
+                                                               F.col("DataType").alias("data_type")))
+        issues.append(quality.issue_rows(types.filter("mismatch").withColumn("study", F.lit(study)), "V4.type_mismatch",
+                                         "info", "variable", F.concat(F.lit("declared "), "data_type", F.lit(", read as "), "inferred")))
+        twice = quality.duplicate_keys(named, ["id"]).withColumn("study", F.lit(study))
+        issues.append(quality.issue_rows(twice, "V6.duplicate_subject", "warning", "id", "n"))
     out = issues[0]
     for i in issues[1:]:
         out = out.unionByName(i)
     return out
 
 
+def _one_issue(spark: SparkSession, study: str, check: str, severity: str, obj: str, detail: str) -> DataFrame:
+    return spark.createDataFrame([(study, check, severity, obj, detail)], quality.ISSUE_SCHEMA)
+
+
 def gather_tree(spark: SparkSession, root: str, tasks: list[str] | None = None) -> DataFrame:
     """Program C: one row per (subject, session) of a written BIDS tree."""
     tasks = tasks or bids_tree.sidecar_tasks(spark, root)
-    cells = bids_tree.record_cells(spark, root)
+    cells = bids_tree.record_cells(spark, root, tasks)
     prow, pcols = bids_tree.participants_rows(spark, root)
     spine = bids_tree.directory_spine(spark, root)
     return gather.gather_wide(spine, cells, prow, tasks, pcols)
@@ -229,6 +258,19 @@ def convert_trials(spark: SparkSession, answers: DataFrame, out_root: str, demog
     return trials.trial_participants(answers, demographics)
 
 
+def trial_workbook_issues(spark: SparkSession, data_dir: str, study: str) -> DataFrame:
+    """Issue rows for the workbooks that ``convert_trial_workbooks`` skips."""
+    from quire.sources import workbook
+
+    cells = workbook.workbook_cells(spark, data_dir, exclude_reserved=True).withColumn("study", F.lit(study))
+    sheets = cells.groupBy("study", "file_name").agg(F.collect_set("sheet_name").alias("_s"),
+                                                     F.max(F.col("sheet_idx") < 0).alias("_bad"))
+    lacking = F.array_except(F.array(*map(F.lit, ("items", "answers", "levels"))), F.col("_s"))
+    named = sheets.filter(~F.col("_bad") & (F.size(lacking) > 0))
+    return workbook.unreadable(cells).unionByName(
+        quality.issue_rows(named, "V1.sheets", "error", "file_name", F.concat_ws(", ", lacking)))
+
+
 def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, study: str) -> DataFrame:
     """Program B on the source's own layout: every task workbook in
     ``data_dir`` (sheets ``items``, ``answers``, ``levels``) -> trial TSVs, task
@@ -238,14 +280,15 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
 
     Works on the long cell grid of all answer sheets at once: each workbook
     keeps its own columns and column order, no per-workbook plan is built.
-    Workbooks without the three named sheets are skipped and reported (the
-    source stops the whole run instead).  Returns the participants rows."""
+    Workbooks that cannot be read or lack one of the three named sheets are
+    skipped (``trial_workbook_issues`` lists them; the source stops the whole
+    run instead).  Returns the participants rows."""
     from quire.operators.trials import (
         DEFAULT_DURATION, DEFAULT_TRIAL_TYPE, FILL_TEXT, LEADING, dataset_description_b, participants_json_b, task_json,
     )
     from quire.sources import workbook
 
-    cells = workbook.workbook_cells(spark, data_dir).withColumn("study", F.lit(study))
+    cells = cut_lineage(workbook.workbook_cells(spark, data_dir).withColumn("study", F.lit(study)))
     reserved = F.col("file_name").isin(*tables.RESERVED_FILES)
     named = cells.filter(~reserved).groupBy("study", "file_name").agg(F.collect_set("sheet_name").alias("sheets"))
     ok = named.filter(F.array_contains("sheets", "items") & F.array_contains("sheets", "answers")
@@ -256,7 +299,7 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
     # P1 on the answers sheet: names stripped + lower-cased; the full grid of
     # each row is built from the file's header so empty cells become n/a.
     ans = books.filter(F.col("sheet_name") == "answers")
-    hdr = ans.filter(F.col("row") == 0).select("study", "file_name", "task", "col", F.lower(F.btrim("value")).alias("column"))
+    hdr = ans.filter((F.col("row") == 0) & F.col("value").isNotNull()).select("study", "file_name", "task", "col", F.lower(F.btrim("value")).alias("column"))
     rows = ans.filter(F.col("row") > 0).select("study", "file_name", "task", "row").distinct()
     grid = rows.join(hdr, ["study", "file_name", "task"]).join(
         ans.filter(F.col("row") > 0).select("study", "file_name", "row", "col", "value"), ["study", "file_name", "row", "col"], "left")
@@ -270,10 +313,7 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
         "ses", F.when(F.array_contains("cols", "ses"), F.col("ses")).otherwise(F.lit("1")))
     answers = answers.select("study", F.col("file_name").alias("file_seq"), "task", F.col("row").cast("long").alias("row_seq"),
                              "id", "ses", "cols")
-    firsts = trials.first_sessions(answers)
-    pos = group_positions(answers.select("study", "file_seq", "id", "row_seq"), ["study", "file_seq", "id"], ["row_seq"], out="pos")
-    per_row = answers.join(firsts.select("study", "file_seq", "id", "session"), ["study", "file_seq", "id"]).join(
-        pos, ["study", "file_seq", "id", "row_seq"])
+    per_row = group_positions(answers, ["study", "file_seq", "id"], ["row_seq"], out="pos", first={"session": F.col("ses")})
 
     # Cells of a row in output order: onset, duration, trial_type,
     # response_time, then the rest in sheet order (P11/P12); absent leading
@@ -304,13 +344,14 @@ def convert_trial_workbooks(spark: SparkSession, data_dir: str, out_root: str, s
     items = books.filter(F.col("sheet_name") == "items")
     ih = items.filter(F.col("row") == 0).select("study", "file_name", "col", F.lower(F.btrim("value")).alias("column"))
     iv = items.filter(F.col("row") > 0).join(ih, ["study", "file_name", "col"])
-    item_rows = iv.groupBy("study", "task", "row").agg(
+    item_rows = iv.filter(F.col("value").isNotNull()).groupBy("study", "task", "row").agg(
         F.max(F.when(F.col("column") == "itemname", F.col("value"))).alias("itemname"),
         F.max(F.when(F.col("column") == "itemdescription", F.col("value"))).alias("itemdescription"),
     ).select("study", "task", F.col("row").cast("long").alias("row_seq"),
              F.coalesce("itemname", F.lit(FILL_TEXT)).alias("itemname"),
              F.coalesce("itemdescription", F.lit(FILL_TEXT)).alias("itemdescription"))
-    tj = task_json(item_rows)
+    # a workbook whose items sheet has no rows still gets its document
+    tj = task_json(item_rows, tasks=books.select("study", "task").distinct())
     bids.write_files(tj.select(F.concat(F.col("study"), F.lit("/task-"), F.col("task"), F.lit("_beh.json")).alias("path"),
                                F.col("json").alias("content")), out_root, json_indent=2)
 

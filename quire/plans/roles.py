@@ -28,26 +28,16 @@ from pyspark.sql import functions as F
 
 from quire.functions.ids import item_name, session_id, subject_id
 from quire.functions.text import integral_text
-from quire.operators.util import spread
 
 STUDY = "tpch"
 # The event types of the test data, in task order.
 EVENT_TASKS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
 
 
-# Tables whose rows carry heavy per-row work (regex, JSON, long text): worth
-# spreading when they arrive as fewer splits than the parallelism.
-HEAVY_ROWS = ("events", "documents", "part")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A driver table, pruned to ``columns``; heavy-row tables are spread over
-    the cluster when the file arrives as fewer splits than the parallelism
-    (``util.spread``; a no-op for inputs that are already split)."""
+    """A driver table, pruned to ``columns``."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if columns:
-        df = df.select(*columns)
-    return spread(df) if name in HEAVY_ROWS else df
+    return df.select(*columns) if columns else df
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:

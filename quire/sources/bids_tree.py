@@ -9,36 +9,51 @@ sources cannot see when empty.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.paths import path_session, path_subject, path_task, sidecar_task
+from quire.functions.paths import decoded_path, file_tasks, path_session, path_subject, path_task, sidecar_task
 from quire.functions.text import na_token_to_null
 
 
-def record_cells(spark: SparkSession, root: str) -> DataFrame:
+# One field and what ends it: a quoted field may hold tabs, line breaks and
+# doubled quotes; lines end with \n, \r\n or \r.
+FIELD = r'("(?:[^"]++|"")*+"|[^\t\r\n]*+)(\t|\r\n|\n|\r|$)'
+
+
+def parsed_lines(text: Column) -> Column:
+    """Lines of a TSV text as arrays of unquoted fields; blank lines left out."""
+    raw = F.regexp_extract_all(text, F.lit(FIELD), F.lit(1))
+    stop = F.regexp_extract_all(text, F.lit(FIELD), F.lit(2))
+    # the pattern also matches the nothing behind the last line end
+    ends = F.filter(F.transform(stop, lambda s, i: F.when(s != "\t", i + 1)), lambda e: e.isNotNull())
+    plain = F.transform(raw, lambda f: F.when(
+        f.startswith('"') & f.endswith('"') & (F.length(f) > 1),
+        F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+    lines = F.transform(ends, lambda e, k: F.slice(
+        plain, F.when(k > 0, F.get(ends, k - 1)).otherwise(0) + 1, e - F.when(k > 0, F.get(ends, k - 1)).otherwise(0)))
+    return F.filter(lines, lambda x: (F.size(x) > 1) | (F.get(x, F.lit(0)) != ""))
+
+
+def record_cells(spark: SparkSession, root: str, tasks: Sequence[str] | None = None) -> DataFrame:
     """S9 cells ``(subject_id, session_id, task, file_path, row_index, col_seq,
-    column, value)`` of every ``*_beh.tsv`` under ``root``."""
-    files = (
-        spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*_beh.tsv")
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
-    )
-    lines = files.select("file_path", F.posexplode(F.split(F.regexp_replace("text", "\n$", ""), "\n", -1)).alias("ln", "line"))
-    header = lines.filter(F.col("ln") == 0).select("file_path", F.split("line", "\t", -1).alias("names"))
-    rows = lines.filter(F.col("ln") > 0).join(header, "file_path")
-    cells = rows.select(
-        "file_path", (F.col("ln") - 1).alias("row_index"), "names",
-        F.posexplode(F.split("line", "\t", -1)).alias("col_seq", "raw"),
-    )
-    unq = F.regexp_replace(F.regexp_replace(F.col("raw"), r'^"(.*)"$', "$1"), '""', '"')
+    column, value)`` of every ``*_beh.tsv`` under ``root``: of each requested
+    task whose name the file bears, or, without a list, of the one in its name."""
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*beh.tsv").select(
+        decoded_path(F.col("_metadata.file_path")).alias("file_path"), parsed_lines(F.col("value")).alias("lines"))
+    task = F.explode(file_tasks("file_path", tasks)) if tasks else path_task("file_path")
+    rows = files.select("file_path", "lines", task.alias("task")).select(
+        "file_path", "task", F.get("lines", F.lit(0)).alias("names"),
+        F.posexplode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("row_index", "fields"))
+    cells = rows.select("file_path", "task", "row_index", "names", F.posexplode("fields").alias("col_seq", "raw"))
     return cells.select(
         path_subject(F.col("file_path")).alias("subject_id"),
         path_session(F.col("file_path")).alias("session_id"),
-        path_task(F.col("file_path")).alias("task"),
-        "file_path", "row_index", "col_seq",
+        "task", "file_path", "row_index", "col_seq",
         F.try_element_at("names", F.col("col_seq") + 1).alias("column"),
-        na_token_to_null(unq).alias("value"),
+        na_token_to_null(F.col("raw")).alias("value"),
     )
 
 
@@ -46,12 +61,13 @@ def participants_rows(spark: SparkSession, root: str) -> tuple[DataFrame, list[s
     """S8 long rows ``(row_seq, col_seq, subject_id, column, value)`` and the
     column list; ``participant_id`` is renamed ``subject_id``; NA tokens
     become null."""
-    df = spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).csv(
+    df = spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).option(
+        "quote", '"').option("escape", '"').option("multiLine", True).csv(
         os.path.join(root, "participants.tsv"))
     if "participant_id" in df.columns:
         df = df.withColumnRenamed("participant_id", "subject_id")
     if "subject_id" not in df.columns:
-        raise ValueError("participants.tsv must contain a 'subject_id' or 'participant_id' column.")
+        raise ValueError("participants.tsv has no subject column (participant_id or subject_id)")
     cols = [c for c in df.columns if c != "subject_id"]
     df = df.withColumn("row_seq", F.monotonically_increasing_id())
     if not cols:
@@ -89,5 +105,5 @@ def sidecar_tasks(spark: SparkSession, root: str) -> list[str]:
         sidecar_task(F.col("_metadata.file_name")).alias("t"))
     tasks = sorted({r[0] for r in df.filter(F.col("t").isNotNull()).distinct().collect()})
     if not tasks:
-        raise ValueError(f"No task-*_beh.json files found in {root}")
+        raise ValueError(f"no task sidecars under {root}")
     return tasks

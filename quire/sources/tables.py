@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions.paths import decoded_path
 
 # Names that are never session sheets.
 TEMP_PREFIX = "~$"
@@ -46,7 +47,7 @@ def tag_lines(df: DataFrame, study_from_parent: bool = True) -> DataFrame:
     plain text read or the output of ``file_columns`` (a micro-batch)."""
     if "_path" not in df.columns:
         df = file_columns(df)
-    path = F.col("_path")
+    path = decoded_path(F.col("_path"))
     study = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1) if study_from_parent else F.lit(None).cast("string")
     return df.select(
         study.alias("study"),
@@ -59,7 +60,7 @@ def tag_lines(df: DataFrame, study_from_parent: bool = True) -> DataFrame:
 
 def split_fields(line, width: int, sep: str) -> F.Column:
     schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE"})
+    parsed = F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "quote": '"', "escape": '"'})
     return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
@@ -202,7 +203,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ",")
         df = spark.read.parquet(path)
         return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns],
                          F.col("_metadata.row_index").alias("row_seq"))
-    df = spark.read.option("header", True).option("inferSchema", False).option("sep", sep).csv(path)
+    df = spark.read.option("header", True).option("inferSchema", False).option("sep", sep).option(
+        "escape", '"').option("multiLine", True).csv(path)
     return df.withColumn("row_seq", F.monotonically_increasing_id())
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from quire.sources.tables import RESERVED_FILES, TEMP_PREFIX
 
+UNREADABLE = -1
 CELL_SCHEMA = "path string, sheet_idx int, sheet_name string, row int, col int, value string"
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -68,6 +69,7 @@ def parse_xlsx(path: str, content: bytes):
         if member not in names:
             continue
         ws = ET.fromstring(z.read(member))
+        grid = {}
         for c in ws.iter(f"{_NS}c"):
             ref = c.get("r") or ""
             m = re.match(r"([A-Za-z]+)(\d+)", ref)
@@ -86,31 +88,43 @@ def parse_xlsx(path: str, content: bytes):
                 value = v.text if t in ("str", "e") else _number_text(v.text)
             else:
                 continue
-            yield (path, idx, sh.get("name"), row, col, value)
+            grid[row, col] = value
+        # every row below the header has a cell, blank or not, for each header column
+        header = {col for row, col in grid if row == 0}
+        last = max((row for row, _ in grid), default=0)
+        for row, col in sorted(grid.keys() | {(row, col) for row in range(1, last + 1) for col in header}):
+            yield (path, idx, sh.get("name"), row, col, grid.get((row, col)))
 
 
 def _parse_batches(batches):
+    """One frame per workbook; a workbook that cannot be read is one row with
+    ``sheet_idx`` -1 and the reason as its value."""
     import pandas as pd
 
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            out.extend(parse_xlsx(path, bytes(content)))
-        yield pd.DataFrame(out, columns=["path", "sheet_idx", "sheet_name", "row", "col", "value"])
+            try:
+                out = list(parse_xlsx(path, bytes(content)))
+            except Exception as bad:  # noqa: BLE001 - any damage of a file is that file's issue
+                out = [(path, UNREADABLE, None, 0, 0, f"{type(bad).__name__}: {bad}")]
+            yield pd.DataFrame(out, columns=["path", "sheet_idx", "sheet_name", "row", "col", "value"])
 
 
-def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = False) -> DataFrame:
+def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = False, only: tuple[str, ...] = ()) -> DataFrame:
     """Cells of every ``*.xlsx`` under ``root`` (temp files ``~$*`` skipped;
-    with ``exclude_reserved`` also the demographics/variables workbooks)."""
+    with ``exclude_reserved`` also the demographics/variables workbooks; with
+    ``only`` just the files of those names).  Names are tested on the listing,
+    before a workbook is parsed."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(root)
     name_of = F.regexp_extract("path", r"([^/]+)$", 1)
     keep = ~name_of.startswith(TEMP_PREFIX)
     if exclude_reserved:
         keep = keep & ~name_of.isin(*RESERVED_FILES)
+    if only:
+        keep = keep & name_of.isin(*only)
     listing = listing.filter(keep)
     study_of = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    # File order from the listing alone (the content column is pruned), so the
-    # workbooks are parsed once.
+    # File order from the listing alone (the content column is pruned).
     seq = listing.select("path", study_of.alias("study"), name_of.alias("file_name")).withColumn(
         "file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
     cells = listing.select("path", "content").mapInPandas(_parse_batches, CELL_SCHEMA)
@@ -119,8 +133,24 @@ def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = Fals
 
 
 def sheet_counts(cells: DataFrame) -> DataFrame:
-    """V1 input: number of sheets per workbook."""
-    return cells.groupBy("study", "file_name").agg(F.countDistinct("sheet_idx").alias("n_sheets"))
+    """V1 input: number of sheets per readable workbook."""
+    return cells.filter(F.col("sheet_idx") >= 0).groupBy("study", "file_name").agg(
+        F.countDistinct("sheet_idx").alias("n_sheets"))
+
+
+def unreadable(cells: DataFrame) -> DataFrame:
+    """Issue rows for workbooks that could not be read."""
+    return cells.filter(F.col("sheet_idx") == UNREADABLE).select(
+        "study", F.lit("S1.unreadable").alias("check"), F.lit("error").alias("severity"),
+        F.col("file_name").alias("object"), F.col("value").alias("detail"))
+
+
+def workbook_issues(cells: DataFrame, sheets: int) -> DataFrame:
+    """Unreadable workbooks and V1: fewer than the ``sheets`` a kind of workbook needs."""
+    few = sheet_counts(cells).filter(F.col("n_sheets") < sheets)
+    return unreadable(cells).unionByName(few.select(
+        "study", F.lit("V1.sheets").alias("check"), F.lit("error").alias("severity"), F.col("file_name").alias("object"),
+        F.format_string(f"%d of {sheets} sheets", "n_sheets").alias("detail")))
 
 
 def sheet_cells(cells: DataFrame, sheet_idx: int | None = None, sheet_name: str | None = None,
@@ -132,7 +162,8 @@ def sheet_cells(cells: DataFrame, sheet_idx: int | None = None, sheet_name: str
         s = s.filter(F.col("sheet_idx") == sheet_idx)
     if sheet_name is not None:
         s = s.filter(F.col("sheet_name") == sheet_name)
-    hdr = s.filter(F.col("row") == 0).select("study", "file_name", "col", F.btrim(F.col("value")).alias("name"))
+    hdr = s.filter((F.col("row") == 0) & F.col("value").isNotNull()).select(
+        "study", "file_name", "col", F.btrim(F.col("value")).alias("name"))
     if lowercase_names:
         hdr = hdr.withColumn("name", F.lower("name"))
     k = F.row_number().over(Window.partitionBy("study", "file_name", "name").orderBy("col")) - 1

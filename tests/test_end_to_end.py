@@ -20,24 +20,24 @@ def _write(path, text):
 def study_tree(spark):
     root = tempfile.mkdtemp(prefix="quire-e2e-")
     _write(f"{root}/data/studyA/session1.csv",
-           "id,ses,testquest01,testquest02,testquest03,TESTQUEST04\nsub-001,1,0,1,3,9\nsub-002,1,2,1,2,9\n")
+           "id,ses,calmness01,calmness02,calmness03,CALMNESS04\nsub-001,1,5,6,8,9\nsub-002,1,7,6,4,9\n")
     # later file repeats sub-001 / ses 1: the whole record wins, nulls included
-    _write(f"{root}/data/studyA/session2.csv", "ID,Ses,testquest01,testquest02,testquest03\nsub-001,1,4,,2\n")
-    _write(f"{root}/res/studyA/testquest.csv",
+    _write(f"{root}/data/studyA/session2.csv", "ID,Ses,calmness01,calmness02,calmness03\nsub-001,1,4,,2\n")
+    _write(f"{root}/res/studyA/calmness.csv",
            "itemname,itemdescription,likert_scale,levels,leveldescription,levels.1,leveldescription.1\n"
-           "testquest01,I feel confident,2,0,Rarely,1,Sometimes\n"
-           "testquest02,I sleep well,2,0,Rarely,1,Sometimes\n"
-           "testquest03,I eat well,2,0,Rarely,1,Sometimes\n"
+           "calmness01,Breath went evenly,2,0,Never,1,Always\n"
+           "calmness02,Hands were still,2,0,Never,1,Always\n"
+           "calmness03,Thoughts came slowly,2,0,Never,1,Always\n"
            "example_item,Example,0,,,,\n"
-           "testquest05,Only defined,x,,kg,,\n")
+           "calmness05,Only defined,x,,kg,,\n")
     _write(f"{root}/res/studyA/emptytask.csv", "itemname,itemdescription\nemptytask01,Never answered\n")
-    _write(f"{root}/meta1/studyA/testquest.csv", "Key Name,Description\nTaskName,Test questionnaire\ntestquest02,Replaced\n")
-    _write(f"{root}/meta2/studyA/testquest.csv", "key name,description\nTaskName,Later wins\n")
+    _write(f"{root}/meta1/studyA/calmness.csv", "Key Name,Description\nTaskName,Calmness diary\ncalmness02,Replaced\n")
+    _write(f"{root}/meta2/studyA/calmness.csv", "key name,description\nTaskName,Later wins\n")
     _write(f"{root}/meta/demographics.csv",
-           "id,ses,age,sex,size,weight,group\nsub-001,1,34,2,190,100,2\nsub-002,1,20,2,184,80,3\n")
+           "id,ses,age,hand,height,shoes,room\nsub-001,1,51,2,163,41,7\nsub-002,1,27,2,171,39,5\n")
     _write(f"{root}/meta/variables.csv",
-           "VariableName,DataType,Description,Levels\nid,string,Participant ID,\nage,integer,Age in years,\n"
-           "sex,cat_num,Biological sex,1: Male; 2: Female\n")
+           "VariableName,DataType,Description,Levels\nid,string,Participant ID,\nage,integer,Years of practice,\n"
+           "hand,cat_num,Writing hand,1: Left; 2: Right\n")
     out = os.path.join(root, "out")
     demo = tables.read_table(spark, f"{root}/meta/demographics.csv").drop("row_seq")
     var = tables.read_table(spark, f"{root}/meta/variables.csv").withColumnRenamed("row_seq", "seq")
@@ -57,33 +57,33 @@ def _read(path):
 def test_record_files(study_tree):
     out, _ = study_tree
     base = f"{out}/studyA/rawdata"
-    r1 = _read(f"{base}/sub-001/ses-01/beh/sub-001_ses-01_task-testquest_beh.tsv")
-    assert r1 == "TESTQUEST01\tTESTQUEST02\tTESTQUEST03\n4\t\t2\n"
-    r2 = _read(f"{base}/sub-002/ses-01/beh/sub-002_ses-01_task-testquest_beh.tsv")
-    assert r2 == "TESTQUEST01\tTESTQUEST02\tTESTQUEST03\n2\t1\t2\n"
+    r1 = _read(f"{base}/sub-001/ses-01/beh/sub-001_ses-01_task-calmness_beh.tsv")
+    assert r1 == "CALMNESS01\tCALMNESS02\tCALMNESS03\n4\t\t2\n"
+    r2 = _read(f"{base}/sub-002/ses-01/beh/sub-002_ses-01_task-calmness_beh.tsv")
+    assert r2 == "CALMNESS01\tCALMNESS02\tCALMNESS03\n7\t6\t4\n"
 
 
 def test_sidecar_and_unused(study_tree):
     out, _ = study_tree
     base = f"{out}/studyA/rawdata"
-    text = _read(f"{base}/task-testquest_beh.json")
-    assert text.startswith('{\n    "testquest01": {\n        "Description": "I feel confident",')  # indent 4
+    text = _read(f"{base}/task-calmness_beh.json")
+    assert text.startswith('{\n    "calmness01": {\n        "Description": "Breath went evenly",')  # indent 4
     side = json.loads(text)
-    assert list(side)[:3] == ["testquest01", "testquest02", "testquest03"]
-    assert side["testquest02"] == "Replaced"          # metadata replaces an item, keeps its position
+    assert list(side)[:3] == ["calmness01", "calmness02", "calmness03"]
+    assert side["calmness02"] == "Replaced"          # metadata replaces an item, keeps its position
     assert side["TaskName"] == "Later wins" and list(side)[-1] == "TaskName"
-    assert side["testquest01"] == {"Description": "I feel confident", "Levels": {"0": "Rarely", "1": "Sometimes"}}
+    assert side["calmness01"] == {"Description": "Breath went evenly", "Levels": {"0": "Never", "1": "Always"}}
     assert side["exampleitem"]["Description"] == "Example"
-    assert side["testquest05"] == {"Description": "Only defined", "Units": "kg"}
+    assert side["calmness05"] == {"Description": "Only defined", "Units": "kg"}
     assert not os.path.exists(f"{base}/task-emptytask_beh.json")
 
 
 def test_participants(study_tree):
     out, _ = study_tree
     base = f"{out}/studyA/rawdata"
-    assert _read(f"{base}/participants.tsv") == "participant_id\tage\tsex\nsub-001\t34\t2\nsub-002\t20\t2\n"
+    assert _read(f"{base}/participants.tsv") == "participant_id\tage\thand\nsub-001\t51\t2\nsub-002\t27\t2\n"
     pj = json.loads(_read(f"{base}/participants.json"))
-    assert pj["sex"] == {"Description": "Biological sex", "Levels": {"1": "Male", "2": "Female"}}
+    assert pj["hand"] == {"Description": "Writing hand", "Levels": {"1": "Left", "2": "Right"}}
     assert pj["participant_id"] == {"Description": "Unique participant identifier", "LongName": "Participant ID"}
     assert "id" not in pj
     dd = json.loads(_read(f"{base}/dataset_description.json"))
@@ -94,10 +94,10 @@ def test_participants(study_tree):
 def test_issues(study_tree):
     _, issues = study_tree
     got = {(r["check"], r["object"], r["detail"]) for r in issues}
-    assert ("V3.extra_columns", "TESTQUEST", "TESTQUEST04") in got
-    assert ("V3.missing_items", "TESTQUEST", "TESTQUEST05") in got
+    assert ("V3.extra_columns", "CALMNESS", "CALMNESS04") in got
+    assert ("V3.missing_items", "CALMNESS", "CALMNESS05") in got
     assert ("J8.unused_task", "EMPTYTASK", "no records") in got
-    assert ("V3.nan_values", "TESTQUEST02", "1") in got
+    assert ("V3.nan_values", "CALMNESS02", "1") in got
 
 
 def test_gather_back(spark, study_tree):
@@ -105,9 +105,9 @@ def test_gather_back(spark, study_tree):
     root = f"{out}/studyA/rawdata"
     wide = convert.gather_tree(spark, root)
     rows = {r["subject_id"]: r.asDict() for r in wide.collect()}
-    assert wide.columns == ["subject_id", "session_id", "age", "sex", "TESTQUEST01", "TESTQUEST02", "TESTQUEST03"]
-    assert rows["sub-002"] == {"subject_id": "sub-002", "session_id": "01", "age": "20", "sex": "2",
-                               "TESTQUEST01": "2", "TESTQUEST02": "1", "TESTQUEST03": "2"}
-    assert rows["sub-001"]["TESTQUEST02"] is None
-    path = convert.write_gather_csv(wide, root, ["testquest"])
-    assert _read(path).splitlines()[0] == "subject_id,session_id,age,sex,TESTQUEST01,TESTQUEST02,TESTQUEST03"
+    assert wide.columns == ["subject_id", "session_id", "age", "hand", "CALMNESS01", "CALMNESS02", "CALMNESS03"]
+    assert rows["sub-002"] == {"subject_id": "sub-002", "session_id": "01", "age": "27", "hand": "2",
+                               "CALMNESS01": "7", "CALMNESS02": "6", "CALMNESS03": "4"}
+    assert rows["sub-001"]["CALMNESS02"] is None
+    path = convert.write_gather_csv(wide, root, ["calmness"])
+    assert _read(path).splitlines()[0] == "subject_id,session_id,age,hand,CALMNESS01,CALMNESS02,CALMNESS03"

@@ -33,18 +33,28 @@ def test_fill_missing(spark):
     assert out.first()["x"] == "n/a"
 
 
-def test_group_positions_matches_row_number_with_hot_key(spark):
-    # one key holds a third of all rows
-    rows = [("hot" if i % 3 == 0 else f"k{i % 50}", i * 7 % 1000, i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, o long, v long")
-    got = group_positions(df, ["g"], ["o", "v"], num_partitions=8)
-    w = Window.partitionBy("g").orderBy("o", "v")
-    ref = df.withColumn("p", F.row_number().over(w) - 1)
-    a = sorted((r.g, r.o, r.v, r.position) for r in got.collect())
-    b = sorted((r.g, r.o, r.v, r.p) for r in ref.collect())
-    assert a == b
-    hot_parts = got.filter("g = 'hot'").select(F.spark_partition_id()).distinct().count()
-    assert hot_parts >= 1
+def test_group_positions_of_a_hot_key_with_payload(spark):
+    # 240,000 rows, a third of them under one key, with columns that no ordering needs;
+    # the answer must not depend on how the rows are partitioned
+    rows = spark.range(240_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 1, F.lit(None)).otherwise(
+            F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("g"),
+        ((F.col("id") * 7919) % 240_000).alias("o"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    w = Window.partitionBy("g").orderBy("o")
+    want = rows.withColumn("position", F.row_number().over(w) - 1).withColumn("lead", F.first("payload").over(w))
+    want = want.select("g", "o", "payload", "position", "lead")
+    for parts in (1, 3, 16):
+        got = group_positions(rows.repartition(parts), ["g"], ["o"], first={"lead": F.col("payload")}, width=1000)
+        assert got.count() == 240_000
+        assert got.exceptAll(want).count() == 0
+
+
+def test_group_positions_by_split_and_line(spark):
+    key = F.struct((F.col("id") % 4).alias("blk"), (F.col("id") * 37 % 5000).alias("mono"))
+    rows = spark.range(5000).select(F.lit(1).alias("g"), key.alias("k"))
+    got = group_positions(rows, ["g"], ["k"], width=64)
+    want = rows.withColumn("position", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
+    assert got.exceptAll(want).count() == 0 and got.count() == 5000
 
 
 def test_gather_override_with_nulls(spark):

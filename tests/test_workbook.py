@@ -68,34 +68,34 @@ def test_convert_workbooks_mini_study(spark):
     from quire.plans import convert
 
     root = tempfile.mkdtemp(prefix="quire-xlsx-study-")
-    write_xlsx(f"{root}/data/studyA/session1.xlsx", [("Sheet1", [["id", "ses", "testquest01", "testquest02", "testquest03"],
-                                                                 ["sub-001", 1, 0, 1, 3], ["sub-002", 1, 2, 1, 2]])])
-    write_xlsx(f"{root}/data/studyA/demographics.xlsx", [("Sheet1", [["id", "ses", "age", "sex", "size"],
-                                                                     ["sub-001", 1, 34, 2, 190], ["sub-002", 1, 20, 2, 184]])])
+    write_xlsx(f"{root}/data/studyA/session1.xlsx", [("Sheet1", [["id", "ses", "calmness01", "calmness02", "calmness03"],
+                                                                 ["sub-001", 1, 5, 6, 8], ["sub-002", 1, 7, 6, 4]])])
+    write_xlsx(f"{root}/data/studyA/demographics.xlsx", [("Sheet1", [["id", "ses", "age", "hand", "height"],
+                                                                     ["sub-001", 1, 51, 2, 163], ["sub-002", 1, 27, 2, 171]])])
     write_xlsx(f"{root}/data/studyA/participants_dataset.xlsx", [
         ("variables", [["VariableName", "DataType", "Description", "Levels"], ["id", "string", "Participant ID", None],
-                       ["age", "integer", "Age in years", None], ["sex", "cat_num", "Biological sex", "1: Male; 2: Female"]]),
+                       ["age", "integer", "Years of practice", None], ["hand", "cat_num", "Writing hand", "1: Left; 2: Right"]]),
         ("dataset", [["key", "value"], ["Name", "Mini"], ["Licence", "CC0"]]),
     ])
-    write_xlsx(f"{root}/resources/testquest.xlsx", [
+    write_xlsx(f"{root}/resources/calmness.xlsx", [
         ("items", [["itemname", "itemdescription", "likert_scale", "levels", "leveldescription", "levels", "leveldescription"],
-                   ["testquest01", "I feel confident", 2, 0, "Rarely", 1, "Sometimes"],
-                   ["testquest02", "I sleep well", 2, 0, "Rarely", 1, "Sometimes"],
-                   ["testquest03", "I eat well", 2, 0, "Rarely", 1, "Sometimes"]]),
-        ("task", [["Key Name", "Description"], ["TaskName", "Test questionnaire"]]),
+                   ["calmness01", "Breath went evenly", 2, 0, "Never", 1, "Always"],
+                   ["calmness02", "Hands were still", 2, 0, "Never", 1, "Always"],
+                   ["calmness03", "Thoughts came slowly", 2, 0, "Never", 1, "Always"]]),
+        ("task", [["Key Name", "Description"], ["TaskName", "Calmness diary"]]),
         ("nonlikert", [["key name", "description"]]),
     ])
     out = f"{root}/out"
     convert.convert_workbooks(spark, f"{root}/data/studyA", f"{root}/resources", out, "studyA").collect()
     base = f"{out}/studyA/rawdata"
-    with open(f"{base}/sub-001/ses-01/beh/sub-001_ses-01_task-testquest_beh.tsv", encoding="utf-8") as fh:
-        assert fh.read() == "TESTQUEST01\tTESTQUEST02\tTESTQUEST03\n0\t1\t3\n"
+    with open(f"{base}/sub-001/ses-01/beh/sub-001_ses-01_task-calmness_beh.tsv", encoding="utf-8") as fh:
+        assert fh.read() == "CALMNESS01\tCALMNESS02\tCALMNESS03\n5\t6\t8\n"
     with open(f"{base}/participants.tsv", encoding="utf-8") as fh:
-        assert fh.read() == "participant_id\tage\tsex\nsub-001\t34\t2\nsub-002\t20\t2\n"
-    with open(f"{base}/task-testquest_beh.json", encoding="utf-8") as fh:
+        assert fh.read() == "participant_id\tage\thand\nsub-001\t51\t2\nsub-002\t27\t2\n"
+    with open(f"{base}/task-calmness_beh.json", encoding="utf-8") as fh:
         side = json.load(fh)
-    assert side["testquest01"]["Levels"] == {"0": "Rarely", "1": "Sometimes"}
-    assert side["TaskName"] == "Test questionnaire"
+    assert side["calmness01"]["Levels"] == {"0": "Never", "1": "Always"}
+    assert side["TaskName"] == "Calmness diary"
     with open(f"{base}/dataset_description.json", encoding="utf-8") as fh:
         assert json.load(fh) == {"Name": "Mini", "License": "CC0", "BIDSVersion": "1.8.0", "DatasetType": "raw"}
 
