@@ -105,7 +105,24 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op7_suffix_array_dedup")
+OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS win FROM d, unnest(range(0, length(h) // 2 - 99)) AS t(i)),
+dup AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS starts FROM dup),
+runs AS (SELECT doc_id, i, sum(starts) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM spans),
+cut AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+  string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
+@register("op7_suffix_array_dedup", OP7_SQL)
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     cut = suffix_dedup.remove_repeats(docs, keep=["doc_id"], digest=True)
