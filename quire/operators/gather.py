@@ -14,8 +14,8 @@ earlier one on the same column **with nulls**; ``participant_id`` and
 ``session_id`` columns of task files skipped.  Deviation D12: the key always
 comes from the path, also for subjects absent from participants.
 
-The precedence merge is one ``max_by`` aggregation per (subject, session,
-column): map-side combine, no window over a hot subject.
+The precedence merge is a ``max_by`` aggregation: map-side combine, no window
+over a hot subject.
 """
 
 from __future__ import annotations
@@ -41,46 +41,73 @@ def first_rows(cells: DataFrame) -> DataFrame:
 
 
 def last_participants(participants: DataFrame) -> DataFrame:
-    """The last participants row of a subject wins (dict assignment)."""
-    last = participants.groupBy("subject_id").agg(F.max("row_seq").alias("row_seq"))
-    return participants.join(last, on=["subject_id", "row_seq"], how="left_semi")
+    """The last participants row of a subject wins (dict assignment): its
+    cells, by one ``max_by`` per subject and column."""
+    return participants.groupBy("subject_id", "column").agg(F.max_by("value", "row_seq").alias("value"))
 
 
-def merged_cells(spine: DataFrame, cells: DataFrame, participants: DataFrame, tasks: Sequence[str]) -> DataFrame:
-    """J4 + J5 + W7 as long cells ``(subject_id, session_id, column, value,
-    prec, order)``; ``order`` is the first-appearance key for P13."""
+def task_values(cells: DataFrame, tasks: Sequence[str]) -> DataFrame:
+    """Cells of the requested tasks' first rows with their precedence."""
     task_rank = F.create_map(*[x for i, t in enumerate(tasks) for x in (F.lit(t), F.lit(i + 2))])
-    t = first_rows(cells).filter(F.col("task").isin(*tasks)).filter(~F.col("column").isin(*SKIP_COLUMNS))
-    t = t.select(*KEY, "column", "value", task_rank[F.col("task")].alias("prec"), F.col("col_seq").cast("long").alias("col_seq"))
+    t = cells.filter(F.col("task").isin(*tasks) & ~F.col("column").isin(*SKIP_COLUMNS))
+    return first_rows(t).select(*KEY, "column", "value", task_rank[F.col("task")].alias("prec"),
+                                F.col("col_seq").cast("long").alias("col_seq"))
+
+
+def merged_cells(spine: DataFrame, cells: DataFrame, participants: DataFrame, tasks: Sequence[str]) -> DataFrame:
+    """J4 + J5 + W7 as long cells ``(subject_id, session_id, column, value)``."""
     p = last_participants(participants).filter(F.col("column") != "subject_id")
     p = p.join(spine, on="subject_id", how="inner")  # J4: attach to each session of the subject
-    p = p.select(*KEY, "column", "value", F.lit(0).alias("prec"), F.col("col_seq").cast("long").alias("col_seq"))
-    s = spine.select(*KEY, F.lit("session_id").alias("column"), F.col("session_id").alias("value"),
-                     F.lit(1).alias("prec"), F.lit(0).cast("long").alias("col_seq"))
-    allc = p.unionByName(s).unionByName(t)
+    p = p.select(*KEY, "column", "value", F.lit(0).alias("prec"))
+    s = spine.select(*KEY, F.lit("session_id").alias("column"), F.col("session_id").alias("value"), F.lit(1).alias("prec"))
+    allc = p.unionByName(s).unionByName(task_values(cells, tasks).drop("col_seq"))
+    return allc.groupBy(*KEY, "column").agg(F.max_by(F.col("value"), F.col("prec")).alias("value"))
+
+
+def column_order(values: DataFrame, participants: DataFrame, spine: DataFrame,
+                 participant_columns: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Participant columns that some subject of the tree has, and task
+    columns by first appearance (subject, session, precedence, header
+    position).  Min aggregations; one row per distinct column comes back (a
+    header list)."""
     order = F.struct("subject_id", "session_id", "prec", "col_seq")
-    return allc.groupBy(*KEY, "column").agg(
-        F.max_by(F.col("value"), F.col("prec")).alias("value"),
-        F.min(order).alias("order"),
-    )
-
-
-def column_order(merged: DataFrame, participant_columns: Sequence[str]) -> list[str]:
-    """subject_id, session_id, participant columns present, then the rest
-    by first appearance (subject, session, precedence, header position).  One
-    row per distinct column comes back to the driver (a header list)."""
-    firsts = merged.groupBy("column").agg(F.min("order").alias("o")).orderBy("o").collect()
-    present = [r["column"] for r in firsts]
-    front = ["subject_id", "session_id"] + [c for c in participant_columns if c in present and c not in KEY]
-    return front + [c for c in present if c not in front]
+    firsts = values.groupBy("column").agg(F.min(order).alias("o")).orderBy("o").collect()
+    here = participants.join(spine.select("subject_id").distinct(), "subject_id", "left_semi")
+    held = {r["column"] for r in here.select("column").distinct().collect()}
+    front = [c for c in participant_columns if c in held and c not in KEY]
+    return front, [r["column"] for r in firsts]
 
 
 def gather_wide(spine: DataFrame, cells: DataFrame, participants: DataFrame, tasks: Sequence[str],
                 participant_columns: Sequence[str]) -> DataFrame:
     """K6 table: one row per (subject, session), every session directory kept
-    (also without task files), columns in P13 order."""
-    merged = merged_cells(spine, cells, participants, tasks)
-    cols = [c for c in column_order(merged, participant_columns) if c not in KEY]
-    wide = merged.filter(F.col("column") != "session_id").groupBy(*KEY).pivot("column", [c for c in cols if c != "session_id"]).agg(F.first("value"))
-    wide = spine.join(wide, on=list(KEY), how="left")
-    return wide.select(*KEY, *[F.col(f"`{c}`") for c in cols if c != "session_id"])
+    (also without task files), columns in P13 order.
+
+    Tasks are pivoted once per session and participants once per subject; a
+    task column replaces a participant column where the session has the cell,
+    null or not."""
+    values = task_values(cells, tasks)
+    front, rest = column_order(values, participants, spine, participant_columns)
+    spine = spine.select(*KEY)
+    out = spine
+    if rest:
+        names = {f"_t{i}": c for i, c in enumerate(rest)}
+        both = [c for c in rest if c in front]
+        pick = lambda c: F.col("column") == c
+        t = values.groupBy(*KEY).agg(
+            *[F.max_by(F.when(pick(c), F.struct("value")), F.when(pick(c), F.col("prec")))["value"].alias(n) for n, c in names.items()],
+            *[F.max(pick(c)).alias(f"_has{i}") for i, c in enumerate(both)])
+        out = out.join(t, on=list(KEY), how="left")
+    if front:
+        last = participants.filter(F.col("column").isin(*front)).groupBy("subject_id").agg(
+            *[F.max_by(F.when(F.col("column") == c, F.struct("value")), F.when(F.col("column") == c, F.col("row_seq")))["value"].alias(f"_p{i}")
+              for i, c in enumerate(front)])
+        out = out.join(last, on="subject_id", how="left")
+    slot = {c: n for n, c in names.items()} if rest else {}
+    cols = []
+    for i, c in enumerate(front):
+        mine = F.col(f"_p{i}")
+        if c in slot:
+            mine = F.when(F.coalesce(F.col(f"_has{both.index(c)}"), F.lit(False)), F.col(slot[c])).otherwise(mine)
+        cols.append(mine.alias(c))
+    return out.select(*KEY, *cols, *[F.col(slot[c]).alias(c) for c in rest if c not in front])
