@@ -1056,3 +1056,6 @@ def q_trial_tsv(spark, d):
     data_cols = [c for c in rows.columns if c not in ("study", "file_seq", "task", "file_name", "row_seq")]
     line = F.concat_ws("\t", *[F.coalesce(bids.tsv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in data_cols])
     return rows.select(F.concat(F.col("study"), F.lit("/"), F.col("file_name")).alias("path"), "row_seq", line.alias("line"))
+
+
+from quire.plans import catalog_more  # noqa: E402,F401  (registers its queries)
