@@ -21,11 +21,6 @@ TASK_EXTENSION = r"(?i)\.(xlsx?|csv)$"
 ITEM_PATTERN = r"^([A-Za-z]+)[" + WS_CLASS_BODY + r"\-_]?([0-9]+)\n?\z"
 
 
-def zfill(s: Column, width: int) -> Column:
-    """Python ``str.zfill`` for digit strings: pad, never truncate."""
-    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
-
-
 def subject_id(c) -> Column:
     """C1 ``validate_subject_id``.
 
@@ -106,5 +101,4 @@ __all__ = [
     "task_from_file",
     "item_name",
     "sidecar_key",
-    "zfill",
 ]

@@ -116,17 +116,6 @@ def likert_levels(c) -> Column:
     return F.coalesce(col.try_cast("int"), F.lit(0))
 
 
-def level_pairs(values: list, descriptions: list) -> Column:
-    """A9 input: array of (i, value, description) from repeated column pairs
-    ``levels, levels.1, ...`` / ``leveldescription, leveldescription.1, ...``."""
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), _col(v).cast("string").alias("value"), _col(d).cast("string").alias("description"))
-            for i, (v, d) in enumerate(zip(values, descriptions))
-        ]
-    )
-
-
 def likert_level_entries(pairs: Column, n_levels: Column) -> Column:
     """A9 + F6: level map entries of an item row.
 

@@ -230,11 +230,21 @@ def gather_tree(spark: SparkSession, root: str, tasks: list[str] | None = None)
     return gather.gather_wide(spine, cells, prow, tasks, pcols)
 
 
-def write_gather_csv(wide: DataFrame, root: str, tasks: list[str]) -> str:
-    """K6: ``derivatives/phenotype_task-<t1_t2...>_beh.csv`` (null -> empty)."""
+def write_gather_csv(wide: DataFrame, root: str, tasks: list[str], single_file: bool = False) -> str:
+    """K6: ``derivatives/phenotype_task-<t1_t2...>_beh.csv`` (null -> empty).
+
+    By default a folder of part files in key order, written by all tasks.  With
+    ``single_file`` one file, which one task sorts and streams."""
     name = f"phenotype_task-{'_'.join(tasks)}_beh.csv"
     rel = os.path.join("derivatives", name)
     cols = wide.columns
+    if not single_file:
+        path = os.path.join(root, rel)
+        text = wide.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+        (text.repartitionByRange("subject_id", "session_id").sortWithinPartitions("subject_id", "session_id")
+         .write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").option("quote", '"')
+         .option("escape", '"').csv(path))
+        return path
     line = F.concat_ws(",", *[F.coalesce(bids.csv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in cols])
     lines = wide.select(F.lit(rel).alias("path"), F.struct("subject_id", "session_id").alias("order"), line.alias("line"))
     header = ",".join(c if not any(x in c for x in ',"\r\n') else '"' + c.replace('"', '""') + '"' for c in cols)

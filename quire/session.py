@@ -58,12 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for an intermediate table."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "tables", name)
-
-
 _SHIPPED: set[str] = set()
 
 

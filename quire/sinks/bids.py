@@ -5,12 +5,14 @@ a small Python Data Source (``format("quire_files")``): every row is
 ``(path, content)`` and the task writing it creates that one file.  The
 content is built by Spark expressions; the writer only writes bytes.  Each
 file is written to a temporary name and renamed, so a retried task rewrites
-the same content (idempotent).  ``path`` option = output root on a file
-system the workers mount (a shared folder).
+the same content (idempotent); a task that fails removes its temporary file.
 
-The per-record TSVs are many small files by design of the layout; the main
-store for large runs is ``write_records_table`` (partitioned Parquet), and the
-BIDS tree is an export of it.  Files that are one file by the standard
+The output root is a folder that driver and workers share (a mount).  Other
+file systems (``hdfs://``, ``s3a://``) are refused, and so is a folder in which
+a worker does not find the marker that the driver has just put there: a tree
+spread over the machines' own disks would look like success.
+
+The per-record TSVs are many small files by design of the layout.  Files that are one file by the standard
 (``participants.tsv``, trial tables, the gather CSV) go through
 ``write_lines``: the task that must write such a file streams its sorted lines
 instead of holding them as one array.  JSON documents hold at most one entry
@@ -19,6 +21,12 @@ per declared variable / item.
 
 from __future__ import annotations
 
+import itertools
+import json
+import os
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -29,22 +37,45 @@ from quire.functions.text import clean_text
 FORMAT = "quire_files"
 
 
+def local_root(root: str) -> str:
+    """The folder of an output root; anything but a mounted folder is refused."""
+    scheme, sep, rest = root.partition("://")
+    if sep and scheme != "file":
+        raise ValueError(f"{root}: file names of the layout need a mounted folder, not {scheme}://")
+    return rest if sep else root.removeprefix("file:")
+
+
+@contextmanager
+def _marked(root: str):
+    """A marker file in ``root`` while a job writes there."""
+    os.makedirs(root, exist_ok=True)
+    marker = os.path.join(root, f".writing-{uuid.uuid4().hex}")
+    with open(marker, "w", encoding="utf-8"):
+        pass
+    try:
+        yield marker
+    finally:
+        os.remove(marker)
+
+
+def _check_shared(marker: str) -> None:
+    if not os.path.exists(marker):
+        raise RuntimeError(f"{os.path.dirname(marker)} is not shared between the driver and this worker")
+
+
 class _Written(WriterCommitMessage):
     def __init__(self, n: int):
         self.n = n
 
 
 class NamedFilesWriter(DataSourceWriter):
-    def __init__(self, root: str, json_indent: int | None = None):
-        self.root = root
+    def __init__(self, root: str, marker: str, json_indent: int | None = None):
+        self.root, self.marker = root, marker
         self.json_indent = json_indent
 
     def write(self, iterator):
-        import json
-        import os
-        import uuid
-
         n = 0
+        _check_shared(self.marker)
         for row in iterator:
             full = os.path.join(self.root, row["path"])
             os.makedirs(os.path.dirname(full) or ".", exist_ok=True)
@@ -53,9 +84,13 @@ class NamedFilesWriter(DataSourceWriter):
             if self.json_indent is not None and full.endswith(".json"):
                 # one small document: re-serialised with the source's layout
                 content = json.dumps(json.loads(content), indent=self.json_indent, ensure_ascii=False)
-            with open(tmp, "w", encoding="utf-8", newline="") as fh:
-                fh.write(content)
-            os.replace(tmp, full)
+            try:
+                with open(tmp, "w", encoding="utf-8", newline="") as fh:
+                    fh.write(content)
+                os.replace(tmp, full)
+            finally:
+                if os.path.exists(tmp):
+                    os.remove(tmp)
             n += 1
         return _Written(n)
 
@@ -76,7 +111,7 @@ class NamedFilesDataSource(DataSource):
 
     def writer(self, schema, overwrite):
         indent = self.options.get("json_indent")
-        return NamedFilesWriter(self.options["path"], int(indent) if indent else None)
+        return NamedFilesWriter(self.options["path"], self.options["marker"], int(indent) if indent else None)
 
 
 LINES_FORMAT = "quire_lines"
@@ -86,32 +121,25 @@ class LinesWriter(DataSourceWriter):
     """Streams ``(path, line)`` rows that arrive grouped by path and in line
     order into one file per path; memory use is one line, not one file."""
 
-    def __init__(self, root: str):
-        self.root = root
+    def __init__(self, root: str, marker: str):
+        self.root, self.marker = root, marker
 
     def write(self, iterator):
-        import os
-        import uuid
-
-        cur, fh, tmp, full, n = None, None, None, None, 0
-
-        def finish():
-            if fh is not None:
-                fh.close()
+        _check_shared(self.marker)
+        n = 0
+        for path, rows in itertools.groupby(iterator, key=lambda r: r["path"]):
+            full = os.path.join(self.root, path)
+            os.makedirs(os.path.dirname(full) or ".", exist_ok=True)
+            tmp = f"{full}.{uuid.uuid4().hex}.tmp"
+            try:
+                with open(tmp, "w", encoding="utf-8", newline="") as fh:
+                    for row in rows:
+                        fh.write((row["line"] or "") + "\n")
                 os.replace(tmp, full)
-
-        for row in iterator:
-            if row["path"] != cur:
-                finish()
-                cur = row["path"]
-                full = os.path.join(self.root, cur)
-                os.makedirs(os.path.dirname(full) or ".", exist_ok=True)
-                tmp = f"{full}.{uuid.uuid4().hex}.tmp"
-                fh = open(tmp, "w", encoding="utf-8", newline="")
-                n += 1
-            fh.write(row["line"] if row["line"] is not None else "")
-            fh.write("\n")
-        finish()
+            finally:
+                if os.path.exists(tmp):
+                    os.remove(tmp)
+            n += 1
         return _Written(n)
 
     def commit(self, messages):
@@ -130,7 +158,7 @@ class LinesDataSource(DataSource):
         return "path string, line string"
 
     def writer(self, schema, overwrite):
-        return LinesWriter(self.options["path"])
+        return LinesWriter(self.options["path"], self.options["marker"])
 
 
 def register(spark: SparkSession) -> None:
@@ -151,8 +179,10 @@ def write_lines(lines: DataFrame, root: str, header: dict[str, str] | None = Non
         heads = spark.createDataFrame(sorted(header.items()), "path string, line string")
         body = body.unionByName(heads.select("path", F.lit(0).alias("_h"),
                                              F.lit(None).cast(body.schema["_o"].dataType).alias("_o"), "line"))
-    (body.repartition("path").sortWithinPartitions("path", "_h", "_o").select("path", "line")
-     .write.format(LINES_FORMAT).mode("append").option("path", root).save())
+    rows = body.repartition("path").sortWithinPartitions("path", "_h", "_o").select("path", "line")
+    root = local_root(root)
+    with _marked(root) as marker:
+        rows.write.format(LINES_FORMAT).mode("append").option("path", root).option("marker", marker).save()
 
 
 def write_files(files: DataFrame, root: str, json_indent: int | None = None) -> None:
@@ -160,10 +190,12 @@ def write_files(files: DataFrame, root: str, json_indent: int | None = None) ->
     documents are pretty-printed with ``json_indent`` when given (the source
     writes indent 4 in the modular converter, 2 in the single-file one)."""
     register(files.sparkSession)
-    w = files.select("path", "content").write.format(FORMAT).mode("append").option("path", root)
-    if json_indent is not None:
-        w = w.option("json_indent", str(json_indent))
-    w.save()
+    root = local_root(root)
+    with _marked(root) as marker:
+        w = files.select("path", "content").write.format(FORMAT).mode("append").option("path", root).option("marker", marker)
+        if json_indent is not None:
+            w = w.option("json_indent", str(json_indent))
+        w.save()
 
 
 def tsv_field(c) -> F.Column:
@@ -199,8 +231,3 @@ def record_files(records: DataFrame, task_col: str = "task") -> DataFrame:
     path = F.concat(F.col("study"), F.lit("/rawdata/"), record_path(F.col("subject_id"), F.col("session"), F.col(task_col)))
     return rec.select(path.alias("path"), content.alias("content"))
 
-
-def write_records_table(records: DataFrame, out: str) -> None:
-    """Main store of the record cells: Parquet partitioned by study and task
-    (partition pruning serves a gather of a few tasks)."""
-    records.write.mode("overwrite").partitionBy("study", "task").parquet(out)

@@ -7,11 +7,11 @@ older records of the same (subject, session, task).  As a stream:
   with ``_metadata``), ``maxFilesPerTrigger`` bounds a micro-batch;
 * ``foreachBatch`` parses the batch with the batch reader (header per file),
   matches task items (J1) and keeps the batch's latest records (W1);
-* the result table is Parquet partitioned by ``study`` and a hash ``bucket``
-  of the subject; only the buckets touched by the batch are read, merged with
-  the batch (W1 again, ordered by file name then row) and rewritten with
-  dynamic partition overwrite.  The merged buckets are first cut into the
-  shared checkpoint folder, so the rewrite never reads what it replaces.
+* the batch's winners are one partition ``batch=<id>`` of the result table: a
+  trigger writes what it has read and nothing else, and a batch that is run again
+  replaces its own partition;
+* ``read_latest`` applies W1 over all batches (file name, then row), and
+  ``compact`` writes its answer as a new table when many batches have come.
 
 File order across batches is the file **name** (D3), not arrival time, so a
 late file with an early name does not win over a later one.
@@ -23,41 +23,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import responses, sidecar
-from quire.operators.util import cut_lineage
 from quire.sources import tables
 
-BUCKETS = 64
 KEYS = ["study", "subject_id", "session", "task_lc"]
 ORDER = ("file_name", "row_seq")
 
 
-def _bucket(c) -> F.Column:
-    return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
-
-
 def batch_latest(lines: DataFrame, task_items: DataFrame, sep: str = ",") -> DataFrame:
     resp = tables.lines_to_responses(lines, sep)
     names = sidecar.task_item_names(task_items)
     matched = responses.match_task_items(responses.with_keys(resp), names).withColumn("task_lc", F.lower("task"))
     latest = responses.latest_records(matched, KEYS, order=ORDER)
-    return latest.select(*KEYS, "task", "file_name", "row_seq", "item_seq", "item", "value").withColumn(
-        "bucket", _bucket(F.col("subject_id")))
-
-
-def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str) -> None:
-    batch = cut_lineage(batch)
-    touched = [r[0] for r in batch.select("bucket").distinct().collect()]  # at most BUCKETS values
-    try:
-        current = spark.read.parquet(table_path).filter(F.col("bucket").isin(touched))
-        current = current.select(*batch.columns)
-        merged = responses.latest_records(current.unionByName(batch), KEYS, order=ORDER)
-    except Exception as e:  # noqa: BLE001 - first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        merged = batch
-    merged = cut_lineage(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("study", "bucket").parquet(table_path))
+    return latest.select(*KEYS, "task", "file_name", "row_seq", "item_seq", "item", "value")
+
+
+def append_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
+    (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").parquet(table_path))
+
+
+def read_latest(spark: SparkSession, table_path: str) -> DataFrame:
+    """The latest record cells over all batches."""
+    rows = spark.read.parquet(table_path)
+    return responses.latest_records(rows.drop("batch"), KEYS, order=ORDER)
+
+
+def compact(spark: SparkSession, table_path: str, new_path: str) -> None:
+    """The latest records as a table of one batch (number -1) at ``new_path``."""
+    append_batch(read_latest(spark, table_path), -1, new_path)
 
 
 def start(spark: SparkSession, input_dir: str, task_items: DataFrame, table_path: str, checkpoint: str,
@@ -71,7 +64,7 @@ def start(spark: SparkSession, input_dir: str, task_items: DataFrame, table_path
         if batch_df.isEmpty():
             return
         tagged = tables.tag_lines(batch_df)
-        merge_batch(batch_df.sparkSession, batch_latest(tagged, task_items, sep), table_path)
+        append_batch(batch_latest(tagged, task_items, sep), batch_id, table_path)
 
     w = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -109,5 +109,23 @@ def test_gather_back(spark, study_tree):
     assert rows["sub-002"] == {"subject_id": "sub-002", "session_id": "01", "age": "27", "hand": "2",
                                "CALMNESS01": "7", "CALMNESS02": "6", "CALMNESS03": "4"}
     assert rows["sub-001"]["CALMNESS02"] is None
-    path = convert.write_gather_csv(wide, root, ["calmness"])
+    path = convert.write_gather_csv(wide, root, ["calmness"], single_file=True)
     assert _read(path).splitlines()[0] == "subject_id,session_id,age,hand,CALMNESS01,CALMNESS02,CALMNESS03"
+    parts = convert.write_gather_csv(wide, f"{root}/derivatives/parts", ["calmness"])
+    again = spark.read.option("header", True).csv(parts)
+    assert again.columns == wide.columns and again.exceptAll(wide).count() == 0 and again.count() == 2
+
+
+def test_output_roots_that_workers_do_not_share_are_refused(spark):
+    from quire.sinks import bids
+
+    files = spark.createDataFrame([("a.txt", "x")], "path string, content string")
+    with pytest.raises(ValueError, match="hdfs"):
+        bids.write_files(files, "hdfs://host/out")
+    writer = bids.NamedFilesWriter("/tmp", "/nowhere/.writing-0")
+    with pytest.raises(RuntimeError, match="not shared"):
+        writer.write(iter([]))
+    root = tempfile.mkdtemp(prefix="quire-sink-")
+    with pytest.raises(Exception):
+        bids.write_files(spark.createDataFrame([("a.json", "no json")], "path string, content string"), root, json_indent=2)
+    assert os.listdir(root) == []

@@ -23,11 +23,17 @@ def test_stream_merge(spark):
     _write(f"{root}/in/session_b.csv", "id,ses,quest01\n1,1,9\n")
     q = latest.start(spark, f"{root}/in", items, f"{root}/table", f"{root}/ckpt")
     q.awaitTermination(120)
-    got = {(r.subject_id, r.item): r.value for r in spark.read.parquet(f"{root}/table").collect()}
+    got = {(r.subject_id, r.item): r.value for r in latest.read_latest(spark, f"{root}/table").collect()}
     assert got == {("sub-001", "QUEST01"): "9", ("sub-002", "QUEST01"): "7", ("sub-002", "QUEST02"): "8"}
     # a late file whose name sorts first does not win (file order is the name)
     _write(f"{root}/in/session_0.csv", "id,ses,quest01,quest02\n1,1,0,0\n")
     q = latest.start(spark, f"{root}/in", items, f"{root}/table", f"{root}/ckpt")
     q.awaitTermination(120)
-    again = {(r.subject_id, r.item): r.value for r in spark.read.parquet(f"{root}/table").collect()}
+    again = {(r.subject_id, r.item): r.value for r in latest.read_latest(spark, f"{root}/table").collect()}
     assert again == got
+    # a batch that is run again replaces its own rows, and compaction keeps the answer
+    n = spark.read.parquet(f"{root}/table").count()
+    latest.append_batch(spark.read.parquet(f"{root}/table").filter("batch = 1").drop("batch").checkpoint(), 1, f"{root}/table")
+    assert spark.read.parquet(f"{root}/table").count() == n
+    latest.compact(spark, f"{root}/table", f"{root}/compact")
+    assert {(r.subject_id, r.item): r.value for r in spark.read.parquet(f"{root}/compact").collect()} == got
