@@ -235,7 +235,8 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id for every row."""
     rows = stored(group_rows(docs, id_col, text_col, max_bits, shingle), "groups")
-    names = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # a table of its own, so Spark can split the rows of a large component in the join
+    names = stored(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
     return rows.join(names, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
