@@ -37,15 +37,15 @@ def test_c2_session(spark):
 
 
 def test_c3_task(spark):
-    vals = ["test quest.xlsx", "ADS", "a-b_c.CSV", ".csv", None, "x.XLS"]
-    assert col_values(spark, ids.task_name, vals) == ["testquest", "ads", "abc", None, None, "x"]
+    vals = ["calm ness.xlsx", "ADS", "a-b_c.CSV", ".csv", None, "x.XLS"]
+    assert col_values(spark, ids.task_name, vals) == ["calmness", "ads", "abc", None, None, "x"]
     issues = col_values(spark, ids.task_name_issue, vals)
     assert issues[0] is None and issues[3] is not None and issues[4] is not None
 
 
 def test_c4_item(spark):
-    vals = ["testquest01", "ads-01", "ads 1", "Q_1", "ads--01", "a1b2", "mood", "QUESTIONNAIRE1_item1"]
-    assert col_values(spark, ids.item_name, vals) == ["TESTQUEST01", "ADS01", "ADS1", "Q1", "ads--01", "a1b2",
+    vals = ["calmness01", "ads-01", "ads 1", "Q_1", "ads--01", "a1b2", "mood", "QUESTIONNAIRE1_item1"]
+    assert col_values(spark, ids.item_name, vals) == ["CALMNESS01", "ADS01", "ADS1", "Q1", "ads--01", "a1b2",
                                                       "mood", "QUESTIONNAIRE1_item1"]
     edge = ["ab1\n", "ab1\r\n", "ab1\u2028", "ab 1\n", "ab1\n\n"]
     assert col_values(spark, ids.item_name, edge) == ["AB1", "ab1\r\n", "ab1\u2028", "AB1", "ab1\n\n"]
