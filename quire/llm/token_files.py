@@ -27,22 +27,27 @@ from __future__ import annotations
 import os
 import re
 import struct
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARD_IDS = 1 << 20
-ROUNDS, PAIRS_A_ROUND, LEAST_COUNT = 6, 2048, 8
+TEXT_BYTES = 8 << 20
+ROUNDS, PAIRS_A_ROUND, LEAST_COUNT = 4, 4096, 8
 MEMO_PIECES, MEMO_CHARS = 500_000, 48
 MAGIC = b"RPG1"
 _OTHER_SPACE = r"\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(rf"[ \n{_OTHER_SPACE}]*[^ \n{_OTHER_SPACE}]+|[ \n{_OTHER_SPACE}]+")
 # white space other than one space or line feed between two words
-_UNEVEN = ["  ", "\n\n", " \n", "\n ", "\x01"] + [c for c in map(chr, range(0x3001)) if re.match(f"[{_OTHER_SPACE}]", c)]
+_UNEVEN = (
+    r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\x01\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 
 class TokenEncoder:
@@ -56,27 +61,50 @@ class TokenEncoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode_batch(self, texts: list[str], end: int) -> list[np.ndarray]:
-        tail = struct.pack("<I", end)
-        cut = [self._cut(t) if t else [] for t in texts]
-        young = self.young
-        if missing := {p for c in cut for p in c if p not in young}:
-            young.update((p, v) for p in missing if (v := self.old.get(p)) is not None)
-            new = sorted(missing.difference(young))
-            for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-                young[p] = np.array(e.ids, "<u4").tobytes()
-        out = [np.frombuffer(b"".join([*map(young.__getitem__, c), tail]), "<u4") for c in cut]
-        if len(young) > MEMO_PIECES:
+    def encode_batch(self, texts: list[str] | pa.Array, end: int) -> list[np.ndarray]:
+        """Ids of each text and the end id."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        plain = pc.invert(pc.match_substring_regex(texts, _UNEVEN))
+        for s in self.special:
+            plain = pc.and_(plain, pc.invert(pc.match_substring(texts, s)))
+        out: list = [None] * len(texts)
+        even, odd = np.flatnonzero(plain.to_numpy(zero_copy_only=False)), pc.invert(plain)
+        cut = pc.replace_substring(pc.replace_substring(texts.filter(plain), " ", "\x01 "), "\n", "\x01\n")
+        self._encode_pieces(pc.split_pattern(cut, "\x01"), even, end, out)
+        rest = [[t] if any(s in t for s in self.special) else _PIECES.findall(t) for t in texts.filter(odd).to_pylist()]
+        where = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        self._encode_pieces(pa.array(rest, pa.list_(pa.string())), where, end, out)
+        if len(self.young) > MEMO_PIECES:
             # two generations bound the memo: what two fillings have not used is forgotten
-            self.old, self.young = {p: v for p, v in young.items() if len(p) <= MEMO_CHARS}, {}
+            self.old, self.young = {p: v for p, v in self.young.items() if len(p) <= MEMO_CHARS}, {}
         return out
 
-    def _cut(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        if text[0] not in " \n" and text[-1] not in " \n" and not any(x in text for x in _UNEVEN):
-            return text.replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")
-        return _PIECES.findall(text)
+    def _encode_pieces(self, pieces: pa.ListArray, where: np.ndarray, end: int, out: list) -> None:
+        """Put the ids of the texts given as lists of pieces into ``out`` at ``where``."""
+        if not len(pieces):
+            return
+        known = pieces.flatten().dictionary_encode()  # each distinct piece is looked up once
+        names = known.dictionary.to_pylist()
+        coded = list(map(self.young.get, names))
+        if None in coded:
+            learnt = self._learn({p for p, c in zip(names, coded) if c is None})
+            coded = [learnt[p] if c is None else c for p, c in zip(names, coded)]
+        joined = pa.array(coded, pa.large_binary()).take(known.indices)
+        ends = np.frombuffer(joined.buffers()[1], np.int64)
+        ids = np.frombuffer(joined.buffers()[2] or b"", "<u4", int(ends[len(joined)]) // 4)
+        cuts = ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()] // 4
+        for i, a, b in zip(where, cuts[:-1], cuts[1:]):
+            out[i] = np.append(ids[a:b], np.uint32(end))
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the young generation lacks."""
+        found = {p: v for p in pieces if (v := self.old.get(p)) is not None}
+        new = list(pieces.difference(found))
+        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+            ids = e.ids
+            found[p] = struct.pack(f"<{len(ids)}I", *ids)
+        self.young.update(found)
+        return found
 
 
 _ENCODERS: dict[str, TokenEncoder] = {}
@@ -195,6 +223,12 @@ def pack_shard(docs: list[np.ndarray], base: int) -> bytes:
     )
 
 
+@lru_cache(maxsize=4)
+def _base_ids(base: int) -> tuple[bytes, ...]:
+    ids = np.arange(base, dtype="<u4").tobytes()
+    return tuple(ids[i : i + 4] for i in range(0, len(ids), 4))
+
+
 class Shard:
     """A packed shard; reads all documents, or any one of them alone."""
 
@@ -215,7 +249,7 @@ class Shard:
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """Token ids of a stretch of the sequence."""
         if self._expansions is None:
-            parts = [np.array([i], "<u4").tobytes() for i in range(self.base)]
+            parts = list(_base_ids(self.base))
             for a, b in self.rules.tolist():
                 parts.append(parts[a] + parts[b])
             self._expansions = pa.array(parts, pa.large_binary())
@@ -283,15 +317,22 @@ def write_token_shards(
             )
 
         for b in batches:
-            names, texts = b.column(0), b.column(1).to_pylist()
-            for at in range(0, len(texts), 1000):
-                for name, t in zip(names.slice(at, 1000).to_pylist(), coder.encode_batch(texts[at : at + 1000], end_id)):
+            names, texts = b.column(0), b.column(1)
+            reach = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(texts):
+                # texts of about TEXT_BYTES at a time, which bounds the memory of a batch of long texts
+                before = int(reach[at - 1]) if at else 0
+                after = max(at + 1, int(np.searchsorted(reach, before + TEXT_BYTES, side="right")))
+                done = coder.encode_batch(texts.slice(at, after - at), end_id)
+                for name, t in zip(names.slice(at, after - at).to_pylist(), done):
                     if coded and size + len(t) > shard_ids:
                         yield shard()
                         ids, coded, size, seq = [], [], 0, seq + 1
                     ids.append(name)
                     coded.append(t)
                     size += len(t)
+                at = after
         if coded:
             yield shard()
 
