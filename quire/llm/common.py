@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.session import ensure_checkpoint_dir
 
@@ -46,33 +45,8 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dict] | None], schema: T.StructType | str
-) -> DataFrame:
-    """``mapInArrow`` for a function from one batch to columns by name (one dict, several, or none)."""
-    names = [f.name for f in schema.fields] if isinstance(schema, T.StructType) else None
-    if names is None:
-        schema = T.StructType.fromDDL(schema)
-        names = [f.name for f in schema.fields]
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    out = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = fn(batch)
-            for cols in [got] if isinstance(got, dict) else got or ():
-                arrays = []
-                for field in out:
-                    v = cols[field.name]
-                    if isinstance(v, pa.ChunkedArray):
-                        v = v.combine_chunks()
-                    arrays.append(v.cast(field.type) if isinstance(v, pa.Array) else pa.array(v, type=field.type))
-                yield pa.RecordBatch.from_arrays(arrays, schema=out)
-
-    return df.mapInArrow(run, schema)
-
-
-def utf8(col: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a string column; null counts as empty."""
-    return [b or b"" for b in col.cast(pa.binary()).to_pylist()]
+def utf8(col: pa.Array, rows: int = 500) -> Iterator[bytes]:
+    """The UTF-8 bytes of a string column, a few rows at a time; null counts as empty."""
+    for at in range(0, len(col), rows):
+        for b in col.slice(at, rows).cast(pa.binary()).to_pylist():
+            yield b or b""

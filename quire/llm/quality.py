@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import fresh
+from quire.llm.common import fresh, utf8
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters"]
 SYMBOLS = b"#*$%&|<>"
@@ -85,8 +85,8 @@ def with_stats(docs: DataFrame, text_col: str = "text", out: str = "stats", keep
     from pyspark.sql import types as T
 
     kept = list(docs.columns) if keep is None else list(keep)
-    probe = fresh(docs, "stats_text")
-    plain = docs.select(*kept, F.col(text_col).cast("binary").alias(probe))
+    plain = docs.select(*kept) if text_col in kept else docs.select(*kept, text_col)
+    at = plain.columns.index(text_col)
     stats = T.StructType([T.StructField(s, T.LongType()) for s in STATS])
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, stats)])
     arrow = to_arrow_schema(schema)
@@ -94,7 +94,7 @@ def with_stats(docs: DataFrame, text_col: str = "text", out: str = "stats", keep
 
     def run(batches):
         for b in batches:
-            rows = np.array([text_stats(x or b"") for x in b.column(width).to_pylist()], np.int64).reshape(-1, len(STATS))
+            rows = np.array([text_stats(x) for x in utf8(b.column(at))], np.int64).reshape(-1, len(STATS))
             cols = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(STATS))], names=STATS)
             yield pa.RecordBatch.from_arrays(
                     [*b.columns[:width], cols], schema=pa.schema([*list(b.schema)[:width], arrow.field(width)])

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import map_batches, stored
+from quire.llm.common import stored
 
 
 FINE = 16

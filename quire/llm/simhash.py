@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import fresh, stored
+from quire.llm.common import fresh, stored, utf8
 
 MAX_BITS = 4
 SHINGLE = 4
@@ -59,11 +59,11 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, text_hash, print (the fingerprint as a signed long) for every row."""
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
     def run(batches):
         for b in batches:
-            prints = np.array([fingerprint(x or b"", shingle) for x in b.column(2).to_pylist()], np.uint64)
+            prints = np.array([fingerprint(x, shingle) for x in utf8(b.column(2))], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(prints.view(np.int64))],
                 schema=pa.schema([b.schema.field(0), b.schema.field(1), pa.field("print", pa.int64())]),
@@ -209,6 +209,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     while True:
         both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionAll(edges.select("b", "a"))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+        low = stored(low, name)  # joined from a table of its own, so Spark can split the rows of a hub
         larger = edges.select(F.col("b").alias("v"), F.col("a").alias("u")).join(low, "v")
         # (u, m) with u > m: u hangs from the least neighbour of its smaller neighbour
         hung = larger.select(F.col("u").alias("a"), F.col("m").alias("b")).distinct()

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import fresh, stored
+from quire.llm.common import fresh, stored, utf8
 
 WINDOW = 100
 GRAM = 32
@@ -407,7 +407,7 @@ def _emit_anchors(batches):
     for batch in batches:
         docs, tags = _numbers(batch, 0, 1)
         got = []
-        for data, spans in pieces([x or b"" for x in batch.column(2).to_pylist()]):
+        for data, spans in pieces(list(utf8(batch.column(2)))):
             data = np.frombuffer(data, np.uint8)
             gram, context, place, low, high = anchors_of(data, spans[:, 2], spans[:, 3])
             s = np.searchsorted(spans[:, 3], place, side="right")
@@ -477,7 +477,7 @@ def _fetch(batches):
         keys, owner, places, data = [], [], [], []
         windows = []
         for i, wanted in enumerate(b.column(3).to_pylist()):
-            text = texts[i].as_py()
+            text = texts[i].as_py().encode()
             for w in wanted:
                 start, end = w["start"], w["end"]
                 if w["hot"]:
@@ -556,7 +556,7 @@ def _sort_suffixes(batches):
 def removals(docs: DataFrame, id_col: str, text_col: str, hot_above: int = HOT) -> DataFrame:
     """(doc, tag, start, end): byte ranges to remove; they may touch or overlap."""
     text = F.col(text_col)
-    rows = docs.select(_doc(F.col(id_col)).alias("doc"), _tag(text).alias("tag"), text.cast("binary").alias("text"))
+    rows = docs.select(_doc(F.col(id_col)).alias("doc"), _tag(text).alias("tag"), text.alias("text"))
     anchors = rows.mapInArrow(_emit_anchors, "anchor long, context long, doc long, at long")
     located = stored(
         anchors.repartition("anchor")
@@ -619,7 +619,7 @@ def remove_repeats(
     names = [fresh(docs, x) for x in ("cut_doc", "cut_tag", "cut_text", "cut_ranges", "cut")]
     doc, tag, text, ranges, out = names
     left = docs.select(
-        *kept, _doc(F.col(id_col)).alias(doc), _tag(F.col(text_col)).alias(tag), F.col(text_col).cast("binary").alias(text)
+        *kept, _doc(F.col(id_col)).alias(doc), _tag(F.col(text_col)).alias(tag), F.col(text_col).alias(text)
     )
     right = gone.select(F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("ranges").alias(ranges))
     rows = left.join(right, [doc, tag], "left").select(*kept, text, ranges)
@@ -632,8 +632,7 @@ def remove_repeats(
     def run(batches):
         for b in batches:
             found = []
-            for data, r in zip(b.column(width).to_pylist(), b.column(width + 1).to_pylist()):
-                data = data or b""
+            for data, r in zip(utf8(b.column(width)), b.column(width + 1).to_pylist()):
                 rest, spans = cut_out(data, [(x["start"], x["end"]) for x in r]) if r else (data, 0)
                 last_value = hashlib.sha256(rest).hexdigest() if digest else rest.decode("utf-8", "ignore")
                 found.append((len(data), len(data) - len(rest), spans, last_value))
