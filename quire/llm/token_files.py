@@ -70,6 +70,8 @@ class TokenEncoder:
         out: list = [None] * len(texts)
         even, odd = np.flatnonzero(plain.to_numpy(zero_copy_only=False)), pc.invert(plain)
         cut = pc.replace_substring(pc.replace_substring(texts.filter(plain), " ", "\x01 "), "\n", "\x01\n")
+        # behind a letter or digit a full stop or comma before white space is a piece of its own
+        cut = pc.replace_substring_regex(cut, r"([\pL\pN])([.,])\x01", "\\1\x01\\2\x01")
         self._encode_pieces(pc.split_pattern(cut, "\x01"), even, end, out)
         rest = [[t] if any(s in t for s in self.special) else _PIECES.findall(t) for t in texts.filter(odd).to_pylist()]
         where = np.flatnonzero(odd.to_numpy(zero_copy_only=False))

@@ -331,7 +331,7 @@ def test_grammar_random_access():
 def test_pieces_equal_the_whole_text():
     coder = token_files.encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
     rng = random.Random(9)
-    parts = [*" ab \n\t\ré日\x85\xa0 　᠎\x1c\x01​ '1#", "the", "  ", "\n\n", "<|endoftext|>", " \n", "\n "]
+    parts = [*" ab \n\t\ré日\x85\xa0 　᠎\x1c\x01​ '1#.,²", "the", "s.", "n't, ", "  ", "\n\n", "<|endoftext|>", " \n", "\n "]
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
         assert coder.encode_batch([text], 2)[0].tolist() == [*coder.library.encode(text, add_special_tokens=False).ids, 2]
