@@ -80,12 +80,16 @@ latest AS (
   QUALIFY rank() OVER (PARTITION BY study, subject_id, session, lower(task) ORDER BY ts DESC, row_seq DESC) = 1)"""
 
 
-def _latest(spark, d) -> DataFrame:
+def _matched(spark, d) -> DataFrame:
+    """Cells of a task's items.  W1 removes records, never a key, so queries on
+    keys and tasks start here."""
     cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
     items = sidecar.task_item_names(roles.event_task_items(spark, d))
-    matched = responses.match_task_items(cells, items)
-    matched = matched.withColumn("task_lc", F.lower("task"))
-    return responses.latest_records(matched, ["study", "subject_id", "session", "task_lc"], order=("ts", "row_seq"))
+    return responses.match_task_items(cells, items).withColumn("task_lc", F.lower("task"))
+
+
+def _latest(spark, d) -> DataFrame:
+    return responses.latest_records(_matched(spark, d), ["study", "subject_id", "session", "task_lc"], order=("ts", "row_seq"))
 
 
 # ---------------------------------------------------------------- C1-C5, C16
@@ -689,7 +693,7 @@ WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}, {DEFI
 SELECT study, task FROM defined d
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.study = d.study AND lower(l.task) = lower(d.task))""")
 def q_unused_tasks(spark, d):
-    return quality.unused_tasks(_defined_tasks(spark, d), _latest(spark, d)).select("study", "task")
+    return quality.unused_tasks(_defined_tasks(spark, d), _matched(spark, d)).select("study", "task")
 
 
 @register("file_task_coverage", f"""
@@ -723,7 +727,7 @@ def q_required_files(spark, d):
     # task the subject has anywhere.  Per (subject, session) the task set is
     # compared with the subject's task set (both bounded by the task count);
     # only missing files are emitted, no sessions x tasks product is formed.
-    rec = _latest(spark, d).select("subject_id", "session", F.col("task_lc").alias("task")).distinct()
+    rec = _matched(spark, d).select("subject_id", "session", F.col("task_lc").alias("task")).distinct()
     per_session = rec.groupBy("subject_id", "session").agg(F.collect_set("task").alias("have"))
     per_subject = rec.groupBy("subject_id").agg(F.collect_set("task").alias("need"))
     j = per_session.join(per_subject, "subject_id")
@@ -750,13 +754,12 @@ def q_run_summary(spark, d):
 WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL},
 p AS (SELECT DISTINCT 'rawdata/' || subject_id || '/ses-' || session || '/beh/' || subject_id || '_ses-' || session
                       || '_task-' || lower(task) || '_beh.tsv' AS path FROM latest)
-SELECT path, regexp_extract(path, {S.q(paths.SUBJECT_DIR)}, 1) AS subject_dir,
-       CASE WHEN regexp_extract(path, {S.q(paths.SESSION_DIR)}, 1) <> ''
-            THEN regexp_replace(regexp_extract(path, {S.q(paths.SESSION_DIR)}, 1), '^ses-', '') ELSE '1' END AS session,
-       regexp_extract(path, {S.q(paths.TASK_IN_NAME)}, 1) AS task
+SELECT path, regexp_extract(path, {S.q(S.SUBJECT_DIR)}, 1) AS subject_dir,
+       coalesce(nullif(regexp_extract(path, {S.q(S.SESSION_DIR)}, 1), ''), '1') AS session,
+       regexp_extract(path, {S.q(S.TASK_IN_NAME)}, 1) AS task
 FROM p""")
 def q_path_keys(spark, d):
-    lt = _latest(spark, d)
+    lt = _matched(spark, d)
     p = lt.select(F.concat(F.lit("rawdata/"), paths.record_path(F.col("subject_id"), F.col("session"), F.col("task"))).alias("path")).distinct()
     return p.select("path", paths.path_subject("path").alias("subject_dir"), paths.path_session("path").alias("session"),
                     paths.path_task("path").alias("task"))

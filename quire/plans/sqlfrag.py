@@ -7,8 +7,22 @@ needs the ``'g'`` flag to replace every match, Spark always does.
 
 from __future__ import annotations
 
-from quire.functions.ids import ITEM_PATTERN, SUBJECT_COMPLIANT, TASK_EXTENSION
-from quire.functions.text import READ_NA_TOKENS, SANITIZE_NULL_TOKENS, WS, WS_CHARS, WS_CLASS_BODY
+# Fixed values, stated here on their own so that a wrong pattern of the library
+# cannot agree with itself: white space as Python sees it, the texts that a
+# table reader takes for missing, and the name patterns.
+WS_CLASS_BODY = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WS = f"[{WS_CLASS_BODY}]"
+WS_CHARS = [*map(chr, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+                       0x202F, 0x205F, 0x3000))]
+READ_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+                  "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+SANITIZE_NULL_TOKENS = ("", "nan", "none", "null")
+SUBJECT_COMPLIANT = "^sub-[a-zA-Z0-9]+$"
+TASK_EXTENSION = r"(?i)\.(xlsx?|csv)$"
+ITEM_PATTERN = rf"^([A-Za-z]+)[{WS_CLASS_BODY}\-_]?([0-9]+)\n?\z"
+SUBJECT_DIR = "(?:^|/)(sub-[^/]+)/"
+SESSION_DIR = "(?:^|/)sub-[^/]+/ses-([^/]+)/"
+TASK_IN_NAME = r"_task-([^/]+)_[^_/]*beh\.tsv$"
 
 
 def q(s: str) -> str:
