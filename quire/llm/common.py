@@ -25,7 +25,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared folder and read back.
 
     Cuts the lineage, so a plan that uses the rows twice computes them once and
-    an executor that is lost costs its running tasks only.
+    an executor that is lost costs its running tasks only.  The table stays, like
+    a checkpoint, until the folder's owner clears it: the result may read it later.
     """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
