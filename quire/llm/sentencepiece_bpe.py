@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-MEMO_CHUNKS = 500_000
+MEMO_CHUNKS = 300_000
 MEMO_CHARS = 48
 SHORT = 32
 NO_PIECE = float("-inf")
