@@ -5,7 +5,8 @@ Each rule looks at a document's statistics and votes good (+1), bad (-1) or abst
 documents without any label, from the counts of the vote patterns over all documents;
 there are at most 3 ** rules patterns, so those counts are bounded whatever the input's
 size.  A document is kept when its posterior probability of being good reaches
-``threshold``; failing one rule alone does not reject it.
+``threshold``.  An abstention adds nothing to the odds, and no rule alone decides: where
+all other rules vote good, a bad vote is weighed so that they leave ``ALONE`` or more.
 
 Cases: a null text has no word; an empty or wordless text has zero statistics and every
 rule abstains or votes bad on it; repeated rows are judged alike; an empty table gives an
@@ -124,7 +125,7 @@ RULES = [
     Rule(
         "word_length",
         lambda s: _share(s, "word_chars", "n_words").between(4.0, 6.2),
-        lambda s: ~_share(s, "word_chars", "n_words").between(3.0, 7.0),
+        lambda s: ~_share(s, "word_chars", "n_words").between(3.0, 10.0),
     ),
     Rule("symbols", lambda s: _share(s, "n_symbols", "n_words") <= 0.02, lambda s: _share(s, "n_symbols", "n_words") > 0.1),
     Rule("lines", lambda s: _share(s, "n_dup_lines", "n_lines") <= 0.35, lambda s: _share(s, "n_dup_lines", "n_lines") > 0.5),
@@ -133,8 +134,10 @@ RULES = [
         lambda s: _share(s, "n_repeat_words", "n_words") <= 0.2,
         lambda s: _share(s, "n_repeat_words", "n_words") > 0.4,
     ),
-    Rule("letters", lambda s: _share(s, "n_letters", "word_chars") >= 0.885, lambda s: _share(s, "n_letters", "word_chars") < 0.88),
+    # prose has over 0.9; source code, references and tables of figures lie between
+    Rule("letters", lambda s: _share(s, "n_letters", "word_chars") >= 0.9, lambda s: _share(s, "n_letters", "word_chars") < 0.5),
 ]
+ALONE = 0.6
 
 
 @dataclass(frozen=True)
@@ -153,12 +156,25 @@ class LabelModel:
             out.append(right / (right + (1 - self.prior) * bad[2] + self.prior * good[0]))
         return out
 
+    def weights(self) -> list[list[float]]:
+        """What each rule's votes -1, 0 and +1 add to the log odds.
+
+        A bad vote weighs no more than leaves a probability of ALONE to a document that has
+        the prior and the good votes of all other rules for it.
+        """
+        free = [[math.log(g / b) for b, g in zip(bad, good)] for bad, good in self.votes]
+        all_good = math.log(self.prior / (1 - self.prior)) + sum(w[2] for w in free)
+        out = []
+        for w in free:
+            most = max(all_good - w[2] - math.log(ALONE / (1 - ALONE)), 0.0)
+            out.append([max(w[0], -most), 0.0, w[2]])
+        return out
+
     def posterior(self, votes: Column) -> Column:
         """P(good | votes): the log odds are the prior's plus a weight for each rule's vote."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for i, (bad, good) in enumerate(self.votes):
-            weights = F.array(*(F.lit(math.log(g / b)) for b, g in zip(bad, good)))
-            odds = odds + F.get(weights, F.get(votes, F.lit(i)) + 1)
+        for i, weights in enumerate(self.weights()):
+            odds = odds + F.get(F.array(*map(F.lit, weights)), F.get(votes, F.lit(i)) + 1)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 

@@ -275,6 +275,30 @@ def test_label_model_keeps_good_and_rejects_bad(spark):
     assert share[1] > 0.98 and share[0] < 0.1
 
 
+def test_one_bad_vote_among_good_ones_does_not_reject(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    n = len(quality.RULES)
+    voted = quality.with_stats(docs, out="s").select(quality.votes_of(F.col("s")).alias("votes"))
+    model = quality.fit_label_model(voted, n)
+    rows = [([-1 if i == bad else 1 for i in range(n)],) for bad in range(n)]
+    rows += [([0 if i == shy else 1 for i in range(n)],) for shy in range(n)]
+    ballots = spark.createDataFrame(rows, "votes array<int>")
+    assert all(r.p >= 0.5 for r in ballots.select(model.posterior(F.col("votes")).alias("p")).collect())
+    # references, a table of figures and code among prose: digits and signs in the words, nothing else amiss
+    rng = random.Random(11)
+    name = lambda: "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(4, 7)))
+    plain = [
+        " ".join(f"{name()} {name()}, {rng.randint(1900, 2020)}; {name()}" for _ in range(60)),
+        "\n".join(f"{name()} {rng.randint(10, 99)}.{rng.randint(10, 99)} {rng.randint(100, 9999)}" for _ in range(60)),
+        "\n".join(f"{name()} = {name()}({name()}[{rng.randint(0, 99)}], {name()}.{name()})" for _ in range(60)),
+    ]
+    mine = docs.limit(0).select("doc_id", "text").union(
+        spark.createDataFrame([(-1 - i, t) for i, t in enumerate(plain)], "doc_id long, text string")
+    )
+    kept = quality.keep_good(docs.select("doc_id", "text").unionByName(mine)).where("doc_id < 0")
+    assert sorted(r.doc_id for r in kept.collect()) == [-3, -2, -1]
+
+
 def test_expectation_maximisation_finds_planted_accuracies(spark):
     rng = np.random.default_rng(5)
     good = rng.random(20000) < 0.7
