@@ -28,8 +28,9 @@ their own hashes instead, which splits it into as many small problems as it has
 windows and is exact too.
 
 Cases: null and empty texts and texts shorter than a window lose nothing; rows that share
-an id count as parts of one document in the order of a text hash, and identical rows are
-one row said twice, with equal results; a null id comes before all others; very long texts
+an id count as parts of one document in the order of a 64-bit text hash, which tells any
+number of texts under one id apart, and identical rows are one row said twice, with equal
+results; a null id comes before all others; very long texts
 are scanned in pieces; an empty table gives an empty result.
 """
 
@@ -243,24 +244,24 @@ def pieces(texts: list[bytes]):
         yield b"".join(buffer), np.array(spans, np.int64)
 
 
-def _packed(tag: np.ndarray, place: np.ndarray, left: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Place of an anchor for sorting within a document id: text tag, byte place; and its context."""
-    return tag << 46 | place << 14 | left << 7 | (size - WINDOW)
+def _packed(place: np.ndarray, left: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Place of an anchor for sorting within a text: byte place; and its context."""
+    return place << 14 | left << 7 | (size - WINDOW)
 
 
 def _opened(at: np.ndarray):
-    """(tag, place, left, size) of packed places."""
-    return at >> 46, (at >> 14) & 0xFFFFFFFF, (at >> 7) & 127, (at & 127) + WINDOW
+    """(place, left, size) of packed places."""
+    return at >> 14, (at >> 7) & 127, (at & 127) + WINDOW
 
 
-def _later_copies(anchor, context, doc, at):
+def _later_copies(anchor, context, doc, tag, at):
     """(order, group starts, is the earliest of its context, repeats a row) for sorted rows."""
-    order = np.lexsort((at, doc, context, anchor))
-    a, c, d, p = anchor[order], context[order], doc[order], at[order]
+    order = np.lexsort((at, tag, doc, context, anchor))
+    a, c, d, t, p = anchor[order], context[order], doc[order], tag[order], at[order]
     new = np.ones(len(order), bool)
     new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
     start = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    same_place = (d == d[start]) & (p == p[start])
+    same_place = (d == d[start]) & (t == t[start]) & (p == p[start])
     return order, new, new | same_place, same_place & ~new
 
 
@@ -376,7 +377,7 @@ def _doc(c: Column) -> Column:
 
 def _tag(text: Column) -> Column:
     """Tells texts under one id apart."""
-    return F.pmod(F.xxhash64(text), F.lit(1 << 16))
+    return F.xxhash64(text)
 
 
 def _groups(batches, key: int = 0):
@@ -401,9 +402,9 @@ def _numbers(table, *columns: int) -> list[np.ndarray]:
 
 
 def _emit_anchors(batches):
-    """Rows (anchor, context, doc, at); a removal has REMOVED as its left offset, its
+    """Rows (anchor, context, doc, tag, at); a removal has REMOVED as its left offset, its
     length as context and an arbitrary anchor."""
-    names = ["anchor", "context", "doc", "at"]
+    names = ["anchor", "context", "doc", "tag", "at"]
     for batch in batches:
         docs, tags = _numbers(batch, 0, 1)
         got = []
@@ -412,36 +413,37 @@ def _emit_anchors(batches):
             gram, context, place, low, high = anchors_of(data, spans[:, 2], spans[:, 3])
             s = np.searchsorted(spans[:, 3], place, side="right")
             shift = spans[s, 1] - spans[s, 2]
-            at = _packed(tags[spans[s, 0]], place + shift, place - low, high - low + WINDOW)
-            got.append((gram.view(np.int64), context.view(np.int64), docs[spans[s, 0]], at))
+            at = _packed(place + shift, place - low, high - low + WINDOW)
+            owner = spans[s, 0]
+            got.append((gram.view(np.int64), context.view(np.int64), docs[owner], tags[owner], at))
         if not got:
             continue
-        anchor, context, doc, at = (np.concatenate(x) for x in zip(*got))
-        order, new, _, repeated = _later_copies(anchor, context, doc, at)
+        anchor, context, doc, tag, at = (np.concatenate(x) for x in zip(*got))
+        order, new, _, repeated = _later_copies(anchor, context, doc, tag, at)
         first = order[new]
-        yield pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (anchor, context, doc, at)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (anchor, context, doc, tag, at)], names=names)
         gone = order[~new & ~repeated]
         if len(gone):
-            tag, place, left, size = _opened(at[gone])
-            d, t, start, end = merged(doc[gone], tag, place - left, place - left + size)
-            mark = _packed(t, start, np.full(len(t), REMOVED), np.full(len(t), WINDOW))
-            key = _mixed([d.view(np.uint64), mark.view(np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, end - start, d, mark)], names=names)
+            place, left, size = _opened(at[gone])
+            d, t, start, end = merged(doc[gone], tag[gone], place - left, place - left + size)
+            mark = _packed(start, np.full(len(t), REMOVED), np.full(len(t), WINDOW))
+            key = _mixed([x.view(np.uint64) for x in (d, t, mark)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, end - start, d, t, mark)], names=names)
 
 
 def _sort_contexts(batches, hot_above: int = HOT):
     """From anchors to removals (anchor null) and contexts that have rivals."""
     for t in _groups(batches):
-        anchor, context, doc, at = _numbers(t, 0, 1, 2, 3)
-        tag, place, left, size = _opened(at)
+        anchor, context, doc, tag, at = _numbers(t, 0, 1, 2, 3, 4)
+        place, left, size = _opened(at)
         done = left == REMOVED
         removed = [(doc[done], tag[done], place[done], place[done] + context[done])]
-        anchor, context, doc, at = (x[~done] for x in (anchor, context, doc, at))
+        anchor, context, doc, tag, at = (x[~done] for x in (anchor, context, doc, tag, at))
         if len(anchor):
-            order, new, _, repeated = _later_copies(anchor, context, doc, at)
+            order, new, _, repeated = _later_copies(anchor, context, doc, tag, at)
             gone = order[~new & ~repeated]
-            tag, place, left, size = _opened(at[gone])
-            removed.append((doc[gone], tag, place - left, place - left + size))
+            place, left, size = _opened(at[gone])
+            removed.append((doc[gone], tag[gone], place - left, place - left + size))
             first = order[new]
             a = anchor[first]
             edge = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
@@ -449,8 +451,8 @@ def _sort_contexts(batches, hot_above: int = HOT):
             rivals = np.repeat(rivals, rivals)
             more = first[rivals > 1]
             hot = rivals[rivals > 1] > hot_above
-            tag, place, left, size = _opened(at[more])
-            yield _located(doc[more], tag, place - left, place - left + size, anchor[more], left, hot)
+            place, left, size = _opened(at[more])
+            yield _located(doc[more], tag[more], place - left, place - left + size, anchor[more], left, hot)
         d, tg, s, e = merged(*(np.concatenate(x) for x in zip(*removed)))
         yield _located(d, tg, s, e, None, None, None)
 
@@ -468,9 +470,9 @@ def _located(doc, tag, start, end, anchor, left, hot) -> pa.RecordBatch:
 
 
 def _fetch(batches):
-    """Bytes of the rival contexts: rows (key, doc, at, data).  A hot context's windows
+    """Bytes of the rival contexts: rows (key, doc, tag, at, data).  A hot context's windows
     come one by one under their hashes; those that repeat in the batch come as removals."""
-    names = ["key", "doc", "at", "data"]
+    names = ["key", "doc", "tag", "at", "data"]
     for b in batches:
         docs, tags = _numbers(b, 0, 1)
         texts = b.column(2)
@@ -493,31 +495,30 @@ def _fetch(batches):
                     data.append(text[start:end])
         if keys:
             place, left, size = np.array(places, np.int64).T
-            at = _packed(tags[owner], place, left, size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(docs[owner]), pa.array(at), pa.array(data, pa.binary())], names=names
-            )
+            at = _packed(place, left, size)
+            numbers = [pa.array(x) for x in (docs[owner], tags[owner], at)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *numbers, pa.array(data, pa.binary())], names=names)
         if windows:
             one, two, own, place = (np.concatenate(x) for x in zip(*windows))
             size = np.full(len(own), WINDOW)
-            at = _packed(tags[own], place, np.full(len(own), WINDOW_ALONE), size)
-            one, two, doc = one.view(np.int64), two.view(np.int64), docs[own]
-            order, new, _, repeated = _later_copies(one, two, doc, at)
+            at = _packed(place, np.full(len(own), WINDOW_ALONE), size)
+            one, two, doc, tag = one.view(np.int64), two.view(np.int64), docs[own], tags[own]
+            order, new, _, repeated = _later_copies(one, two, doc, tag, at)
             kept, gone = order[new], order[~new & ~repeated]
-            d, t, s, e = merged(doc[gone], tags[own][gone], place[gone], place[gone] + WINDOW)
-            mark = _packed(t, s, np.full(len(t), REMOVED), np.full(len(t), WINDOW))
-            spread = _mixed([d.view(np.uint64), mark.view(np.uint64)]).view(np.int64)
-            for k, dd, a, x in ((one[kept], doc[kept], at[kept], two[kept]), (spread, d, mark, e - s)):
+            d, t, s, e = merged(doc[gone], tag[gone], place[gone], place[gone] + WINDOW)
+            mark = _packed(s, np.full(len(t), REMOVED), np.full(len(t), WINDOW))
+            spread = _mixed([x.view(np.uint64) for x in (d, t, mark)]).view(np.int64)
+            for k, dd, tt, a, x in ((one[kept], doc[kept], tag[kept], at[kept], two[kept]), (spread, d, t, mark, e - s)):
                 x = pa.array([v.tobytes() for v in x.astype("<i8")], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(dd), pa.array(a), x], names=names)
+                yield pa.RecordBatch.from_arrays([*(pa.array(v) for v in (k, dd, tt, a)), x], names=names)
 
 
 def _sort_suffixes(batches):
     """From contexts (and single windows) to removals (doc, tag, start, end)."""
     for t in _groups(batches):
-        key, doc, at = _numbers(t, 0, 1, 2)
-        tag, place, left, size = _opened(at)
-        data = t.column(3)
+        key, doc, tag, at = _numbers(t, 0, 1, 2, 3)
+        place, left, size = _opened(at)
+        data = t.column(4)
         removed = []
         done = left == REMOVED
         if done.any():
@@ -526,18 +527,18 @@ def _sort_suffixes(batches):
         alone = left == WINDOW_ALONE
         if alone.any():
             second = np.frombuffer(b"".join(data.filter(pa.array(alone)).to_pylist()), "<i8")
-            k, d, p = key[alone], doc[alone], at[alone]
-            order, new, _, repeated = _later_copies(k, second, d, p)
+            k, d, tg, p = key[alone], doc[alone], tag[alone], at[alone]
+            order, new, _, repeated = _later_copies(k, second, d, tg, p)
             gone = order[~new & ~repeated]
-            tg, pl, _, _ = _opened(p[gone])
-            removed.append((d[gone], tg, pl, pl + WINDOW))
+            pl, _, _ = _opened(p[gone])
+            removed.append((d[gone], tg[gone], pl, pl + WINDOW))
         rest = np.flatnonzero(~done & ~alone)
         if len(rest):
-            order = rest[np.lexsort((at[rest], doc[rest], key[rest]))]
-            k, d, p = key[order], doc[order], at[order]
+            order = rest[np.lexsort((at[rest], tag[rest], doc[rest], key[rest]))]
+            k, d, tg, p = key[order], doc[order], tag[order], at[order]
             # identical rows have fetched the same place more than once
             once = np.ones(len(order), bool)
-            once[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1])
+            once[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (tg[1:] != tg[:-1]) | (p[1:] != p[:-1])
             order, k = order[once], k[once]
             edge = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             for first, after in zip(edge, np.append(edge[1:], len(k))):
@@ -557,7 +558,7 @@ def removals(docs: DataFrame, id_col: str, text_col: str, hot_above: int = HOT)
     """(doc, tag, start, end): byte ranges to remove; they may touch or overlap."""
     text = F.col(text_col)
     rows = docs.select(_doc(F.col(id_col)).alias("doc"), _tag(text).alias("tag"), text.alias("text"))
-    anchors = rows.mapInArrow(_emit_anchors, "anchor long, context long, doc long, at long")
+    anchors = rows.mapInArrow(_emit_anchors, "anchor long, context long, doc long, tag long, at long")
     located = stored(
         anchors.repartition("anchor")
         .sortWithinPartitions("anchor")
@@ -573,7 +574,7 @@ def removals(docs: DataFrame, id_col: str, text_col: str, hot_above: int = HOT)
     )
     fetched = rows.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "wanted")
     suffixes = (
-        fetched.mapInArrow(_fetch, "key long, doc long, at long, data binary")
+        fetched.mapInArrow(_fetch, "key long, doc long, tag long, at long, data binary")
         .repartition("key")
         .sortWithinPartitions("key")
         .mapInArrow(_sort_suffixes, "doc long, tag long, start long, end long")

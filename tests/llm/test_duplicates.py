@@ -4,6 +4,7 @@ import re
 import numpy as np
 import xxhash
 from cases import documents, empty, texts
+from pyspark.sql import functions as F
 
 from quire.llm import simhash, suffix_dedup
 
@@ -162,6 +163,29 @@ def test_repeats_equal_brute_force_with_and_without_hot_anchors(spark):
             assert g.kept == rest.decode("utf-8", "ignore")
 
 
+def test_thousands_of_texts_under_a_null_id(spark):
+    rng = random.Random(13)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [say(170) for _ in range(40)]
+    rows = []
+    for k in range(3000):
+        # two of three texts hold a passage shared with others, at a place of their own; every third is clean
+        t = say(rng.randint(100, 160))
+        rows.append(t if k % 3 == 0 else t + rng.choice(shared)[rng.randint(0, 20) : rng.randint(150, 170)] + say(rng.randint(0, 80)))
+    docs = spark.createDataFrame([(None, k, t) for k, t in enumerate(rows)], "doc_id long, k int, text string").repartition(7)
+    # texts of one id stand in the order of their hash
+    order = [r.k for r in docs.orderBy(F.xxhash64("text")).select("k").collect()]
+    want = dict(zip(order, plain_cut([rows[k].encode() for k in order])))
+    for hot in (2000, 1):
+        cut = suffix_dedup.remove_repeats(docs, keep=["k"], hot_above=hot)
+        got = {r.k: r[1] for r in cut.collect()}
+        assert len(got) == len(rows)
+        assert [k for k in range(0, len(rows), 3) if got[k].n_removed] == []
+        for k, (size, removed, runs, rest) in want.items():
+            g = got[k]
+            assert (g.n_bytes, g.n_removed, g.n_spans, g.kept) == (size, removed, runs, rest.decode())
+
+
 def test_long_texts_are_scanned_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 150)
     texts_ = [t.encode() for t in repeating(30, 9)]
