@@ -3,9 +3,8 @@
 Documents go in ascending id order into shards of about ``shard_ids`` token ids.  Each
 shard is compressed on its own: frequent adjacent id pairs are replaced by new symbols
 again and again, a round at a time, taking the most frequent pairs that cannot overlap
-each other, until no pair is frequent or ``ROUNDS`` is reached (that only ends the
-compression earlier; the coding is lossless).  Pairs never cross a document's end, so a
-document can be decoded alone: the shard holds the rules, each rule's expansion length
+each other, until no pair occurs ``LEAST_COUNT`` times.  Pairs never cross a document's
+end, so a document can be decoded alone: the shard holds the rules, each rule's expansion length
 and each document's place in the compressed sequence.
 
 A shard is one binary value (format of ``pack_shard``) in a row of a Parquet table, so
@@ -39,7 +38,7 @@ from pyspark.sql import types as T
 
 SHARD_IDS = 1 << 20
 TEXT_BYTES = 8 << 20
-ROUNDS, PAIRS_A_ROUND, LEAST_COUNT = 4, 4096, 8
+PAIRS_A_ROUND, LEAST_COUNT = 4096, 8
 MEMO_PIECES, MEMO_CHARS = 500_000, 48
 MAGIC = b"RPG1"
 _OTHER_SPACE = r"\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -122,28 +121,41 @@ def encoder(path: str) -> TokenEncoder:
 # Re-Pair
 
 
-def frequent_pairs(ids: np.ndarray, open_: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
+def frequent_pairs(ids: np.ndarray, may: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
     """Pairs that occur ``least`` times or more, most frequent first, such that no symbol
-    ends one pair and begins another (or is its own partner), so none overlap."""
-    keys = ids[:-1].astype(np.uint64) << np.uint64(32) | ids[1:]
-    keys = keys[open_[:-1]]
+    ends one pair and begins another (or is its own partner), so none overlap.
+
+    Only places in ``may`` are looked at; those found to hold a rarer pair are taken out
+    of it.  The list is empty only if no pair occurs ``least`` times.
+    """
+    at = np.flatnonzero(may)
+    keys = ids[at].astype(np.uint64) << np.uint64(32) | ids[at + 1]
     # only pairs in the fullest hash buckets are counted exactly
     bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
     heavy = np.bincount(bucket)
+    count = heavy[bucket]
+    may[at[count < least]] = False
     full = heavy[heavy >= least]
     if not len(full):
         return []
     top = min(len(full), 2 * most)
     floor = int(np.partition(full, -top)[-top])
-    found, n = np.unique(keys[heavy[bucket] >= floor], return_counts=True)
-    order = np.lexsort((found, -n))
+    counted = keys[count >= floor]
+    found, n = np.unique(counted, return_counts=True)
+    if n.max() < least or top == len(full):
+        # what is rare stays rare, as only new symbols make new pairs
+        here = np.flatnonzero(count >= floor)
+        may[at[here[n[np.searchsorted(found, counted)] < least]]] = False
+    if n.max() < least:
+        return frequent_pairs(ids, may, most, least)
+    order = np.lexsort((found, -n))[: 4 * most]
+    order = order[n[order] >= least]
     firsts: set[int] = set()
     seconds: set[int] = set()
     out = []
-    for i in order[: 4 * most]:
-        if n[i] < least or len(out) == most:
+    for a, b in zip((found[order] >> np.uint64(32)).tolist(), (found[order] & np.uint64(0xFFFFFFFF)).tolist()):
+        if len(out) == most:
             break
-        a, b = int(found[i] >> np.uint64(32)), int(found[i] & np.uint64(0xFFFFFFFF))
         if a in seconds or b in firsts or (a == b and (a in firsts or a in seconds)):
             continue
         firsts.add(a)
@@ -154,13 +166,16 @@ def frequent_pairs(ids: np.ndarray, open_: np.ndarray, most: int, least: int) ->
     return out
 
 
-def replace_pairs(ids: np.ndarray, open_: np.ndarray, pairs: list[tuple[int, int]], first_new: int):
-    """The sequence with each pair replaced by ``first_new``, ``first_new + 1``, ...; and its ``open_``."""
+def replace_pairs(ids: np.ndarray, open_: np.ndarray, may: np.ndarray, pairs: list[tuple[int, int]], first_new: int):
+    """The sequence with each pair replaced by ``first_new``, ``first_new + 1``, ...; its
+    ``open_``; and its ``may``, where the pairs of new symbols are in."""
     begins = np.zeros(first_new, bool)
     finishes = np.zeros(first_new, bool)
     begins[[a for a, _ in pairs]] = True
     finishes[[b for _, b in pairs]] = True
-    at = np.flatnonzero(begins[ids[:-1]] & finishes[ids[1:]] & open_[:-1])
+    at = np.flatnonzero(may)
+    at = at[begins[ids[at]]]
+    at = at[finishes[ids[at + 1]]]
     keys = ids[at].astype(np.uint64) << np.uint64(32) | ids[at + 1]
     table = np.array([a << 32 | b for a, b in pairs], np.uint64)
     order = np.argsort(table)
@@ -178,9 +193,13 @@ def replace_pairs(ids: np.ndarray, open_: np.ndarray, pairs: list[tuple[int, int
     out[at] = new
     still = open_.copy()
     still[at] = open_[at + 1]
+    may = may.copy()
+    may[at] = True
+    may[at[at > 0] - 1] = True
+    may &= still
     keep = np.ones(len(ids), bool)
     keep[at + 1] = False
-    return out[keep], still[keep]
+    return out[keep], still[keep], may[keep]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
@@ -192,13 +211,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     open_ = np.ones(len(seq), bool)
     open_[ends - 1] = False
     rules: list[tuple[int, int]] = []
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        pairs = frequent_pairs(seq, open_, PAIRS_A_ROUND, LEAST_COUNT)
-        if not pairs:
-            break
-        seq, open_ = replace_pairs(seq, open_, pairs, base + len(rules))
+    may = open_.copy()  # places whose pair may still be frequent
+    while pairs := frequent_pairs(seq, may, PAIRS_A_ROUND, LEAST_COUNT):
+        seq, open_, may = replace_pairs(seq, open_, may, pairs, base + len(rules))
         rules += pairs
     return seq, rules, np.flatnonzero(~open_) + 1
 

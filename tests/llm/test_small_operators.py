@@ -352,6 +352,23 @@ def test_grammar_random_access():
     assert same.document(0).tolist() == [3] * 1001
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(14)
+    copy = rng.integers(0, 5000, 3000).astype("<u4")
+    shard = token_files.Shard(token_files.pack_shard([copy] * 40, 5000))
+    assert len(shard.seq) == 40 and all((d == copy).all() for d in shard.documents())
+    # frequent pairs spread over more hash buckets than a round counts, and runs of one symbol
+    mixed = [rng.choice(rng.integers(0, 60_000, 30_000), 200_000).astype("<u4"), np.repeat(rng.integers(0, 9, 5000), 7).astype("<u4")]
+    lines = rng.integers(0, 60_000, (9000, 6)).astype("<u4")
+    mixed += [lines[rng.permutation(9000)].ravel() for _ in range(9)]
+    shard = token_files.Shard(token_files.pack_shard(mixed, 60_000))
+    assert all((a == b).all() for a, b in zip(shard.documents(), mixed))
+    pairs = np.stack([shard.seq[:-1], shard.seq[1:]], 1)
+    inside = np.ones(len(pairs), bool)
+    inside[shard.ends[:-1] - 1] = False
+    assert np.unique(pairs[inside], axis=0, return_counts=True)[1].max() < token_files.LEAST_COUNT
+
+
 def test_pieces_equal_the_whole_text():
     coder = token_files.encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
     rng = random.Random(9)
