@@ -181,8 +181,7 @@ FROM e GROUP BY conv_id
 """
 
 
-@register("op10_chat_formatting", OP10_SQL)
-def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _formatted_chats(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.range(2).select(
         F.lit(-7).cast(chats.schema["conv_id"].dataType).alias("conv_id"),
@@ -203,4 +202,27 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(lost).cast("long").alias("loss_chars"),
         F.sha2(lost, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        *more,
     )
+
+
+@register("op10_chat_formatting", OP10_SQL)
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _formatted_chats(spark, sf_dir)
+
+
+OP10_VALIDITY_SQL = f"""
+WITH formatted AS ({OP10_SQL}),
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{FORGED_CHAT}'), (-7, 1, 'assistant', '{FORGED_CHAT}')),
+orders AS (SELECT conv_id, string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE '?' END, ''
+  ORDER BY turn NULLS FIRST, role, text) AS roles FROM turns GROUP BY conv_id)
+SELECT f.*, regexp_full_match(o.roles, 's?(ua)+') AS valid
+FROM formatted f JOIN orders o ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@register("op10_chat_validity", OP10_VALIDITY_SQL)
+def op10_chat_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The formatted conversations with the verdict of the template's machine on their turns."""
+    return _formatted_chats(spark, sf_dir, "valid")

@@ -10,7 +10,7 @@ from cases import CLASHES, documents, empty, texts
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quire.llm import chat, decontaminate, language_id, quality, sentencepiece_bpe, sharding, token_files, url_filter
+from quire.llm import chat, decontaminate, language_id, quality, queries, sentencepiece_bpe, sharding, token_files, url_filter
 
 # sharding
 
@@ -437,3 +437,16 @@ def test_chat_round_trip(spark):
         assert "".join(s.text for s in got[conv].segments) == got[conv].formatted
     assert {c: r.valid for c, r in got.items()} == {1: True, 2: False, 3: False, None: False, 4: False, 5: True}
     assert chat.format_chats(turns.where("false"), template).collect() == []
+
+
+def test_registered_query_validates_turn_orders(spark, tmp_path):
+    orders = {
+        1: ["user", "assistant"], 2: ["user", "assistant", "user"], 3: ["assistant", "user"], 4: ["system", "user", "assistant"],
+        5: ["user", "user", "assistant"], 6: ["user", "system", "assistant"], 7: ["user", None], None: ["user", "assistant"] * 2,
+    }
+    rows = [(c, i, r, "t") for c, roles in orders.items() for i, r in enumerate(roles)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    query, _ = queries.QUERIES["op10_chat_validity"]
+    got = {r.conv_id: r.valid for r in query(spark, str(tmp_path)).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: True, 5: False, 6: False, 7: False, None: True, -7: True}
