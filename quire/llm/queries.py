@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quire.llm import decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, suffix_dedup, token_files
+from quire.llm import (
+    decontaminate,
+    language_id,
+    phrases,
+    quality,
+    resample,
+    sentencepiece_bpe,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_files,
+)
 from quire.llm.chat import ChatTemplate, format_chats, loss_text, read_turns
 from quire.llm.common import shared_path, stored, table
 from quire.llm.url_filter import UrlRule, apply_url_rules
@@ -226,3 +237,63 @@ FROM formatted f JOIN orders o ON f.conv_id IS NOT DISTINCT FROM o.conv_id
 def op10_chat_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The formatted conversations with the verdict of the template's machine on their turns."""
     return _formatted_chats(spark, sf_dir, "valid")
+
+
+OP12_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM w, (VALUES (1), (2), (3)) AS sizes(m), unnest(range(1, len(w) - m + 2)) AS t(i) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE m = 1 GROUP BY lang),
+found AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE m > 1 AND f >= 10),
+cuts AS (SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM found) c
+  JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : c.m], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (SELECT lang, phrase, max(a) AS longer FROM (
+  SELECT lang, a, array_to_string(w[i : i + 1], ' ') AS phrase FROM found, unnest(range(1, m)) AS t(i) WHERE m = 3) GROUP BY ALL),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+    score::BIGINT AS score
+  FROM weakest LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op12_phrase_collocations", OP12_SQL)
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"), order=3, min_count=10, top=2000)
+    return found.withColumnRenamed("grp", "lang")
+
+
+OP13_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS step),
+d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+used AS (SELECT k, word, count(*) AS n FROM (SELECT k, unnest(w) AS word FROM d) GROUP BY ALL),
+bytes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM used UNION SELECT word FROM b)),
+hashed AS (SELECT word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, x: xor(step[xor(c, x) % 256 + 1], c // 256), 4294967295::BIGINT), 4294967295::BIGINT) % 10000 AS bucket FROM bytes, crc),
+s AS (SELECT bucket, sum(n) AS s FROM used JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN hashed USING (word) GROUP BY bucket),
+both_ AS (SELECT bucket, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM s FULL JOIN t USING (bucket)),
+gains AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM both_) + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM both_) + 10000)::DOUBLE)))::BIGINT AS gain FROM both_),
+weights AS (SELECT k, sum(n * gain)::BIGINT AS weight FROM used JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY k),
+scored AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (k)),
+ranked AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+  10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM ranked
+"""
+
+
+@register("op13_importance_resampling", OP13_SQL)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target, percent=10, min_words=20, seed=2024).withColumnRenamed("id", "doc_id")
