@@ -14,6 +14,12 @@ and retry:
    (and the group's first values on request);
 4. position = rows in earlier blocks + position in the block, joined on
    ``(group, block)``, whose keys are as small as a block.
+
+``sorted_positions`` numbers a whole table by any sortable columns, strings too:
+the rows are range-partitioned and sorted once, the sorted rows are stored with
+their range and their index in it, so the boundaries are drawn only once, and a
+table of ``range -> rows`` gets prefix sums.  ``dense_ranks`` numbers distinct
+values the same way, after the repeats are aggregated away on the map side.
 """
 
 from __future__ import annotations
@@ -24,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.util import cut_lineage
+
 BLOCK_WIDTH = 1 << 16
 
 
@@ -64,3 +72,36 @@ def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
         same = same & rows[k].eqNullSafe(F.col(f"_k{i}"))
     return rows.join(blocks, same).select(
         *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_inside")).alias(out), *list(first))
+
+
+def sorted_positions(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
+    """``df`` with the 0-based position ``out`` of each row in the order of ``order``.
+
+    Rows that tie on ``order`` share a range, so it should end in a column that tells
+    rows apart where many tie; rows equal in all of ``order`` get any order among them.
+    ``df`` is read twice (Spark samples it for the boundaries): pass a stored table
+    if it is costly.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    placed = cut_lineage(placed.withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("_range", before.alias("_before"))  # a row per range
+    return placed.join(sizes, "_range").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_row")).alias(out))
+
+
+def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank") -> DataFrame:
+    """Distinct ``(keys, value)`` rows with the 1-based dense rank ``out`` of ``value``
+    within ``keys`` (what ``dense_rank`` gives), without a window over a whole group."""
+    distinct = cut_lineage(df.select(*keys, value).distinct())
+    spots = sorted_positions(distinct, [F.col(k) for k in (*keys, value)], "_at")
+    if not keys:
+        return spots.select(value, (F.col("_at") + 1).alias(out))
+    starts = spots.groupBy(*keys).agg(F.min("_at").alias("_start")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_start")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & spots[k].eqNullSafe(F.col(f"_k{i}"))
+    return spots.join(starts, same).select(*keys, value, (F.col("_at") - F.col("_start") + 1).alias(out))
