@@ -20,6 +20,7 @@ from quire.llm import (
     simhash,
     suffix_dedup,
     token_files,
+    vector_graph,
 )
 from quire.llm.chat import ChatTemplate, format_chats, loss_text, read_turns
 from quire.llm.common import shared_path, stored, table
@@ -239,6 +240,13 @@ def op10_chat_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _formatted_chats(spark, sf_dir, "valid")
 
 
+@register("op11_embedding_near_dedup")
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_graph.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9).withColumnRenamed("id", "vec_id")
+    kept = F.col("vec_id").eqNullSafe(F.col("component_id"))
+    return found.select("vec_id", "n_links", "component_id", kept.alias("kept"), "recall")
+
+
 OP12_SQL = r"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
