@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.util import cut_lineage
+from quire.operators.util import stored_table
 
 BLOCK_WIDTH = 1 << 16
 
@@ -84,7 +84,7 @@ def sorted_positions(df: DataFrame, order: Sequence[Column], out: str = "positio
     """
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = placed.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
-    placed = cut_lineage(placed.withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))))
+    placed = stored_table(placed.withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))), "sorted")
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select("_range", before.alias("_before"))  # a row per range
@@ -95,7 +95,7 @@ def sorted_positions(df: DataFrame, order: Sequence[Column], out: str = "positio
 def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank") -> DataFrame:
     """Distinct ``(keys, value)`` rows with the 1-based dense rank ``out`` of ``value``
     within ``keys`` (what ``dense_rank`` gives), without a window over a whole group."""
-    distinct = cut_lineage(df.select(*keys, value).distinct())
+    distinct = df.select(*keys, value).distinct()
     spots = sorted_positions(distinct, [F.col(k) for k in (*keys, value)], "_at")
     if not keys:
         return spots.select(value, (F.col("_at") + 1).alias(out))

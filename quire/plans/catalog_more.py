@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import gather, quality, sidecar, trials
+from quire.operators.util import shared_path, stored_table
 from quire.plans.catalog import T, register
 from quire.sources import tables
 
@@ -171,6 +172,14 @@ def q_trial_items(spark, d):
                                            F.col("p_name").alias("itemdescription"), F.col("p_partkey").alias("row_seq")))
 
 
+def _sheet(lines, day):
+    """Sheet lines as they lie in storage, one file per day; ``lines``: (day, mono, text)."""
+    key = F.struct(F.lit(0).cast("long").alias("blk"), F.col("mono").cast("long").alias("mono")).alias("row_key")
+    sheets = lines.select(F.lit("st").alias("study"), F.concat(F.lit("/st/"), day).alias("file_path"), F.col(day).alias("file_name"),
+                          key, F.col("text").alias("line"))
+    return stored_table(sheets.repartition("file_path"), "sheets")
+
+
 # ---------------------------------------------------------------- S3, P2, P3, P5: sheet lines
 @register("sheet_lines", """
 WITH e AS (SELECT strftime(ts, '%Y%m%d') AS day, event_id, user_id, event_type, value,
@@ -194,12 +203,62 @@ def q_sheet_lines(spark, d):
         blank(F.col("event_id") % 7 == 0, F.lit(1) + F.floor((F.dayofmonth("ts") - 1) / 10)),
         F.col("event_type"), field(F.concat(F.lit('say "'), "event_type", F.lit('", '), k)), F.lit("replaced"),
         blank(F.col("event_id") % 3 == 0, F.col("event_id")))
-    shape = lambda mono, text: [day.alias("day"), F.struct(F.lit(0).cast("long").alias("blk"), mono.cast("long").alias("mono")).alias("row_key"),
-                                text.alias("line")]
-    head = F.lit('ID,Ses,mood-01,"a, ""b""",mood2,MOOD 2')
-    rows = e.select(*shape(F.col("event_id"), line)).unionByName(e.select("ts").distinct().select(*shape(F.lit(-1), head)).distinct())
-    lines = rows.select(F.lit("st").alias("study"), F.concat(F.lit("/st/"), "day").alias("file_path"),
-                        F.col("day").alias("file_name"), "row_key", "line")
+    rows = e.select(day.alias("day"), F.col("event_id").alias("mono"), line.alias("text"))
+    heads = e.select(day.alias("day")).distinct().select("day", F.lit(-1).cast("long").alias("mono"),
+                                                         F.lit('ID,Ses,mood-01,"a, ""b""",mood2,MOOD 2').alias("text"))
+    lines = _sheet(rows.unionByName(heads), "day")
     r = tables.lines_to_responses(lines)
     return r.select(F.col("file_seq").cast("long").alias("file_seq"), F.col("row_seq.mono").alias("row"), "subject_raw", "session_raw",
                     "item_seq", "item", "item_raw", "value")
+
+
+# ---------------------------------------------------------------- U1, S3, S6: header classes
+@register("sheet_shapes", """
+WITH e AS (SELECT strftime(ts, '%Y%m%d') AS day, date_part('day', ts)::BIGINT AS dom, event_id, user_id, event_type FROM events),
+f AS (SELECT DISTINCT day, dense_rank() OVER (ORDER BY day) AS file_seq FROM e),
+c AS (SELECT *, user_id::VARCHAR AS subject_raw, (1 + (dom - 1) // 10)::VARCHAR AS session_raw FROM e JOIN f USING (day))
+SELECT file_seq, event_id AS row, subject_raw, session_raw, item_seq, item, item_raw, val AS value FROM c,
+LATERAL (SELECT 3 AS item_seq, 'CALM01' AS item, 'CALM01' AS item_raw, event_type AS val WHERE dom % 3 = 0
+  UNION ALL SELECT 4, 'extra, "x"', 'extra, "x"', 'a "' || event_type || '",' WHERE dom % 3 = 0
+  UNION ALL SELECT 1, 'CALM01', 'calm-01', event_type WHERE dom % 3 = 1
+  UNION ALL SELECT 0, 'MOOD2', 'mood 2', CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id::VARCHAR END WHERE dom % 3 = 2
+  UNION ALL SELECT 3, 'free', 'free', NULL WHERE dom % 3 = 2 AND event_id % 5 = 0
+  UNION ALL SELECT 3, 'free', 'free', 'x' WHERE dom % 3 = 2 AND event_id % 5 <> 0) AS t(item_seq, item, item_raw, val)""")
+def q_sheet_shapes(spark, d):
+    """One sheet per day, in three shapes by the day: key columns anywhere, names that
+    collide after normalisation, records shorter than the header."""
+    e = T(spark, d, "events", ["event_id", "ts", "user_id", "event_type"])
+    kind = F.dayofmonth("ts") % 3
+    ses = (F.lit(1) + F.floor((F.dayofmonth("ts") - 1) / 10)).cast("string")
+    quoted = F.concat(F.lit('"a ""'), "event_type", F.lit('"","'))
+    text = (F.when(kind == 0, F.concat_ws(",", F.col("user_id").cast("string"), ses, F.lit("replaced"), F.col("event_type"), quoted))
+            .when(kind == 1, F.concat_ws(",", ses, F.col("event_type"), F.col("user_id").cast("string")))
+            .otherwise(F.concat_ws(",", F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.col("event_id").cast("string")),
+                                   F.col("user_id").cast("string"), ses, F.when(F.col("event_id") % 5 != 0, F.lit("x")))))
+    head = F.when(kind == 0, F.lit('id,SES,calm 01,CALM01,"extra, ""x"""')).when(kind == 1, F.lit("Ses,calm-01,ID")).otherwise(
+        F.lit("mood 2,Id,ses,free"))
+    day = F.date_format("ts", "yyyyMMdd").alias("day")
+    rows = e.select(day, F.col("event_id").alias("mono"), text.alias("text"))
+    heads = e.select(day, F.lit(-1).cast("long").alias("mono"), head.alias("text")).distinct()
+    r = tables.lines_to_responses(_sheet(rows.unionByName(heads), "day"))
+    return r.select(F.col("file_seq").cast("long").alias("file_seq"), F.col("row_seq.mono").alias("row"), "subject_raw", "session_raw",
+                    "item_seq", "item", "item_raw", "value")
+
+
+# ---------------------------------------------------------------- S3, S8: quoted line breaks
+@register("sheet_quoted_lines", r"""
+SELECT doc_id::VARCHAR AS id, lang AS lang_,
+  sha256(coalesce(text, '') || chr(13) || chr(10) || 'said "' || coalesce(source, '') || '",' || chr(10)) AS cell_sha256,
+  length(coalesce(text, '')) + length(coalesce(source, '')) + 11 AS cell_chars FROM documents""")
+def q_sheet_quoted_lines(spark, d):
+    """Whole texts with quotes, commas, CRLF and line breaks, written as CSV files
+    and read back as split lines: one record per document."""
+    docs = T(spark, d, "documents", ["doc_id", "text", "lang", "source"])
+    cell = F.concat(F.coalesce("text", F.lit("")), F.lit('\r\nsaid "'), F.coalesce("source", F.lit("")), F.lit('",\n'))
+    path = shared_path(spark, "quoted-sheets")
+    docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("1").alias("ses"), cell.alias("cell"), F.col("lang").alias("lang_")).write.option(
+        "header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    r = tables.lines_to_responses(tables.read_lines(spark, path))
+    row = r.groupBy("file_seq", "row_seq", F.col("subject_raw").alias("id")).agg(
+        F.max(F.when(F.col("item") == "cell", F.col("value"))).alias("cell"), F.max(F.when(F.col("item") == "lang_", F.col("value"))).alias("lang_"))
+    return row.select("id", "lang_", F.sha2("cell", 256).alias("cell_sha256"), F.length("cell").cast("long").alias("cell_chars"))

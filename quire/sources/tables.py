@@ -4,12 +4,12 @@
 Every file keeps its own header.  Lines are read with their file path, split
 offset and a monotonically increasing id, which together order the lines of a
 file (within one split the reader emits lines in file order; a later split of
-the same file has a larger offset).  The first line of each file is its
-header: found with one aggregate per file, a table bounded by the number of
-files that AQE broadcasts back from its materialized size.  Fields are parsed with
-``from_csv`` (quotes handled) against a schema of as many string columns as
-the widest header.  Quoted fields spanning lines are not supported (one line =
-one row).
+the same file has a larger offset).  ``records.records`` glues the lines of
+quoted fields and parses every record once, into a stored table of field arrays,
+which also fixes the row keys.  The first record of each file is its header.
+Files of one header form a class: names are normalised, key columns found and
+collisions masked once per class, whatever the number of files, and the data
+rows are projected by their class's positions.
 
 Output of ``read_sheet_cells`` (long, all text)::
 
@@ -18,10 +18,14 @@ Output of ``read_sheet_cells`` (long, all text)::
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.ids import item_name
 from quire.functions.paths import decoded_path
+from quire.operators.ordering import dense_ranks
+from quire.operators.util import stored_table
+from quire.sources.records import records
 
 # Names that are never session sheets.
 TEMP_PREFIX = "~$"
@@ -29,7 +33,8 @@ RESERVED_FILES = ("participants_dataset.xlsx", "demographics.xlsx")
 
 
 def read_lines(spark: SparkSession, paths, study_from_parent: bool = True) -> DataFrame:
-    return tag_lines(spark.read.text(paths), study_from_parent)
+    """Lines as they stand between line feeds, so CRLF within quotes stays."""
+    return tag_lines(spark.read.option("lineSep", "\n").text(paths), study_from_parent)
 
 
 def file_columns(df: DataFrame) -> DataFrame:
@@ -58,12 +63,6 @@ def tag_lines(df: DataFrame, study_from_parent: bool = True) -> DataFrame:
     ).filter(~F.col("file_name").startswith(TEMP_PREFIX))
 
 
-def split_fields(line, width: int, sep: str) -> F.Column:
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "quote": '"', "escape": '"'})
-    return F.array(*[parsed[f"c{i}"] for i in range(width)])
-
-
 def read_sheet_cells(spark: SparkSession, paths, sep: str = ",", study_from_parent: bool = True,
                      lowercase_names: bool = False) -> DataFrame:
     """Long cells of every sheet file under ``paths`` (one job, no per-file
@@ -71,91 +70,71 @@ def read_sheet_cells(spark: SparkSession, paths, sep: str = ",", study_from_pare
     return cells_from_lines(read_lines(spark, paths, study_from_parent), sep, lowercase_names)
 
 
+def parsed(lines: DataFrame, sep: str) -> DataFrame:
+    """The records of ``lines``, or ``lines`` itself where it holds records already."""
+    return lines if "fields" in lines.columns else records(lines, sep)
+
+
+def sheet_headers(recs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``files`` (study, file_path, file_name, file_seq, class, hdr_mono), ``classes``
+    (class, raw: the stripped names) and the data rows of ``recs`` with both.  The
+    first record of a file lies in its first split."""
+    first = recs.where(F.col("row_key.blk") == 0).groupBy("file_path").agg(F.min("row_key.mono").alias("hdr_mono"))
+    own = recs.join(first, "file_path").where((F.col("row_key.blk") == 0) & (F.col("row_key.mono") == F.col("hdr_mono")))
+    own = own.select("study", "file_path", "file_name", "hdr_mono", F.transform("fields", lambda x: F.btrim(x)).alias("raw"))
+    own = stored_table(own, "headers")
+    classes = own.groupBy("raw").agg(F.min("file_path").alias("class"))
+    seq = dense_ranks(own, ["study"], "file_name", "file_seq").withColumn("file_seq", F.col("file_seq").cast("int"))
+    same = own["study"].eqNullSafe(seq["study"]) & (own["file_name"] == seq["file_name"])
+    files = own.join(seq, same).drop(seq["study"]).drop(seq["file_name"])
+    files = files.join(classes, "raw").drop("raw")
+    data = recs.drop("study", "file_name").join(files, "file_path")
+    data = data.where((F.col("row_key.blk") > 0) | (F.col("row_key.mono") > F.col("hdr_mono"))).drop("hdr_mono")
+    return files, classes, data
+
+
 def cells_from_lines(lines: DataFrame, sep: str = ",", lowercase_names: bool = False) -> DataFrame:
-    """Header detection + field split for lines of many files (batch input;
-    also used per micro-batch by ``quire.streaming``)."""
-    spark = lines.sparkSession
-    # Per-file tables (first line, header) are data-derived: AQE broadcasts
-    # them from their materialized size; no planning-time job over the data.
-    first = lines.groupBy("file_path").agg(F.min("row_key").alias("hdr_key"))
-    tagged = lines.join(first, "file_path")
-    headers = tagged.filter(F.col("row_key") == F.col("hdr_key"))
-    width_row = headers.select(F.max(F.size(F.split("line", sep, -1))).alias("w")).first()
-    width = int(width_row["w"] or 0) if width_row else 0
-    if width == 0:
-        return spark.createDataFrame([], "study string, file_name string, file_seq int, row_key struct<blk:bigint,mono:bigint>, "
-                                         "col_seq int, column string, value string")
-    names = F.transform(split_fields(F.col("line"), width, sep), lambda x: F.btrim(x))
-    if lowercase_names:
-        names = F.transform(names, lambda x: F.lower(x))
-    hdr = headers.select("file_path", names.alias("names"))
-    files = lines.select("study", "file_path", "file_name").distinct()
-    files = files.withColumn("file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
-    hdr = hdr.join(files, "file_path")
-    data = tagged.filter(F.col("row_key") > F.col("hdr_key")).drop("hdr_key", "study", "file_name")
-    data = data.join(hdr, "file_path")
-    cells = data.select(
-        "study", "file_name", "file_seq", "row_key", "names",
-        F.posexplode(split_fields(F.col("line"), width, sep)).alias("col_seq", "value"),
-    )
+    """Long cells of lines or records of many files.  Names without text have no cells."""
+    _, classes, data = sheet_headers(parsed(lines, sep))
+    names = F.transform("raw", lambda x: F.lower(x)) if lowercase_names else F.col("raw")
+    named = classes.select("class", names.alias("names"))
+    rows = data.join(named, "class")
+    cells = rows.select("study", "file_name", "file_seq", "row_key", F.posexplode(at_names("fields", "names")).alias("col_seq", "x"))
     return cells.select(
-        "study", "file_name", "file_seq", "row_key", "col_seq",
-        F.element_at("names", F.col("col_seq") + 1).alias("column"), "value",
-    ).filter(F.col("column").isNotNull() & (F.col("column") != ""))
+        "study", "file_name", "file_seq", "row_key", "col_seq", F.col("x.name").alias("column"), F.col("x.value").alias("value"),
+    ).where(F.coalesce(F.col("column"), F.lit("")) != "")
+
+
+def at_names(fields: str, names: str) -> F.Column:
+    """(name, value) for each name; a short record lacks its last values."""
+    return F.transform(names, lambda n, i: F.struct(n.alias("name"), F.get(F.col(fields), i).alias("value")))
 
 
 def lines_to_responses(lines: DataFrame, sep: str = ",") -> DataFrame:
-    """S3 + P2 + P3 + P5 + D10 straight from sheet lines, without a data
-    shuffle: each line is parsed whole, so its ``id``/``ses`` values are read
-    from the field array at positions taken from the file's header, before
-    the cells are exploded.  Header work (C4 on names, the rightmost-wins
-    mask for colliding names, key positions) happens on the per-file header
-    table, one row per file.  Files without ``id`` or ``ses`` give no rows
-    (``sheet_key_issues`` reports them)."""
-    from quire.functions.ids import item_name
-
-    spark = lines.sparkSession
-    first = lines.groupBy("file_path").agg(F.min("row_key").alias("hdr_key"))  # partial agg: one row per file per task
-    tagged = lines.join(first, "file_path")
-    headers = tagged.filter(F.col("row_key") == F.col("hdr_key"))
-    width_row = headers.select(F.max(F.size(F.split("line", sep, -1))).alias("w")).first()
-    width = int(width_row["w"] or 0) if width_row else 0
-    if width == 0:
-        return spark.createDataFrame([], "study string, file_seq int, file_name string, row_seq struct<blk:bigint,mono:bigint>, "
-                                         "subject_raw string, session_raw string, item_seq int, item string, item_raw string, "
-                                         "value string")
-    raw_names = F.transform(split_fields(F.col("line"), width, sep), lambda x: F.btrim(x))
-    hdr = headers.select("file_path", raw_names.alias("raw"))
+    """S3 + P2 + P3 + P5 + D10 straight from lines or records, without a shuffle
+    of the data: ``id`` and ``ses`` are read from the field array at positions that
+    the header class gives, and so are the item cells.  Header work (C4 on names, the
+    rightmost-wins mask for colliding names, key positions) is one row per class.
+    Files without ``id`` or ``ses`` give no rows (``sheet_key_issues`` reports them)."""
+    _, classes, data = sheet_headers(parsed(lines, sep))
     lower = F.transform("raw", lambda x: F.lower(x))
-    norm = F.transform("raw", lambda x: item_name(x))
-    hdr = hdr.select(
-        "file_path", "raw", norm.alias("norm"),
-        F.array_position(lower, "id").cast("int").alias("id_pos"),
-        F.array_position(lower, "ses").cast("int").alias("ses_pos"),
-    )
+    wide = classes.select(
+        "class", "raw", F.transform("raw", lambda x: item_name(x)).alias("norm"),
+        F.array_position(lower, "id").cast("int").alias("id_pos"), F.array_position(lower, "ses").cast("int").alias("ses_pos"),
+    ).where((F.col("id_pos") > 0) & (F.col("ses_pos") > 0))
     # A name is kept only if no later column normalises to the same name
-    # (null-safe: a shorter file's header is padded with nulls up to ``width``)
-    keep = F.transform("norm", lambda x, i: ~F.exists(F.slice("norm", i + 2, width), lambda z: z.eqNullSafe(x)))
-    hdr = hdr.withColumn("keep", keep).filter((F.col("id_pos") > 0) & (F.col("ses_pos") > 0))
-    files = lines.select("study", "file_path", "file_name").distinct()
-    files = files.withColumn("file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
-    hdr = hdr.join(files, "file_path")
-    data = tagged.filter(F.col("row_key") > F.col("hdr_key")).drop("hdr_key", "study", "file_name").join(hdr, "file_path")
-    fields = split_fields(F.col("line"), width, sep)
-    rows = data.select(
-        "study", "file_seq", "file_name", F.col("row_key").alias("row_seq"), "raw", "norm", "keep", "id_pos", "ses_pos",
-        F.element_at(fields, F.col("id_pos")).alias("subject_raw"),
-        F.element_at(fields, F.col("ses_pos")).alias("session_raw"),
-        F.posexplode(fields).alias("item_seq", "value"),
-    )
-    one = F.col("item_seq") + 1
-    rows = rows.filter((one != F.col("id_pos")) & (one != F.col("ses_pos")) & F.coalesce(F.element_at("keep", one), F.lit(False)))
-    rows = rows.filter(F.coalesce(F.element_at("raw", one), F.lit("")) != "")
-    return rows.select(
-        "study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw",
-        F.col("item_seq").cast("int").alias("item_seq"), F.element_at("norm", one).alias("item"),
-        F.element_at("raw", one).alias("item_raw"), "value",
-    )
+    last = lambda x, i: ~F.exists(F.slice("norm", i + 2, F.size("norm")), lambda z: z.eqNullSafe(x))
+    item = lambda n, i: F.struct(i.alias("item_seq"), n.alias("item"), F.get("raw", i).alias("item_raw"),
+                                 (last(n, i) & (F.get("raw", i) != "")).alias("keep"))
+    items = F.filter(F.transform("norm", item), lambda x: x["keep"] & (x["item_seq"] + 1 != F.col("id_pos")) &
+                     (x["item_seq"] + 1 != F.col("ses_pos")))
+    wide = wide.select("class", "id_pos", "ses_pos", items.alias("items"))
+    rows = data.join(wide, "class").select(
+        "study", "file_seq", "file_name", F.col("row_key").alias("row_seq"),
+        F.get("fields", F.col("id_pos") - 1).alias("subject_raw"), F.get("fields", F.col("ses_pos") - 1).alias("session_raw"),
+        F.explode(F.transform("items", lambda x: F.struct(x["item_seq"], x["item"], x["item_raw"],
+                                                          F.get("fields", x["item_seq"]).alias("value")))).alias("x"))
+    return rows.select("study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw", "x.item_seq", "x.item", "x.item_raw", "x.value")
 
 
 def cells_to_responses(cells: DataFrame) -> DataFrame:
@@ -165,8 +144,6 @@ def cells_to_responses(cells: DataFrame) -> DataFrame:
     ride along each row's cells via a per-row aggregate over only the two key
     cells (small), joined back on the row key.  Files without both keys yield
     issue rows via ``sheet_key_issues`` and no responses."""
-    from quire.functions.ids import item_name
-
     lc = F.lower(F.col("column"))
     keys = cells.filter(lc.isin("id", "ses")).groupBy("study", "file_seq", "row_key").agg(
         F.max(F.when(lc == "id", F.col("value"))).alias("subject_raw"),
