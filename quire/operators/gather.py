@@ -22,9 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.util import stored_table
+
 SKIP_COLUMNS = ("participant_id", "session_id")
 KEY = ("subject_id", "session_id")
 
@@ -32,12 +34,11 @@ KEY = ("subject_id", "session_id")
 def first_rows(cells: DataFrame) -> DataFrame:
     """First file by name per (subject, session, task), row 0 only.
 
-    A group is the row-0 cells of one subject/session/task (bounded by the
-    task's columns), so ``rank() == 1`` over file names is one shuffle with a
-    partial group limit and no second pass over the cells."""
+    The first name is a min aggregation over keys and paths; the cells follow by
+    a semi-join, so no window sorts them.  ``cells`` is read twice: pass a stored table."""
     row0 = cells.filter(F.col("row_index") == 0)
-    w = Window.partitionBy(*KEY, "task").orderBy("file_path")
-    return row0.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1).drop("_rk")
+    first = row0.groupBy(*KEY, "task").agg(F.min("file_path").alias("file_path"))
+    return row0.join(first, [*KEY, "task", "file_path"], "left_semi")
 
 
 def last_participants(participants: DataFrame) -> DataFrame:
@@ -86,7 +87,7 @@ def gather_wide(spine: DataFrame, cells: DataFrame, participants: DataFrame, tas
     Tasks are pivoted once per session and participants once per subject; a
     task column replaces a participant column where the session has the cell,
     null or not."""
-    values = task_values(cells, tasks)
+    values = stored_table(task_values(cells, tasks), "task-values")  # for the column order and the pivot
     front, rest = column_order(values, participants, spine, participant_columns)
     spine = spine.select(*KEY)
     out = spine

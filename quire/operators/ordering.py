@@ -74,6 +74,19 @@ def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
         *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_inside")).alias(out), *list(first))
 
 
+def sorted_parts(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """``df`` range-partitioned and sorted by ``order``, stored with ``_range`` and
+    ``_row`` (the 0-based index in the range), and the table of its ranges:
+    ``_range, _rows, _before`` (rows in earlier ranges).  Range and index give a
+    row's place in the whole order; no task sees more than its range."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    placed = stored_table(placed.withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))), "sorted")
+    ranges = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed, ranges.withColumn("_before", before)  # a row per range
+
+
 def sorted_positions(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
     """``df`` with the 0-based position ``out`` of each row in the order of ``order``.
 
@@ -82,13 +95,8 @@ def sorted_positions(df: DataFrame, order: Sequence[Column], out: str = "positio
     ``df`` is read twice (Spark samples it for the boundaries): pass a stored table
     if it is costly.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = placed.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
-    placed = stored_table(placed.withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))), "sorted")
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("_range", before.alias("_before"))  # a row per range
-    return placed.join(sizes, "_range").select(
+    placed, ranges = sorted_parts(df, order)
+    return placed.join(ranges, "_range").select(
         *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_row")).alias(out))
 
 

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.util import stored_table
+
 ISSUE_SCHEMA = "study string, check string, severity string, object string, detail string"
 
 
@@ -22,29 +25,51 @@ def header_table(responses: DataFrame) -> DataFrame:
     return responses.select("study", "file_seq", "item").distinct()
 
 
+def task_trie(tasks: Sequence[str]) -> dict:
+    """Nested dicts by character; the key ``None`` holds the task names that end there."""
+    root: dict = {}
+    for task in tasks:
+        node = root
+        for c in task.upper():
+            node = node.setdefault(c, {})
+        node.setdefault(None, []).append(task)
+    return root
+
+
+def tasks_within(name: str, trie: dict) -> set[str]:
+    """The tasks whose upper-cased name stands anywhere in the upper-cased ``name``."""
+    text, found = name.upper(), set(trie.get(None, ()))
+    for i in range(len(text)):
+        node = trie
+        for c in text[i:]:
+            node = node.get(c)
+            if node is None:
+                break
+            found.update(node.get(None, ()))
+    return found
+
+
 def task_columns(headers: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Columns whose name contains the task name (any case), per file and
-    task.  The substring test is turned into an **equi-join**: every header
-    name is cut into its substrings of the lengths task names actually have
-    (a short list from the small task table), and those are joined on
-    ``(study, upper(substring)) = (study, upper(task))``.  No cross product of
-    files and tasks is formed."""
-    t = tasks.select("study", "task", F.upper("task").alias("_t")).distinct()
-    lengths = sorted({r[0] for r in t.select(F.length("_t")).distinct().collect() if r[0]})
-    if not lengths:
-        return headers.select("study", "file_seq", "item", F.lit(None).cast("string").alias("task")).limit(0)
-    h = headers.withColumn("_u", F.upper("item"))
-
-    def cuts(n: int):
-        starts = F.sequence(F.lit(1), F.length("_u") - n + 1)
-        return F.when(F.length("_u") >= n, F.transform(starts, lambda i: F.substring(F.col("_u"), i, n))).otherwise(
-            F.array().cast("array<string>"))
-
-    subs = h.select(
-        "study", "file_seq", "item",
-        F.explode(F.array_distinct(F.flatten(F.array(*[cuts(n) for n in lengths])))).alias("_t"),
-    )
-    return subs.join(t, on=["study", "_t"], how="inner").select("study", "file_seq", "task", "item").distinct()
+    """Columns whose name contains the task name (any case), per file and task.
+
+    The task names of a study, definitions that the driver holds anyway, become a
+    trie; each distinct header name goes through it once, whatever the number of
+    files that bear it, and only its matches come out.  They are joined back to the
+    header table on the name."""
+    names = {}
+    for r in tasks.select("study", "task").distinct().collect():
+        if r["task"]:
+            names.setdefault(r["study"], []).append(r["task"])
+    tries = {study: task_trie(found) for study, found in names.items()}
+
+    def matches(batches):
+        for b in batches:
+            out = [(s, i, t) for s, i in zip(b["study"], b["item"]) if s in tries and i for t in sorted(tasks_within(i, tries[s]))]
+            yield pd.DataFrame(out, columns=["study", "item", "task"])
+
+    distinct = headers.select("study", "item").distinct()
+    met = distinct.mapInPandas(matches, "study string, item string, task string")
+    return headers.join(met, ["study", "item"]).select("study", "file_seq", "task", "item").distinct()
 
 
 def missing_items(task_cols: DataFrame, items: DataFrame, file_tasks: DataFrame) -> DataFrame:
@@ -80,17 +105,52 @@ def unused_tasks(task_names: DataFrame, records: DataFrame) -> DataFrame:
     return task_names.withColumn("task_lc", F.lower("task")).join(used, on=["study", "task_lc"], how="left_anti").drop("task_lc")
 
 
+def numbered_tasks(tasks: DataFrame) -> DataFrame:
+    """(study, task, task_no): a study's distinct tasks, numbered in order."""
+    names = tasks.groupBy("study").agg(F.array_sort(F.collect_set("task")).alias("t"))
+    return names.select("study", F.posexplode("t").alias("task_no", "task"))
+
+
+def coverage_classes(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files that have relevant columns for the same tasks are one class.
+
+    A file's tasks are bitmaps of their numbers (one per 32,768 tasks of a study,
+    combined on the map side), so a file is one short row whatever the number of
+    tasks.  Returns the classes (study, class, n_files, n_without, without: the tasks
+    they lack, sorted) and the membership (study, file_seq, class); a class is
+    named by its least file."""
+    numbers = numbered_tasks(tasks)
+    bit = F.bitmap_bit_position("task_no")
+    block = F.bitmap_bucket_number("task_no")
+    seen = file_tasks_with_data.select("study", "file_seq", "task").join(numbers, ["study", "task"])
+    maps = seen.groupBy("study", "file_seq", block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    # trailing zero bytes go, so a bitmap is as long as its last task's number needs
+    short = F.regexp_replace(F.hex("bits"), "(?:00)+$", "")
+    maps = maps.groupBy("study", "file_seq").agg(F.array_sort(F.collect_list(F.struct("block", short.alias("bits")))).alias("bits"))
+    known = files.select("study", "file_seq").distinct().join(tasks.select("study").distinct(), "study", "left_semi")
+    every = known.join(maps, ["study", "file_seq"], "left")
+    every = stored_table(every, "coverage")
+    named = every.groupBy("study", "bits").agg(F.min("file_seq").alias("class"), F.count(F.lit(1)).alias("n_files"))
+    other = named.select(F.col("study").alias("_s"), F.col("bits").alias("_b"), "class")
+    same = F.col("study").eqNullSafe(F.col("_s")) & F.col("bits").eqNullSafe(F.col("_b"))
+    member = every.join(other, same).select("study", "file_seq", "class")
+    # a class's tasks are those of the file it is named by
+    have = seen.join(named.select("study", F.col("class").alias("file_seq")), ["study", "file_seq"], "left_semi")
+    defined = numbers.groupBy("study").agg(F.collect_set("task").alias("defined"))
+    held = have.groupBy("study", F.col("file_seq").alias("class")).agg(F.collect_set("task").alias("held"))
+    lists = named.drop("bits").join(held, ["study", "class"], "left").join(defined, "study")
+    without = F.array_sort(F.array_except("defined", F.coalesce("held", F.array().cast("array<string>"))))
+    classes = lists.select("study", "class", "n_files", F.size(without).alias("n_without"), without.alias("without"))
+    return classes, member
+
+
 def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Per file, the defined tasks of its study without relevant
-    columns: ``(study, file_seq, n_without, without)``, one row per file that
-    lacks any, ``without`` sorted.  A file's row carries the tasks it lacks, so
-    neither files x tasks rows nor a pair product is formed."""
-    defined = tasks.groupBy("study").agg(F.collect_set("task").alias("_defined"))
-    seen = file_tasks_with_data.groupBy("study", "file_seq").agg(F.collect_set("task").alias("_seen"))
-    f = files.join(seen, ["study", "file_seq"], "left").join(defined, "study")
-    lacking = F.array_sort(F.array_except("_defined", F.coalesce("_seen", F.array().cast("array<string>"))))
-    f = f.select("study", "file_seq", lacking.alias("without"))
-    return f.select("study", "file_seq", F.size("without").alias("n_without"), "without").filter(F.col("n_without") > 0)
+    """Per file, the defined tasks of its study without relevant columns:
+    ``(study, file_seq, n_without, without)`` for files that lack any, read off
+    the file's coverage class."""
+    classes, member = coverage_classes(file_tasks_with_data, files, tasks)
+    lacking = classes.filter(F.col("n_without") > 0).drop("n_files")
+    return member.join(lacking, ["study", "class"]).drop("class")
 
 
 def missing_files(required: DataFrame, present: DataFrame) -> DataFrame:

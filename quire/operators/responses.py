@@ -147,6 +147,49 @@ def latest_records(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("
     return df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1).drop("_rk")
 
 
+def matched_columns(headers: DataFrame, task_items: DataFrame) -> DataFrame:
+    """J1 on headers: ``(study, class, task, columns)``, the columns (item_seq,
+    item) of a header class that are a task's items and contain its name.  ``headers``
+    holds ``study, class, item_seq, item``; the join is of header size."""
+    items = task_items.select("study", "task", F.col("item_norm").alias("item")).distinct()
+    met = headers.join(items, ["study", "item"]).filter(F.upper("item").contains(F.upper("task")))
+    return met.groupBy("study", "class", "task").agg(F.array_sort(F.collect_set(F.struct("item_seq", "item"))).alias("columns"))
+
+
+def winning_rows(rows: DataFrame, matched: DataFrame, order: Sequence[str]) -> DataFrame:
+    """W1 on row keys: the latest row by ``order`` for each (study, subject,
+    session, lower(task)) among the rows whose class has items of the task.
+
+    Only keys and locators move, combined on the map side; a hot key is one
+    row per map task.  A task spelled in two ways keeps each spelling of the winner's class."""
+    keys = ["study", "subject_id", "session", "task_lc"]
+    tasks = matched.select("study", "class", F.lower("task").alias("task_lc")).distinct()
+    own = rows.select("study", "class", "subject_id", "session", F.struct(*order).alias("_at"))
+    best = own.join(tasks, ["study", "class"]).groupBy(*keys).agg(F.max("_at").alias("_at"))
+    return best.select(*keys, "_at.*")
+
+
+def fetched_cells(rows: DataFrame, winners: DataFrame, matched: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The cells of the winning rows: ``rows`` holds ``study, class, subject_id,
+    session, *order, fields``; of a winner's fields only its task's columns are read."""
+    won = rows.join(winners, ["study", "subject_id", "session", *order])
+    wanted = matched.withColumn("task_lc", F.lower("task"))
+    met = won.join(wanted, ["study", "class", "task_lc"])
+    values = F.transform("columns", lambda c: F.struct(c["item_seq"].alias("item_seq"), c["item"].alias("item"),
+                                                       F.get("fields", c["item_seq"]).alias("value")))
+    keep = [c for c in met.columns if c not in ("fields", "columns", "class")]
+    return met.select(*keep, F.inline(values))
+
+
+def records_of_rows(rows: DataFrame, headers: DataFrame, task_items: DataFrame,
+                    order: Sequence[str] = ("file_seq", "row_seq")) -> DataFrame:
+    """Program A data path on sheet rows (``tables.sheet_rows``): J1 on headers,
+    W1 on keys, then the winners' cells.  Equals ``task_records`` on the
+    exploded cells."""
+    matched = matched_columns(headers, task_items)
+    return fetched_cells(rows, winning_rows(rows, matched, order), matched, order)
+
+
 def records_to_wide(df: DataFrame, keys: Sequence[str], items: Sequence[str], value: str = "value") -> DataFrame:
     """P6 long -> wide with the item list known up front (no extra distinct
     job, no pivot-value cap).  One value per (key, item) after W1."""

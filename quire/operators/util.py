@@ -47,3 +47,8 @@ def release(table: DataFrame) -> None:
 def _located(spark, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def mounted(path: str) -> str:
+    """A ``file:`` URI as the path that every host mounts it under."""
+    return path.removeprefix("file://") if path.startswith("file://") else path.removeprefix("file:")

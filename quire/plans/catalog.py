@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import ids, levels, paths, text
 from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
+from quire.operators.util import stored_table
 from quire.plans import roles
 from quire.plans import sqlfrag as S
 from quire.sinks import bids
@@ -55,11 +56,13 @@ cells AS (
          {S.subject_id('subject_raw')} AS subject_id, {S.session_id('session_raw')} AS session
   FROM cells0)"""
 
-BENCH_ITEMS_SQL = """
+TYPES_SQL = "(SELECT list(t ORDER BY t) FROM (SELECT DISTINCT upper(event_type) AS t FROM events WHERE event_type IS NOT NULL))"
+BENCH_ITEMS_SQL = f"""
+types AS (SELECT {TYPES_SQL} AS ts),
 bi0 AS (
-  SELECT 'tpch' AS study, (['CLICK','ERROR','PURCHASE','SIGNUP','VIEW'])[item_id % 5 + 1] AS task, item_id,
-         printf('%02d', item_id // 5 + 1) AS nn, text
-  FROM benchmark),
+  SELECT 'tpch' AS study, ts[item_id % len(ts) + 1] AS task, item_id,
+         printf('%02d', item_id // len(ts) + 1) AS nn, text
+  FROM benchmark, types WHERE len(ts) > 0),
 bi AS (
   SELECT study, task, item_id AS row_seq,
          CASE WHEN item_id % 7 = 6 THEN 'example_' || lower(task) || nn ELSE lower(task) || '-' || nn END AS itemname,
@@ -89,7 +92,8 @@ def _matched(spark, d) -> DataFrame:
 
 
 def _latest(spark, d) -> DataFrame:
-    return responses.latest_records(_matched(spark, d), ["study", "subject_id", "session", "task_lc"], order=("ts", "row_seq"))
+    items = sidecar.task_item_names(roles.event_task_items(spark, d))
+    return responses.records_of_rows(roles.event_rows(spark, d), roles.event_row_headers(spark, d), items, order=("ts", "row_seq"))
 
 
 # ---------------------------------------------------------------- C1-C5, C16
@@ -441,7 +445,8 @@ def q_wide_to_long(spark, d):
     return li.unpivot(["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "item", "value")
 
 
-EVENT_ITEMS = [f"{t}{n}" for t in roles.EVENT_TASKS for n in ("01", "02")]
+# The columns of the oracles' wide tables, which SQL must name; the queries take them from the data.
+ORACLE_ITEMS = [f"{t}{n}" for t in ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW") for n in ("01", "02")]
 
 
 @register("latest_record", f"""
@@ -453,10 +458,11 @@ def q_latest_record(spark, d):
 
 @register("long_to_wide", f"""
 WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL}
-SELECT subject_id, session, {", ".join(f"max(value) FILTER (WHERE item = '{i}') AS {i}" for i in EVENT_ITEMS)}
+SELECT subject_id, session, {", ".join(f"max(value) FILTER (WHERE item = '{i}') AS {i}" for i in ORACLE_ITEMS)}
 FROM latest GROUP BY subject_id, session""")
 def q_long_to_wide(spark, d):
-    return responses.records_to_wide(_latest(spark, d), ["subject_id", "session"], EVENT_ITEMS)
+    items = [f"{t}{n}" for t in roles.task_list(spark, d) for n in ("01", "02")]
+    return responses.records_to_wide(_latest(spark, d), ["subject_id", "session"], items)
 
 
 HEADERS_SQL = """
@@ -823,7 +829,8 @@ def q_trial_participants(spark, d):
 
 
 # ---------------------------------------------------------------- C: gather
-GATHER_TASKS = tuple(t.lower() for t in roles.EVENT_TASKS)
+def _gather_tasks(spark, d) -> list[str]:
+    return [t.lower() for t in roles.task_list(spark, d)]
 
 
 def _gather_inputs(spark, d, participant_rows: DataFrame):
@@ -834,6 +841,7 @@ def _gather_inputs(spark, d, participant_rows: DataFrame):
         F.lit(0).alias("row_index"), F.col("item_seq").alias("col_seq"), F.col("item").alias("column"),
         text.na_token_to_null(F.col("value")).alias("value"),
     )
+    cells = stored_table(cells, "record-cells")  # a tree's files, read several times
     spine = cells.select("subject_id", "session_id").distinct()
     return spine, cells, participant_rows
 
@@ -860,7 +868,7 @@ def order_participant_rows(spark, d) -> DataFrame:
     )
 
 
-GATHER_ITEMS = [i for i in EVENT_ITEMS if i != "ERROR02"]
+GATHER_ITEMS = [i for i in ORACLE_ITEMS if i != "ERROR02"]
 GATHER_BASE_SQL = f"""
 rec AS (SELECT subject_id, session AS session_id, lower(task) AS task, item, {S.na_token('value')} AS value FROM latest),
 spine AS (SELECT DISTINCT subject_id, session_id FROM rec),
@@ -877,7 +885,7 @@ FROM spine s LEFT JOIN pl USING (subject_id) LEFT JOIN rec r ON r.subject_id = s
 GROUP BY s.subject_id, s.session_id, pl.segment, pl.nation""")
 def q_gather_wide(spark, d):
     spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
-    return gather.gather_wide(spine, cells, prow, GATHER_TASKS, ["subject_id", "segment", "nation"])
+    return gather.gather_wide(spine, cells, prow, _gather_tasks(spark, d), ["subject_id", "segment", "nation"])
 
 
 @register("gather_override", f"""
@@ -887,12 +895,12 @@ allc AS (
   UNION ALL SELECT s.subject_id, s.session_id, 'nation', pl.nation, 0 FROM spine s JOIN pl USING (subject_id)
   UNION ALL SELECT subject_id, session_id, 'session_id', session_id, 1 FROM spine
   UNION ALL SELECT subject_id, session_id, item, value,
-                   2 + list_position(['click', 'error', 'purchase', 'signup', 'view'], task) - 1 FROM rec)
+                   2 + list_position({TYPES_SQL}, upper(task)) - 1 FROM rec)
 SELECT subject_id, session_id, "column", value FROM allc
 QUALIFY row_number() OVER (PARTITION BY subject_id, session_id, "column" ORDER BY prec DESC) = 1""")
 def q_gather_override(spark, d):
     spine, cells, prow = _gather_inputs(spark, d, customer_participant_rows(spark, d))
-    m = gather.merged_cells(spine, cells, prow, GATHER_TASKS)
+    m = gather.merged_cells(spine, cells, prow, _gather_tasks(spark, d))
     return m.select("subject_id", "session_id", "column", "value")
 
 

@@ -7,12 +7,28 @@ code under test.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from quire.operators import gather, quality, sidecar, trials
-from quire.operators.util import shared_path, stored_table
-from quire.plans.catalog import T, register
-from quire.sources import tables
+from quire.functions import ids
+from quire.operators import gather, quality, responses, sidecar, trials
+from quire.operators.ordering import dense_ranks
+from quire.operators.util import mounted, shared_path, stored_table
+from quire.plans import convert, roles
+from quire.plans.catalog import (
+    BENCH_ITEMS_SQL,
+    EVENT_CELLS_SQL,
+    GATHER_ITEMS,
+    LATEST_SQL,
+    QUERIES,
+    TASK_ITEMS_SQL,
+    T,
+    q_gather_wide,
+    register,
+)
+from quire.sinks import bids
+from quire.sources import bids_tree, tables
 
 # ---------------------------------------------------------------- W7, F10, A6, O3
 SHARED_CELLS_SQL = """
@@ -262,3 +278,66 @@ def q_sheet_quoted_lines(spark, d):
     row = r.groupBy("file_seq", "row_seq", F.col("subject_raw").alias("id")).agg(
         F.max(F.when(F.col("item") == "cell", F.col("value"))).alias("cell"), F.max(F.when(F.col("item") == "lang_", F.col("value"))).alias("lang_"))
     return row.select("id", "lang_", F.sha2("cell", 256).alias("cell_sha256"), F.length("cell").cast("long").alias("cell_chars"))
+
+
+# ---------------------------------------------------------------- S6, O1, W4: file sequence
+@register("file_sequence", """
+WITH f AS (SELECT DISTINCT o_orderpriority AS study, 'sheet_' || (o_orderkey % 99991)::VARCHAR || '.csv' AS file_name FROM orders)
+SELECT study, file_name, dense_rank() OVER (PARTITION BY study ORDER BY file_name) AS file_seq FROM f""")
+def q_file_sequence(spark, d):
+    """Names in study order: one sheet per order, five studies."""
+    name = F.concat(F.lit("sheet_"), (F.col("o_orderkey") % 99991).cast("string"), F.lit(".csv"))
+    files = T(spark, d, "orders", ["o_orderkey", "o_orderpriority"]).select(F.col("o_orderpriority").alias("study"), name.alias("file_name"))
+    return dense_ranks(files, ["study"], "file_name", "file_seq")
+
+
+# ---------------------------------------------------------------- J6, F5: coverage classes
+@register("coverage_classes", f"""
+WITH {EVENT_CELLS_SQL}, {BENCH_ITEMS_SQL}, {TASK_ITEMS_SQL}, {LATEST_SQL},
+defined AS (SELECT DISTINCT study, task FROM bi),
+files AS (SELECT DISTINCT study, file_seq FROM cells),
+used AS (SELECT DISTINCT study, file_seq, task FROM matched WHERE file_seq % 3 <> 0 OR task <> 'CLICK'),
+lists AS (SELECT f.study, f.file_seq, coalesce(string_agg(t.task, '|' ORDER BY t.task) FILTER (u.task IS NULL), '') AS without,
+    count(*) FILTER (u.task IS NULL) AS n_without
+  FROM files f JOIN defined t USING (study) LEFT JOIN used u ON u.study = f.study AND u.file_seq = f.file_seq AND u.task = t.task
+  GROUP BY f.study, f.file_seq)
+SELECT study, min(file_seq) AS class, count(*) AS n_files, n_without, without FROM lists GROUP BY study, without, n_without""")
+def q_coverage_classes(spark, d):
+    """Files by the tasks they lack; every third day's CLICK columns are left out."""
+    cells = roles.event_cells(spark, d).withColumn("item", ids.item_name(F.col("item")))
+    items = sidecar.task_item_names(roles.event_task_items(spark, d))
+    used = responses.match_task_items(cells, items).select("study", "file_seq", "task").distinct()
+    used = used.where((F.col("file_seq") % 3 != 0) | (F.col("task") != "CLICK"))
+    tasks = roles.event_task_items(spark, d).select("study", "task").distinct()
+    classes, _ = quality.coverage_classes(used, cells.select("study", "file_seq").distinct(), tasks)
+    return classes.withColumn("without", F.concat_ws("|", "without"))
+
+
+# ---------------------------------------------------------------- S9, J4: directory spine
+@register("tree_spine", """
+SELECT DISTINCT 'sub-' || lpad(c_custkey::VARCHAR, greatest(3, length(c_custkey::VARCHAR))::INTEGER, '0') AS subject_id,
+  CASE WHEN c_custkey % 4 = 0 THEN '1' ELSE lpad(c_nationkey::VARCHAR, 2, '0') END AS session_id FROM customer""")
+def q_tree_spine(spark, d):
+    """A tree of one folder per customer, every fourth without session folders, listed back."""
+    c = T(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    subject = ids.subject_id(F.col("c_custkey").cast("string"))
+    session = F.when(F.col("c_custkey") % 4 != 0, F.concat(F.lit("/ses-"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")))
+    root = mounted(shared_path(spark, "tree"))
+    files = c.select(F.concat(subject, F.coalesce(session, F.lit("")), F.lit("/note.txt")).alias("path"), F.lit("x").alias("content"))
+    os.makedirs(root)
+    bids.write_files(files, root)
+    return bids_tree.directory_spine(spark, root)
+
+
+# ---------------------------------------------------------------- K6, O2: gather CSV
+def _ordered_gather(spark, d):
+    wide = q_gather_wide(spark, d)
+    return wide.select("subject_id", "session_id", *sorted(c for c in wide.columns if c not in ("subject_id", "session_id")))
+
+
+@register("gather_csv", f"""
+WITH wide AS ({QUERIES["gather_wide"][1]})
+SELECT row_number() OVER (ORDER BY subject_id, session_id) - 1 AS line_no, subject_id || ',' || session_id || ',' ||
+  {" || ',' || ".join(f"coalesce({c}, '')" for c in sorted([*GATHER_ITEMS, "nation", "segment"]))} AS line FROM wide""")
+def q_gather_csv(spark, d):
+    return convert.gather_csv_lines(_ordered_gather(spark, d))

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from quire.functions.ids import task_from_file
 from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
-from quire.operators.ordering import group_positions
-from quire.operators.util import cut_lineage
+from quire.operators.ordering import group_positions, sorted_parts, sorted_positions
+from quire.operators.util import cut_lineage, stored_table
 from quire.sinks import bids
-from quire.sources import bids_tree, tables
+from quire.sources import bids_tree, records, tables
 
 LEVEL_VALUE = r"^levels(\.(\d+))?$"
 LEVEL_DESC = r"^leveldescription(\.(\d+))?$"
@@ -80,13 +80,15 @@ def convert_sheets(spark: SparkSession, session_glob: str, items_glob: str, out_
                    anonymize: bool = False, key_mode: str = "raw") -> DataFrame:
     """Program A over delimited sheets.  Returns the issue rows (V2, V3 = J2 +
     J3 + A1, J8)."""
-    sess_lines = tables.read_lines(spark, session_glob)
-    resp = tables.lines_to_responses(sess_lines)
-    sess_cells = tables.cells_from_lines(sess_lines)
+    lines = tables.read_lines(spark, session_glob)
+    sheets = records.records(lines)  # parsed once for records, cells and checks
+    rows, headers = tables.sheet_rows(sheets)
+    sess_cells = tables.cells_from_lines(sheets)
     item_cells = tables.read_sheet_cells(spark, items_glob)
     meta_cells = [tables.read_sheet_cells(spark, g, lowercase_names=True) for g in meta_globs]
-    return convert_core(spark, resp, sess_cells, item_cells, meta_cells, out_root, study, demographics, variables,
-                        dataset_meta, anonymize, key_mode)
+    issues = convert_core(spark, tables.row_cells(rows, headers), sess_cells, item_cells, meta_cells, out_root, study, demographics,
+                          variables, dataset_meta, anonymize, key_mode, (rows, headers))
+    return issues.unionByName(records.open_quote_issues(lines))
 
 
 def convert_workbooks(spark: SparkSession, data_dir: str, resources_dir: str, out_root: str, study: str,
@@ -137,12 +139,14 @@ def convert_workbooks(spark: SparkSession, data_dir: str, resources_dir: str, ou
 def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, item_cells: DataFrame,
                  meta_cells: list[DataFrame], out_root: str, study: str, demographics: DataFrame | None,
                  variables: DataFrame | None, dataset_meta: DataFrame | None, anonymize: bool,
-                 key_mode: str) -> DataFrame:
-    """Shared program A steps over canonical responses and definition cells."""
+                 key_mode: str, sheets: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Shared program A steps over canonical responses and definition cells.
+    ``sheets``: the rows and headers of ``tables.sheet_rows``, whose records are
+    stored already; then winners are picked on row keys and only their cells read."""
     # Responses and latest records feed several outputs (records, sidecars,
-    # issues): each is cut once into the shared checkpoint folder instead of
+    # issues): each is stored once in the shared checkpoint folder instead of
     # re-parsing the sheet fleet per output.
-    resp = cut_lineage(resp)
+    resp = stored_table(resp, "responses") if sheets is None else resp
     task_items = task_items_from_cells(item_cells)
     task_meta = None
     for i, cells in enumerate(meta_cells):
@@ -151,7 +155,11 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
 
     # Records: J1 -> W1 -> K2
     names = sidecar.task_item_names(task_items)
-    recs = cut_lineage(responses.task_records(resp, names))
+    if sheets is None:
+        recs = responses.task_records(resp, names)
+    else:
+        recs = responses.records_of_rows(responses.with_keys(sheets[0]), sheets[1], names)
+    recs = stored_table(recs, "task-records")
     bids.write_files(bids.record_files(recs.withColumn("task", F.col("task_lc")), "task"), out_root)
 
     # Sidecars only for tasks with records (J8 decides before writing; K11).
@@ -224,30 +232,49 @@ def _one_issue(spark: SparkSession, study: str, check: str, severity: str, obj:
 def gather_tree(spark: SparkSession, root: str, tasks: list[str] | None = None) -> DataFrame:
     """Program C: one row per (subject, session) of a written BIDS tree."""
     tasks = tasks or bids_tree.sidecar_tasks(spark, root)
-    cells = bids_tree.record_cells(spark, root, tasks)
+    cells = stored_table(bids_tree.record_cells(spark, root, tasks), "tree-cells")
     prow, pcols = bids_tree.participants_rows(spark, root)
     spine = bids_tree.directory_spine(spark, root)
     return gather.gather_wide(spine, cells, prow, tasks, pcols)
 
 
+def csv_lines(wide: DataFrame) -> DataFrame:
+    """Keys and the CSV text ``line`` of every gathered row (null -> empty)."""
+    line = F.concat_ws(",", *[F.coalesce(bids.csv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in wide.columns])
+    return wide.select("subject_id", "session_id", line.alias("line"))
+
+
+def gather_csv_lines(wide: DataFrame) -> DataFrame:
+    """K6/O2: ``line_no`` (0-based, behind the header) and ``line`` of the gather CSV."""
+    lines = sorted_positions(csv_lines(wide), [F.col("subject_id"), F.col("session_id")], "line_no")
+    return lines.select("line_no", "line")
+
+
 def write_gather_csv(wide: DataFrame, root: str, tasks: list[str], single_file: bool = False) -> str:
     """K6: ``derivatives/phenotype_task-<t1_t2...>_beh.csv`` (null -> empty).
 
-    By default a folder of part files in key order, written by all tasks.  With
-    ``single_file`` one file, which one task sorts and streams."""
+    By default a folder of part files in key order, each with the header, written by
+    all tasks, and beside it ``<name>.manifest``: file, first_row (rows in earlier
+    parts), rows and the first key of each part, so a row's place in the whole file is
+    known without reading the others.  With ``single_file`` one file, which one
+    task sorts and streams."""
     name = f"phenotype_task-{'_'.join(tasks)}_beh.csv"
     rel = os.path.join("derivatives", name)
     cols = wide.columns
+    header = ",".join(c if not any(x in c for x in ',"\r\n') else '"' + c.replace('"', '""') + '"' for c in cols)
+    lines = csv_lines(wide)
     if not single_file:
+        placed, ranges = sorted_parts(lines, [F.col("subject_id"), F.col("session_id")])
+        file = F.concat(F.lit(f"{rel}/"), F.format_string("part-%05d.csv", "_range"))
+        first = placed.where(F.col("_row") == 0).select("_range", "subject_id", "session_id")
+        manifest = stored_table(ranges.join(first, "_range").select(
+            file.alias("file"), F.col("_before").alias("first_row"), F.col("_rows").alias("rows"), "subject_id", "session_id"), "manifest")
+        heads = {r["file"]: header for r in manifest.select("file").collect()}  # one per range
+        bids.write_lines(placed.select(file.alias("path"), F.col("_row").alias("order"), "line"), root, heads)
         path = os.path.join(root, rel)
-        text = wide.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
-        (text.repartitionByRange("subject_id", "session_id").sortWithinPartitions("subject_id", "session_id")
-         .write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").option("quote", '"')
-         .option("escape", '"').csv(path))
+        manifest.coalesce(1).sortWithinPartitions("first_row").write.mode("overwrite").option("header", True).csv(path + ".manifest")
         return path
-    line = F.concat_ws(",", *[F.coalesce(bids.csv_field(F.col(f"`{c}`").cast("string")), F.lit("")) for c in cols])
-    lines = wide.select(F.lit(rel).alias("path"), F.struct("subject_id", "session_id").alias("order"), line.alias("line"))
-    header = ",".join(c if not any(x in c for x in ',"\r\n') else '"' + c.replace('"', '""') + '"' for c in cols)
+    lines = lines.select(F.lit(rel).alias("path"), F.struct("subject_id", "session_id").alias("order"), "line")
     bids.write_lines(lines, root, {rel: header})
     return os.path.join(root, rel)
 

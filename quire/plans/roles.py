@@ -30,8 +30,8 @@ from quire.functions.ids import item_name, session_id, subject_id
 from quire.functions.text import integral_text
 
 STUDY = "tpch"
-# The event types of the test data, in task order.
-EVENT_TASKS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
+# The names of an event's columns behind its task's name.
+SUFFIXES = ("01", "02", "_TS")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -40,29 +40,49 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
-def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long response cells from ``events`` (one row per record x item)."""
+def event_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(task, task_no): the event types of the data, upper-cased, numbered in order."""
+    types = table(spark, sf_dir, "events", ["event_type"]).select(F.upper("event_type").alias("task")).where("task IS NOT NULL").distinct()
+    return types.agg(F.array_sort(F.collect_list("task")).alias("t")).select(F.posexplode("t").alias("task_no", "task"))
+
+
+def task_list(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The tasks as a driver list, for column lists."""
+    return [r["task"] for r in event_tasks(spark, sf_dir).orderBy("task_no").collect()]
+
+
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheet rows from ``events``: one record per event, its class the columns of its
+    type, ``fields`` their values (C1/C2 on the keys)."""
     e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    # Record keys (C1/C2) are computed once per event, before the unpivot; the
-    # unpivot plans as an Expand inside whole-stage codegen.
     subject_raw = F.col("user_id").cast("string")
     session_raw = (F.lit(1) + F.floor((F.dayofmonth("ts") - 1) / 10)).cast("string")
-    keys = ["study", "file_seq", "ts", "row_seq", "subject_id", "session", "t"]
-    wide = e.select(
+    return e.select(
         F.lit(STUDY).alias("study"),
         F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"),
         "ts",
         F.col("event_id").alias("row_seq"),
         subject_id(subject_raw).alias("subject_id"),
         session_id(session_raw).alias("session"),
-        F.upper("event_type").alias("t"),
-        integral_text(F.col("value")).alias("01"),
-        F.get_json_object("props", "$.k").alias("02"),
-        F.date_format("ts", "HH:mm:ss").alias("_TS"),
+        F.upper("event_type").alias("class"),
+        F.array(integral_text(F.col("value")), F.get_json_object("props", "$.k"), F.date_format("ts", "HH:mm:ss")).alias("fields"),
     )
-    long = wide.unpivot(keys, ["01", "02", "_TS"], "sfx", "value")
-    seq = F.create_map(F.lit("01"), F.lit(0), F.lit("02"), F.lit(1), F.lit("_TS"), F.lit(2))
-    return long.select(*keys[:-1], seq[F.col("sfx")].alias("item_seq"), F.concat("t", "sfx").alias("item"), "value")
+
+
+def event_row_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(study, class, item_seq, item)``: the columns of each event type."""
+    t = event_tasks(spark, sf_dir).select(F.lit(STUDY).alias("study"), F.col("task").alias("class"),
+                                          F.posexplode(F.array(*map(F.lit, SUFFIXES))).alias("item_seq", "sfx"))
+    return t.select("study", "class", "item_seq", item_name(F.concat("class", "sfx")).alias("item"))
+
+
+def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long response cells from ``events`` (one row per record x item)."""
+    rows = event_rows(spark, sf_dir)
+    return rows.select("study", "file_seq", "ts", "row_seq", "subject_id", "session", "class",
+                       F.posexplode("fields").alias("item_seq", "value")).select(
+        "study", "file_seq", "ts", "row_seq", "subject_id", "session", "item_seq",
+        F.concat("class", F.get(F.array(*map(F.lit, SUFFIXES)), F.col("item_seq"))).alias("item"), "value")
 
 
 def event_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +92,7 @@ def event_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events", ["ts", "event_type"])
     days = e.select(F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"), F.upper("event_type").alias("t")).distinct()
     names = days.select(F.lit(STUDY).alias("study"), "file_seq",
-                        F.explode(F.array(*[F.concat("t", F.lit(x)) for x in ("01", "02", "_TS")])).alias("item"))
+                        F.explode(F.array(*[F.concat("t", F.lit(x)) for x in SUFFIXES])).alias("item"))
     return names.select("study", "file_seq", item_name(F.col("item")).alias("item"))
 
 
@@ -99,13 +119,14 @@ def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_task_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item definitions of the event tasks from ``benchmark``: item
-    ``item_id`` belongs to task number ``item_id mod 5`` (tasks in
-    ``EVENT_TASKS`` order) as ``<task>-<nn>`` with ``nn = item_id div 5 + 1``;
+    ``item_id`` belongs to task number ``item_id mod n`` of the n event types
+    as ``<task>-<nn>`` with ``nn = item_id div n + 1``;
     every seventh item is an ``example`` row (F2)."""
     b = table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    tasks = F.array(*[F.lit(t) for t in EVENT_TASKS])
-    task = F.element_at(tasks, (F.col("item_id") % 5 + 1).cast("int"))
-    nn = F.format_string("%02d", (F.floor(F.col("item_id") / 5) + 1).cast("long"))
+    tasks = event_tasks(spark, sf_dir).agg(F.array_sort(F.collect_list(F.struct("task_no", "task"))).alias("_tasks"))
+    b = b.withColumn("_tasks", tasks.scalar()).where(F.size("_tasks") > 0)
+    task = F.get("_tasks", (F.col("item_id") % F.size("_tasks")).cast("int"))["task"]
+    nn = F.format_string("%02d", (F.floor(F.col("item_id") / F.size("_tasks")) + 1).cast("long"))
     name = F.when(F.col("item_id") % 7 == 6, F.concat(F.lit("example_"), F.lower(task), nn)).otherwise(
         F.concat(F.lower(task), F.lit("-"), nn))
     return b.select(F.lit(STUDY).alias("study"), task.alias("task"), F.col("item_id").alias("row_seq"),

@@ -1,9 +1,9 @@
 """Read a BIDS tree back.
 
 Record TSVs are read in one job with ``wholetext`` (one row per file: each is
-one record), keys parsed from ``_metadata.file_path``; no directory walk on
-the driver except the listing of subject/session directories, which file
-sources cannot see when empty.
+one record), keys parsed from ``_metadata.file_path``; the
+subject and session directories, which file sources cannot see when empty, are
+listed by ``sources.directories`` on the executors.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.paths import decoded_path, file_tasks, path_session, path_subject, path_task, sidecar_task
 from quire.functions.text import na_token_to_null
+from quire.sources.directories import DirectorySource
 
 
 # One field and what ends it: a quoted field may hold tabs, line breaks and
@@ -80,23 +81,14 @@ def participants_rows(spark: SparkSession, root: str) -> tuple[DataFrame, list[s
                        na_token_to_null(F.col("value")).alias("value")), ["subject_id"] + cols
 
 
-def directory_spine(spark: SparkSession, root: str) -> DataFrame:
+def directory_spine(spark: SparkSession, root: str, parts: int = 32) -> DataFrame:
     """(subject_id, session_id) of every ``sub-*`` / ``ses-*`` directory, also
-    empty ones; a subject without session directories is session ``1``.  Uses
-    the Hadoop file system listing (directory metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    def glob(pattern):
-        return [st for st in (fs.globStatus(jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + pattern)) or []) if st.isDirectory()]
-
-    # Two listings in total (not one per subject).
-    subjects = {st.getPath().getName() for st in glob("/sub-*")}
-    sessions = {(st.getPath().getParent().getName(), st.getPath().getName()[len("ses-"):]) for st in glob("/sub-*/ses-*")}
-    with_ses = {s for s, _ in sessions}
-    rows = sorted(sessions | {(s, "1") for s in subjects - with_ses})
-    return spark.createDataFrame(rows, "subject_id string, session_id string")
+    empty ones; a subject without session directories is session ``1``.
+
+    The directories are listed by the tasks of a data source, ``parts`` of them, each
+    with its share of the subjects; the driver lists nothing."""
+    spark.dataSource.register(DirectorySource)
+    return spark.read.format("quire_directories").option("root", root).option("parts", parts).load()
 
 
 def sidecar_tasks(spark: SparkSession, root: str) -> list[str]:

@@ -110,13 +110,16 @@ def at_names(fields: str, names: str) -> F.Column:
     return F.transform(names, lambda n, i: F.struct(n.alias("name"), F.get(F.col(fields), i).alias("value")))
 
 
-def lines_to_responses(lines: DataFrame, sep: str = ",") -> DataFrame:
-    """S3 + P2 + P3 + P5 + D10 straight from lines or records, without a shuffle
-    of the data: ``id`` and ``ses`` are read from the field array at positions that
-    the header class gives, and so are the item cells.  Header work (C4 on names, the
-    rightmost-wins mask for colliding names, key positions) is one row per class.
-    Files without ``id`` or ``ses`` give no rows (``sheet_key_issues`` reports them)."""
-    _, classes, data = sheet_headers(parsed(lines, sep))
+def sheet_rows(lines: DataFrame, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """S3 + P2 + P3 + D10 without a shuffle of the data: ``rows`` (study, file_seq,
+    file_name, row_seq, class, subject_raw, session_raw, fields) and ``headers``
+    (study, class, item_seq, item, item_raw).
+
+    Header work (C4 on names, the rightmost-wins mask for colliding names, key
+    positions) is one row per class; ``id`` and ``ses`` are read from the field
+    array at the class's positions.  Files without ``id`` or ``ses`` give no rows
+    (``sheet_key_issues`` reports them)."""
+    files, classes, data = sheet_headers(parsed(lines, sep))
     lower = F.transform("raw", lambda x: F.lower(x))
     wide = classes.select(
         "class", "raw", F.transform("raw", lambda x: item_name(x)).alias("norm"),
@@ -129,12 +132,26 @@ def lines_to_responses(lines: DataFrame, sep: str = ",") -> DataFrame:
     items = F.filter(F.transform("norm", item), lambda x: x["keep"] & (x["item_seq"] + 1 != F.col("id_pos")) &
                      (x["item_seq"] + 1 != F.col("ses_pos")))
     wide = wide.select("class", "id_pos", "ses_pos", items.alias("items"))
-    rows = data.join(wide, "class").select(
-        "study", "file_seq", "file_name", F.col("row_key").alias("row_seq"),
-        F.get("fields", F.col("id_pos") - 1).alias("subject_raw"), F.get("fields", F.col("ses_pos") - 1).alias("session_raw"),
-        F.explode(F.transform("items", lambda x: F.struct(x["item_seq"], x["item"], x["item_raw"],
-                                                          F.get("fields", x["item_seq"]).alias("value")))).alias("x"))
-    return rows.select("study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw", "x.item_seq", "x.item", "x.item_raw", "x.value")
+    rows = data.join(wide.drop("items"), "class").select(
+        "study", "file_seq", "file_name", F.col("row_key").alias("row_seq"), "class",
+        F.get("fields", F.col("id_pos") - 1).alias("subject_raw"), F.get("fields", F.col("ses_pos") - 1).alias("session_raw"), "fields")
+    used = files.select("study", "class").distinct()
+    headers = used.join(wide, "class").select("study", "class", F.inline("items")).drop("keep")
+    return rows, headers
+
+
+def lines_to_responses(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """S3 + P2 + P3 + P5 + D10: the item cells of lines or records."""
+    return row_cells(*sheet_rows(lines, sep))
+
+
+def row_cells(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """P5: the item cells of ``sheet_rows`` as long rows."""
+    items = headers.groupBy("study", "class").agg(F.collect_list(F.struct("item_seq", "item", "item_raw")).alias("items"))
+    cells = F.transform("items", lambda x: F.struct(x["item_seq"], x["item"], x["item_raw"], F.get("fields", x["item_seq"]).alias("value")))
+    items = items.select(F.col("study").alias("_study"), F.col("class").alias("_class"), "items")
+    return rows.join(items, F.col("study").eqNullSafe(F.col("_study")) & (F.col("class") == F.col("_class"))).select(
+        "study", "file_seq", "file_name", "row_seq", "subject_raw", "session_raw", F.inline(cells))
 
 
 def cells_to_responses(cells: DataFrame) -> DataFrame:

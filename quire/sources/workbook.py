@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.operators.ordering import dense_ranks
 from quire.sources.tables import RESERVED_FILES, TEMP_PREFIX
 
 UNREADABLE = -1
@@ -125,8 +126,10 @@ def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = Fals
     listing = listing.filter(keep)
     study_of = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     # File order from the listing alone (the content column is pruned).
-    seq = listing.select("path", study_of.alias("study"), name_of.alias("file_name")).withColumn(
-        "file_seq", F.dense_rank().over(Window.partitionBy("study").orderBy("file_name")))
+    named = listing.select("path", study_of.alias("study"), name_of.alias("file_name"))
+    rank = dense_ranks(named, ["study"], "file_name", "file_seq").select(
+        F.col("study").alias("_s"), F.col("file_name").alias("_f"), F.col("file_seq").cast("int").alias("file_seq"))
+    seq = named.join(rank, (F.col("study") == F.col("_s")) & (F.col("file_name") == F.col("_f"))).drop("_s", "_f")
     cells = listing.select("path", "content").mapInPandas(_parse_batches, CELL_SCHEMA)
     out = cells.join(seq, "path")  # one row per workbook on the right: AQE broadcasts it
     return out.select("study", "file_name", "file_seq", "sheet_idx", "sheet_name", "row", "col", "value")
