@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from quire.functions.paths import decoded_path, file_tasks, path_session, path_subject, path_task, sidecar_task
 from quire.functions.text import na_token_to_null
 from quire.sources.directories import DirectorySource
+from quire.sources.records import records
+from quire.sources.tables import sheet_headers, tag_lines
 
 
 # One field and what ends it: a quoted field may hold tabs, line breaks and
@@ -61,24 +63,22 @@ def record_cells(spark: SparkSession, root: str, tasks: Sequence[str] | None = N
 def participants_rows(spark: SparkSession, root: str) -> tuple[DataFrame, list[str]]:
     """S8 long rows ``(row_seq, col_seq, subject_id, column, value)`` and the
     column list; ``participant_id`` is renamed ``subject_id``; NA tokens
-    become null."""
-    df = spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).option(
-        "quote", '"').option("escape", '"').option("multiLine", True).csv(
-        os.path.join(root, "participants.tsv"))
-    if "participant_id" in df.columns:
-        df = df.withColumnRenamed("participant_id", "subject_id")
-    if "subject_id" not in df.columns:
+    become null.  The file is read as split records, so quoted line breaks need
+    no task that holds it whole; its header alone comes to the driver."""
+    path = os.path.join(root, "participants.tsv")
+    recs = records(tag_lines(spark.read.option("lineSep", "\n").text(path)), "\t")
+    _, classes, data = sheet_headers(recs)
+    head = classes.select("raw").first()
+    names = ["subject_id" if c == "participant_id" else c for c in head["raw"]] if head else []
+    if "subject_id" not in names:
         raise ValueError("participants.tsv has no subject column (participant_id or subject_id)")
-    cols = [c for c in df.columns if c != "subject_id"]
-    df = df.withColumn("row_seq", F.monotonically_increasing_id())
-    if not cols:
-        empty = df.select("row_seq", F.lit(0).alias("col_seq"), "subject_id", F.lit(None).cast("string").alias("column"),
-                          F.lit(None).cast("string").alias("value")).limit(0)
-        return empty, ["subject_id"]
-    long = df.unpivot(["row_seq", "subject_id"], cols, "column", "value")
-    pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i + 1))])
-    return long.select("row_seq", pos[F.col("column")].alias("col_seq"), "subject_id", "column",
-                       na_token_to_null(F.col("value")).alias("value")), ["subject_id"] + cols
+    at = names.index("subject_id")
+    cols = [(i, c) for i, c in enumerate(names) if i != at and c]
+    cells = F.array(*[F.struct(F.lit(k + 1).alias("col_seq"), F.lit(c).alias("column"), F.get("fields", F.lit(i)).alias("value"))
+                      for k, (i, c) in enumerate(cols)]).cast("array<struct<col_seq: int, column: string, value: string>>")
+    rows = data.select(F.col("row_key").alias("row_seq"), F.get("fields", F.lit(at)).alias("subject_id"), F.inline(cells))
+    return rows.select("row_seq", "col_seq", "subject_id", "column", na_token_to_null(F.col("value")).alias("value")), [
+        "subject_id", *(c for _, c in cols)]
 
 
 def directory_spine(spark: SparkSession, root: str, parts: int = 32) -> DataFrame:
