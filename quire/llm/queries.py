@@ -218,11 +218,6 @@ def _formatted_chats(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     )
 
 
-@register("op10_chat_formatting", OP10_SQL)
-def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _formatted_chats(spark, sf_dir)
-
-
 OP10_VALIDITY_SQL = f"""
 WITH formatted AS ({OP10_SQL}),
 turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -234,6 +229,12 @@ FROM formatted f JOIN orders o ON f.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
 
+@register("op10_chat_formatting", OP10_VALIDITY_SQL)
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The formatted conversations with the verdict of the template's machine on their turns."""
+    return _formatted_chats(spark, sf_dir, "valid")
+
+
 @register("op10_chat_validity", OP10_VALIDITY_SQL)
 def op10_chat_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The formatted conversations with the verdict of the template's machine on their turns."""
