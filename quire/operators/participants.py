@@ -124,6 +124,14 @@ def participants_json(meta_rows: DataFrame) -> DataFrame:
     return doc.select(F.concat(F.lit("{"), F.concat_ws(", ", F.transform("kvs", lambda x: x["t"])), F.lit("}")).alias("json"))
 
 
+def missing_variable_rows(columns: DataFrame, variables: DataFrame) -> DataFrame:
+    """J9 as rows, for many studies: ``(study, variable)`` declared and not among the
+    study's demographics columns (both stripped and lower-cased)."""
+    have = columns.select("study", F.lower(F.btrim("column")).alias("variable")).distinct()
+    declared = variables.select("study", F.lower(F.btrim("VariableName")).alias("variable")).distinct()
+    return declared.join(have, ["study", "variable"], "left_anti")
+
+
 def missing_variables(demographics: DataFrame, variables: DataFrame) -> list[str]:
     """Declared variables absent from the demographics columns (a schema
     set difference: both sides are column lists)."""

@@ -122,7 +122,7 @@ def coverage_classes(file_tasks_with_data: DataFrame, files: DataFrame, tasks: D
     numbers = numbered_tasks(tasks)
     bit = F.bitmap_bit_position("task_no")
     block = F.bitmap_bucket_number("task_no")
-    seen = file_tasks_with_data.select("study", "file_seq", "task").join(numbers, ["study", "task"])
+    seen = stored_table(file_tasks_with_data.select("study", "file_seq", "task").join(numbers, ["study", "task"]), "file-tasks")
     maps = seen.groupBy("study", "file_seq", block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
     # trailing zero bytes go, so a bitmap is as long as its last task's number needs
     short = F.regexp_replace(F.hex("bits"), "(?:00)+$", "")
@@ -153,6 +153,15 @@ def file_task_coverage(file_tasks_with_data: DataFrame, files: DataFrame, tasks:
     return member.join(lacking, ["study", "class"]).drop("class")
 
 
+def required_columns(headers: DataFrame, required: Sequence[str], lowercase: bool = False) -> DataFrame:
+    """V2: sheets (``study, object, column`` rows, one per header name) that lack a
+    required column, the missing names sorted in ``detail``."""
+    name = F.lower(F.btrim("column")) if lowercase else F.btrim("column")
+    lacks = [F.when(~F.bool_or(F.coalesce(name == r, F.lit(False))), F.lit(r)) for r in sorted(required)]
+    found = headers.groupBy("study", "object").agg(F.concat_ws(", ", *lacks).alias("detail")).filter(F.col("detail") != "")
+    return found.select("study", F.lit("V2").alias("check"), F.lit("error").alias("severity"), "object", "detail")
+
+
 def missing_files(required: DataFrame, present: DataFrame) -> DataFrame:
     """Required file names absent from a path listing."""
     return required.join(present, on=["study", "file_name"], how="left_anti")

@@ -8,11 +8,12 @@ code under test.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from quire.functions import ids
-from quire.operators import gather, quality, responses, sidecar, trials
+from quire.operators import gather, participants, quality, responses, sidecar, trials
 from quire.operators.ordering import dense_ranks
 from quire.operators.util import mounted, shared_path, stored_table
 from quire.plans import convert, roles
@@ -28,7 +29,7 @@ from quire.plans.catalog import (
     register,
 )
 from quire.sinks import bids
-from quire.sources import bids_tree, tables
+from quire.sources import bids_tree, tables, workbook
 
 # ---------------------------------------------------------------- W7, F10, A6, O3
 SHARED_CELLS_SQL = """
@@ -341,3 +342,130 @@ SELECT row_number() OVER (ORDER BY subject_id, session_id) - 1 AS line_no, subje
   {" || ',' || ".join(f"coalesce({c}, '')" for c in sorted([*GATHER_ITEMS, "nation", "segment"]))} AS line FROM wide""")
 def q_gather_csv(spark, d):
     return convert.gather_csv_lines(_ordered_gather(spark, d))
+
+
+# ---------------------------------------------------------------- S1, S2, S11, V1: workbooks
+def _workbook(rows: list[list]) -> bytes:
+    """A workbook of two sheets: ``rows`` (None: no cell) and a table of their number."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+    def sheet(table):
+        out = []
+        for r, row in enumerate(table):
+            cells = (f'<c r="{chr(65 + c)}{r + 1}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>' if isinstance(v, str)
+                     else f'<c r="{chr(65 + c)}{r + 1}"><v>{v}</v></c>' for c, v in enumerate(row) if v is not None)
+            out.append(f'<row r="{r + 1}">{"".join(cells)}</row>')
+        return f'<worksheet xmlns="{main}"><sheetData>{"".join(out)}</sheetData></worksheet>'
+
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="data" sheetId="1" r:id="r1"/>'
+                                      '<sheet name="size" sheetId="2" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="r1" Target="worksheets/a.xml"/><Relationship Id="r2" Target="worksheets/b.xml"/></Relationships>')
+        z.writestr("xl/worksheets/a.xml", sheet(rows))
+        z.writestr("xl/worksheets/b.xml", sheet([["rows"], [float(len(rows) - 1)]]))
+    return buf.getvalue()
+
+
+@register("workbook_fleet", """
+WITH c AS (SELECT 'n' || c_nationkey || '_' || lower(c_mktsegment) || '.xlsx' AS file_name, c_custkey, c_name, c_acctbal,
+    row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS row FROM customer),
+f AS (SELECT file_name, count(*) AS n, dense_rank() OVER (ORDER BY file_name) AS file_seq FROM c GROUP BY file_name),
+cells AS (SELECT file_name, 0 AS sheet_idx, row, col, val AS value FROM c,
+    LATERAL (VALUES (0, c_custkey::VARCHAR), (1, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name || ' <&> ' END),
+                    (2, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE floor(c_acctbal)::BIGINT::VARCHAR END)) AS v(col, val)
+  UNION ALL SELECT file_name, 0, 0, col, name FROM f, (VALUES (0, 'ID'), (1, 'name'), (2, 'bal ance')) AS h(col, name)
+  UNION ALL SELECT file_name, 1, 0, 0, 'rows' FROM f UNION ALL SELECT file_name, 1, 1, 0, n::VARCHAR FROM f)
+SELECT file_name, file_seq, sheet_idx, row::BIGINT AS row, col::BIGINT AS col, value FROM cells JOIN f USING (file_name)""")
+def q_workbook_fleet(spark, d):
+    """One workbook per nation and segment, written by tasks and read back as cells."""
+    c = T(spark, d, "customer", ["c_custkey", "c_name", "c_acctbal", "c_nationkey", "c_mktsegment"])
+    root = mounted(shared_path(spark, "books"))
+    os.makedirs(f"{root}/st")
+
+    def write(key, pdf):
+        import pandas as pd
+
+        rows = [["ID", "name", "bal ance"]]
+        for k, name, bal in pdf.sort_values("c_custkey")[["c_custkey", "c_name", "c_acctbal"]].itertuples(index=False):
+            rows.append([int(k), None if k % 3 == 0 else f"{name} <&> ", None if k % 5 == 0 else float(bal // 1)])
+        name = f"n{key[0]}_{key[1].lower()}.xlsx"
+        temp = f"{root}/st/~${name}.{uuid.uuid4().hex}"
+        with open(temp, "wb") as fh:
+            fh.write(_workbook(rows))
+        os.replace(temp, f"{root}/st/{name}")
+        return pd.DataFrame({"n": [len(rows)]})
+
+    c.groupBy("c_nationkey", "c_mktsegment").applyInPandas(write, "n long").agg(F.sum("n")).collect()
+    cells = workbook.workbook_cells(spark, root)
+    return cells.select("file_name", F.col("file_seq").cast("long").alias("file_seq"), "sheet_idx", F.col("row").cast("long").alias("row"),
+                        F.col("col").cast("long").alias("col"), "value")
+
+
+# ---------------------------------------------------------------- K9, K10, K8, F3, U2, V9, J9: documents
+@register("trial_task_json", """
+WITH i AS (SELECT p_brand AS study, p_type AS task, 'q ' || (p_size % 7) AS name, p_partkey, p_name FROM part),
+e AS (SELECT study, task, name, min(p_partkey) AS position, arg_max(p_name, p_partkey) AS description FROM i GROUP BY ALL)
+SELECT study, task, '{"TaskName":' || to_json(task)::VARCHAR || ',"TaskDescription":' || to_json('Behavioral task: ' || task)::VARCHAR
+  || ',"BIDSVersion":"1.8.0", "Items": {' || string_agg(to_json(name)::VARCHAR || ': {"Description":' || to_json(description)::VARCHAR
+  || ',"Levels":{}}', ', ' ORDER BY position) || '}}' AS json FROM e GROUP BY study, task""")
+def q_trial_task_json(spark, d):
+    p = T(spark, d, "part", ["p_brand", "p_type", "p_size", "p_partkey", "p_name"])
+    items = p.select(F.col("p_brand").alias("study"), F.col("p_type").alias("task"), F.concat(F.lit("q "), F.col("p_size") % 7).alias("itemname"),
+                     F.col("p_name").alias("itemdescription"), F.col("p_partkey").alias("row_seq"))
+    return trials.task_json(items).select("study", "task", "json")
+
+
+@register("trial_dataset_json", """
+SELECT s_name AS study, '{"Name":' || to_json(s_name)::VARCHAR || ',"BIDSVersion":"1.8.0","DatasetType":"raw","GeneratedBy":[{"Name":"quire"}]}' AS json
+FROM supplier""")
+def q_trial_dataset_json(spark, d):
+    return trials.dataset_description_b(T(spark, d, "supplier", ["s_name"]).select(F.col("s_name").alias("study")))
+
+
+@register("sidecar_metadata", """
+WITH m AS (SELECT o_orderpriority AS study, o_orderstatus AS task, o_orderkey % 2 + 1 AS sheet_seq, o_orderkey AS row_seq,
+    CASE WHEN o_custkey % 6 = 0 THEN NULL ELSE 'key ' || (o_custkey % 40) END AS key,
+    CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE 'v' || o_orderkey END AS value FROM orders)
+SELECT study, task, key, arg_max(value, pos) AS value, min(pos).sheet_seq AS first_sheet, min(pos).row_seq AS first_row
+FROM (SELECT *, {'sheet_seq': sheet_seq, 'row_seq': row_seq} AS pos FROM m) WHERE key IS NOT NULL AND value IS NOT NULL
+GROUP BY study, task, key""")
+def q_sidecar_metadata(spark, d):
+    """Two metadata sheets per task: the last value of a key wins at its first position."""
+    o = T(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    meta = o.select(
+        F.col("o_orderpriority").alias("study"), F.col("o_orderstatus").alias("task"), (F.col("o_orderkey") % 2 + 1).alias("sheet_seq"),
+        F.col("o_orderkey").alias("row_seq"),
+        F.when(F.col("o_custkey") % 6 != 0, F.concat(F.lit("key "), F.col("o_custkey") % 40)).alias("key"),
+        F.when(F.col("o_orderkey") % 9 != 0, F.concat(F.lit("v"), "o_orderkey")).alias("value"))
+    return sidecar.metadata_entries(meta).select("study", "task", "key", "value", F.col("first.sheet_seq").alias("first_sheet"),
+                                                 F.col("first.row_seq").alias("first_row"))
+
+
+@register("declared_missing", """
+WITH v AS (SELECT p_brand AS study, lower(trim(p_type)) AS variable FROM part GROUP BY ALL),
+h AS (SELECT p_brand AS study, lower(trim(p_type)) AS variable FROM part WHERE p_size <= 3 GROUP BY ALL)
+SELECT study, variable FROM v WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.study = v.study AND h.variable = v.variable)""")
+def q_declared_missing(spark, d):
+    """Variables that a study declares and its demographics sheet lacks."""
+    p = T(spark, d, "part", ["p_brand", "p_type", "p_size"]).select(F.col("p_brand").alias("study"), F.col("p_type").alias("VariableName"), "p_size")
+    return participants.missing_variable_rows(p.where("p_size <= 3").select("study", F.col("VariableName").alias("column")), p)
+
+
+@register("definition_columns", """
+WITH h AS (SELECT DISTINCT p_brand AS study, p_type AS object, CASE p_size % 5 WHEN 0 THEN 'itemname' WHEN 1 THEN ' itemdescription '
+    WHEN 2 THEN 'ItemName' WHEN 3 THEN 'levels' ELSE 'levels.1' END AS name FROM part)
+SELECT study, object, string_agg(need, ', ' ORDER BY need) AS detail FROM (SELECT DISTINCT study, object FROM h) s,
+  (VALUES ('itemname'), ('itemdescription')) AS r(need)
+WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.study = s.study AND h.object = s.object AND trim(h.name) = r.need) GROUP BY study, object""")
+def q_definition_columns(spark, d):
+    """V2 on definition sheets: those that lack a required column, names stripped, case kept."""
+    name = F.element_at(F.array(*map(F.lit, ("itemname", " itemdescription ", "ItemName", "levels", "levels.1"))), (F.col("p_size") % 5 + 1).cast("int"))
+    heads = T(spark, d, "part", ["p_brand", "p_type", "p_size"]).select(F.col("p_brand").alias("study"), F.col("p_type").alias("object"), name.alias("column"))
+    return quality.required_columns(heads, ("itemname", "itemdescription")).select("study", "object", "detail")

@@ -198,8 +198,11 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
     tcols = quality.task_columns(heads, tasks)
     ft = tcols.select("study", "file_seq", "task").distinct()
     item_list = names.select("study", "task", "item_norm").distinct()
+    names_of = lambda cells: cells.select("study", F.col("file_name").alias("object"), "column").distinct()
     issues = [
         tables.sheet_key_issues(sess_cells),
+        quality.required_columns(names_of(item_cells), ("itemname", "itemdescription")),
+        *[quality.required_columns(names_of(cells), ("key name", "description"), lowercase=True) for cells in meta_cells],
         quality.issue_rows(quality.missing_items(tcols, item_list, ft), "V3.missing_items", "warning", "task", "item"),
         quality.issue_rows(quality.extra_columns(tcols, item_list), "V3.extra_columns", "info", "task", "item"),
         quality.issue_rows(quality.null_counts(resp, tcols), "V3.nan_values", "info", "item", "nan_count"),

@@ -1,6 +1,6 @@
 """A fleet of ``.xlsx`` workbooks as sheet cells, in one job.
 
-``binaryFile`` lists and reads the workbooks; ``mapInPandas`` turns each into
+``binaryFile`` lists and reads the workbooks; ``mapInPandas`` streams each into
 cell rows with the standard library (``zipfile`` + ``xml.etree``; no
 spreadsheet package is needed on the workers).  Everything after that (header
 promotion, ``.1``/``.2`` suffixes for repeated headers, file order) is Spark.
@@ -47,68 +47,118 @@ def _number_text(text: str) -> str:
     return repr(x)
 
 
+def _cell_text(cell, shared: list[str]) -> str | None:
+    kind, v = cell.get("t"), cell.find(f"{_NS}v")
+    if kind == "inlineStr":
+        return "".join(x.text or "" for x in cell.iter(f"{_NS}t"))
+    if v is None or v.text is None:
+        return None
+    if kind == "s":
+        return shared[int(v.text)]
+    if kind == "b":
+        return "True" if v.text == "1" else "False"
+    return v.text if kind in ("str", "e") else _number_text(v.text)
+
+
+def _streamed(member, tag: str):
+    """Elements of one kind as they end; the tree behind them is let go."""
+    import xml.etree.ElementTree as ET
+
+    parents = []
+    for event, element in ET.iterparse(member, events=("start", "end")):
+        if event == "start":
+            parents.append(element)
+            continue
+        parents.pop()
+        if element.tag == tag:
+            yield element
+            if parents:
+                parents[-1].clear()
+
+
+def sheet_rows(member, shared: list[str]):
+    """(row, {col: text}) of a worksheet's rows that hold a value, one at a time."""
+    at = -1
+    for element in _streamed(member, f"{_NS}row"):
+        at = int(element.get("r")) - 1 if element.get("r") else at + 1
+        cells, col = {}, -1
+        for c in element.iter(f"{_NS}c"):
+            ref = c.get("r") or ""
+            col = _col_index(ref) if ref[:1].isalpha() else col + 1
+            text = _cell_text(c, shared)
+            if text is not None:
+                cells[col] = text
+        if cells:
+            yield at, cells
+
+
 def parse_xlsx(path: str, content: bytes):
-    """Cell tuples of one workbook (a per-file helper run inside tasks)."""
+    """Cell tuples of one workbook (a per-file helper run inside tasks).
+
+    Rows are streamed: beside the file itself and its table of distinct strings, one
+    row is held.  Every row below the header up to the last one with a value has a
+    cell, blank or not, for each header column.  A damaged file raises before its
+    first cell: each member is checked and tested to be well-formed beforehand."""
     import io
-    import re
     import xml.etree.ElementTree as ET
     import zipfile
+    from xml.parsers import expat
 
     z = zipfile.ZipFile(io.BytesIO(content))
     names = set(z.namelist())
+    for name in sorted(names):
+        with z.open(name) as member:
+            if name.endswith((".xml", ".rels")):
+                expat.ParserCreate().ParseFile(member)
+            else:
+                while member.read(1 << 20):  # the end of a member checks its sum
+                    pass
     wb = ET.fromstring(z.read("xl/workbook.xml"))
     rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
     targets = {r.get("Id"): r.get("Target") for r in rels}
     shared = []
     if "xl/sharedStrings.xml" in names:
-        sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
-        shared = ["".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in sst.findall(f"{_NS}si")]
+        with z.open("xl/sharedStrings.xml") as member:
+            shared = ["".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in _streamed(member, f"{_NS}si")]
     sheets = wb.find(f"{_NS}sheets")
     for idx, sh in enumerate(list(sheets) if sheets is not None else []):
         target = targets.get(sh.get(f"{_REL}id"), "")
-        member = target.lstrip("/") if target.startswith("/") else "xl/" + target
-        if member not in names:
+        name = target.lstrip("/") if target.startswith("/") else "xl/" + target
+        if name not in names:
             continue
-        ws = ET.fromstring(z.read(member))
-        grid = {}
-        for c in ws.iter(f"{_NS}c"):
-            ref = c.get("r") or ""
-            m = re.match(r"([A-Za-z]+)(\d+)", ref)
-            if not m:
-                continue
-            row, col = int(m.group(2)) - 1, _col_index(m.group(1))
-            t = c.get("t")
-            v = c.find(f"{_NS}v")
-            if t == "s" and v is not None:
-                value = shared[int(v.text)]
-            elif t == "inlineStr":
-                value = "".join(x.text or "" for x in c.iter(f"{_NS}t"))
-            elif t == "b" and v is not None:
-                value = "True" if v.text == "1" else "False"
-            elif v is not None and v.text is not None:
-                value = v.text if t in ("str", "e") else _number_text(v.text)
-            else:
-                continue
-            grid[row, col] = value
-        # every row below the header has a cell, blank or not, for each header column
-        header = {col for row, col in grid if row == 0}
-        last = max((row for row, _ in grid), default=0)
-        for row, col in sorted(grid.keys() | {(row, col) for row in range(1, last + 1) for col in header}):
-            yield (path, idx, sh.get("name"), row, col, grid.get((row, col)))
+        header: list[int] = []
+        done = 0  # rows given out
+        with z.open(name) as member:
+            for row, cells in sheet_rows(member, shared):
+                if row == 0:
+                    header = sorted(cells)
+                for blank in range(max(done, 1), row):
+                    yield from ((path, idx, sh.get("name"), blank, col, None) for col in header)
+                for col in sorted(cells.keys() | set(header)):
+                    yield (path, idx, sh.get("name"), row, col, cells.get(col))
+                done = row + 1
+
+
+#: Cells that a task hands on at once.
+CELLS_AT_ONCE = 50_000
 
 
 def _parse_batches(batches):
-    """One frame per workbook; a workbook that cannot be read is one row with
+    """Frames of cells; a workbook that cannot be read is one row with
     ``sheet_idx`` -1 and the reason as its value."""
+    import itertools
+
     import pandas as pd
 
+    columns = ["path", "sheet_idx", "sheet_name", "row", "col", "value"]
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
+            cells = parse_xlsx(path, bytes(content))
             try:
-                out = list(parse_xlsx(path, bytes(content)))
+                while some := list(itertools.islice(cells, CELLS_AT_ONCE)):
+                    yield pd.DataFrame(some, columns=columns)
             except Exception as bad:  # noqa: BLE001 - any damage of a file is that file's issue
-                out = [(path, UNREADABLE, None, 0, 0, f"{type(bad).__name__}: {bad}")]
-            yield pd.DataFrame(out, columns=["path", "sheet_idx", "sheet_name", "row", "col", "value"])
+                yield pd.DataFrame([(path, UNREADABLE, None, 0, 0, f"{type(bad).__name__}: {bad}")], columns=columns)
 
 
 def workbook_cells(spark: SparkSession, root: str, exclude_reserved: bool = False, only: tuple[str, ...] = ()) -> DataFrame:
