@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.ids import task_from_file
+from quire.functions.paths import decoded_path, record_path
 from quire.operators import casting, dataset, gather, participants, quality, responses, sidecar, trials
 from quire.operators.ordering import group_positions, sorted_parts, sorted_positions
 from quire.operators.util import cut_lineage, stored_table
@@ -207,6 +208,7 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
         quality.issue_rows(quality.extra_columns(tcols, item_list), "V3.extra_columns", "info", "task", "item"),
         quality.issue_rows(quality.null_counts(resp, tcols), "V3.nan_values", "info", "item", "nan_count"),
         quality.issue_rows(quality.unused_tasks(tasks, recs), "J8.unused_task", "info", "task", F.lit("no records")),
+        unwritten_records(recs, out_root, study),
     ]
     if demographics is None or variables is None:
         issues.append(_one_issue(spark, study, "J11.missing_file", "error", "participants",
@@ -228,6 +230,22 @@ def convert_core(spark: SparkSession, resp: DataFrame, sess_cells: DataFrame, it
     return out
 
 
+def unwritten_records(recs: DataFrame, out_root: str, study: str) -> DataFrame:
+    """J11/V8 on the written tree: issue rows for record files that the run should have
+    written and that a listing of the output folder lacks.  The listing is Spark's own
+    (names and sizes; no file is opened)."""
+    spark, root = recs.sparkSession, bids.local_root(out_root).rstrip("/") + "/"
+    want = recs.select("study", F.concat(F.col("study"), F.lit("/rawdata/"), record_path(
+        F.col("subject_id"), F.col("session"), F.col("task_lc"))).alias("file_name")).distinct()
+    folder = os.path.join(root, study, "rawdata")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*_beh.tsv").load(folder)
+    path = decoded_path(F.col("path"))
+    name = F.substr(path, F.locate(root, path) + len(root))
+    present = found.select(F.lit(study).alias("study"), name.alias("file_name"))
+    return quality.issue_rows(quality.missing_files(want.where(F.col("study") == study), present), "J11.missing_file", "error",
+                              "file_name", F.lit("record was not written"))
+
+
 def _one_issue(spark: SparkSession, study: str, check: str, severity: str, obj: str, detail: str) -> DataFrame:
     return spark.createDataFrame([(study, check, severity, obj, detail)], quality.ISSUE_SCHEMA)
 

@@ -152,3 +152,15 @@ def test_gather_csv_parts_and_manifest(spark):
     assert part.count() == manifest[-1][2]
     lines = {r.line_no: r.line for r in convert.gather_csv_lines(wide).collect()}
     assert len(lines) == 600 and lines[0] == 'sub-0000,01,"v,""0"""' and lines[599] == "sub-0299,02,"
+
+
+def test_records_absent_from_the_written_tree(spark):
+    root = tempfile.mkdtemp(prefix="quire out +")
+    beh = f"{root}/st/rawdata/sub-a b/ses-01/beh"
+    os.makedirs(beh)
+    with open(f"{beh}/sub-a b_ses-01_task-x_beh.tsv", "w") as fh:
+        fh.write("X01\n1\n")
+    recs = spark.createDataFrame([("st", "sub-a b", "01", "x"), ("st", "sub-a b", "02", "x"), ("st", "sub-a b", "02", "x")],
+                                 "study string, subject_id string, session string, task_lc string")
+    got = convert.unwritten_records(recs, root, "st").collect()
+    assert [(r.check, r.object) for r in got] == [("J11.missing_file", "st/rawdata/sub-a b/ses-02/beh/sub-a b_ses-02_task-x_beh.tsv")]
