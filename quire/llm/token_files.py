@@ -3,7 +3,7 @@
 Documents go in ascending id order into shards of about ``shard_ids`` token ids.  Each
 shard is compressed on its own: frequent adjacent id pairs are replaced by new symbols
 again and again, a round at a time, taking the most frequent pairs that cannot overlap
-each other, until no pair occurs ``LEAST_COUNT`` times.  Pairs never cross a document's
+each other, until no pair occurs ``least`` times.  Pairs never cross a document's
 end, so a document can be decoded alone: the shard holds the rules, each rule's expansion length
 and each document's place in the compressed sequence.
 
@@ -23,9 +23,11 @@ is a shard of its own; an empty table writes an empty table; other columns are i
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import struct
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -38,6 +40,7 @@ from pyspark.sql import types as T
 
 SHARD_IDS = 1 << 20
 TEXT_BYTES = 8 << 20
+PART_BYTES = 256 << 20
 PAIRS_A_ROUND, LEAST_COUNT = 4096, 8
 MEMO_PIECES, MEMO_CHARS = 500_000, 48
 MAGIC = b"RPG1"
@@ -85,7 +88,7 @@ class TokenEncoder:
         if not len(pieces):
             return
         known = pieces.flatten().dictionary_encode()  # each distinct piece is looked up once
-        names = known.dictionary.to_pylist()
+        names = known.dictionary.to_numpy(zero_copy_only=False).tolist()
         coded = list(map(self.young.get, names))
         if None in coded:
             learnt = self._learn({p for p, c in zip(names, coded) if c is None})
@@ -121,35 +124,70 @@ def encoder(path: str) -> TokenEncoder:
 # Re-Pair
 
 
-def frequent_pairs(ids: np.ndarray, may: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
+BUCKET_BITS = 18
+
+
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    out = keys * np.uint64(0x9E3779B97F4A7C15)
+    out >>= np.uint64(64 - BUCKET_BITS)
+    return out.view(np.int64)
+
+
+@dataclass
+class Places:
+    """Places of a sequence that may hold a frequent pair, with the pairs there and their hash buckets."""
+
+    at: np.ndarray
+    keys: np.ndarray
+    bucket: np.ndarray
+
+    @classmethod
+    def of(cls, ids: np.ndarray, may: np.ndarray) -> Places:
+        at = np.flatnonzero(may)
+        if 2 * len(at) > len(ids):
+            keys = ids[:-1].astype(np.uint64)
+            keys <<= np.uint64(32)
+            keys |= ids[1:]
+            keys = keys[may[:-1]]
+        else:
+            keys = ids[at].astype(np.uint64)
+            keys <<= np.uint64(32)
+            keys |= ids[at + 1]
+        return cls(at, keys, _buckets(keys))
+
+    def where(self, which: np.ndarray) -> Places:
+        return Places(self.at[which], self.keys[which], self.bucket[which])
+
+
+def frequent_pairs(places: Places, may: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
     """Pairs that occur ``least`` times or more, most frequent first, such that no symbol
     ends one pair and begins another (or is its own partner), so none overlap.
 
-    Only places in ``may`` are looked at; those found to hold a rarer pair are taken out
-    of it.  The list is empty only if no pair occurs ``least`` times.
+    Only ``places`` are looked at; those found to hold a rarer pair are taken out of
+    ``may``.  The list is empty only if no pair occurs ``least`` times.
     """
-    at = np.flatnonzero(may)
-    keys = ids[at].astype(np.uint64) << np.uint64(32) | ids[at + 1]
-    # only pairs in the fullest hash buckets are counted exactly
-    bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-    heavy = np.bincount(bucket)
-    count = heavy[bucket]
-    may[at[count < least]] = False
-    full = heavy[heavy >= least]
-    if not len(full):
-        return []
-    top = min(len(full), 2 * most)
-    floor = int(np.partition(full, -top)[-top])
-    counted = keys[count >= floor]
-    found, n = np.unique(counted, return_counts=True)
-    if n.max() < least or top == len(full):
-        # what is rare stays rare, as only new symbols make new pairs
-        here = np.flatnonzero(count >= floor)
-        may[at[here[n[np.searchsorted(found, counted)] < least]]] = False
-    if n.max() < least:
-        return frequent_pairs(ids, may, most, least)
-    order = np.lexsort((found, -n))[: 4 * most]
-    order = order[n[order] >= least]
+    while True:
+        # only pairs in the fullest hash buckets are counted exactly
+        heavy = np.bincount(places.bucket, minlength=1 << BUCKET_BITS)
+        count = heavy[places.bucket]
+        may[places.at[count < least]] = False
+        full = heavy[heavy >= least]
+        if not len(full):
+            return []
+        top = min(len(full), 2 * most)
+        floor = int(np.partition(full, -top)[-top])
+        here = count >= floor
+        counted = places.keys[here]
+        found, n = np.unique(counted, return_counts=True)
+        frequent = n.max() >= least
+        if not frequent or top == len(full):
+            # what is rare stays rare, as only new symbols make new pairs
+            may[places.at[here][n[np.searchsorted(found, counted)] < least]] = False
+        if frequent:
+            break
+        places = places.where(may[places.at])
+    order = np.flatnonzero(n >= least)
+    order = order[np.argsort(-n[order], kind="stable")][: 4 * most]
     firsts: set[int] = set()
     seconds: set[int] = set()
     out = []
@@ -166,64 +204,77 @@ def frequent_pairs(ids: np.ndarray, may: np.ndarray, most: int, least: int) -> l
     return out
 
 
-def replace_pairs(ids: np.ndarray, open_: np.ndarray, may: np.ndarray, pairs: list[tuple[int, int]], first_new: int):
+def _held(places: Places, pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending places that hold one of ``pairs``, and which one."""
+    table = np.array([a << 32 | b for a, b in pairs], np.uint64)
+    bucket = _buckets(table)
+    left, at, which = np.arange(len(table)), [], []
+    while len(left):
+        # a bucket's pairs are looked for one after the other
+        _, first = np.unique(bucket[left], return_index=True)
+        now, left = left[first], np.delete(left, first)
+        slot = np.zeros(1 << BUCKET_BITS, np.int32)
+        slot[bucket[now]] = now + 1
+        named = slot[places.bucket]
+        some = np.flatnonzero(named)
+        named = named[some] - 1
+        same = table[named] == places.keys[some]
+        at.append(places.at[some[same]])
+        which.append(named[same])
+    if len(at) == 1:
+        return at[0], which[0]
+    at, which = np.concatenate(at), np.concatenate(which)
+    order = np.argsort(at, kind="stable")
+    return at[order], which[order]
+
+
+def replace_pairs(
+    ids: np.ndarray, open_: np.ndarray, may: np.ndarray, places: Places, pairs: list[tuple[int, int]], first_new: int
+):
     """The sequence with each pair replaced by ``first_new``, ``first_new + 1``, ...; its
     ``open_``; and its ``may``, where the pairs of new symbols are in."""
-    begins = np.zeros(first_new, bool)
-    finishes = np.zeros(first_new, bool)
-    begins[[a for a, _ in pairs]] = True
-    finishes[[b for _, b in pairs]] = True
-    at = np.flatnonzero(may)
-    at = at[begins[ids[at]]]
-    at = at[finishes[ids[at + 1]]]
-    keys = ids[at].astype(np.uint64) << np.uint64(32) | ids[at + 1]
-    table = np.array([a << 32 | b for a, b in pairs], np.uint64)
-    order = np.argsort(table)
-    where = np.searchsorted(table[order], keys)
-    where[where == len(table)] = 0
-    hit = table[order][where] == keys
-    at, new = at[hit], order[where[hit]] + first_new
-    if len(at):
+    at, new = _held(places, pairs)
+    new = new + first_new
+    if any(a == b for a, b in pairs) and len(at):
         # a pair of equal symbols overlaps itself in a run: take every other place
         start = np.concatenate([[True], np.diff(at) != 1])
         run = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
         even = (np.arange(len(at)) - run) % 2 == 0
         at, new = at[even], new[even]
-    out = ids.copy()
-    out[at] = new
-    still = open_.copy()
-    still[at] = open_[at + 1]
-    may = may.copy()
+    ids[at] = new
+    open_[at] = open_[at + 1]
     may[at] = True
     may[at[at > 0] - 1] = True
-    may &= still
+    may &= open_
     keep = np.ones(len(ids), bool)
     keep[at + 1] = False
-    return out[keep], still[keep], may[keep]
+    return ids[keep], open_[keep], may[keep]
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
+def compress(
+    ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT
+) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
     """(sequence, rules, documents' ends in the sequence) for ids below ``base``.
 
     ``ends`` are the documents' ends in ``ids``; every document has an id at least.
     """
-    seq = ids.astype(np.uint32)
+    seq = np.array(ids, np.uint32)
     open_ = np.ones(len(seq), bool)
     open_[ends - 1] = False
     rules: list[tuple[int, int]] = []
     may = open_.copy()  # places whose pair may still be frequent
-    while pairs := frequent_pairs(seq, may, PAIRS_A_ROUND, LEAST_COUNT):
-        seq, open_, may = replace_pairs(seq, open_, may, pairs, base + len(rules))
+    while pairs := frequent_pairs(places := Places.of(seq, may), may, PAIRS_A_ROUND, least):
+        seq, open_, may = replace_pairs(seq, open_, may, places, pairs, base + len(rules))
         rules += pairs
     return seq, rules, np.flatnonzero(~open_) + 1
 
 
-def pack_shard(docs: list[np.ndarray], base: int) -> bytes:
+def pack_shard(docs: list[np.ndarray], base: int, least: int = LEAST_COUNT) -> bytes:
     """MAGIC; base, rules, symbols, documents, bytes a symbol (unsigned 32 bit, little
     endian); rules as pairs; expansion lengths of the rules; documents' ends in the
     sequence; the sequence."""
     ids = np.concatenate(docs)
-    seq, rules, ends = compress(ids, np.cumsum([len(d) for d in docs]), base)
+    seq, rules, ends = compress(ids, np.cumsum([len(d) for d in docs]), base, least)
     lengths = np.ones(base + len(rules), np.uint32)
     for k, (a, b) in enumerate(rules):
         lengths[base + k] = lengths[a] + lengths[b]
@@ -295,12 +346,14 @@ def write_token_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     shard_ids: int = SHARD_IDS,
+    least: int = LEAST_COUNT,
 ) -> None:
     """Encode ``docs`` and write the shards in ascending id order as the Parquet table ``path``.
 
     Rows: part and seq (the shard's place), ids of its documents, n_ids, and the shard.
-    The id ranges are Spark's range partitions, so the only shuffle is the one that
-    sorts the documents.
+    The ranges of ids (and of hashes of the texts under one id) are Spark's range
+    partitions, so the only shuffle is the one that sorts the documents.  A pair is
+    replaced if it occurs ``least`` times in a shard.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["id"].dataType
@@ -313,7 +366,9 @@ def write_token_shards(
             T.StructField("shard", T.BinaryType()),
         ]
     )
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # ranges of about PART_BYTES of text, however large the input
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
 
     def run(batches):
         coder, part = encoder(tokenizer_path), TaskContext.get().partitionId()
@@ -328,7 +383,7 @@ def write_token_shards(
                     pa.array([seq], pa.int32()),
                     pa.array([ids]),
                     pa.array([size], pa.int64()),
-                    pa.array([pack_shard(coded, max(coder.size, end_id + 1))], pa.binary()),
+                    pa.array([pack_shard(coded, max(coder.size, end_id + 1), least)], pa.binary()),
                 ],
                 names=schema.names,
             )
@@ -354,7 +409,7 @@ def write_token_shards(
             yield shard()
 
     (
-        rows.repartitionByRange(parts, "id")
+        rows.repartitionByRange(parts, "id", F.xxhash64("text"))
         .sortWithinPartitions("id", F.xxhash64("text"))
         .mapInArrow(run, schema)
         .write.parquet(path)

@@ -314,6 +314,18 @@ def test_expectation_maximisation_finds_planted_accuracies(spark):
 # token files
 
 
+def test_a_hot_id_is_written_by_several_tasks(spark, tmp_path):
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.range(4000).selectExpr("cast(null as long) doc_id", "concat('text ', id, ' of one id') text")
+    token_files.write_token_shards(docs, str(tmp_path / "hot"), path, least=4)
+    got = token_files.read_token_shards(spark, str(tmp_path / "hot")).orderBy("start").collect()
+    library = Tokenizer.from_file(path)
+    want = [library.encode(r.text, add_special_tokens=False).ids + [2] for r in docs.orderBy(F.xxhash64("text")).collect()]
+    assert [list(r.tokens) for r in got] == want
+    assert [r.start for r in got] == [sum(map(len, want[:i])) for i in range(len(want))]
+    assert spark.read.parquet(str(tmp_path / "hot")).select("part").distinct().count() > 1
+
+
 def test_token_files_round_trip(spark, tmp_path):
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     library = Tokenizer.from_file(path)
