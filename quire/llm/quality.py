@@ -5,8 +5,10 @@ Each rule looks at a document's statistics and votes good (+1), bad (-1) or abst
 documents without any label, from the counts of the vote patterns over all documents;
 there are at most 3 ** rules patterns, so those counts are bounded whatever the input's
 size.  A document is kept when its posterior probability of being good reaches
-``threshold``.  An abstention adds nothing to the odds, and no rule alone decides: where
-all other rules vote good, a bad vote is weighed so that they leave ``ALONE`` or more.
+``threshold``.  The model is one of the votes cast: an abstention says nothing, neither
+in the fit nor in the posterior, which is the fitted model's own.  No rule is taken to
+be right more than ``SUREST`` of the time it votes, on good documents or on bad ones, so
+it takes bad votes of several rules to outweigh the good ones of the others.
 
 Cases: a null text has no word; an empty or wordless text has zero statistics and every
 rule abstains or votes bad on it; repeated rows are judged alike; an empty table gives an
@@ -26,8 +28,9 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import fresh, utf8
 
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters"]
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_marked"]
 SYMBOLS = b"#*$%&|<>"
+_ONE_MARK = bytes.maketrans(SYMBOLS, b"#" * len(SYMBOLS))
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
 _CONTINUED = bytes(range(128, 192))
 _HIGH = bytes(range(128, 256))
@@ -38,7 +41,8 @@ def text_stats(data: bytes) -> tuple[int, ...]:
 
     Words are runs of bytes outside space and \\t..\\r.  A repeated word stands in a
     3-word window that the text holds twice or more; a duplicate line has a word and
-    equals an earlier line.  ``n_letters`` counts A-Z, a-z and all non-ASCII characters.
+    equals an earlier line.  ``n_letters`` counts A-Z, a-z and all non-ASCII characters,
+    ``n_marked`` the words that hold one of SYMBOLS.
     """
     words = data.split()
     n = len(words)
@@ -46,14 +50,17 @@ def text_stats(data: bytes) -> tuple[int, ...]:
     lines = [x for x in data.split(b"\n") if x and not x.isspace()]
     plain = solid.translate(None, _CONTINUED)
     letters = len(plain) - len(plain.translate(None, _LETTERS + _HIGH))
+    symbols = len(solid) - len(solid.translate(None, SYMBOLS))
+    marked = sum(b"#" in w for w in data.translate(_ONE_MARK).split()) if symbols else 0
     return (
         n,
         len(plain),
-        len(solid) - len(solid.translate(None, SYMBOLS)),
+        symbols,
         len(lines) - len(set(lines)),
         repeated_words(words),
         len(lines),
         letters,
+        marked,
     )
 
 
@@ -121,13 +128,14 @@ def _share(s: Column, part: str, whole: str) -> Column:
 
 
 RULES = [
-    Rule("length", lambda s: s["n_words"] >= 80, lambda s: s["n_words"] < 50),
     Rule(
         "word_length",
         lambda s: _share(s, "word_chars", "n_words").between(4.0, 6.2),
         lambda s: ~_share(s, "word_chars", "n_words").between(3.0, 10.0),
     ),
     Rule("symbols", lambda s: _share(s, "n_symbols", "n_words") <= 0.02, lambda s: _share(s, "n_symbols", "n_words") > 0.1),
+    # a few heavy words or many lightly marked ones: one of the two rules alone is no reason to reject
+    Rule("marked", lambda s: _share(s, "n_marked", "n_words") <= 0.02, lambda s: _share(s, "n_marked", "n_words") > 0.2),
     Rule("lines", lambda s: _share(s, "n_dup_lines", "n_lines") <= 0.35, lambda s: _share(s, "n_dup_lines", "n_lines") > 0.5),
     Rule(
         "repetition",
@@ -137,41 +145,27 @@ RULES = [
     # prose has over 0.9; source code, references and tables of figures lie between
     Rule("letters", lambda s: _share(s, "n_letters", "word_chars") >= 0.9, lambda s: _share(s, "n_letters", "word_chars") < 0.5),
 ]
-ALONE = 0.6
+SUREST = 0.95
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Share of good documents and, for each rule, the probability of its votes -1, 0
-    and +1 on bad documents and on good ones."""
+    """Share of good documents and, for each rule, the probability that a vote it casts
+    is good: on bad documents and on good ones."""
 
     prior: float
-    votes: tuple[tuple[tuple[float, ...], tuple[float, ...]], ...]
+    votes: tuple[tuple[float, float], ...]
 
     def accuracy(self) -> list[float]:
         """How often each rule is right when it votes."""
-        out = []
-        for bad, good in self.votes:
-            right = (1 - self.prior) * bad[0] + self.prior * good[2]
-            out.append(right / (right + (1 - self.prior) * bad[2] + self.prior * good[0]))
-        return out
+        return [(1 - self.prior) * (1 - bad) + self.prior * good for bad, good in self.votes]
 
     def weights(self) -> list[list[float]]:
-        """What each rule's votes -1, 0 and +1 add to the log odds.
-
-        A bad vote weighs no more than leaves a probability of ALONE to a document that has
-        the prior and the good votes of all other rules for it.
-        """
-        free = [[math.log(g / b) for b, g in zip(bad, good)] for bad, good in self.votes]
-        all_good = math.log(self.prior / (1 - self.prior)) + sum(w[2] for w in free)
-        out = []
-        for w in free:
-            most = max(all_good - w[2] - math.log(ALONE / (1 - ALONE)), 0.0)
-            out.append([max(w[0], -most), 0.0, w[2]])
-        return out
+        """What each rule's votes -1, 0 and +1 add to the log odds."""
+        return [[math.log((1 - good) / (1 - bad)), 0.0, math.log(good / bad)] for bad, good in self.votes]
 
     def posterior(self, votes: Column) -> Column:
-        """P(good | votes): the log odds are the prior's plus a weight for each rule's vote."""
+        """P(good | votes cast): the log odds are the prior's plus a weight for each rule's vote."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for i, weights in enumerate(self.weights()):
             odds = odds + F.get(F.array(*map(F.lit, weights)), F.get(votes, F.lit(i)) + 1)
@@ -182,29 +176,35 @@ def votes_of(stats: Column, rules: list[Rule] = RULES) -> Column:
     return F.array(*(r.vote(stats) for r in rules))
 
 
-START = (0.8, (0.4, 0.4, 0.2), (0.1, 0.3, 0.6))
+START = (0.8, 0.3, 0.85)
 
 
 def fit_label_model(votes: DataFrame, n_rules: int, vote_col: str = "votes", steps: int = 200) -> LabelModel:
     """Expectation-maximisation over the counts of the vote patterns of all rows.
 
     It starts from START: most documents are good, and a rule's vote is right more
-    often than wrong, which tells good from bad.
+    often than wrong, which tells good from bad.  Each step's probabilities are those of
+    the greatest expected likelihood within two bounds: those of SUREST, and that a good
+    vote is no likelier on bad documents than on good ones.
     """
     rows = votes.groupBy(vote_col).agg(F.count(F.lit(1)).alias("n")).orderBy(vote_col).collect()
     v = np.array([r[vote_col] for r in rows], int).reshape(-1, n_rules)
     n = np.array([r["n"] for r in rows], float)
-    cast = np.stack([v == k for k in (-1, 0, 1)], -1).astype(float)  # pattern, rule, vote
+    up, down = (v > 0).astype(float), (v < 0).astype(float)  # pattern, rule
     prior = START[0]
-    given = np.repeat(np.array(START[1:])[:, None, :], n_rules, 1)  # class, rule, vote
+    given = np.repeat(np.array(START[1:])[:, None], n_rules, 1)  # class (bad, good), rule: P(vote is good)
     for _ in range(steps if len(rows) else 0):
-        log = np.einsum("prv,crv->cp", cast, np.log(given))
+        log = np.log(given) @ up.T + np.log(1 - given) @ down.T
         good = 1 / (1 + np.exp(np.clip(log[0] - log[1] + math.log((1 - prior) / prior), -700, 700)))
         weight = np.stack([(1 - good) * n, good * n])
-        given = np.einsum("cp,prv->crv", weight, cast) + 0.1  # keeps votes never cast off zero
-        given /= given.sum(-1, keepdims=True)
+        # 0.1 of a vote each way stands for a rule that has cast none
+        for_, cast = weight @ up + 0.1, weight @ (up + down) + 0.2
+        given = for_ / cast
+        # a rule that votes good more often on bad documents tells nothing: one share for both
+        given = np.where(given[0] > given[1], for_.sum(0) / cast.sum(0), given)
+        given = np.clip(given, 1 - SUREST, SUREST)
         prior = float(np.clip(weight[1].sum() / n.sum(), 0.01, 0.99))
-    return LabelModel(prior, tuple((tuple(given[0, r].tolist()), tuple(given[1, r].tolist())) for r in range(n_rules)))
+    return LabelModel(prior, tuple((float(b), float(g)) for b, g in given.T))
 
 
 def base_failed(stats: Column) -> Column:

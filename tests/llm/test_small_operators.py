@@ -244,14 +244,15 @@ def plain_stats(text):
         if re.search(r"[^\x20\x09-\x0D]", line):
             dup += line in seen
             seen.add(line)
-    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(cover)
+    marked = sum(bool(re.search(r"[#*$%&|<>]", w)) for w in words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(cover), marked
 
 
 def test_quality_statistics_equal_brute_force(spark):
     docs = documents(spark)
     got = quality.with_stats(docs.where("doc_id is null or doc_id <> 10"), out="s").collect()
     for r in got:
-        assert tuple(r.s)[:5] == plain_stats(r.text)
+        assert (*tuple(r.s)[:5], r.s.n_marked) == plain_stats(r.text)
     assert quality.repeated_words([b"a"] * 3) == 0 and quality.repeated_words([b"a"] * 4) == 4
 
 
@@ -273,6 +274,8 @@ def test_label_model_keeps_good_and_rejects_bad(spark):
     rows = quality.judge(quality.with_stats(docs, out="s"), "s", "q").join(labels, "doc_id").where("not q.base_failed")
     share = {r["quality"]: r["kept"] for r in rows.groupBy("quality").agg(F.avg(F.col("q.kept").cast("int")).alias("kept")).collect()}
     assert share[1] > 0.98 and share[0] < 0.1
+    bad = F.size(F.filter("q.votes", lambda v: v < 0))
+    assert rows.where("not q.kept").agg(F.min(bad)).first()[0] >= 2
 
 
 def test_one_bad_vote_among_good_ones_does_not_reject(spark):
@@ -309,6 +312,18 @@ def test_expectation_maximisation_finds_planted_accuracies(spark):
     model = quality.fit_label_model(df, 4)
     assert abs(model.prior - 0.7) < 0.03
     assert np.allclose(model.accuracy(), [0.95, 0.9, 0.8, 0.7], atol=0.03)
+    # the posterior that judges is Bayes' rule over the votes cast, and right as often as it says
+    judged = df.select("votes", model.posterior(F.col("votes")).alias("p")).collect()
+    for r in judged[:200]:
+        on_bad, on_good = 1 - model.prior, model.prior
+        for vote, (b, g) in zip(r.votes, model.votes):
+            on_bad *= b if vote > 0 else 1 - b if vote < 0 else 1
+            on_good *= g if vote > 0 else 1 - g if vote < 0 else 1
+        assert abs(r.p - on_good / (on_good + on_bad)) < 1e-9
+    p = np.array([r.p for r in judged])
+    for low, high in [(0.0, 0.2), (0.2, 0.8), (0.8, 1.0)]:
+        some = (p >= low) & (p <= high)
+        assert abs(p[some].mean() - good[some].mean()) < 0.05
 
 
 # token files
