@@ -35,6 +35,8 @@ from quire.functions.paths import record_path
 from quire.functions.text import clean_text
 
 FORMAT = "quire_files"
+#: folders a task remembers to have made
+KNOWN_FOLDERS = 10_000
 
 
 def local_root(root: str) -> str:
@@ -63,6 +65,25 @@ def _check_shared(marker: str) -> None:
         raise RuntimeError(f"{os.path.dirname(marker)} is not shared between the driver and this worker")
 
 
+def _make_folder(folder: str, known: set[str]) -> None:
+    """Make ``folder`` and those above it, but the ``known`` ones, which it joins.
+
+    Nobody looks first whether a folder is there: where many tasks fill one folder,
+    each look-up of a new name would wait once more for the lock that making it takes.
+    """
+    if folder in known:
+        return
+    above = os.path.dirname(folder)
+    if above not in ("", folder):
+        _make_folder(above, known)
+    try:
+        os.mkdir(folder)
+    except OSError:
+        if not os.path.isdir(folder):
+            raise
+    known.add(folder)
+
+
 class _Written(WriterCommitMessage):
     def __init__(self, n: int):
         self.n = n
@@ -74,23 +95,27 @@ class NamedFilesWriter(DataSourceWriter):
         self.json_indent = json_indent
 
     def write(self, iterator):
-        n = 0
+        n, start = 0, {"", self.root.rstrip("/")}
+        known = set(start)
         _check_shared(self.marker)
         for row in iterator:
             full = os.path.join(self.root, row["path"])
-            os.makedirs(os.path.dirname(full) or ".", exist_ok=True)
+            if len(known) > KNOWN_FOLDERS:
+                known = set(start)
+            _make_folder(os.path.dirname(full), known)
             tmp = f"{full}.{uuid.uuid4().hex}.tmp"
             content = row["content"] or ""
             if self.json_indent is not None and full.endswith(".json"):
                 # one small document: re-serialised with the source's layout
                 content = json.dumps(json.loads(content), indent=self.json_indent, ensure_ascii=False)
             try:
-                with open(tmp, "w", encoding="utf-8", newline="") as fh:
-                    fh.write(content)
+                with open(tmp, "wb") as fh:
+                    fh.write(content.encode())
                 os.replace(tmp, full)
-            finally:
+            except BaseException:
                 if os.path.exists(tmp):
                     os.remove(tmp)
+                raise
             n += 1
         return _Written(n)
 
@@ -188,11 +213,17 @@ def write_lines(lines: DataFrame, root: str, header: dict[str, str] | None = Non
 def write_files(files: DataFrame, root: str, json_indent: int | None = None) -> None:
     """Write ``(path, content)`` rows as files under ``root``; ``.json``
     documents are pretty-printed with ``json_indent`` when given (the source
-    writes indent 4 in the modular converter, 2 in the single-file one)."""
-    register(files.sparkSession)
+    writes indent 4 in the modular converter, 2 in the single-file one).  Rows
+    are dealt out by path first: a file takes far longer to make than its row
+    to read, and the partitions of a small scan are few."""
+    spark = files.sparkSession
+    register(spark)
+    # a given count, as AQE would join partitions of so few bytes
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = files.select("path", "content").repartition(parts, "path")
     root = local_root(root)
     with _marked(root) as marker:
-        w = files.select("path", "content").write.format(FORMAT).mode("append").option("path", root).option("marker", marker)
+        w = files.write.format(FORMAT).mode("append").option("path", root).option("marker", marker)
         if json_indent is not None:
             w = w.option("json_indent", str(json_indent))
         w.save()

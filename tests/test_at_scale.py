@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import ordering, quality, responses
 from quire.plans import convert, roles
+from quire.sinks import bids
 from quire.sources import bids_tree, tables
 
 
@@ -164,3 +165,23 @@ def test_records_absent_from_the_written_tree(spark):
                                  "study string, subject_id string, session string, task_lc string")
     got = convert.unwritten_records(recs, root, "st").collect()
     assert [(r.check, r.object) for r in got] == [("J11.missing_file", "st/rawdata/sub-a b/ses-02/beh/sub-a b_ses-02_task-x_beh.tsv")]
+
+
+def test_files_of_one_partition_are_written_by_many_tasks(spark):
+    root = tempfile.mkdtemp(prefix="quire-files-")
+    os.makedirs(f"{root}/sub-1/there")
+    paths = [f"sub-{i}/ses-{i % 3}/note.txt" for i in range(60)] + ["top.txt", "sub-1/there/a.txt", "sub-1/b.txt"]
+    files = spark.createDataFrame([(p, f"{p} é\n") for p in paths] + [("empty.txt", None)], "path string, content string")
+    spark.sparkContext.setJobGroup("files", "files")
+    try:
+        bids.write_files(files.coalesce(1), root)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("files") for s in tracker.getJobInfo(j).stageIds]
+    assert max(tracker.getStageInfo(s).numTasks for s in stages) >= spark.sparkContext.defaultParallelism
+    got = {os.path.relpath(os.path.join(at, n), root): os.path.join(at, n) for at, _, names in os.walk(root) for n in names}
+    assert set(got) == {*paths, "empty.txt"}
+    for p, full in got.items():
+        with open(full, encoding="utf-8", newline="") as fh:
+            assert fh.read() == ("" if p == "empty.txt" else f"{p} é\n")
