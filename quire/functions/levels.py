@@ -8,6 +8,8 @@ wins" is applied on the entry array before the map is built.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,19 +27,36 @@ DATASET_TYPES = ("raw", "derivative")
 BIDS_VERSION_PATTERN = r"^\d+\.\d+\.\d+$"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it:
+    an expression named inside a lambda is evaluated for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dedupe_entries_last_wins(entries: Column, key_field: str = "key") -> Column:
     """Dict assignment over an array of ``struct<pos, key, value>``: one entry
     per key, at the position of its **first** occurrence, holding the value of
-    its **last** occurrence (key order matters for the JSON documents)."""
-    firsts = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i), lambda z: z[key_field] == e[key_field]))
-    return F.transform(
-        firsts,
-        lambda e: F.struct(
-            e["pos"].alias("pos"),
-            e[key_field].alias(key_field),
-            F.element_at(F.filter(entries, lambda z: z[key_field] == e[key_field]), -1)["value"].alias("value"),
-        ),
-    )
+    its **last** occurrence (key order matters for the JSON documents).
+
+    ``entries`` is evaluated once and sorted by key, so a long list takes no
+    time that grows with its square."""
+
+    def dedupe(es: Column) -> Column:
+        keys = F.transform(es, lambda e, i: F.struct(e[key_field].alias("key"), i.alias("i")))
+        found = _bound(F.array_sort(F.filter(keys, lambda k: k["key"].isNotNull())), runs)
+        return F.transform(found, lambda r: F.struct(
+            F.get(es, r["first"])["pos"].alias("pos"),
+            F.get(es, r["first"])[key_field].alias(key_field),
+            F.get(es, r["last"])["value"].alias("value"),
+        ))
+
+    def runs(keys: Column) -> Column:
+        # equal keys lie together, in the order of their places
+        starts = F.filter(keys, lambda k, i: F.coalesce(k["key"] != F.get(keys, i - 1)["key"], F.lit(True)))
+        stops = F.filter(keys, lambda k, i: F.coalesce(k["key"] != F.get(keys, i + 1)["key"], F.lit(True)))
+        return F.array_sort(F.zip_with(starts, stops, lambda a, b: F.struct(a["i"].alias("first"), b["i"].alias("last"))))
+
+    return _bound(entries, dedupe)
 
 
 def level_entries(c) -> Column:

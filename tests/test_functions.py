@@ -1,5 +1,7 @@
 """Scalar vectors (FIXTURES.md section 3) for the Column functions."""
 
+import time
+
 from conftest import col_values
 
 from quire.functions import ids, levels, text
@@ -110,3 +112,27 @@ def test_c17_na_tokens(spark):
 def test_c19_likert(spark):
     assert col_values(spark, levels.likert_levels, ["4", "4.0", "x", None]) == [4, 0, 0, 0]
     assert col_values(spark, levels.likert_levels, [4.0], dtype="double") == [4]
+
+
+def test_long_level_string(spark):
+    n = 20_000
+    pieces = [f"{i * 7 % (n // 2)}: v{i}" for i in range(n)] + ["a:b:c", "", " : ", "x"]
+    want = {}
+    for i, p in enumerate(pieces):
+        kv = [x.strip() for x in p.strip().split(":")]
+        if len(kv) == 2:
+            want[kv[0]] = (want.get(kv[0], (i,))[0], kv[1])
+    df = spark.createDataFrame([(1, ";".join(pieces)), (2, None), (3, "")], "i int, s string")
+    start = time.monotonic()
+    got = {r.i: r.e for r in df.select("i", levels.level_entries("s").alias("e")).collect()}
+    assert time.monotonic() - start < 60  # every entry against every other took far longer
+    assert [tuple(e) for e in got[1]] == [(p, k, v) for k, (p, v) in want.items()]
+    assert got[2] is None and got[3] == []
+
+
+def test_entries_are_evaluated_once(spark):
+    from pyspark.sql import functions as F
+
+    # an expression named in a lambda would be evaluated for each element
+    plan = spark.range(1).select(levels.level_entries(F.concat(F.lit("mark"), F.col("id").cast("string"))).alias("e"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("concat(mark") == 1
