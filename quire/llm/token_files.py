@@ -43,9 +43,12 @@ TEXT_BYTES = 8 << 20
 PART_BYTES = 256 << 20
 PAIRS_A_ROUND, LEAST_COUNT = 4096, 8
 MEMO_PIECES, MEMO_CHARS = 500_000, 48
+JOINED_PIECES = 64
 MAGIC = b"RPG1"
 _OTHER_SPACE = r"\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(rf"[ \n{_OTHER_SPACE}]*[^ \n{_OTHER_SPACE}]+|[ \n{_OTHER_SPACE}]+")
+# no white space but one space in front
+_LONE = re.compile(r" ?\S+").fullmatch
 # white space other than one space or line feed between two words
 _UNEVEN = (
     r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\x01\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -60,9 +63,15 @@ class TokenEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
+        lines = self._encode(["\n", "a\n b\nc"])
+        # the id of a line feed, if it is one wherever it stands between two words
+        self.gap = lines[0].ids[0] if len(lines[0].ids) == 1 and lines[1].ids.count(lines[0].ids[0]) == 2 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _encode(self, texts: list[str]) -> list:
+        return self.library.encode_batch_fast(texts, add_special_tokens=False)
+
     def encode_batch(self, texts: list[str] | pa.Array, end: int) -> list[np.ndarray]:
         """Ids of each text and the end id."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -72,8 +81,8 @@ class TokenEncoder:
         out: list = [None] * len(texts)
         even, odd = np.flatnonzero(plain.to_numpy(zero_copy_only=False)), pc.invert(plain)
         cut = pc.replace_substring(pc.replace_substring(texts.filter(plain), " ", "\x01 "), "\n", "\x01\n")
-        # behind a letter or digit a full stop or comma before white space is a piece of its own
-        cut = pc.replace_substring_regex(cut, r"([\pL\pN])([.,])\x01", "\\1\x01\\2\x01")
+        # behind a letter or digit, ASCII signs up to white space are a piece of their own
+        cut = pc.replace_substring_regex(cut, r"([\pL\pN])([!-&(-/:-@\[-`{-~]+)\x01", "\\1\x01\\2\x01")
         self._encode_pieces(pc.split_pattern(cut, "\x01"), even, end, out)
         rest = [[t] if any(s in t for s in self.special) else _PIECES.findall(t) for t in texts.filter(odd).to_pylist()]
         where = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
@@ -103,8 +112,22 @@ class TokenEncoder:
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of pieces that the young generation lacks."""
         found = {p: v for p in pieces if (v := self.old.get(p)) is not None}
-        new = list(pieces.difference(found))
-        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+        new = pieces.difference(found)
+        lone = list(filter(_LONE, new)) if self.gap is not None else []
+        # a line feed between such pieces is a token of its own that none of them holds, so many
+        # are encoded as one text, which spares the library a result for each
+        runs = [lone[at : at + JOINED_PIECES] for at in range(0, len(lone), JOINED_PIECES)]
+        rest = list(new.difference(lone))
+        for run, e in zip(runs, self._encode(["\n".join(run) for run in runs])):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(ids == self.gap)
+            if len(ends) != len(run) - 1:
+                rest += run
+                continue
+            data, ends = ids.tobytes(), [*(4 * ends).tolist(), 4 * len(ids)]
+            starts = [0, *(end + 4 for end in ends[:-1])]
+            found.update((p, data[a:b]) for p, a, b in zip(run, starts, ends))
+        for p, e in zip(rest, self._encode(rest)):
             ids = e.ids
             found[p] = struct.pack(f"<{len(ids)}I", *ids)
         self.young.update(found)

@@ -479,3 +479,21 @@ def test_registered_query_validates_turn_orders(spark, tmp_path):
         assert "aggregate(" in found._jdf.queryExecution().optimizedPlan().toString()  # the machine is not pruned
         got = {r.conv_id: r.valid for r in found.collect()}
         assert got == {1: True, 2: False, 3: False, 4: True, 5: False, 6: False, 7: False, None: True, -7: True}
+
+
+def test_pieces_encoded_in_one_text_have_the_ids_they_have_alone():
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(path)
+    words = ["a", "don't", "x'", "'s", "foo###", "foo'##", "Ünï%%%", "7,", "3.5.", "...", "|", "é!?", "a\x1cb", "\x85", "`~", "()", "ab[1]", "9's", "́", "á.", "<|endoftext|>"]
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["", " ", " ", " ", "\n", "  "]) + rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
+    texts += [f"w{i}abc{i * 7919} q{i}***" for i in range(500)] + words
+    for gap in (True, False):
+        coder = token_files.TokenEncoder(path)
+        calls, encode = [], coder._encode
+        coder._encode = lambda batch: calls.append(len(batch)) or encode(batch)
+        if not gap:
+            coder.gap = None
+        got = coder.encode_batch(texts, 2)
+        assert [g.tolist() for g in got] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert (sum(calls) < len(coder.young) // 2) == gap
