@@ -27,7 +27,7 @@ import math
 import os
 import re
 import struct
-from dataclasses import dataclass
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -51,8 +51,41 @@ _PIECES = re.compile(rf"[ \n{_OTHER_SPACE}]*[^ \n{_OTHER_SPACE}]+|[ \n{_OTHER_SP
 _LONE = re.compile(r" ?\S+").fullmatch
 # white space other than one space or line feed between two words
 _UNEVEN = (
-    r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\x01\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# ASCII signs but the apostrophe, which begins contractions
+_SIGNS = np.array([33 <= c < 127 and c != 39 and not chr(c).isalnum() for c in range(256)])
+SIGNS_IN_A_ROW = 8
+
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """For each code point below 65,536, whether it is a letter or digit."""
+    points = np.array([c for c in range(1 << 16) if not 0xD800 <= c < 0xE000])
+    out = np.zeros(1 << 16, bool)
+    out[points] = pc.match_substring_regex(pa.array(map(chr, points.tolist())), r"[\pL\pN]").to_numpy(zero_copy_only=False)
+    return out
+
+
+def _cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places in ``data``, the UTF-8 bytes of texts without uneven white space, where a piece
+    starts; the last place is the end.  The texts lie between ``starts``."""
+    cut = np.zeros(len(data) + 1, bool)
+    np.equal(data, 32, out=cut[:-1])
+    cut[:-1] |= data == 10
+    cut[starts] = True
+    ends = np.flatnonzero(cut)[1:]
+    # behind a letter or digit, ASCII signs up to white space are a piece of their own
+    at = ends[_SIGNS[data[ends - 1]]] - 1
+    for _ in range(SIGNS_IN_A_ROW):
+        at = at[~cut[at]]  # a text may begin with signs
+        more = _SIGNS[data[at - 1]]
+        first, at = at[~more], at[more] - 1
+        a, b, c = (data[np.maximum(first - k, 0)].astype(np.int32) for k in (3, 2, 1))
+        wide = np.where(b >= 0xC0, (b & 31) << 6 | c & 63, (a & 15) << 12 | (b & 63) << 6 | c & 63)
+        wide[(b < 0xC0) & (a >> 4 != 14)] = 0  # neither two bytes nor three
+        cut[first[_letters()[np.where(c < 128, c, wide)]]] = True
+    return np.flatnonzero(cut)
 
 
 class TokenEncoder:
@@ -80,58 +113,62 @@ class TokenEncoder:
             plain = pc.and_(plain, pc.invert(pc.match_substring(texts, s)))
         out: list = [None] * len(texts)
         even, odd = np.flatnonzero(plain.to_numpy(zero_copy_only=False)), pc.invert(plain)
-        cut = pc.replace_substring(pc.replace_substring(texts.filter(plain), " ", "\x01 "), "\n", "\x01\n")
-        # behind a letter or digit, ASCII signs up to white space are a piece of their own
-        cut = pc.replace_substring_regex(cut, r"([\pL\pN])([!-&(-/:-@\[-`{-~]+)\x01", "\\1\x01\\2\x01")
-        self._encode_pieces(pc.split_pattern(cut, "\x01"), even, end, out)
-        rest = [[t] if any(s in t for s in self.special) else _PIECES.findall(t) for t in texts.filter(odd).to_pylist()]
-        where = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-        self._encode_pieces(pa.array(rest, pa.list_(pa.string())), where, end, out)
+        if len(even):
+            chosen = texts.filter(plain).cast(pa.large_string())
+            _, starts, data = chosen.buffers()
+            starts = np.frombuffer(starts, np.int64)[chosen.offset : chosen.offset + len(chosen) + 1]
+            data, starts = np.frombuffer(data or b"", np.uint8)[starts[0] : starts[-1]], starts - starts[0]
+            cuts = _cuts(data, starts)
+            pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data))
+            self._encode_pieces(pieces, np.searchsorted(cuts, starts), even, end, out, lambda p: p[0] != "\n")
+        if len(even) < len(texts):
+            rest = texts.filter(odd).to_pylist()
+            rest = pa.array([[t] if any(s in t for s in self.special) else _PIECES.findall(t) for t in rest], pa.list_(pa.string()))
+            where = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+            self._encode_pieces(rest.flatten(), rest.offsets.to_numpy(), where, end, out, _LONE)
         if len(self.young) > MEMO_PIECES:
             # two generations bound the memo: what two fillings have not used is forgotten
             self.old, self.young = {p: v for p, v in self.young.items() if len(p) <= MEMO_CHARS}, {}
         return out
 
-    def _encode_pieces(self, pieces: pa.ListArray, where: np.ndarray, end: int, out: list) -> None:
-        """Put the ids of the texts given as lists of pieces into ``out`` at ``where``."""
-        if not len(pieces):
-            return
-        known = pieces.flatten().dictionary_encode()  # each distinct piece is looked up once
+    def _encode_pieces(
+        self, pieces: pa.Array, starts: np.ndarray, where: np.ndarray, end: int, out: list, lone: Callable[[str], object]
+    ) -> None:
+        """Put the ids of the texts, whose pieces lie between ``starts``, into ``out`` at ``where``."""
+        known = pieces.dictionary_encode()  # each distinct piece is looked up once
         names = known.dictionary.to_numpy(zero_copy_only=False).tolist()
         coded = list(map(self.young.get, names))
         if None in coded:
-            learnt = self._learn({p for p, c in zip(names, coded) if c is None})
-            coded = [learnt[p] if c is None else c for p, c in zip(names, coded)]
+            new = [i for i, c in enumerate(coded) if c is None]
+            for i, c in zip(new, self._learn([names[i] for i in new], lone)):
+                coded[i] = c
         joined = pa.array(coded, pa.large_binary()).take(known.indices)
         ends = np.frombuffer(joined.buffers()[1], np.int64)
         ids = np.frombuffer(joined.buffers()[2] or b"", "<u4", int(ends[len(joined)]) // 4)
-        cuts = ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()] // 4
+        cuts = ends[starts] // 4
         for i, a, b in zip(where, cuts[:-1], cuts[1:]):
             out[i] = np.append(ids[a:b], np.uint32(end))
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that the young generation lacks."""
-        found = {p: v for p in pieces if (v := self.old.get(p)) is not None}
-        new = pieces.difference(found)
-        lone = list(filter(_LONE, new)) if self.gap is not None else []
+    def _learn(self, pieces: list[str], lone: Callable[[str], object]) -> list[bytes]:
+        """Ids of distinct pieces that the young generation lacks; ``lone`` tells those without
+        white space but one space in front."""
+        coded = list(map(self.old.get, pieces))
+        new = [i for i, c in enumerate(coded) if c is None and self.gap is not None and lone(pieces[i])]
         # a line feed between such pieces is a token of its own that none of them holds, so many
         # are encoded as one text, which spares the library a result for each
-        runs = [lone[at : at + JOINED_PIECES] for at in range(0, len(lone), JOINED_PIECES)]
-        rest = list(new.difference(lone))
-        for run, e in zip(runs, self._encode(["\n".join(run) for run in runs])):
+        runs = [new[at : at + JOINED_PIECES] for at in range(0, len(new), JOINED_PIECES)]
+        for run, e in zip(runs, self._encode(["\n".join([pieces[i] for i in run]) for run in runs])):
             ids = np.array(e.ids, "<u4")
             ends = np.flatnonzero(ids == self.gap)
-            if len(ends) != len(run) - 1:
-                rest += run
-                continue
-            data, ends = ids.tobytes(), [*(4 * ends).tolist(), 4 * len(ids)]
-            starts = [0, *(end + 4 for end in ends[:-1])]
-            found.update((p, data[a:b]) for p, a, b in zip(run, starts, ends))
-        for p, e in zip(rest, self._encode(rest)):
-            ids = e.ids
-            found[p] = struct.pack(f"<{len(ids)}I", *ids)
-        self.young.update(found)
-        return found
+            if len(ends) == len(run) - 1:
+                data, ends = ids.tobytes(), (4 * ends).tolist()
+                for i, a, b in zip(run, [0, *[end + 4 for end in ends]], [*ends, len(data)]):
+                    coded[i] = data[a:b]
+        rest = [i for i, c in enumerate(coded) if c is None]
+        for i, e in zip(rest, self._encode([pieces[i] for i in rest])):
+            coded[i] = np.array(e.ids, "<u4").tobytes()
+        self.young.update(zip(pieces, coded))
+        return coded
 
 
 _ENCODERS: dict[str, TokenEncoder] = {}
@@ -147,75 +184,45 @@ def encoder(path: str) -> TokenEncoder:
 # Re-Pair
 
 
-BUCKET_BITS = 18
-
-
-def _buckets(keys: np.ndarray) -> np.ndarray:
-    out = keys * np.uint64(0x9E3779B97F4A7C15)
-    out >>= np.uint64(64 - BUCKET_BITS)
-    return out.view(np.int64)
-
-
-@dataclass
-class Places:
-    """Places of a sequence that may hold a frequent pair, with the pairs there and their hash buckets."""
-
-    at: np.ndarray
-    keys: np.ndarray
-    bucket: np.ndarray
-
-    @classmethod
-    def of(cls, ids: np.ndarray, may: np.ndarray) -> Places:
-        at = np.flatnonzero(may)
-        if 2 * len(at) > len(ids):
-            keys = ids[:-1].astype(np.uint64)
-            keys <<= np.uint64(32)
-            keys |= ids[1:]
-            keys = keys[may[:-1]]
-        else:
-            keys = ids[at].astype(np.uint64)
-            keys <<= np.uint64(32)
-            keys |= ids[at + 1]
-        return cls(at, keys, _buckets(keys))
-
-    def where(self, which: np.ndarray) -> Places:
-        return Places(self.at[which], self.keys[which], self.bucket[which])
-
-
-def frequent_pairs(places: Places, may: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
+def frequent_pairs(
+    seq: np.ndarray, may: np.ndarray, symbols: int, most: int, least: int
+) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
     """Pairs that occur ``least`` times or more, most frequent first, such that no symbol
-    ends one pair and begins another (or is its own partner), so none overlap.
+    ends one pair and begins another (or is its own partner), so none overlap; the places of
+    the pairs; and which pair is there.  A pair's places are together and ascending.
 
-    Only ``places`` are looked at; those found to hold a rarer pair are taken out of
-    ``may``.  The list is empty only if no pair occurs ``least`` times.
+    Only places in ``may`` are looked at; those found to hold a rarer pair are taken out of
+    it.  There are no pairs only if none occurs ``least`` times.  Symbols are below ``symbols``.
     """
-    while True:
-        # only pairs in the fullest hash buckets are counted exactly
-        heavy = np.bincount(places.bucket, minlength=1 << BUCKET_BITS)
-        count = heavy[places.bucket]
-        may[places.at[count < least]] = False
-        full = heavy[heavy >= least]
-        if not len(full):
-            return []
-        top = min(len(full), 2 * most)
-        floor = int(np.partition(full, -top)[-top])
-        here = count >= floor
-        counted = places.keys[here]
-        found, n = np.unique(counted, return_counts=True)
-        frequent = n.max() >= least
-        if not frequent or top == len(full):
-            # what is rare stays rare, as only new symbols make new pairs
-            may[places.at[here][n[np.searchsorted(found, counted)] < least]] = False
-        if frequent:
-            break
-        places = places.where(may[places.at])
+    at = np.flatnonzero(may)
+    symbol, place = np.uint64(symbols.bit_length()), np.uint64(len(seq).bit_length())
+    keys = seq[at].astype(np.uint64)
+    keys <<= symbol
+    keys |= seq[at + 1]
+    if 2 * symbol + place <= 64:
+        # pair and place in one number, so one sort brings a pair's places together
+        keys <<= place
+        keys |= at.view(np.uint64)
+        keys.sort()
+        at = (keys & ((np.uint64(1) << place) - np.uint64(1))).view(np.int64)
+        keys >>= place
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, at = keys[order], at[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    n = np.diff(first, append=len(keys))
+    # what is rare stays rare, as only new symbols make new pairs
+    may[at[np.repeat(n < least, n)]] = False
     order = np.flatnonzero(n >= least)
-    order = order[np.argsort(-n[order], kind="stable")][: 4 * most]
+    order = order[np.argsort(-n[order], kind="stable")][: 2 * most]
+    found = keys[first[order]]
     firsts: set[int] = set()
     seconds: set[int] = set()
-    out = []
-    for a, b in zip((found[order] >> np.uint64(32)).tolist(), (found[order] & np.uint64(0xFFFFFFFF)).tolist()):
-        if len(out) == most:
+    pairs, chosen = [], []
+    for k, a, b in zip(order.tolist(), (found >> symbol).tolist(), (found & ((np.uint64(1) << symbol) - np.uint64(1))).tolist()):
+        if len(pairs) == most:
             break
         if a in seconds or b in firsts or (a == b and (a in firsts or a in seconds)):
             continue
@@ -223,55 +230,40 @@ def frequent_pairs(places: Places, may: np.ndarray, most: int, least: int) -> li
         seconds.add(b)
         if a == b:
             seconds.add(a)
-        out.append((a, b))
-    return out
-
-
-def _held(places: Places, pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending places that hold one of ``pairs``, and which one."""
-    table = np.array([a << 32 | b for a, b in pairs], np.uint64)
-    bucket = _buckets(table)
-    left, at, which = np.arange(len(table)), [], []
-    while len(left):
-        # a bucket's pairs are looked for one after the other
-        _, first = np.unique(bucket[left], return_index=True)
-        now, left = left[first], np.delete(left, first)
-        slot = np.zeros(1 << BUCKET_BITS, np.int32)
-        slot[bucket[now]] = now + 1
-        named = slot[places.bucket]
-        some = np.flatnonzero(named)
-        named = named[some] - 1
-        same = table[named] == places.keys[some]
-        at.append(places.at[some[same]])
-        which.append(named[same])
-    if len(at) == 1:
-        return at[0], which[0]
-    at, which = np.concatenate(at), np.concatenate(which)
-    order = np.argsort(at, kind="stable")
-    return at[order], which[order]
+        pairs.append((a, b))
+        chosen.append(k)
+    first, n = first[chosen], n[chosen]
+    which = np.repeat(np.arange(len(pairs)), n)
+    return pairs, at[np.repeat(first - np.cumsum(n) + n, n) + np.arange(len(which))], which
 
 
 def replace_pairs(
-    ids: np.ndarray, open_: np.ndarray, may: np.ndarray, places: Places, pairs: list[tuple[int, int]], first_new: int
-):
+    seq: np.ndarray,
+    may: np.ndarray,
+    ends: np.ndarray,
+    pairs: list[tuple[int, int]],
+    at: np.ndarray,
+    which: np.ndarray,
+    first_new: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The sequence with each pair replaced by ``first_new``, ``first_new + 1``, ...; its
-    ``open_``; and its ``may``, where the pairs of new symbols are in."""
-    at, new = _held(places, pairs)
-    new = new + first_new
-    if any(a == b for a, b in pairs) and len(at):
+    ``may``, where the pairs of new symbols are in; and the documents' ends."""
+    if any(a == b for a, b in pairs):
         # a pair of equal symbols overlaps itself in a run: take every other place
-        start = np.concatenate([[True], np.diff(at) != 1])
+        start = np.ones(len(at), bool)
+        start[1:] = (np.diff(at) != 1) | (which[1:] != which[:-1])
         run = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
         even = (np.arange(len(at)) - run) % 2 == 0
-        at, new = at[even], new[even]
-    ids[at] = new
-    open_[at] = open_[at + 1]
+        at, which = at[even], which[even]
+    seq[at] = which + first_new
     may[at] = True
     may[at[at > 0] - 1] = True
-    may &= open_
-    keep = np.ones(len(ids), bool)
+    keep = np.ones(len(seq), bool)
     keep[at + 1] = False
-    return ids[keep], open_[keep], may[keep]
+    ends = ends - np.searchsorted(np.flatnonzero(~keep), ends)
+    seq, may = seq[keep], may[keep]
+    may[ends - 1] = False  # pairs do not cross a document's end
+    return seq, may, ends
 
 
 def compress(
@@ -282,14 +274,15 @@ def compress(
     ``ends`` are the documents' ends in ``ids``; every document has an id at least.
     """
     seq = np.array(ids, np.uint32)
-    open_ = np.ones(len(seq), bool)
-    open_[ends - 1] = False
+    may = np.ones(len(seq), bool)  # places whose pair may still be frequent
+    may[ends - 1] = False
     rules: list[tuple[int, int]] = []
-    may = open_.copy()  # places whose pair may still be frequent
-    while pairs := frequent_pairs(places := Places.of(seq, may), may, PAIRS_A_ROUND, least):
-        seq, open_, may = replace_pairs(seq, open_, may, places, pairs, base + len(rules))
+    while True:
+        pairs, at, which = frequent_pairs(seq, may, base + len(rules), PAIRS_A_ROUND, least)
+        if not pairs:
+            return seq, rules, ends
+        seq, may, ends = replace_pairs(seq, may, ends, pairs, at, which, base + len(rules))
         rules += pairs
-    return seq, rules, np.flatnonzero(~open_) + 1
 
 
 def pack_shard(docs: list[np.ndarray], base: int, least: int = LEAST_COUNT) -> bytes:

@@ -1,9 +1,11 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from cases import CLASHES, documents, empty, texts
@@ -405,6 +407,45 @@ def test_pieces_equal_the_whole_text():
         assert coder.encode_batch([text], 2)[0].tolist() == [*coder.library.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_pair_places_come_from_the_sort_that_counts_them():
+    rng = np.random.default_rng(3)
+    for base in (40, 1 << 31):  # pair and place fit one number of 64 bits, or not
+        ids = rng.choice(np.array([3, 5, 5, 5, 8, 13, base - 1]), 4000).astype(np.uint32)
+        docs = np.split(ids, np.sort(rng.choice(np.arange(1, 4000), 30, replace=False)))
+        ends = np.cumsum([len(d) for d in docs])
+        may = np.ones(len(ids), bool)
+        may[ends - 1] = False
+        counts = Counter((int(a), int(b)) for d in docs for a, b in zip(d, d[1:]))
+        pairs, at, which = token_files.frequent_pairs(ids, may, base, 4096, 90)
+        assert pairs[0] == counts.most_common(1)[0][0] and min(counts[p] for p in pairs) >= 90 > min(counts.values())
+        assert Counter(which.tolist()) == {k: counts[p] for k, p in enumerate(pairs)}
+        assert [(int(ids[i]), int(ids[i + 1])) for i in at] == [pairs[k] for k in which]
+        assert may.sum() == sum(n for n in counts.values() if n >= 90)
+        shard = token_files.Shard(token_files.pack_shard(docs, base)) if base == 40 else None
+        assert shard is None or [d.tolist() for d in shard.documents()] == [d.tolist() for d in docs]
+        seq, rules, ends = token_files.compress(ids, ends, base)
+        spell = lambda x: [x] if x < base else spell(rules[x - base][0]) + spell(rules[x - base][1])
+        assert [i for x in seq.tolist() for i in spell(x)] == ids.tolist() and len(ends) == len(docs)
+
+
+def test_pieces_are_cut_in_the_bytes_of_the_texts():
+    texts = ["", "a, b.c d.)", "...", "été! 日本。 日本語, Ж) 😀. 3%\nx'. don't; " + "y" + "-" * 30 + " z", "", "(a) .", ""]
+    starts = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    data = "".join(texts).encode()
+    cuts = token_files._cuts(np.frombuffer(data, np.uint8), starts)
+    pieces = [data[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:])]
+    assert pieces == [
+        "a", ",", " b.c", " d", ".)", "...", "été", "!", " 日本。", " 日本語", ",", " Ж", ")", " 😀.", " 3", "%", "\nx'.",
+        " don't", ";", " y" + "-" * 30, " z", "(a", ")", " .",
+    ]
+    coder = token_files.TokenEncoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    asked, learn = [], coder._learn
+    coder._learn = lambda names, lone: asked.append((names, [bool(lone(n)) for n in names])) or learn(names, lone)
+    got = coder.encode_batch(pa.array(["not read", *texts, "a"]).slice(1), 2)
+    assert [g.tolist() for g in got] == [[*coder.library.encode(t, add_special_tokens=False).ids, 2] for t in [*texts, "a"]]
+    assert asked == [(list(dict.fromkeys(pieces)), [p[0] != "\n" for p in dict.fromkeys(pieces)])]
+
+
 # url filters
 
 
